@@ -1,0 +1 @@
+"""Empty: the work done here is daily batch; late data is handled by rerunning a day."""
