@@ -14,6 +14,7 @@ from lakestay.sources.readers import (
     SourceSpec,
     day_path,
     layer_path,
+    read_rejected,
     read_source,
     with_provenance,
 )
@@ -51,5 +52,5 @@ def bronze_ingest(
     rejected = write_rejected(bad, layer_path(root, "rejected", spec.name), date)
     return {
         "bronze_rows": spark.read.parquet(bronze).count(),
-        "rejected_rows": spark.read.schema(bad.schema).json(rejected).count(),
+        "rejected_rows": read_rejected(spark, rejected, bad.schema).count(),
     }

@@ -36,6 +36,7 @@ def local_session(cores: str | int = "*", name: str = "lakestay") -> SparkSessio
         SparkSession.builder.master(f"local[{cores}]")
         .appName(name)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("LAKESTAY_DRIVER_MEMORY", "8g"))
         .config("spark.sql.shuffle.partitions", str(partitions))
     )

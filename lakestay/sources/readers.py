@@ -151,6 +151,12 @@ def read_layer(
     return read_day(spark, layer_path(root, layer, dataset), date, row_id)
 
 
+def read_rejected(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Rejected records; the corrupt text is an ordinary field of these files."""
+    options = {"columnNameOfCorruptRecord": "_unreadable"}
+    return spark.read.schema(schema).options(**options).json(path)
+
+
 def read_table(spark: SparkSession, table: str) -> DataFrame:
     """A whole table by batch date; filters on the date prune folders."""
     df = spark.read.parquet(table)
