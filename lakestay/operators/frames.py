@@ -60,7 +60,7 @@ def union_frames(frames: Sequence[DataFrame], allow_missing: bool = False) -> Da
 
 def add_unknown_member(dim: DataFrame, member: Mapping[str, object]) -> DataFrame:
     """The dimension plus one literal row, cast to the dimension's types."""
-    one = dim.sparkSession.range(1).select(
+    one = dim.sparkSession.range(0, 1, 1, 1).select(
         *[
             F.array().cast(f.dataType).alias(f.name)
             if member[f.name] == []

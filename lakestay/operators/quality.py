@@ -12,7 +12,12 @@ from lakestay import fixed_values as fv
 from lakestay.operators.frames import union_frames
 from lakestay.operators.joins import missing_refs
 from lakestay.operators.skew import HOT_ROWS
-from lakestay.operators.versions import dedup, mark_duplicates, with_next
+from lakestay.operators.versions import (
+    first_per_key,
+    mark_duplicates,
+    newest_first,
+    with_next,
+)
 
 Rule = tuple[str, str]
 
@@ -45,23 +50,31 @@ def with_reason(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return df.withColumn(fv.DQ_REASON, dq_reason(rules))
 
 
+def _passed_first(version: str, tie: Sequence[str]) -> list[Column]:
+    """Rows passing all rules come first, so that they are ranked among themselves."""
+    return [(F.col(fv.DQ_REASON) != "").asc(), *newest_first(version, tie)]
+
+
 def split_dq(
     df: DataFrame,
     rules: Sequence[Rule],
     key: Sequence[str],
     version: str,
-    tie: Sequence[str] | None = None,
+    tie: Sequence[str],
     spread: Sequence[str] | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> tuple[DataFrame, DataFrame]:
     """(valid, quarantine): rows passing all rules, newest per key, and all the rest
-    with the reason."""
+    with the reason.
+
+    The filter on the reason stands behind the ranking: in front of it, Spark
+    would parse every row twice, once to judge it and once to pass it on.
+    """
     judged = with_reason(df, rules)
-    invalid = judged.filter(F.col(fv.DQ_REASON) != "")
-    passed = judged.filter(F.col(fv.DQ_REASON) == "").drop(fv.DQ_REASON)
-    kept, losers = dedup(passed, key, version, tie, spread, hot_rows)
-    losers = losers.withColumn(fv.DQ_REASON, F.lit(fv.DUPLICATE_KEY))
-    return kept, invalid.unionByName(losers)
+    newest = first_per_key(judged, key, _passed_first(version, tie))
+    valid = newest.filter(F.col(fv.DQ_REASON) == "").drop(fv.DQ_REASON)
+    marked = mark_dq(df, rules, key, version, tie, spread, hot_rows)
+    return valid, marked.filter(F.col(fv.DQ_REASON) != "")
 
 
 def mark_dq(
@@ -69,7 +82,7 @@ def mark_dq(
     rules: Sequence[Rule],
     key: Sequence[str],
     version: str,
-    tie: Sequence[str] | None = None,
+    tie: Sequence[str],
     spread: Sequence[str] | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
@@ -77,12 +90,13 @@ def mark_dq(
 
     The same split as split_dq in one frame, for jobs that write both halves.
     """
-    judged = with_reason(df, rules)
-    invalid = judged.filter(F.col(fv.DQ_REASON) != "")
-    passed = judged.filter(F.col(fv.DQ_REASON) == "").drop(fv.DQ_REASON)
-    marked = mark_duplicates(passed, key, version, tie, spread, hot_rows)
-    reason = F.when(F.col("_is_dup"), F.lit(fv.DUPLICATE_KEY)).otherwise("")
-    return invalid.unionByName(marked.withColumn(fv.DQ_REASON, reason).drop("_is_dup"))
+    order = _passed_first(version, tie)
+    marked = mark_duplicates(with_reason(df, rules), key, order, spread or [version, *tie], hot_rows)
+    reason = F.col(fv.DQ_REASON)
+    duplicate = (reason == "") & F.col("_is_dup")
+    return marked.withColumn(
+        fv.DQ_REASON, F.when(duplicate, F.lit(fv.DUPLICATE_KEY)).otherwise(reason)
+    ).drop("_is_dup")
 
 
 def dq_summary(judged: DataFrame) -> DataFrame:

@@ -23,44 +23,45 @@ def _other_columns(df: DataFrame, used: Sequence[str]) -> list[str]:
 def latest_version(
     df: DataFrame, key: Sequence[str], version: str, tie: Sequence[str] | None = None
 ) -> DataFrame:
-    """The newest row of each key; tie defaults to all other columns.
+    """The newest row of each key; tie defaults to all other columns."""
+    tie = _other_columns(df, [*key, version]) if tie is None else tie
+    return first_per_key(df, key, newest_first(version, tie))
+
+
+def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """The first row of each key in a total order.
 
     Spark cuts every key to one row per task before the shuffle (a partial
     window group limit), so the rows of a hot key never meet in one task.
     """
-    tie = _other_columns(df, [*key, version]) if tie is None else tie
-    newest = Window.partitionBy(*key).orderBy(*newest_first(version, tie))
-    return df.withColumn("_rank", F.row_number().over(newest)).filter("_rank = 1").drop("_rank")
+    rank = F.row_number().over(Window.partitionBy(*key).orderBy(*order))
+    return df.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
 
 
 def mark_duplicates(
     df: DataFrame,
     key: Sequence[str],
-    version: str,
-    tie: Sequence[str] | None = None,
-    spread: Sequence[str] | None = None,
+    order: Sequence[Column],
+    spread: Sequence[str],
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Add _is_dup: false for the newest row of each key, true for all others.
+    """Add _is_dup: false for the first row of each key, true for all others.
 
     Ordinary keys take one shuffle. The rows of hot keys are ranked in salted
-    parts first; only the winners of the parts are ranked per key. Give spread
-    columns that differ even between exact copies, such as a row id, when one
-    row may be copied very often.
+    parts first; only the winners of the parts are ranked per key. spread
+    names columns that differ between the rows of one key, best a row id,
+    which differs even between exact copies.
     """
-    tie = _other_columns(df, [*key, version]) if tie is None else list(tie)
-    order = newest_first(version, tie)
     cold, hot = split_hot(df, key, hot_rows)
 
     by_key = Window.partitionBy(*key).orderBy(*order)
     cold = cold.withColumn("_is_dup", F.row_number().over(by_key) > 1)
 
-    part = salt(df, spread or [version, *tie])
     by_part = Window.partitionBy(*key, "_part").orderBy(*order)
     # Losers of a part stay spread over their part; winners meet in part -1.
     final = Window.partitionBy(*key, "_final").orderBy(*order)
     hot = (
-        hot.withColumn("_part", part)
+        hot.withColumn("_part", salt(df, spread))
         .withColumn("_first", F.row_number().over(by_part))
         .withColumn("_final", F.when(F.col("_first") > 1, F.col("_part")).otherwise(-1))
         .withColumn("_is_dup", (F.col("_first") > 1) | (F.row_number().over(final) > 1))
@@ -78,8 +79,10 @@ def dedup(
     hot_rows: int = HOT_ROWS,
 ) -> tuple[DataFrame, DataFrame]:
     """(kept, losers): the newest row per key and every other row."""
-    marked = mark_duplicates(df, key, version, tie, spread, hot_rows)
-    return latest_version(df, key, version, tie), marked.filter("_is_dup").drop("_is_dup")
+    tie = _other_columns(df, [*key, version]) if tie is None else list(tie)
+    order = newest_first(version, tie)
+    marked = mark_duplicates(df, key, order, spread or [version, *tie], hot_rows)
+    return first_per_key(df, key, order), marked.filter("_is_dup").drop("_is_dup")
 
 
 def change_points(df: DataFrame, key: Sequence[str], order: str, tracked: Sequence[str]) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestay.registry.derived import DERIVED
-from lakestay.session import configure
+from lakestay.session import configure, work_folder
 
 
 class Tables:
@@ -30,6 +30,13 @@ class Tables:
         return self._derived[name]
 
 
+    def stored(self, df: DataFrame, label: str) -> DataFrame:
+        """A frame as a written table, the way a later step of the day finds it."""
+        table = work_folder(self.spark, label)
+        df.write.parquet(table)
+        return self.spark.read.parquet(table)
+
+
 def _inputs(text: str) -> list[str]:
     return list(dict.fromkeys(re.findall(r"\{(\w+)\}", text)))
 

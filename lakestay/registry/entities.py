@@ -115,6 +115,12 @@ def _times_as_text(columns, times=("created_at", "processed_at", "refund_at", "e
     return ", ".join(f"CAST({c} AS VARCHAR) AS {c}" if c in times else c for c in columns)
 
 
+def bronze(t, name):
+    """The bronze table of an entity, with the place of each row."""
+    table = t.stored(t(f"bronze_{name}"), f"bronze-{name}")
+    return table.select("*", F.concat_ws("#", "_metadata.file_path", "_metadata.row_index").alias("_row_id"))
+
+
 def _register_silver(name):
     columns = [*fv.STAGING_COLUMNS[name], fv.BATCH_DATE]
 
@@ -124,7 +130,7 @@ def _register_silver(name):
         (f"bronze_{name}",),
     )
     def silver(t):
-        return flat(silver_frames(name, t(f"bronze_{name}"))[0].select(*columns))
+        return flat(silver_frames(name, bronze(t, name))[0].select(*columns))
 
 
 for _name in SOURCES:
@@ -139,7 +145,7 @@ def quarantine_summary(t):
     """Quarantined rows of every entity per reason."""
     parts = []
     for name in SOURCES:
-        rest = silver_frames(name, t(f"bronze_{name}"))[1]
+        rest = silver_frames(name, bronze(t, name))[1]
         parts.append(
             rest.groupBy(F.lit(name).alias("entity"), fv.DQ_REASON).agg(F.count("*").alias("n_rows"))
         )

@@ -27,10 +27,6 @@ def booking_facts(t):
     )
 
 
-def payment_facts(t):
-    return facts.fact_payments(t("payments"), booking_facts(t), t("rates"))
-
-
 def session_facts(t):
     return facts.fact_web_sessions(t("clicks"), t("bookings"), customer_dimension(t))
 
@@ -177,7 +173,7 @@ def fact_bookings(t):
 
 @query("fact_payments", f"{ALL_BOOKINGS}, {FACT_PAYMENTS} SELECT * FROM fact_payments", (*BOOKING_INPUTS, "payments"))
 def fact_payments(t):
-    return payment_facts(t)
+    return facts.fact_payments(t("payments"), stored_bookings(t), t("rates"))
 
 
 SESSIONS = f"""
@@ -268,6 +264,10 @@ def rpt_daily_revenue(t):
     return reports.rpt_daily_revenue(bookings, places, seeds.dim_channels(t.spark))
 
 
+def stored_bookings(t):
+    return t.stored(booking_facts(t), "fact-bookings")
+
+
 @query("rpt_revenue_by_booking", f"""{ALL_BOOKINGS}
     SELECT f._batch_date AS report_date, COALESCE(h.country, 'Unknown') AS country, COALESCE(h.region, 'Unknown') AS region,
         COALESCE(h.hotel_tier, 'Unknown') AS hotel_tier, COALESCE(ch.channel_name, 'Other') AS channel_name,
@@ -280,7 +280,8 @@ def rpt_daily_revenue(t):
     GROUP BY ALL""", BOOKING_INPUTS)
 def rpt_revenue_by_booking(t):
     """The same report over the booking facts and the hotel history."""
-    return reports.rpt_daily_revenue(booking_facts(t), hotel_dimension(t), seeds.dim_channels(t.spark))
+    hotels = t.stored(hotel_dimension(t), "dim-hotels")
+    return reports.rpt_daily_revenue(stored_bookings(t), hotels, seeds.dim_channels(t.spark))
 
 
 @query("rpt_performance", f"""{ALL_BOOKINGS}, {FACT_PAYMENTS},
@@ -297,7 +298,10 @@ def rpt_revenue_by_booking(t):
     FROM dim_hotels h LEFT JOIN b ON h.hotel_id = b.hotel_id LEFT JOIN p ON h.hotel_id = p.hotel_id
     WHERE h.is_current AND h.hotel_sk <> 0""", (*BOOKING_INPUTS, "payments"))
 def rpt_performance(t):
-    return reports.rpt_hotel_performance(hotel_dimension(t), booking_facts(t), payment_facts(t), "2024-01-25")
+    bookings = stored_bookings(t)
+    payments = facts.fact_payments(t("payments"), bookings, t("rates"))
+    hotels = t.stored(hotel_dimension(t), "dim-hotels")
+    return reports.rpt_hotel_performance(hotels, bookings, payments, "2024-01-25")
 
 
 @query("rpt_funnel", f"""WITH {DIM_CUSTOMERS}, {SESSIONS}
