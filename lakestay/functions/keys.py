@@ -10,7 +10,8 @@ from lakestay.functions.parsing import clean_str
 
 def date_id(c: Column | str) -> Column:
     """A day as the integer YYYYMMDD."""
-    return F.date_format(c, "yyyyMMdd").cast("int")
+    day = F.to_date(c)
+    return F.year(day) * 10000 + F.month(day) * 100 + F.day(day)
 
 
 def surrogate_key(*parts: Column | str) -> Column:

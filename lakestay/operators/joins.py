@@ -332,5 +332,5 @@ def preagg_join(
 
 def missing_refs(child: DataFrame, col: str, parent: DataFrame, parent_col: str) -> DataFrame:
     """Child rows whose non-NULL reference is not in the parent."""
-    known = parent.select(F.col(parent_col).alias("_known"))
+    known = parent.select(F.col(parent_col).alias("_known")).distinct()
     return child.filter(F.col(col).isNotNull()).join(known, F.col(col) == F.col("_known"), "left_anti")

@@ -81,7 +81,7 @@ def touched_sessions(events: DataFrame, date: str) -> DataFrame:
     A session over two batches is rebuilt from both, not from the later one.
     """
     touched = events.filter(F.col(fv.BATCH_DATE) == F.lit(date).cast("date"))
-    return events.join(touched.select("session_id"), "session_id", "left_semi")
+    return events.join(touched.select("session_id").distinct(), "session_id", "left_semi")
 
 
 def session_metrics(events: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lakestay.registry.derived import DERIVED
 from lakestay.session import configure, work_folder
@@ -20,16 +21,26 @@ class Tables:
         self.spark = configure(spark)
         self.folder = folder.rstrip("/")
         self._derived: dict[str, DataFrame] = {}
+        self._schemas: dict[str, StructType] = {}
 
     def __call__(self, name: str) -> DataFrame:
         if name not in DERIVED:
-            return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+            return self._supplied(name)
         if name not in self._derived:
             text = DERIVED[name]
             self._derived[name] = self.spark.sql(text, **{n: self(n) for n in _inputs(text)})
         return self._derived[name]
 
 
+    def _supplied(self, name: str) -> DataFrame:
+        """A supplied table; its schema is looked up once."""
+        reader, path = self.spark.read, f"{self.folder}/{name}.parquet"
+        if name in self._schemas:
+            return reader.schema(self._schemas[name]).parquet(path)
+        df = reader.parquet(path)
+        self._schemas[name] = df.schema
+        return df
+
     def stored(self, df: DataFrame, label: str) -> DataFrame:
         """A frame as a written table, the way a later step of the day finds it."""
         table = work_folder(self.spark, label)

@@ -13,9 +13,9 @@ from lakestay.registry.versions import LINE_KEY, LINE_TIES, RANKED, _lines
 from lakestay.registry.warehouse import (
     ALL_BOOKINGS,
     BOOKING_INPUTS,
+    booking_facts,
     customer_dimension,
     hotel_dimension,
-    stored_bookings,
 )
 
 LINE_RULES = (
@@ -147,7 +147,7 @@ def check_scd2(t):
         UNION ALL SELECT 'not_null dim_customers.user_id', 'error', count(*) FILTER (user_id IS NULL) FROM dim_customers)""", BOOKING_INPUTS)
 def check_report(t):
     tables = {
-        "fact_bookings": stored_bookings(t),
+        "fact_bookings": t.stored(booking_facts(t), "fact-bookings"),
         "dim_hotels": t.stored(hotel_dimension(t), "dim-hotels"),
         "dim_customers": t.stored(customer_dimension(t), "dim-customers"),
     }
