@@ -8,11 +8,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakestay.operators.skew import spread_nulls
+from lakestay.operators.skew import HOT_ROWS, split_hot, spread_nulls
 from lakestay.session import fits_broadcast
 
-# Width of the time slices into which the as-of join cuts a key.
-SLICE_SECONDS = 3600
+# Width of the time slices into which a hot key is cut.
+SLICE_SECONDS = 60
 
 
 def _seconds(ts: Column) -> Column:
@@ -69,86 +69,106 @@ def asof_join_interval(
     )
 
 
-def _sliced(
+def _next_to(rows: DataFrame, group: Sequence[str], forward: bool) -> DataFrame:
+    """Left rows with _before (and _after), the right values next to them in a group.
+
+    What follows is found by going back through the reverse order, as a frame
+    up to the end would be computed anew for every row. A right row stands
+    before the left rows of its own moment in both directions.
+    """
+    so_far = (Window.unboundedPreceding, Window.currentRow)
+    per_group = Window.partitionBy(*group)
+    up_to = per_group.orderBy("_ts", "_side").rowsBetween(*so_far)
+    found = rows.withColumn("_before", F.last("_value", ignorenulls=True).over(up_to))
+    if forward:
+        onward = per_group.orderBy(F.desc("_ts"), "_side").rowsBetween(*so_far)
+        found = found.withColumn("_after", F.last("_value", ignorenulls=True).over(onward))
+    sides = ["_before", "_after"] if forward else ["_before"]
+    return found.filter("_side = 1").select("_row", *sides)
+
+
+def _next_to_in_slices(
+    rows: DataFrame, on: Sequence[str], forward: bool, slice_seconds: int
+) -> DataFrame:
+    """The same for hot keys, each cut into time slices shared by many tasks.
+
+    What a slice needs from the others is one carried right value per
+    direction; those come from an aggregate with one row per key and slice.
+    """
+    unmatchable = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in [*on, "_ts"]])
+    in_time = F.floor(_seconds(F.col("_ts")) / F.lit(slice_seconds))
+    # A left row that cannot match may go to any slice.
+    rows = rows.withColumn("_slice", F.when(unmatchable, F.xxhash64("_row")).otherwise(in_time))
+
+    right_ts = F.when(F.col("_side") == 0, F.col("_ts"))
+    slices = rows.groupBy(*on, "_slice").agg(
+        F.max_by("_value", right_ts).alias("_last"),
+        F.min_by("_value", right_ts).alias("_first"),
+        F.max("_side").alias("_has_left"),
+    )
+    others = (Window.unboundedPreceding, -1)
+    per_key = Window.partitionBy(*on)
+    earlier = per_key.orderBy("_slice").rowsBetween(*others)
+    carried = [F.last("_last", ignorenulls=True).over(earlier)]
+    if forward:
+        later = per_key.orderBy(F.desc("_slice")).rowsBetween(*others)
+        carried.append(F.last("_first", ignorenulls=True).over(later))
+    brought = (
+        slices.withColumn("_carried", F.array(*carried))
+        .filter("_has_left = 1")
+        .select(*on, "_slice", F.explode("_carried").alias("_value"))
+        .filter(F.col("_value").isNotNull())
+        .select(
+            *on,
+            F.col("_value.ts").alias("_ts"),
+            F.lit(0).alias("_side"),
+            F.lit(None).cast(rows.schema["_row"].dataType).alias("_row"),
+            "_value",
+            "_slice",
+        )
+    )
+    return _next_to(rows.unionByName(brought), [*on, "_slice"], forward)
+
+
+def _neighbours(
     left: DataFrame,
     right: DataFrame,
     on: Sequence[str],
     left_ts: str,
     right_ts: str,
     payload: Sequence[str],
-    slice_seconds: int,
     forward: bool,
+    slice_seconds: int,
+    hot_rows: int,
 ) -> DataFrame:
-    """Left rows with _before (and _after): the right rows next to them in time.
+    """Every left row (_row) with the right values before (and after) it.
 
-    Every key is cut into time slices, so a hot key is shared by as many tasks
-    as it has slices. What a slice needs from its neighbours is one carried
-    right row per direction; those come from an aggregate with one row per key
-    and slice. Each left and right row is shuffled once and no pairs are built.
+    Both sides are put in one order per key, so no pairs are built and each row
+    is shuffled once. Hot keys are cut into time slices.
     """
     value = F.struct(F.col(right_ts).alias("ts"), *[F.col(c) for c in payload])
-    value_type = right.select(value.alias("v")).schema["v"].dataType
     row = F.struct(*[F.col(c) for c in left.columns])
+    value_type = right.select(value.alias("v")).schema["v"].dataType
     row_type = left.select(row.alias("r")).schema["r"].dataType
-    ts_type = right.schema[right_ts].dataType
-
-    unmatchable = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in [*on, left_ts]])
-    slice_of = lambda ts: F.floor(_seconds(ts) / F.lit(slice_seconds))
     rows = left.select(
         *on,
-        # A left row that cannot match may go to any slice.
-        F.when(unmatchable, F.xxhash64(row)).otherwise(slice_of(F.col(left_ts))).alias("_slice"),
-        F.col(left_ts).cast(ts_type).alias("_ts"),
+        F.col(left_ts).cast(right.schema[right_ts].dataType).alias("_ts"),
         F.lit(1).alias("_side"),
         row.alias("_row"),
         F.lit(None).cast(value_type).alias("_value"),
     )
     values = right.dropna(subset=[*on, right_ts]).select(
         *on,
-        slice_of(F.col(right_ts)).alias("_slice"),
         F.col(right_ts).alias("_ts"),
         F.lit(0).alias("_side"),
         F.lit(None).cast(row_type).alias("_row"),
         value.alias("_value"),
     )
-    both = rows.unionByName(values)
-
-    slices = both.groupBy(*on, "_slice").agg(
-        F.max_by("_value", F.when(F.col("_side") == 0, F.col("_ts"))).alias("_last"),
-        F.min_by("_value", F.when(F.col("_side") == 0, F.col("_ts"))).alias("_first"),
-        F.max("_side").alias("_has_rows"),
-    )
-    per_key = Window.partitionBy(*on).orderBy("_slice")
-    earlier = per_key.rowsBetween(Window.unboundedPreceding, -1)
-    later = per_key.rowsBetween(1, Window.unboundedFollowing)
-    carried = [F.last("_last", ignorenulls=True).over(earlier)]
-    if forward:
-        carried.append(F.first("_first", ignorenulls=True).over(later))
-    neighbours = (
-        slices.withColumn("_carried", F.array(*carried))
-        .filter("_has_rows = 1")
-        .select(*on, "_slice", F.explode("_carried").alias("_value"))
-        .filter(F.col("_value").isNotNull())
-        .select(
-            *on,
-            "_slice",
-            F.col("_value.ts").alias("_ts"),
-            F.lit(0).alias("_side"),
-            F.lit(None).cast(row_type).alias("_row"),
-            "_value",
-        )
+    cold, hot = split_hot(rows.unionByName(values), on, hot_rows)
+    return _next_to(cold, on, forward).unionByName(
+        _next_to_in_slices(hot, on, forward, slice_seconds)
     )
 
-    in_slice = Window.partitionBy(*on, "_slice").orderBy("_ts", "_side")
-    up_to = in_slice.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    onward = in_slice.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    found = both.unionByName(neighbours).withColumn(
-        "_before", F.last("_value", ignorenulls=True).over(up_to)
-    )
-    if forward:
-        found = found.withColumn("_after", F.first("_value", ignorenulls=True).over(onward))
-    return found.filter("_side = 1")
-
 
 def asof_join_sliced(
     left: DataFrame,
@@ -158,9 +178,12 @@ def asof_join_sliced(
     right_ts: str,
     cols: Mapping[str, str],
     slice_seconds: int = SLICE_SECONDS,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """The as-of join for a large right side and for hot keys."""
-    found = _sliced(left, right, on, left_ts, right_ts, list(cols), slice_seconds, False)
+    found = _neighbours(
+        left, right, on, left_ts, right_ts, list(cols), False, slice_seconds, hot_rows
+    )
     # A NULL timestamp sorts before every right row, a NULL key meets none.
     return found.select(
         "_row.*", *[F.col(f"_before.{c}").alias(name) for c, name in cols.items()]
@@ -177,6 +200,7 @@ def nearest_match(
     group: Sequence[str],
     out: str,
     slice_seconds: int = SLICE_SECONDS,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Per group of rows the candidate of the same key nearest in time, to the second;
     the smallest id wins a tie. Groups without a candidate are left out.
@@ -191,8 +215,8 @@ def nearest_match(
     wanted = rows.dropna(subset=[*on, ts]).select(
         *on, F.date_trunc("second", ts).alias("_row_ts"), *[c for c in group if c not in on]
     )
-    found = _sliced(
-        wanted, seconds, on, "_row_ts", "_cand_ts", ["_cand_id"], slice_seconds, True
+    found = _neighbours(
+        wanted, seconds, on, "_row_ts", "_cand_ts", ["_cand_id"], True, slice_seconds, hot_rows
     )
     distance = lambda side: F.abs(
         _seconds(F.col("_row._row_ts")) - _seconds(F.col(f"{side}.ts"))
