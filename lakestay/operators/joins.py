@@ -165,9 +165,10 @@ def _neighbours(
         value.alias("_value"),
     )
     cold, hot = split_hot(rows.unionByName(values), on, hot_rows)
-    return _next_to(cold, on, forward).unionByName(
-        _next_to_in_slices(hot, on, forward, slice_seconds)
-    )
+    found = _next_to(cold, on, forward)
+    if hot is None:
+        return found
+    return found.unionByName(_next_to_in_slices(hot, on, forward, slice_seconds))
 
 
 def asof_join_sliced(

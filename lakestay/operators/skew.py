@@ -7,18 +7,27 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakestay.session import fits_partition
+
 # A key with more rows than this is worked on in salted parts.
 HOT_ROWS = 1_000_000
 
 
-def split_hot(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame]:
+def split_hot(
+    df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS
+) -> tuple[DataFrame, DataFrame | None]:
     """Split a frame into rows of ordinary keys and rows of hot keys.
 
+    A frame no larger than one scan partition stays whole, with None as the
+    second part: one task can take all of it.
+
     The count is combined map-side and reads only the key columns. There can be
     no more than rows / hot_rows hot keys, which bounds the broadcast list: a
     million keys for 10^12 rows. Without hot keys the second frame is dropped
     at run time, before it is computed.
     """
+    if fits_partition(df):
+        return df, None
     names = [f"_hot_{i}" for i in range(len(keys))]
     hot = (
         df.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)])

@@ -56,6 +56,8 @@ def mark_duplicates(
 
     by_key = Window.partitionBy(*key).orderBy(*order)
     cold = cold.withColumn("_is_dup", F.row_number().over(by_key) > 1)
+    if hot is None:
+        return cold
 
     by_part = Window.partitionBy(*key, "_part").orderBy(*order)
     # Losers of a part stay spread over their part; winners meet in part -1.

@@ -21,6 +21,7 @@ class Tables:
         self.spark = configure(spark)
         self.folder = folder.rstrip("/")
         self._derived: dict[str, DataFrame] = {}
+        self._stored: dict[str, DataFrame] = {}
         self._schemas: dict[str, StructType] = {}
 
     def __call__(self, name: str) -> DataFrame:
@@ -41,6 +42,12 @@ class Tables:
         self._schemas[name] = df.schema
         return df
 
+    def once(self, label: str, build: Callable[[Tables], DataFrame]) -> DataFrame:
+        """A frame stored at its first use, for queries that need it more than once."""
+        if label not in self._stored:
+            self._stored[label] = self.stored(build(self), label)
+        return self._stored[label]
+
     def stored(self, df: DataFrame, label: str) -> DataFrame:
         """A frame as a written table, the way a later step of the day finds it."""
         table = work_folder(self.spark, label)

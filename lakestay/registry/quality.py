@@ -14,8 +14,8 @@ from lakestay.registry.warehouse import (
     ALL_BOOKINGS,
     BOOKING_INPUTS,
     booking_facts,
-    customer_dimension,
-    hotel_dimension,
+    customers,
+    hotels,
 )
 
 LINE_RULES = (
@@ -147,9 +147,9 @@ def check_scd2(t):
         UNION ALL SELECT 'not_null dim_customers.user_id', 'error', count(*) FILTER (user_id IS NULL) FROM dim_customers)""", BOOKING_INPUTS)
 def check_report(t):
     tables = {
-        "fact_bookings": t.stored(booking_facts(t), "fact-bookings"),
-        "dim_hotels": t.stored(hotel_dimension(t), "dim-hotels"),
-        "dim_customers": t.stored(customer_dimension(t), "dim-customers"),
+        "fact_bookings": t.stored(booking_facts(t, hotels, customers), "fact-bookings"),
+        "dim_hotels": hotels(t),
+        "dim_customers": customers(t),
     }
     wanted = {
         "unique fact_bookings(booking_id)", "expected fact_bookings: hotel_sk <> 0",

@@ -21,14 +21,22 @@ def customer_dimension(t):
     return dimensions.dim_customers(t("customer_snapshots"))
 
 
-def booking_facts(t):
+def hotels(t):
+    return t.once("dim-hotels", hotel_dimension)
+
+
+def customers(t):
+    return t.once("dim-customers", customer_dimension)
+
+
+def booking_facts(t, hotels=hotel_dimension, customers=customer_dimension):
     return facts.fact_bookings(
-        t("bookings"), hotel_dimension(t), customer_dimension(t), seeds.dim_channels(t.spark), t("rates")
+        t("bookings"), hotels(t), customers(t), seeds.dim_channels(t.spark), t("rates")
     )
 
 
-def payment_facts(t):
-    return facts.fact_payments(t("payments"), booking_facts(t), t("rates"))
+def payment_facts(t, *dimensions):
+    return facts.fact_payments(t("payments"), booking_facts(t, *dimensions), t("rates"))
 
 
 def session_facts(t):
@@ -297,7 +305,8 @@ def rpt_revenue_by_booking(t):
     FROM dim_hotels h LEFT JOIN b ON h.hotel_id = b.hotel_id LEFT JOIN p ON h.hotel_id = p.hotel_id
     WHERE h.is_current AND h.hotel_sk <> 0""", (*BOOKING_INPUTS, "payments"))
 def rpt_performance(t):
-    return reports.rpt_hotel_performance(hotel_dimension(t), booking_facts(t), payment_facts(t), "2024-01-25")
+    bookings, payments = booking_facts(t, hotels, customers), payment_facts(t, hotels, customers)
+    return reports.rpt_hotel_performance(hotels(t), bookings, payments, "2024-01-25")
 
 
 @query("rpt_funnel", f"""WITH {DIM_CUSTOMERS}, {SESSIONS}

@@ -1,11 +1,13 @@
 """A day from landing files to reports, a second day, a rerun and a backfill."""
 
 import datetime as dt
+import os
 from decimal import Decimal as D
 
 import pytest
 from pyspark.sql import functions as F
 
+from lakestay import fixed_values as fv
 from lakestay.operators.quality import BreakerTripped
 from lakestay.plans import daily, silver
 from lakestay.plans.bronze import bronze_ingest
@@ -157,8 +159,18 @@ def test_audit_and_inventory(spark, lake):
     audit = table(spark, root, "run_audit")
     assert audit.filter("status = 'SUCCESS'").count() == 7
     assert audit.filter("step_name = 'bronze'").first()["rows_processed"] == 31
-    layers = {r["layer"]: r["n_files"] for r in lake_inventory(spark, root, sc.DAY1).collect()}
-    assert layers["raw"] == 6 and {"bronze", "silver", "quarantine"} <= set(layers)
+    found = {r["layer"]: (r["n_files"], r["n_bytes"]) for r in lake_inventory(spark, root).collect()}
+    want = {}
+    for folder, _, files in os.walk(root):
+        for name in files:
+            if not name.startswith((".", "_")):
+                path = os.path.join(folder, name)
+                layer = os.path.relpath(path, root).split(os.sep)[0]
+                layer = layer if layer in fv.LAYERS else "other"
+                n, size = want.get(layer, (0, 0))
+                want[layer] = (n + 1, size + os.path.getsize(path))
+    assert found == want and found["raw"][0] == 6 and "other" in found
+    assert lake_inventory(spark, root, "2020-01-01").count() == 0
     assert {r["layer"] for r in lake_inventory(spark, root, layer="raw").collect()} == {"raw"}
 
 

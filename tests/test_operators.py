@@ -144,6 +144,8 @@ def test_hot_split(spark):
     assert {r.k for r in hot.select("k").distinct().collect()} >= {"hot", "copy"}
     counts = Counter(r.k for r in events(spark).collect())
     assert {r.k for r in cold.select("k").distinct().collect()} == {k for k, n in counts.items() if n <= 10}
+    # A frame of one partition is not even looked at.
+    assert skew.split_hot(spark.range(10), ["id"], 1)[1] is None
     # Without hot keys nothing is ranked in parts.
     marked = versions.mark_duplicates(events(spark), ["k"], [F.col("v"), F.col("id")], ["id"])
     marked.collect()
