@@ -72,7 +72,10 @@ def append_audit(
 def lake_inventory(
     spark: SparkSession, root: str, date: str | None = None, layer: str | None = None
 ) -> DataFrame:
-    """Files and bytes per layer; file contents are not read."""
+    """Files and bytes per layer; file contents are not read.
+
+    A Spark scan passes over files of no bytes, so those do not count.
+    """
     base = root.rstrip("/")
     files = (
         spark.read.format("binaryFile")
