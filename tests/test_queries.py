@@ -5,6 +5,7 @@ import os
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from lakestay.registry import REGISTRY
 from tests.oracle import compare, connect
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
@@ -20,11 +21,11 @@ def duck():
 
 
 def test_every_query_has_its_sql():
-    assert set(queries()) - set(oracle_sql()) == ROWS_ONLY
+    assert set(REGISTRY) - set(oracle_sql()) == ROWS_ONLY
     assert set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(REGISTRY))
 def test_query(spark, duck, name):
     df = queries()[name](spark, FOLDER)
     plan = df._jdf.queryExecution().executedPlan().toString()
