@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -69,3 +69,16 @@ def _cut(held: list[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
         end = max(at + 1, int(np.searchsorted(total, done + 2 * SLICE_BYTES, side="right")))
         yield batch.slice(at, end - at)
         at = end
+
+
+def keep_rows(
+    docs: DataFrame, text: str, decide: Callable[[pa.RecordBatch], np.ndarray]
+) -> DataFrame:
+    """The rows decide says True for, with all their columns; no shuffle."""
+    prepare(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, text):
+            yield part.filter(pa.array(decide(part), pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

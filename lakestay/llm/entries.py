@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestay.llm import packing, token_counts, token_files
+from lakestay.llm import (
+    decontamination,
+    jaccard_join,
+    packing,
+    pii,
+    quality,
+    secret_scan,
+    token_counts,
+    token_files,
+)
 from lakestay.llm.batches import prepare, table
 from lakestay.session import work_folder
 
@@ -47,3 +56,31 @@ def op5_token_files(spark, folder):
     return token_files.read_token_files(spark, path).select(
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
     )
+
+
+@query("op10_quality")
+def op10_quality(spark, folder):
+    docs = table(spark, folder, "documents")
+    model = quality.train(docs, table(spark, folder, "labels"))
+    predicted = (F.col("score") >= quality.THRESHOLD).cast("int")
+    return quality.score(docs, model).withColumn("predicted", predicted)
+
+
+@query("op6_decontamination")
+def op6_decontamination(spark, folder):
+    return decontamination.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op9_secret_scan")
+def op9_secret_scan(spark, folder):
+    return secret_scan.digest(secret_scan.secrets(table(spark, folder, "documents")))
+
+
+@query("op7_personal_data")
+def op7_personal_data(spark, folder):
+    return pii.digest(pii.personal_data(table(spark, folder, "documents")))
+
+
+@query("op8_jaccard_join")
+def op8_jaccard_join(spark, folder):
+    return jaccard_join.similar_documents(table(spark, folder, "documents"))
