@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lakestay.llm import (
     decontamination,
+    html_extraction,
     jaccard_join,
     packing,
     pii,
@@ -16,6 +17,7 @@ from lakestay.llm import (
     secret_scan,
     token_counts,
     token_files,
+    vector_search,
 )
 from lakestay.llm.batches import prepare, table
 from lakestay.session import work_folder
@@ -84,3 +86,28 @@ def op7_personal_data(spark, folder):
 @query("op8_jaccard_join")
 def op8_jaccard_join(spark, folder):
     return jaccard_join.similar_documents(table(spark, folder, "documents"))
+
+
+@query("op2_html_extraction")
+def op2_html_extraction(spark, folder):
+    return html_extraction.extract(table(spark, folder, "pages"))
+
+
+TOP_SQL = """
+WITH v AS (
+  SELECT vec_id, [floor(1024 * CAST(x AS DOUBLE)) FOR x IN embedding] AS c FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len([1 FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, v.vec_id, CAST(list_inner_product(q.c, v.c) AS BIGINT) AS score
+  FROM v AS q JOIN v ON v.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+  vec_id, score
+FROM s QUALIFY rank <= 10
+"""
+
+
+@query("op3_vector_search", TOP_SQL)
+def op3_vector_search(spark, folder):
+    return vector_search.top_products(table(spark, folder, "embeddings"))

@@ -26,7 +26,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakestay.llm.batches import prepare, slices
@@ -467,3 +467,27 @@ def similar_documents(
     return rows.join(final, F.col("doc_id") == F.col("node"), "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "doc_id").alias("component_id")
     )
+
+
+def keep_one(
+    docs: DataFrame, percent: int = LEAST_PERCENT, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
+    """One row of each component of similar documents, with all its columns.
+
+    The row with the smallest id stays; of several rows with that id, the first by a hash of
+    all columns. Rows without an id stay, as they are linked with nothing. Rows that stay
+    are not moved: ids to leave out are sent to them, or joined with them if too many.
+    """
+    found = stored(similar_documents(docs, percent, id_column, text_column), "similar")
+    ids = found.filter("doc_id is not null").groupBy("doc_id", "component_id").count()
+    out = ids.filter("doc_id <> component_id or count > 1").select(
+        F.col("doc_id").alias("_id"), (F.col("doc_id") == F.col("component_id")).alias("_root")
+    )
+    if out.count() <= BROADCAST_IDS:
+        out = F.broadcast(out)
+    key = F.col(id_column).cast("bigint")
+    kept = docs.join(out, key == F.col("_id"), "left_anti")
+    again = docs.join(out.filter("_root"), key == F.col("_id"), "left_semi")
+    first = Window.partitionBy(key).orderBy(F.xxhash64(*[F.col(c).cast("string") for c in docs.columns]), text_column)
+    again = again.withColumn("_first", F.row_number().over(first)).filter("_first = 1").drop("_first")
+    return kept.unionByName(again)
