@@ -6,13 +6,23 @@ but H of the segments that are not empty in one set hold equal subsets in the ot
 (pigeonhole). Segments are ordered by cost, that is by how often the rarest shingle of the
 subset occurs in the corpus, and a set is indexed under the subsets of its H + 1 cheapest
 segments: the cheapest segment two similar sets have in common is among those of both, and
-what many documents share is left to the costly end. Sets of five shingles and fewer have
-one segment, the whole set, indexed together with its one-deletion neighbourhood, which
-finds the single difference their size allows.
-
-Sets that meet under a key are candidates. They are not paired all with all: first with the
-smallest of the key, the best such pair of each set is verified, and only sets that are then
-in different components are paired. Verification compares bit signatures, which bound the
+what many documents share is left to the costly end.
+
+Allocation follows cost. A set made of common shingles for the most part (at least half of
+it) would have to be indexed under costly subsets. For such sets the partition is taken to
+its finest, a segment for each shingle: there the other set's surplus breaks no segment, so
+fewer have to be indexed, few enough that none is costly unless the set is truly similar to
+others that hold it. Sets of five shingles and fewer have one segment, the whole set, indexed
+together with its one-deletion neighbourhood, which finds the single difference their size
+allows.
+
+Each key carries the size of its set and its place in the order; two sets need comparing only
+if, for their two sizes, both places are within the bound, and the smaller one's is an index
+entry (the larger one may be too costly to be indexed itself, but still looks things up).
+
+Sets that meet under a key are candidates. They are not paired all with all: first each with
+the one whose place is lowest, the most typical one, and the best such pair of each set is
+verified; only sets that are then in different components are paired. Verification compares bit signatures, which bound the
 difference from below, then the sets themselves.
 
 Equal sets are one class throughout. Sets are of 64-bit hashes of shingles, classes are
@@ -140,12 +150,13 @@ class Bands(NamedTuple):
         return low, 4 * low - 1
 
     def segments(self, band: int) -> int:
-        """The fewest segments of which, for any size in the band, more than H are certain to be
-        filled: the expected number of filled ones exceeds H by eight standard deviations."""
+        """The fewest segments, one for each shingle of the largest set at least, of which more
+        than H are certain to be filled for any size in the band: the expected number of filled
+        ones exceeds H by eight standard deviations."""
         low, high = self.ends(band)
         n = np.unique(np.linspace(low, high, 64).astype(np.int64))
         need = difference_most(n, self.percent, "larger") + 1
-        m = high / 4
+        m = float(high)
         while m <= 16 * high:
             load = n / m
             empty = np.exp(-load)
@@ -156,8 +167,13 @@ class Bands(NamedTuple):
         return 0
 
 
+# Layout of a place: whether an entry only looks up, whether its partition is the finest, the
+# rank of its segment by cost, the size of its set.
+_LOOKUP, _FINEST, _RANK, _SIZE = 1 << 61, 1 << 60, 30, (1 << 30) - 1
+
+
 class Index:
-    """Keys under which sets are indexed."""
+    """Keys and places under which sets are indexed and looked up."""
 
     def __init__(self, costs: np.ndarray, percent: int = LEAST_PERCENT):
         self.costs = costs
@@ -165,36 +181,46 @@ class Index:
         self.bands = Bands(percent)
         self.segments: dict[int, int] = {}
 
-    def keys(self, sets: Sets) -> tuple[np.ndarray, np.ndarray]:
-        """(row, key) of all sets; an empty set has none."""
+    def keys(self, sets: Sets) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, key, place) of all sets; an empty set has none."""
         n = np.diff(sets.begin)
-        rows = np.flatnonzero(n > 0)
+        cost = self.costs[sets.tokens >> _U(64 - _SKETCH_BITS)]
+        below = np.concatenate([[0], np.cumsum(cost == 0)])
+        rare = below[sets.begin[1:]] - below[sets.begin[:-1]]
         band = self.bands.of(n)
-        found = []
         smallest_partner = -(-self.percent * n // 100)
-        for shift, partner in ((0, "larger"), (1, "smaller")):
-            # A set meets partners in its own band and, if it may have any there, the band below.
-            own = rows if shift == 0 else rows[self.bands.of(smallest_partner[rows]) < band[rows]]
-            tiny = own[band[own] - shift == 0]
-            if len(tiny):
-                found.append(_neighbourhoods(sets, tiny, self.percent))
-            for b in np.unique(band[own[band[own] - shift > 0]]).tolist():
-                found.append(self._subsets(sets, own[band[own] == b], b - shift, partner))
-        if not found:
-            return np.empty(0, np.int64), np.empty(0, _U)
-        return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
-
-    def _subsets(self, sets: Sets, rows: np.ndarray, band: int, partner: str):
-        """Subsets in the cheapest H + 1 segments of each row."""
+        found = [_neighbourhoods(sets, np.flatnonzero((n > 0) & (smallest_partner <= _TINY)), self.percent)]
+        large = n > _TINY
+        costly = 2 * rare <= n
+        # Of a set similar to a costly one of at most its size, what is rare is in the rare half
+        # of that or beyond it.
+        rows = np.flatnonzero(large & (100 * rare <= (150 - self.percent) * n))
+        found.append(self._subsets(sets, cost, rows, costly[rows], None, ~costly[rows]))
+        # A similar set of at least its size has what is rare in a set that is not costly, but
+        # for what it may lack.
+        lacks = (100 - self.percent) / (100 + self.percent)
+        plain = large & (rare >= n * (self.percent / 100) * (0.5 - lacks) * 0.99)
+        for shift in (0, 1):
+            meets = plain if shift == 0 else plain & (self.bands.of(smallest_partner) < band)
+            for b in np.unique(band[meets]).tolist():
+                if b - shift > 0:
+                    rows = np.flatnonzero(meets & (band == b))
+                    lookup = costly[rows] if shift == 0 else np.ones(len(rows), bool)
+                    found.append(self._subsets(sets, cost, rows, ~lookup, b - shift, lookup))
+        return tuple(np.concatenate([f[k] for f in found]) for k in range(3))
+
+    def _subsets(self, sets: Sets, cost, rows, indexed, band: int | None, lookup):
+        """Subsets of the cheapest segments of each row; band None: the finest partition."""
+        if not len(rows):
+            return np.empty(0, np.int64), np.empty(0, _U), np.empty(0, np.int64)
         sizes = np.diff(sets.begin)[rows]
         at = np.repeat(sets.begin[rows] - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes) + np.arange(sizes.sum())
-        tokens = sets.tokens[at]
+        tokens, cost = sets.tokens[at], cost[at].astype(_U)
         row = np.repeat(np.arange(len(rows), dtype=np.uint64), sizes)
-        cost = self.costs[tokens >> _U(64 - _SKETCH_BITS)].astype(_U)
-        if band not in self.segments:
+        if band is not None and band not in self.segments:
             self.segments[band] = self.bands.segments(band)
-        m = self.segments[band]
-        salt = mix(np.array([band + 1], _U))[0]
+        m = 0 if band is None else self.segments[band]
+        salt = mix(np.array([0 if band is None else band + 1], _U))[0]
         if m == 0:
             subset = mix(tokens + salt)
         else:
@@ -212,16 +238,26 @@ class Index:
         row, subset = row[order].astype(np.int64), subset[order]
         count = np.bincount(row, minlength=len(rows))
         rank = np.arange(len(row)) - np.repeat(np.concatenate([[0], np.cumsum(count)[:-1]]), count)
-        most = difference_most(sizes, self.percent, "larger")
-        if partner == "smaller":
-            most = difference_most(sizes, self.percent, "smaller")
-        kept = rank <= most[row]
-        return rows[row[kept]], subset[kept]
+        if band is None:
+            # As the smaller of two sets it lacks at most what equal sizes allow; as the larger
+            # one, what the smallest partner allows.
+            as_index = np.where(indexed, sizes - shared_least(2 * sizes, self.percent), -1)
+            least = -(-self.percent * sizes // 100)
+            as_lookup = sizes - shared_least(sizes + least, self.percent)
+        else:
+            as_index = np.where(indexed, difference_most(sizes, self.percent, "larger"), -1)
+            as_lookup = difference_most(sizes, self.percent, "smaller")
+        kept = rank <= np.maximum(as_index, as_lookup)[row]
+        row, rank, subset = row[kept], rank[kept], subset[kept]
+        place = (rank << _RANK) | sizes[row] | np.where(rank > as_index[row], _LOOKUP, 0)
+        if band is None:
+            place |= _FINEST
+        return rows[row], subset, place
 
 
 def _neighbourhoods(sets: Sets, rows: np.ndarray, percent: int):
     """The whole set and, where a similar set may lack one token, the set without each."""
-    out_rows, out_keys = [], []
+    out_rows, out_keys, out_places = [], [], []
     for r in rows.tolist():
         values = mix(sets.of(r) ^ _SECOND)
         whole, n = values.sum(dtype=_U), len(values)
@@ -230,7 +266,16 @@ def _neighbourhoods(sets: Sets, rows: np.ndarray, percent: int):
             keys += list(whole - values + _U(n - 1))
         out_rows += [r] * len(keys)
         out_keys += keys
-    return np.array(out_rows, np.int64), mix(np.array(out_keys, _U))
+        out_places += [_FINEST | n | (0 if n <= _TINY else _LOOKUP)] * len(keys)
+    return np.array(out_rows, np.int64), mix(np.array(out_keys, _U)), np.array(out_places, np.int64)
+
+
+def _may_match(size, rank, other_size, other_rank, finest, percent):
+    """Whether an index entry and an entry of a set of at least its size need comparing."""
+    least = shared_least(size + other_size, percent)
+    most, other_most = size - least, other_size - least
+    most, other_most = np.where(finest, most, most + other_most), np.where(finest, other_most, most + other_most)
+    return (100 * size >= percent * other_size) & (rank <= most) & (other_rank <= other_most)
 
 
 def _census(docs: DataFrame) -> DataFrame:
@@ -290,58 +335,114 @@ def _costs(census: DataFrame) -> np.ndarray:
 
 
 def _shared(docs: DataFrame, index: Index) -> DataFrame:
-    """(key, hub, c): classes that meet under a key, hub the smallest of them, hub itself too."""
-    keyed = pa.schema([("key", pa.int64()), ("c", pa.int64())])
+    """(key, hub, c, place, star): entries that meet under a key with an index entry.
+
+    hub is the class of the index entry of lowest place; star tells whether it and c need
+    comparing. The hub has a row of its own.
+    """
+    keyed = pa.schema([("key", pa.int64()), ("place", pa.int64()), ("c", pa.int64())])
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for part in slices(batches, "text"):
             sets = shingle_sets(part.column("text"))
             h1, _ = classes(sets)
-            row, key = index.keys(sets)
+            row, key, place = index.keys(sets)
             new = np.zeros(part.num_rows, bool)
             for r, h in enumerate(h1.tolist()):  # a class is indexed once by a task
                 if h not in seen:
                     seen.add(h)
                     new[r] = True
             kept = new[row]
-            columns = [pa.array(key[kept].view(np.int64)), pa.array(h1[row[kept]])]
-            yield pa.RecordBatch.from_arrays(columns, schema=keyed)
+            columns = [key[kept].view(np.int64), place[kept], h1[row[kept]]]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=keyed)
 
-    met = pa.schema([("key", pa.int64()), ("hub", pa.int64()), ("c", pa.int64())])
+    met = pa.schema([
+        ("key", pa.int64()), ("hub", pa.int64()), ("c", pa.int64()), ("place", pa.int64()), ("star", pa.bool_()),
+    ])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last_key = last = hub = None  # of the row before; hub: first class of its key
-        hub_out = False
+        carried = None  # key, hub, place of the hub, last class and place, whether the hub is out
         for batch in batches:
-            key = batch.column("key").to_numpy()
-            c = batch.column("c").to_numpy()
+            key, place, c = (batch.column(k).to_numpy() for k in ("key", "place", "c"))
             if not len(key):
                 continue
-            fresh = np.concatenate([[key[0] != last_key], key[1:] != key[:-1]])
+            if carried is None or carried[0] != key[0]:
+                carried = (key[0], c[0], place[0], None, None, False)
+            fresh = np.concatenate([[False], key[1:] != key[:-1]])
+            run = np.cumsum(fresh)
             starts = np.flatnonzero(fresh)
-            run = np.cumsum(fresh)  # 0: goes on from the batch before
-            hubs = np.concatenate([[hub if hub is not None else 0], c[starts]])
-            hub_of = hubs[run]
-            changed = np.concatenate([[fresh[0] or c[0] != last], fresh[1:] | (c[1:] != c[:-1])])
-            other = np.flatnonzero(changed & (c != hub_of))
-            out_key, out_hub, out_c = key[other], hub_of[other], c[other]
-            # The hub's own row, once, with the first other class of its key.
+            hub = np.concatenate([[carried[1]], c[starts]])[run]
+            hub_place = np.concatenate([[carried[2]], place[starts]])[run]
+            # Copies of a class come from several tasks and follow each other.
+            again = np.zeros(len(key), bool)
+            again[0] = c[0] == carried[3] and place[0] == carried[4]
+            again[1:] = ~fresh[1:] & (c[1:] == c[:-1]) & (place[1:] == place[:-1])
+            other = np.flatnonzero(~again & (c != hub) & (hub_place < _LOOKUP))
+            size, rank = hub_place & _SIZE, (hub_place & (_FINEST - 1)) >> _RANK
+            own_size, own_rank = place & _SIZE, (place & (_FINEST - 1)) >> _RANK
+            finest = (place & _FINEST) > 0
+            larger = own_size >= size
+            star = np.where(
+                larger, _may_match(size, rank, own_size, own_rank, finest, index.percent),
+                (place < _LOOKUP) & _may_match(own_size, own_rank, size, rank, finest, index.percent),
+            )
             first = np.unique(run[other], return_index=True)
-            lead = first[1][(first[0] > 0) | (not hub_out)]
-            out_key = np.concatenate([out_key, out_key[lead]])
-            out_c = np.concatenate([out_c, out_hub[lead]])
-            out_hub = np.concatenate([out_hub, out_hub[lead]])
-            current = run[-1]
-            hub_out = bool((run[other] == current).any()) or (hub_out and current == 0)
-            last_key, last, hub = key[-1], c[-1], hub_of[-1]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (out_key, out_hub, out_c)], schema=met)
-
-    keys = docs.mapInArrow(emit, "key bigint, c bigint")
+            lead = other[first[1][(first[0] > 0) | (not carried[5])]]
+            out = [
+                np.concatenate([key[other], key[lead]]), np.concatenate([hub[other], hub[lead]]),
+                np.concatenate([c[other], hub[lead]]), np.concatenate([place[other], hub_place[lead]]),
+                np.concatenate([star[other], np.zeros(len(lead), bool)]),
+            ]
+            hub_out = bool((run[other] == run[-1]).any()) or (carried[5] and run[-1] == 0)
+            carried = (key[-1], hub[-1], hub_place[-1], c[-1], place[-1], hub_out)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], schema=met)
+
+    keys = docs.mapInArrow(emit, "key bigint, place bigint, c bigint")
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return keys.repartition(tasks, "key").sortWithinPartitions("key", "c").mapInArrow(
-        meet, "key bigint, hub bigint, c bigint"
+    return keys.repartition(tasks, "key").sortWithinPartitions("key", "place", "c").mapInArrow(
+        meet, "key bigint, hub bigint, c bigint, place bigint, star boolean"
+    )
+
+
+def _unconnected(shared: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of classes that need comparing and are in different components.
+
+    Only keys that hold several components are looked at, and in them only entries whose
+    place allows a partner as small as the smallest index entry there. Entries of two
+    components are then paired by the sizes and places they have.
+    """
+    place = F.col("place")
+    size = place.bitwiseAND(F.lit(_SIZE))
+    rank = F.shiftright(place.bitwiseAND(F.lit(_FINEST - 1)), _RANK)
+    finest = place.bitwiseAND(F.lit(_FINEST)) > 0
+    entries = shared.select(
+        "key", "c", size.alias("n"), rank.alias("rank"), finest.alias("finest"), (place < F.lit(_LOOKUP)).alias("index")
+    ).join(roots, "c")
+    keys = entries.groupBy("key").agg(
+        F.min("root").alias("x"), F.max("root").alias("y"),
+        F.min(F.when(F.col("index"), F.col("n"))).alias("least_n"),
+    ).filter("x <> y").select("key", "least_n")
+
+    def least(total):
+        return F.floor((percent * total + 99 + percent) / (100 + percent))
+
+    def most(own, total):
+        return F.when(F.col("finest"), own - least(total)).otherwise(total - 2 * least(total))
+
+    # The bound on the rank falls as the partner grows, from the smallest one possible.
+    smallest = F.greatest("least_n", F.ceil(percent * F.col("n") / 100))
+    able = F.col("index") | (F.col("rank") <= most(F.col("n"), F.col("n") + smallest))
+    entries = stored(entries.join(keys, "key").filter(able), "entries")
+    left = entries.filter("index").select("key", "finest", *[F.col(x).alias(f"{x}_a") for x in ("c", "n", "rank", "root")])
+    right = entries.select("key", *[F.col(x).alias(f"{x}_b") for x in ("c", "n", "rank", "root")])
+    total = F.col("n_a") + F.col("n_b")
+    pairs = left.join(right, "key").filter(
+        (F.col("root_a") != F.col("root_b")) & (F.col("n_b") >= F.col("n_a"))
+        & (F.col("n_a") * 100 >= F.col("n_b") * percent)
+        & (F.col("rank_a") <= most(F.col("n_a"), total)) & (F.col("rank_b") <= most(F.col("n_b"), total))
     )
+    return pairs.select(F.least("c_a", "c_b").alias("a"), F.greatest("c_a", "c_b").alias("b")).distinct()
 
 
 _SIDE = ("rep", "n", "h1", "h2", "bits")
@@ -430,9 +531,7 @@ def similar_documents(
     shared = stored(_shared(named, index), "shared")
 
     # The best pair of each class with the hub of a key.
-    stars = shared.filter("c <> hub").groupBy(F.col("hub").alias("a"), F.col("c").alias("b")).agg(
-        F.count(F.lit(1)).alias("keys")
-    ).select("a", "b")
+    stars = shared.filter("star").select(F.col("hub").alias("a"), F.col("c").alias("b")).distinct()
     plausible = _plausible(_sides(stars, kinds), percent)
     best = plausible.groupBy("h1_b", "h2_b", "rep_b").agg(
         F.min(F.struct("differing", "rep_a", "h1_a", "h2_a")).alias("x")
@@ -441,21 +540,10 @@ def similar_documents(
     roots = stored(components(links), "roots")
 
     # Classes that share a key and are not connected yet.
-    place = kinds.select("rep", F.col("h1").alias("c")).join(roots, F.col("rep") == F.col("node"), "left").select(
+    root_of = kinds.select("rep", F.col("h1").alias("c")).join(roots, F.col("rep") == F.col("node"), "left").select(
         "c", F.coalesce("root", "rep").alias("root")
     )
-    members = shared.select("key", "c").join(place, "c")
-    mixed = members.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y")
-    members = stored(members.join(mixed.select("key"), "key"), "members")
-    groups = members.select("key", "root").distinct()
-    across = groups.alias("l").join(groups.alias("r"), "key").filter("l.root < r.root").select(
-        "key", F.col("l.root").alias("x"), F.col("r.root").alias("y")
-    )
-    left = members.select("key", F.col("root").alias("x"), F.col("c").alias("a"))
-    right = members.select("key", F.col("root").alias("y"), F.col("c").alias("b"))
-    rest = across.join(left, ["key", "x"]).join(right, ["key", "y"]).select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
-    ).distinct()
+    rest = _unconnected(shared, root_of, percent)
     more = _verified(_plausible(_sides(rest, kinds), percent).drop("differing"), named, percent)
 
     # Copies hang on the first of their class.
