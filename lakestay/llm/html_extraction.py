@@ -249,7 +249,7 @@ def block_score(block: Block, has_article: bool) -> int:
 
 
 # Costs of a cut between two blocks: in the same zone, and beyond its border.
-_NEXT, _SIBLING, _BORDER = 60, 40, 5
+_NEXT, _SIBLING, _BORDER = 25, 25, 5
 
 
 def label(blocks: list[Block]) -> list[bool]:

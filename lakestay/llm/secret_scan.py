@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import math
 import re
-from bisect import bisect_left, bisect_right
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -114,7 +114,7 @@ class _Near:
         return k >= 0 and self._joined(self.spans[k].end, span.start)
 
     def _joined(self, a: int, b: int) -> bool:
-        return b - a <= REACH and bisect_right(self.breaks, a) == bisect_right(self.breaks, b)
+        return b - a <= REACH and bisect_left(self.breaks, a) == bisect_left(self.breaks, b)
 
 
 def _opaque(token: str) -> bool:

@@ -103,7 +103,9 @@ class Directory(NamedTuple):
         gap = np.maximum(np.maximum(d - self.far, self.near - d) - self.pivots.slack, 0)
         squares = (queries * queries).sum(1)[:, None] + self.pivots.square
         # The half sum of squares less the squared distance is the inner product.
-        return (squares - gap * gap) / 2 + 1e-9 * squares + 0.5
+        reach = (squares - gap * gap) / 2 + 1e-9 * squares + 0.5
+        # Of vectors too long for doubles nothing can be ruled out.
+        return np.where(np.isnan(reach), np.inf, reach)
 
     def first(self, reach: np.ndarray, rows: int = _FIRST_ROWS) -> np.ndarray:
         """Which annuli each query searches first: the best, until they hold enough rows."""
