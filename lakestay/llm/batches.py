@@ -15,7 +15,7 @@ ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 # Rows handed to Python at once; documents are long, so a batch is kept short.
 BATCH_ROWS = 100
 # Bytes of text worked on at once inside a task.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def prepare(spark: SparkSession) -> SparkSession:

@@ -16,7 +16,7 @@ from lakestay.llm.tokens import WORD_VOCABULARY, encoder
 SEQUENCE_TOKENS = 4096
 END_ID = 2
 # Tokens packed together: a group is about this long, or as long as its last slice of text.
-GROUP_TOKENS = 1 << 21
+GROUP_TOKENS = 1 << 20
 
 _PIECES = (
     "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, "

@@ -22,7 +22,7 @@ BYTE_VOCABULARY = "byte_bpe_50k.json"
 WORD_VOCABULARY = "word_bpe_49k.json"
 
 # Pieces a worker keeps; beyond it the store begins anew.
-KEPT_PIECES = 1 << 21
+KEPT_PIECES = 1 << 20
 _MARK = b"\x01"
 _SEGMENT = 1 << 16
 _SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -47,7 +47,7 @@ class _Store:
     """Ids of pieces by 64-bit key: an open-addressed table over one pool of ids."""
 
     def __init__(self):
-        self.slots = 4 * KEPT_PIECES
+        self.slots = 2 * KEPT_PIECES
         self.keys = np.zeros(self.slots, np.uint64)
         self.values = np.zeros(self.slots, np.int32)
         self.clear()

@@ -13,7 +13,7 @@ import pyarrow as pa
 
 from lakestay.llm.batches import as_bytes
 
-_STEP = 1 << 20
+_STEP = 1 << 18
 _BASE = 0x9E3779B97F4A7C15
 _WORD = np.uint64
 
@@ -55,7 +55,7 @@ class _Powers:
 
     def __call__(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if n > len(self.up):
-            size = max(n, 2 * _STEP)
+            size = max(n, _STEP + 4096)
             self.up, self.down = (
                 np.cumprod(np.concatenate([[_WORD(1)], np.full(size - 1, _WORD(base))]))
                 for base in (_BASE, pow(_BASE, -1, 1 << 64))
