@@ -26,10 +26,6 @@ MAX_DATE = "9999-12-31"
 MAX_REJECT_RATIO = 0.2
 MAX_REJECT_RATIO_RELAXED = 0.5
 
-# Text limits of an audit row.
-AUDIT_ERROR_CHARS = 1000
-AUDIT_DETAIL_CHARS = 5000
-
 # Landing sources: (file format, XML row tag, optional).
 SOURCE_FORMATS = {
     "bookings": (("csv", None, True), ("xml", "booking", True)),

@@ -30,14 +30,19 @@ def asof_join(
     """Left as-of join: per left row the right row of the same key with the greatest
     right_ts <= left_ts, or NULLs.
 
-    (on, right_ts) has to be unique on the right. cols maps right columns to
-    output names. A right side within the broadcast threshold becomes an
-    interval join without a shuffle of the left side; a larger one takes the
-    sliced form.
+    Of right rows with one key and moment the greatest counts, compared by the
+    columns of cols in their order, so that both forms give the same rows. cols
+    maps right columns to output names. A right side within the broadcast
+    threshold becomes an interval join without a shuffle of the left side; a
+    larger one takes the sliced form.
     """
-    if fits_broadcast(right):
-        return asof_join_interval(left, right, on, left_ts, right_ts, cols)
-    return asof_join_sliced(left, right, on, left_ts, right_ts, cols)
+    small = fits_broadcast(right)
+    one = right.groupBy(*on, right_ts).agg(F.max(F.struct(*cols)).alias("_one")).select(
+        *on, right_ts, *[F.col("_one")[c].alias(c) for c in cols]
+    )
+    if small:
+        return asof_join_interval(left, one, on, left_ts, right_ts, cols, small=True)
+    return asof_join_sliced(left, one, on, left_ts, right_ts, cols)
 
 
 def asof_join_interval(
@@ -47,11 +52,13 @@ def asof_join_interval(
     left_ts: str,
     right_ts: str,
     cols: Mapping[str, str],
+    small: bool = False,
 ) -> DataFrame:
     """The as-of join as an equi-join with a half-open interval.
 
     For a small right side, or few right rows per key: the work per left row
-    grows with the number of right rows of its key.
+    grows with the number of right rows of its key. small says that the right
+    side was found to fit a broadcast.
     """
     following = Window.partitionBy(*on).orderBy(right_ts)
     versions = right.withColumn("_to", F.lead(right_ts).over(following)).select(
@@ -60,6 +67,8 @@ def asof_join_interval(
         "_to",
         *[F.col(c).alias(f"_out_{name}") for c, name in cols.items()],
     )
+    if small:
+        versions = F.broadcast(versions)
     cond = [F.col(k) == F.col(f"_on_{k}") for k in on]
     cond.append(F.col(left_ts) >= F.col("_from"))
     cond.append(F.col("_to").isNull() | (F.col(left_ts) < F.col("_to")))
@@ -357,5 +366,5 @@ def preagg_join(
 
 def missing_refs(child: DataFrame, col: str, parent: DataFrame, parent_col: str) -> DataFrame:
     """Child rows whose non-NULL reference is not in the parent."""
-    known = parent.select(F.col(parent_col).alias("_known")).distinct()
+    known = parent.select(F.col(parent_col).alias("_known"))
     return child.filter(F.col(col).isNotNull()).join(known, F.col(col) == F.col("_known"), "left_anti")

@@ -124,10 +124,11 @@ def check_not_null(df: DataFrame, col: str) -> DataFrame:
 
 
 def check_unique(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Combinations that occur more than once; rows with a NULL among them do not count."""
+    """Values or combinations that occur more than once. A NULL alone does not count; in a
+    combination it is a value like others."""
+    counted = df.dropna(subset=list(cols)) if len(cols) == 1 else df
     return (
-        df.dropna(subset=list(cols))
-        .groupBy(*cols)
+        counted.groupBy(*cols)
         .agg(F.count(F.lit(1)).alias("n_rows"))
         .filter("n_rows > 1")
     )

@@ -37,7 +37,7 @@ def run_all(names: Iterable[str], job: Callable[[str], object]) -> tuple[dict, l
             results[name] = job(name)
         except Exception as error:  # noqa: BLE001
             log.error("%s failed: %s", name, error)
-            results[name] = {"error": str(error)[:300]}
+            results[name] = {"error": str(error)}
             failed.append(name)
     return results, failed
 
@@ -174,7 +174,11 @@ def run_day(
         try:
             done[name] = step()
         except Exception as error:
-            append_audit(spark, audit, run_id, date, name, started, error=str(error))
+            try:
+                append_audit(spark, audit, run_id, date, name, started, error=str(error))
+            except Exception:  # noqa: BLE001
+                # The step's own error is the one to raise.
+                log.exception("no audit row for %s", name)
             raise
         metric = row_metric.get(name)
         rows = sum(r[metric] for r in done[name].values()) if metric else 0

@@ -32,8 +32,10 @@ def fact_bookings(
         booked, dim_hotels, ("hotel_id", "hotel_id"), fv.BATCH_DATE,
         {"hotel_sk": "hotel_sk"}, {"hotel_sk": _unknown()},
     )
+    # An anonymous booking has an empty user, which is no key to join on.
     found = scd2_lookup(
-        found, dim_customers, ("user_id", "user_id"), fv.BATCH_DATE,
+        found.withColumn("_user", F.nullif("user_id", F.lit(""))),
+        dim_customers, ("_user", "user_id"), fv.BATCH_DATE,
         {"customer_sk": "customer_sk"}, {"customer_sk": _unknown()},
     )
     found = lookup(
@@ -145,9 +147,10 @@ def room_nights(stg_bookings: DataFrame, fx: DataFrame) -> DataFrame:
 def fact_hotel_inventory(stg_bookings: DataFrame, dim_hotels: DataFrame, fx: DataFrame) -> DataFrame:
     """Occupancy, average daily rate and revenue per available room of each night.
 
-    Capacity is that of the hotel version on the night itself. Rates stay in
-    full precision to the end; the inner rounding at 10 digits brings thirds
-    and sevenths back onto the cent they stand for.
+    Capacity is that of the hotel version on the night itself. Rates keep 12
+    digits to the end, operands being narrowed so that products and quotients
+    keep them too; the inner rounding at 10 digits brings thirds and sevenths
+    back onto the cent they stand for.
     """
     found = scd2_lookup(
         room_nights(stg_bookings, fx), dim_hotels, ("hotel_id", "hotel_id"), "stay_date",
@@ -163,6 +166,8 @@ def fact_hotel_inventory(stg_bookings: DataFrame, dim_hotels: DataFrame, fx: Dat
         F.greatest(rooms - booked, F.lit(0)).cast("int").alias("available_rooms"),
         F.round(F.lit(100.0) * booked / capacity, 2).alias("occupancy_rate"),
         cents(F.col("_adr")).alias("adr_usd"),
-        cents(F.col("_adr") * booked / capacity).alias("revpar_usd"),
+        cents(
+            F.col("_adr").cast("decimal(24,12)") * booked.cast("decimal(10,0)") / capacity.cast("decimal(10,0)")
+        ).alias("revpar_usd"),
         "stay_date",
     )

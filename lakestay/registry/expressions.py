@@ -224,7 +224,10 @@ def case_map(t):
     return t("clicks").select("event_id", labels.device_channel(F.col("device_type")).alias("channel_id"))
 
 
-KEY_SQL = "CAST(('0x' || substr(md5({text}), 1, 15)) AS BIGINT)"
+KEY_SQL = (
+    "(CAST(('0x' || substr(md5({text}), 1, 15)) AS BIGINT) * 8"
+    " + CAST(('0x' || substr(md5({text}), 16, 1)) AS BIGINT) // 2)"
+)
 
 
 @query("surrogate_key", f"""

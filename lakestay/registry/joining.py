@@ -52,7 +52,7 @@ def asof_join_union(t):
 @query("scd2_lookup", """
     WITH steps AS (SELECT user_id, event_type, day, event_type IS DISTINCT FROM lag(event_type) OVER (PARTITION BY user_id ORDER BY day) AS changed FROM user_days),
     dim AS (SELECT user_id, event_type AS version_type, day AS valid_from FROM steps WHERE changed)
-    SELECT e.event_id, d.version_type, COALESCE(CAST(('0x' || substr(md5(CAST(d.user_id AS VARCHAR) || '|' || CAST(d.valid_from AS VARCHAR)), 1, 15)) AS BIGINT), 0) AS sk
+    SELECT e.event_id, d.version_type, COALESCE(CAST(('0x' || substr(md5(CAST(d.user_id AS VARCHAR) || '|' || CAST(d.valid_from AS VARCHAR)), 1, 15)) AS BIGINT) * 8 + CAST(('0x' || substr(md5(CAST(d.user_id AS VARCHAR) || '|' || CAST(d.valid_from AS VARCHAR)), 16, 1)) AS BIGINT) // 2, 0) AS sk
     FROM (SELECT event_id, user_id + (event_id % 9) // 8 AS user_id, CAST(ts AS DATE) - CAST(event_id % 5 AS INTEGER) AS d0 FROM events) e
     ASOF LEFT JOIN dim d ON e.user_id = d.user_id AND e.d0 >= d.valid_from""", ("user_days",))
 def scd2_lookup(t):

@@ -43,7 +43,8 @@ def session_facts(t):
     return facts.fact_web_sessions(t("clicks"), t("bookings"), customer_dimension(t))
 
 
-SK = "CAST(('0x' || substr(md5({key} || '|' || CAST(valid_from AS VARCHAR)), 1, 15)) AS BIGINT)"
+_NAMED = "md5({key} || '|' || CAST(valid_from AS VARCHAR))"
+SK = f"(CAST(('0x' || substr({_NAMED}, 1, 15)) AS BIGINT) * 8 + CAST(('0x' || substr({_NAMED}, 16, 1)) AS BIGINT) // 2)"
 USD = """CASE WHEN {rate} <> 0 THEN CAST(CAST(
     (CAST({amount} * 100 AS HUGEINT) * 2000000 + CAST({rate} * 1000000 AS HUGEINT))
     // (2 * CAST({rate} * 1000000 AS HUGEINT)) AS DECIMAL(20,0)) / 100 AS DECIMAL(18,2)) END"""

@@ -18,8 +18,6 @@ SETTINGS = {
 }
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
-BROADCAST_LIMIT = "spark.sql.autoBroadcastJoinThreshold"
-PARTITION_SIZE = "spark.sql.files.maxPartitionBytes"
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -65,16 +63,13 @@ def plan_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def _conf_bytes(spark: SparkSession, key: str) -> int:
-    parse = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
-    return parse(spark.conf.get(key))
-
-
 def fits_broadcast(df: DataFrame) -> bool:
-    """True when the estimated size is within the session's broadcast threshold."""
-    return 0 < plan_bytes(df) <= _conf_bytes(df.sparkSession, BROADCAST_LIMIT)
+    """True when the estimated size is within the session's broadcast threshold; -1 turns it off."""
+    settings = df.sparkSession._jsparkSession.sessionState().conf()
+    return 0 < plan_bytes(df) <= settings.autoBroadcastJoinThreshold()
 
 
 def fits_partition(df: DataFrame) -> bool:
     """True when the estimated size is within one partition of a file scan."""
-    return plan_bytes(df) <= _conf_bytes(df.sparkSession, PARTITION_SIZE)
+    settings = df.sparkSession._jsparkSession.sessionState().conf()
+    return plan_bytes(df) <= settings.filesMaxPartitionBytes()

@@ -38,8 +38,8 @@ def audit_columns(
         F.coalesce(rows, F.lit(0)).cast("long").alias("rows_processed"),
         started_at.cast("timestamp").alias("started_at"),
         finished_at.cast("timestamp").alias("finished_at"),
-        F.substring(F.coalesce(error, F.lit("")), 1, fv.AUDIT_ERROR_CHARS).alias("error_message"),
-        F.substring(F.to_json(details), 1, fv.AUDIT_DETAIL_CHARS).alias("details"),
+        F.coalesce(error, F.lit("")).alias("error_message"),
+        F.to_json(details).alias("details"),
     ]
 
 
@@ -63,8 +63,8 @@ def append_audit(
         int(rows),
         started_at,
         dt.datetime.now(dt.timezone.utc).replace(tzinfo=None),
-        error[: fv.AUDIT_ERROR_CHARS],
-        json.dumps(details or {}, default=str)[: fv.AUDIT_DETAIL_CHARS],
+        error,
+        json.dumps(details or {}, default=str),
     )
     spark.createDataFrame([row], AUDIT_SCHEMA).coalesce(1).write.mode("append").parquet(table)
 
@@ -85,7 +85,9 @@ def lake_inventory(
     )
     if date:
         files = files.filter(F.col("path").contains(f"{fv.BATCH_DATE}={date}"))
-    first = F.regexp_extract("path", rf"\Q/{base.rsplit('/', 1)[-1]}/\E([^/]+)/", 1)
+    path = spark._jvm.org.apache.hadoop.fs.Path(base)
+    whole = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    first = F.regexp_extract(F.substring("path", len(whole) + 2, 1 << 20), "^([^/]+)/", 1)
     label = F.when(first.isin(*fv.LAYERS), first).otherwise("other")
     return files.groupBy(label.alias("layer")).agg(
         F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("n_bytes")
