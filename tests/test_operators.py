@@ -372,7 +372,7 @@ def test_run_all_isolates_failures():
 
     results, failed = run_all("abc", job)
     assert failed == ["b"] and results["a"] == "A" and results["c"] == "C"
-    assert len(results["b"]["error"]) == 300
+    assert len(results["b"]["error"]) == 500
 
 
 # ---- sinks ---------------------------------------------------------------------------
