@@ -13,23 +13,23 @@ from lakestay.plans import daily, silver
 from lakestay.plans.bronze import bronze_ingest
 from lakestay.sinks.audit import lake_inventory
 from lakestay.sources.readers import SOURCES, read_table
-from tests import showcase as sc
+from tests import landing as land
 
 
 @pytest.fixture(scope="module")
 def lake(spark, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("lake"))
-    sc.land_day1(root)
-    return root, daily.run_day(spark, root, sc.DAY1, "run1", max_ratio=0.5)
+    land.land_day1(root)
+    return root, daily.run_day(spark, root, land.DAY1, "run1", max_ratio=0.5)
 
 
 @pytest.fixture(scope="module")
 def lake2(spark, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("lake2"))
-    sc.land_day1(root)
-    sc.land_day2(root)
-    daily.run_day(spark, root, sc.DAY1, "run1", max_ratio=0.5)
-    daily.run_day(spark, root, sc.DAY2, "run2")
+    land.land_day1(root)
+    land.land_day2(root)
+    daily.run_day(spark, root, land.DAY1, "run1", max_ratio=0.5)
+    daily.run_day(spark, root, land.DAY2, "run2")
     return root
 
 
@@ -43,21 +43,27 @@ def rows(df, *cols):
 
 def test_silver_counts_and_reasons(lake):
     _, done = lake
-    assert done["bronze"]["bookings"] == {"bronze_rows": 10, "rejected_rows": 0}
+    assert done["bronze"]["bookings"] == {"bronze_rows": 11, "rejected_rows": 0}
     assert done["silver"]["bookings"] == {
-        "bronze_rows": 10, "silver_rows": 6, "duplicates": 1, "dq_invalid": 3,
-        "dq_reasons": {"NON_POSITIVE_NIGHTS": 1, "MISSING_BOOKING_ID": 1, "INVALID_AMOUNT": 1},
+        "bronze_rows": 11, "silver_rows": 6, "duplicates": 1, "dq_invalid": 4,
+        "dq_reasons": {"MISSING_HOTEL_ID": 1, "INVALID_AMOUNT": 1, "MISSING_CURRENCY": 1, "NON_POSITIVE_NIGHTS": 1},
     }
-    assert done["silver"]["hotels"]["dq_reasons"] == {"INVALID_STAR_RATING": 1, "INVALID_TOTAL_ROOMS": 1}
-    assert [done["silver"][n]["silver_rows"] for n in ("hotels", "customers", "payments", "clickstream")] == [3, 4, 5, 5]
+    assert done["silver"]["hotels"]["dq_reasons"] == {
+        "MISSING_HOTEL_NAME": 1, "INVALID_STAR_RATING": 1, "INVALID_TOTAL_ROOMS": 1,
+    }
+    assert done["silver"]["payments"]["dq_reasons"] == {"MISSING_BOOKING_ID": 1, "INVALID_PROCESSED_AT": 1}
+    assert [done["silver"][n]["silver_rows"] for n in ("hotels", "customers", "payments", "clickstream")] == [3, 4, 5, 7]
 
 
 def test_quarantine(spark, lake):
     root, _ = lake
     kept = read_table(spark, f"{root}/quarantine/bookings")
-    assert rows(kept.fillna("", ["booking_id"]), "booking_id", "_dq_reason") == [
-        ("", "MISSING_BOOKING_ID"), ("BK-003", "DUPLICATE_KEY"),
-        ("BK-004", "NON_POSITIVE_NIGHTS"), ("BK-008", "INVALID_AMOUNT"),
+    assert rows(kept, "booking_id", "_dq_reason") == [
+        ("R10", "INVALID_AMOUNT"), ("R3", "DUPLICATE_KEY"), ("R4", "MISSING_HOTEL_ID"),
+        ("R6", "MISSING_CURRENCY"), ("R8", "NON_POSITIVE_NIGHTS"),
+    ]
+    assert rows(read_table(spark, f"{root}/quarantine/clickstream"), "event_id", "_dq_reason") == [
+        ("E8", "MISSING_SESSION_ID"),
     ]
     assert {c for c in read_table(spark, f"{root}/silver/customers").columns} & {"full_name", "email", "phone"} == set()
 
@@ -66,91 +72,93 @@ def test_breaker(spark, lake):
     root, _ = lake
     before = read_table(spark, f"{root}/silver/bookings").inputFiles()
     with pytest.raises(BreakerTripped):
-        silver.cleanse(spark, root, "bookings", sc.DAY1)
+        silver.cleanse(spark, root, "bookings", land.DAY1)
     assert read_table(spark, f"{root}/silver/bookings").inputFiles() == before
     with pytest.raises(BreakerTripped):
-        silver.cleanse(spark, root, "hotels", sc.DAY1)
+        silver.cleanse(spark, root, "hotels", land.DAY1)
     # Exactly at the limit passes.
-    assert silver.cleanse(spark, root, "customers", sc.DAY1)["dq_invalid"] == 1
+    assert silver.cleanse(spark, root, "customers", land.DAY1)["dq_invalid"] == 1
 
 
 def test_fact_bookings(spark, lake):
     root, _ = lake
     fact = table(spark, root, "fact_bookings")
-    channels = {1: "Web", 2: "Mobile App", 3: "Partner API"}
-    got = [(i, a, channels[c]) for i, a, c in rows(fact, "booking_id", "amount_usd", "channel_id")]
-    assert got == [
-        ("BK-001", D("1000.00"), "Mobile App"), ("BK-002", D("1000.00"), "Web"),
-        ("BK-003", D("350.00"), "Web"), ("BK-005", D("2000.00"), "Partner API"),
-        ("BK-006", D("500.00"), "Web"), ("BK-007", D("1000.00"), "Mobile App"),
+    assert rows(fact, "booking_id", "amount_usd", "channel_id", "booking_status") == [
+        ("R1", D("200.00"), 1, "CONFIRMED"), ("R2", D("300.00"), 3, "CANCELLED"), ("R3", D("50.00"), 2, "CONFIRMED"),
+        ("R5", D("64.52"), 2, "NO_SHOW"), ("R7", D("320.00"), 2, "CONFIRMED"), ("R9", D("40.00"), 1, "CONFIRMED"),
     ]
-    assert fact.filter("hotel_sk = 0 or customer_sk = 0").count() == 0
+    assert fact.filter("hotel_sk = 0").count() == 0
+    # Nobody is known to have made R5.
+    assert rows(fact.filter("customer_sk = 0"), "booking_id") == [("R5",)]
 
 
 def test_fact_payments(spark, lake):
     root, _ = lake
     fact = table(spark, root, "fact_payments")
     assert rows(fact, "payment_id", "amount_usd", "refund_amount_usd", "is_refunded", "is_orphan") == [
-        ("PAY-001", D("960.78"), D("0.00"), False, False),
-        ("PAY-002", D("1000.00"), D("0.00"), False, False),
-        ("PAY-003", D("350.00"), D("0.00"), False, False),
-        ("PAY-004", D("2000.00"), D("0.00"), False, False),
-        ("PAY-005", D("500.00"), D("500.00"), False, False),
+        ("P1", D("200.00"), D("0.00"), False, False),
+        ("P2", D("300.00"), D("150.00"), True, False),
+        ("P3", D("50.00"), D("0.00"), False, False),
+        ("P4", D("10.00"), D("0.00"), False, True),
+        ("P7", D("40.00"), D("4.00"), False, False),
     ]
 
 
 def test_sessions(spark, lake):
     root, _ = lake
     fact = table(spark, root, "fact_web_sessions")
+    day = dt.date(2026, 6, 30)
     assert rows(
-        fact, "session_id", "device_type", "channel_id", "total_events", "page_views",
-        "search_count", "session_duration_sec", "converted", "_batch_date",
+        fact, "session_id", "device_type", "channel_id", "total_events", "page_views", "search_count",
+        "hotels_viewed", "session_duration_sec", "converted", "booking_id", "_batch_date",
     ) == [
-        ("SES-001", "mobile", 2, 2, 1, 0, 900, False, dt.date(2026, 10, 1)),
-        ("SES-002", "desktop", 1, 2, 0, 1, 600, False, dt.date(2026, 10, 1)),
-        ("SES-003", "tablet", 2, 1, 1, 0, 0, False, dt.date(2026, 10, 1)),
+        ("S1", "desktop", 1, 4, 1, 1, 1, 870, True, "R1", day),
+        ("S2", "tablet", 2, 2, 1, 0, 1, 45, False, None, day),
+        ("S3", "kiosk", 4, 1, 1, 0, 0, 0, False, None, day),
     ]
+    assert fact.filter("customer_sk = 0").count() == 0
 
 
 def test_inventory(spark, lake):
     root, _ = lake
     fact = table(spark, root, "fact_hotel_inventory")
-    assert fact.count() == 17
-    # The dimension starts with the batch, after these nights.
-    assert rows(fact.distinct(), "hotel_sk", "total_rooms", "occupancy_rate")[0] == (0, 0, 100.0)
-    rates = rows(fact.filter("adr_usd = revpar_usd"), "stay_date", "room_type", "adr_usd")
-    assert len(rates) == 17
-    by_room = {}
-    for day, room, rate in rates:
-        by_room.setdefault((room, day.month), set()).add(rate)
-    # Rates of the batch date: 24,500,000 VND are 960.78 USD, 240.195 a night.
-    assert by_room == {
-        ("Deluxe", 5): {D("240.20")}, ("Suite", 8): {D("333.33")}, ("Standard", 9): {D("87.50")},
-        ("Deluxe", 9): {D("666.67")}, ("Executive", 9): {D("333.33")},
-    }
+    assert rows(
+        fact, "stay_date", "room_type", "total_rooms", "booked_rooms", "available_rooms",
+        "occupancy_rate", "adr_usd", "revpar_usd",
+    ) == [
+        # Before the first version of the hotel.
+        (dt.date(2026, 6, 20), "Twin", 0, 1, 0, 100.0, D("20.00"), D("20.00")),
+        (dt.date(2026, 6, 21), "Twin", 0, 1, 0, 100.0, D("20.00"), D("20.00")),
+        (dt.date(2026, 7, 4), "Loft", 120, 1, 119, 0.83, D("100.00"), D("0.83")),
+        # 100 and 106 2/3 on one night.
+        (dt.date(2026, 7, 5), "Loft", 120, 2, 118, 1.67, D("103.33"), D("1.72")),
+        (dt.date(2026, 7, 6), "Loft", 120, 1, 119, 0.83, D("106.67"), D("0.89")),
+        (dt.date(2026, 7, 7), "Loft", 120, 1, 119, 0.83, D("106.67"), D("0.89")),
+        (dt.date(2026, 7, 10), "Dorm", 25, 1, 24, 4.0, D("50.00"), D("2.00")),
+    ]
+    assert {r[0] for r in rows(fact.filter("total_rooms = 0"), "hotel_sk")} == {0}
 
 
 def test_reports(spark, lake):
     root, _ = lake
-    daily_revenue = table(spark, root, "rpt_daily_revenue")
     assert rows(
-        daily_revenue, "country", "hotel_tier", "channel_name", "total_bookings", "cancelled_bookings",
-        "confirmed_revenue_usd", "avg_nights", "cancellation_rate_pct",
+        table(spark, root, "rpt_daily_revenue"), "country", "hotel_tier", "channel_name", "total_bookings",
+        "cancelled_bookings", "confirmed_revenue_usd", "avg_nights", "cancellation_rate_pct",
     ) == [
-        ("SG", "luxury", "Mobile App", 1, 0, D("1000.00"), 3.0, 0.0),
-        ("TH", "boutique", "Partner API", 1, 0, D("2000.00"), 3.0, 0.0),
-        ("TH", "boutique", "Web", 1, 0, D("350.00"), 4.0, 0.0),
-        ("VN", "luxury", "Mobile App", 1, 0, D("1000.00"), 4.0, 0.0),
-        ("VN", "luxury", "Web", 2, 1, D("1000.00"), 2.5, 50.0),
+        ("ID", "economy", "Mobile App", 2, 0, D("50.00"), 2.0, 0.0),
+        ("SG", "upscale", "Mobile App", 1, 0, D("320.00"), 3.0, 0.0),
+        ("SG", "upscale", "Web", 1, 0, D("200.00"), 2.0, 0.0),
+        ("VN", "midscale", "Partner API", 1, 1, None, 3.0, 100.0),
+        ("VN", "midscale", "Web", 1, 0, D("40.00"), 2.0, 0.0),
     ]
-    performance = table(spark, root, "rpt_hotel_performance")
+    # A refund counts where the payment is refunded, so not that of P7.
     assert rows(
-        performance, "hotel_id", "total_bookings", "cancelled_bookings", "total_revenue_usd",
-        "avg_stay_nights", "cancellation_rate_pct", "total_payments_usd", "total_refunds_usd",
+        table(spark, root, "rpt_hotel_performance"), "hotel_id", "total_bookings", "cancelled_bookings",
+        "total_revenue_usd", "avg_stay_nights", "cancellation_rate_pct", "total_payments_usd", "total_refunds_usd",
     ) == [
-        ("HTL-001", 3, 1, D("2000.00"), 3.0, 33.33, D("2460.78"), D("0.00")),
-        ("HTL-002", 2, 0, D("2350.00"), 3.5, 0.0, D("2350.00"), D("0.00")),
-        ("HTL-003", 1, 0, D("1000.00"), 3.0, 0.0, D("0.00"), D("0.00")),
+        ("H10", 2, 1, D("40.00"), 2.5, 50.0, D("40.00"), D("150.00")),
+        ("H20", 2, 0, D("50.00"), 2.0, 0.0, D("50.00"), D("0.00")),
+        ("H30", 2, 0, D("520.00"), 2.5, 0.0, D("200.00"), D("0.00")),
     ]
 
 
@@ -158,7 +166,7 @@ def test_audit_and_inventory(spark, lake):
     root, _ = lake
     audit = table(spark, root, "run_audit")
     assert audit.filter("status = 'SUCCESS'").count() == 7
-    assert audit.filter("step_name = 'bronze'").first()["rows_processed"] == 31
+    assert audit.filter("step_name = 'bronze'").first()["rows_processed"] == 37
     found = {r["layer"]: (r["n_files"], r["n_bytes"]) for r in lake_inventory(spark, root).collect()}
     want = {}
     for folder, _, files in os.walk(root):
@@ -177,38 +185,55 @@ def test_audit_and_inventory(spark, lake):
 
 
 def test_second_day(spark, lake2):
-    hotels = table(spark, lake2, "dim_hotels")
-    assert rows(hotels.filter("hotel_sk <> 0"), "hotel_id", "hotel_tier", "valid_to", "is_current") == [
-        ("HTL-001", "luxury", dt.date(2026, 10, 1), False),
-        ("HTL-001", "ultra", dt.date(9999, 12, 31), True),
-        ("HTL-002", "boutique", dt.date(9999, 12, 31), True),
-        ("HTL-003", "luxury", dt.date(9999, 12, 31), True),
+    hotels = table(spark, lake2, "dim_hotels").filter("hotel_sk <> 0")
+    always = dt.date(9999, 12, 31)
+    assert rows(hotels, "hotel_id", "total_rooms", "valid_from", "valid_to", "is_current") == [
+        ("H10", 40, dt.date(2026, 6, 30), dt.date(2026, 6, 30), False),
+        ("H10", 44, dt.date(2026, 7, 1), always, True),
+        ("H20", 25, dt.date(2026, 6, 30), always, True),
+        ("H30", 120, dt.date(2026, 6, 30), always, True),
+        ("H70", 60, dt.date(2026, 7, 1), always, True),
     ]
     customers = table(spark, lake2, "dim_customers").filter("customer_sk <> 0")
-    assert customers.groupBy("user_id").count().filter("count = 2").first()["user_id"] == "USR-002"
+    assert rows(customers.filter("not is_current"), "user_id", "loyalty_tier") == [("C2", "Red")]
+    assert rows(customers.filter("is_current"), "user_id") == [("C1",), ("C2",), ("C3",), ("C4",), ("C5",)]
+
     fact = table(spark, lake2, "fact_bookings")
+    day2 = dt.date(2026, 7, 1)
+    assert rows(fact.filter(F.col("_batch_date") == day2), "booking_id", "is_cancelled", "channel_id") == [
+        ("R11", False, 1), ("R12", False, 4), ("R7", True, 2),
+    ]
     assert fact.count() == fact.select("booking_id").distinct().count() == 8
-    assert fact.filter("booking_id = 'BK-002'").first()["_batch_date"] == dt.date(2026, 10, 2)
-    assert fact.filter("booking_id = 'BK-010'").select("amount_usd", "channel_id").first() == (None, 4)
+    # No rate for euros; the rates of the booking day for R7.
+    amounts = dict(rows(fact.filter("booking_id in ('R7', 'R11', 'R12')"), "booking_id", "amount_usd"))
+    assert amounts == {"R7": D("320.00"), "R11": D("100.00"), "R12": None}
+
     sessions = {r["session_id"]: r for r in table(spark, lake2, "fact_web_sessions").collect()}
-    assert len(sessions) == 4
-    assert sessions["SES-003"]["total_events"] == 2 and sessions["SES-003"]["converted"]
-    assert sessions["SES-003"]["booking_id"] == "BK-009"
-    assert sessions["SES-004"]["customer_sk"] == 0 and sessions["SES-004"]["hotels_viewed"] == 1
-    assert sessions["SES-004"]["channel_id"] == 4
-    payments = {r["payment_id"]: r for r in table(spark, lake2, "fact_payments").collect()}
-    assert payments["PAY-008"]["is_orphan"] and payments["PAY-008"]["hotel_sk"] == 0
-    assert payments["PAY-002"]["is_refunded"] and payments["PAY-002"]["refund_amount_usd"] == D("1000.00")
+    assert sorted(sessions) == ["S1", "S2", "S3", "S4"]
+    later = sessions["S3"]
+    assert (later["total_events"], later["converted"], later["booking_id"], later["_batch_date"]) == (2, True, "R11", day2)
+    anonymous = sessions["S4"]
+    assert (anonymous["customer_sk"], anonymous["hotels_viewed"], anonymous["channel_id"]) == (0, 1, 4)
+
+    payments = table(spark, lake2, "fact_payments")
+    # The second day has 16,000 IDR and 25,500 VND to the dollar.
+    assert rows(payments.filter(F.col("_batch_date") == day2), "payment_id", "amount_usd", "refund_amount_usd", "is_orphan") == [
+        ("P3", D("48.44"), D("48.44"), False), ("P8", D("100.00"), D("0.00"), False), ("P9", D("1.00"), D("0.00"), True),
+    ]
+
     inventory = table(spark, lake2, "fact_hotel_inventory").filter("hotel_sk <> 0")
-    # Two bookings on the first night, one of them without a rate.
     assert rows(inventory, "stay_date", "booked_rooms", "available_rooms", "occupancy_rate", "adr_usd", "revpar_usd") == [
-        (dt.date(2026, 10, 5), 2, 148, 1.33, D("100.00"), D("1.33")),
-        (dt.date(2026, 10, 6), 1, 149, 0.67, D("100.00"), D("0.67")),
+        (dt.date(2026, 7, 4), 1, 119, 0.83, D("100.00"), D("0.83")),
+        (dt.date(2026, 7, 5), 1, 119, 0.83, D("100.00"), D("0.83")),
+        (dt.date(2026, 7, 10), 1, 24, 4.0, D("50.00"), D("2.00")),
+        # R11 and R12, the latter without a rate.
+        (dt.date(2026, 7, 20), 2, 58, 3.33, D("50.00"), D("1.67")),
+        (dt.date(2026, 7, 21), 1, 59, 1.67, D("50.00"), D("0.83")),
     ]
     performance = {r["hotel_id"]: r for r in table(spark, lake2, "rpt_hotel_performance").collect()}
-    assert performance["HTL-001"]["total_bookings"] == 5
-    assert performance["HTL-001"]["hotel_tier"] == "ultra"
-    assert performance["HTL-001"]["total_refunds_usd"] == D("1000.00")
+    assert [(h, performance[h]["total_bookings"], performance[h]["total_refunds_usd"]) for h in sorted(performance)] == [
+        ("H10", 2, D("150.00")), ("H20", 2, D("48.44")), ("H30", 2, D("0.00")), ("H70", 2, D("0.00")),
+    ]
 
 
 def test_rerun_and_backfill(spark, lake2):
@@ -220,46 +245,46 @@ def test_rerun_and_backfill(spark, lake2):
         n: sorted(map(str, table(spark, lake2, n).collect())) for n in names
     }
     before = state()
-    daily.run_day(spark, lake2, sc.DAY2, "rerun")
+    daily.run_day(spark, lake2, land.DAY2, "rerun")
     assert state() == before
-    daily.run_day(spark, lake2, sc.DAY1, "backfill", max_ratio=0.5)
+    daily.run_day(spark, lake2, land.DAY1, "backfill", max_ratio=0.5)
     assert state() == before
 
 
 def test_failures_are_isolated(spark, tmp_path):
     root = str(tmp_path)
-    sc.land_day1(root)
-    sc.put(root, "payments", sc.DAY1, "payments.csv", "payment_id,amount\nP1,1\n")
+    land.land_day1(root)
+    land.put(root, "payments", land.DAY1, "payments.csv", "payment_id,amount\nP1,1\n")
     with pytest.raises(daily.StepFailed, match="missing columns"):
-        daily.run_day(spark, root, sc.DAY1, "bad", max_ratio=0.5)
-    assert read_table(spark, f"{root}/bronze/clickstream").count() == 5
+        daily.run_day(spark, root, land.DAY1, "bad", max_ratio=0.5)
+    assert read_table(spark, f"{root}/bronze/clickstream").count() == 8
     audit = table(spark, root, "run_audit").collect()
     assert [(r["step_name"], r["status"]) for r in audit] == [("bronze", "FAILED")]
 
 
 def test_malformed_records(spark, tmp_path):
     root = str(tmp_path)
-    lines = sc.PAYMENTS_CSV.splitlines()
-    sc.put(root, "payments", sc.DAY1, "p.csv", "\n".join([*lines, "PAY-009,BK-1", lines[1] + ",x", '"open,quote']) + "\n")
-    assert bronze_ingest(spark, SOURCES["payments"], root, sc.DAY1, "r") == {"bronze_rows": 6, "rejected_rows": 3}
+    lines = land.PAYMENTS_CSV.splitlines()
+    land.put(root, "payments", land.DAY1, "p.csv", "\n".join([*lines, "P10,R1", lines[1] + ",x", '"open,quote']) + "\n")
+    assert bronze_ingest(spark, SOURCES["payments"], root, land.DAY1, "r") == {"bronze_rows": 7, "rejected_rows": 3}
     # A rerun with repaired files clears the rejected rows.
-    sc.put(root, "payments", sc.DAY1, "p.csv", sc.PAYMENTS_CSV)
-    assert bronze_ingest(spark, SOURCES["payments"], root, sc.DAY1, "r") == {"bronze_rows": 6, "rejected_rows": 0}
-
-    text = sc.xml("hotels", "hotel", sc.HOTEL_FIELDS, sc.HOTELS[:3]).replace("Riverside Hotel", "R & <")
-    sc.put(root, "hotels", sc.DAY1, "h.xml", text)
-    assert bronze_ingest(spark, SOURCES["hotels"], root, sc.DAY1, "r") == {"bronze_rows": 2, "rejected_rows": 1}
-    nested = sc.xml("hotels", "hotel", (*sc.HOTEL_FIELDS, "extra"), [(*sc.HOTELS[0], "<a>1</a><b>x</b>")])
-    sc.put(root, "hotels", sc.DAY1, "h.xml", nested)
-    assert bronze_ingest(spark, SOURCES["hotels"], root, sc.DAY1, "r")["bronze_rows"] == 1
+    land.put(root, "payments", land.DAY1, "p.csv", land.PAYMENTS_CSV)
+    assert bronze_ingest(spark, SOURCES["payments"], root, land.DAY1, "r") == {"bronze_rows": 7, "rejected_rows": 0}
+
+    text = land.xml("hotels", "hotel", land.HOTEL_FIELDS, land.HOTELS[:3]).replace("Merapi View", "R & <")
+    land.put(root, "hotels", land.DAY1, "h.xml", text)
+    assert bronze_ingest(spark, SOURCES["hotels"], root, land.DAY1, "r") == {"bronze_rows": 2, "rejected_rows": 1}
+    nested = land.xml("hotels", "hotel", (*land.HOTEL_FIELDS, "extra"), [(*land.HOTELS[0], "<a>1</a><b>x</b>")])
+    land.put(root, "hotels", land.DAY1, "h.xml", nested)
+    assert bronze_ingest(spark, SOURCES["hotels"], root, land.DAY1, "r")["bronze_rows"] == 1
     kept = read_table(spark, f"{root}/bronze/hotels").select("extra", "_source_format", "_run_id").first()
     assert tuple(kept) == ('{"a":"1","b":"x"}', "xml", "r")
 
 
 def test_missing_input(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
-        bronze_ingest(spark, SOURCES["hotels"], str(tmp_path), sc.DAY1, "r")
+        bronze_ingest(spark, SOURCES["hotels"], str(tmp_path), land.DAY1, "r")
     with pytest.raises(FileNotFoundError):
-        bronze_ingest(spark, SOURCES["bookings"], str(tmp_path), sc.DAY1, "r")
+        bronze_ingest(spark, SOURCES["bookings"], str(tmp_path), land.DAY1, "r")
     with pytest.raises(FileNotFoundError):
-        silver.cleanse(spark, str(tmp_path), "bookings", sc.DAY1)
+        silver.cleanse(spark, str(tmp_path), "bookings", land.DAY1)

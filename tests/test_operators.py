@@ -41,7 +41,7 @@ def one(spark, expr, **values):
 
 
 @pytest.mark.parametrize("text, want", [
-    (" 24,500,000 VND ", D("24500000.00")), ("$25,500,000.00", D("25500000.00")), ("350.00", D("350.00")),
+    (" 1,234,567 IDR ", D("1234567.00")), ("S$8,800.50", D("8800.50")), ("61.20", D("61.20")),
     ("-12.50", D("12.50")), ("1.234,56", D("1.23")), ("FREE", None), ("1.2.3", None), (".", None), ("", None),
     (None, None), ("99999999999999999", None), ("0.005", D("0.01")),
 ])
@@ -107,7 +107,7 @@ def test_usd(spark):
     def usd(amount, rate):
         return one(spark, keys.to_usd(F.col("a").cast("decimal(15,2)"), F.col("r").cast("decimal(18,6)")), a=amount, r=rate)
 
-    assert usd("24500000.00", "25500") == D("960.78")
+    assert usd("1000000.00", "15500") == D("64.52")
     assert usd("0.01", "2") == D("0.01")  # half up
     assert usd("1.00", "0") is None and usd("1.00", None) is None and usd(None, "1") is None
 
