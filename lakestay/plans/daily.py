@@ -7,20 +7,21 @@ import logging
 import uuid
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lakestay import fixed_values as fv
 from lakestay.operators.quality import check_report
 from lakestay.plans import checks, dimensions, facts, reports, staging
 from lakestay.plans.bronze import bronze_ingest
 from lakestay.plans.silver import cleanse
-from lakestay.session import configure
+from lakestay.session import configure, work_folders
 from lakestay.sinks.audit import append_audit
 from lakestay.sinks.batches import refresh
 from lakestay.sinks.staging import publish_staging
 from lakestay.sinks.upsert import upsert
 from lakestay.sources import seeds
-from lakestay.sources.readers import SOURCES, read_layer, read_table
+from lakestay.sources.readers import SOURCES, path_exists, read_layer, read_table
 
 log = logging.getLogger(__name__)
 
@@ -61,45 +62,65 @@ def load_staging(spark: SparkSession, root: str, name: str, date: str) -> int:
 
 def build_dimensions(spark: SparkSession, root: str) -> None:
     views = {n: staging.staging_view(n, read_table(spark, staging_table(root, n))) for n in ("hotels", "customers")}
-    refresh(dimensions.dim_hotels(views["hotels"]), analytics_table(root, "dim_hotels"))
-    refresh(dimensions.dim_customers(views["customers"]), analytics_table(root, "dim_customers"))
+    refresh(dimensions.dim_hotels(views["hotels"]), analytics_table(root, "dim_hotels"), ["hotel_id", "valid_from"])
+    refresh(dimensions.dim_customers(views["customers"]), analytics_table(root, "dim_customers"), ["user_id", "valid_from"])
     refresh(seeds.dim_channels(spark), analytics_table(root, "dim_channels"))
     refresh(seeds.dim_geography(spark), analytics_table(root, "dim_geography"))
     refresh(seeds.dim_dates(spark), analytics_table(root, "dim_dates"))
 
 
+def build_sessions(spark: SparkSession, root: str, date: str, customers: DataFrame) -> list[str]:
+    """Upsert the sessions a batch touches; all sessions while there is no table of them.
+
+    The events are stored, as they are used twice and tell which batches of
+    bookings can hold what a session led to.
+    """
+    target = analytics_table(root, "fact_web_sessions")
+    clicks, booked = (read_table(spark, staging_table(root, n)) for n in ("clickstream", "bookings"))
+    if path_exists(spark, target):
+        events = facts.touched_sessions(staging.staging_sessions(clicks, date), date)
+    else:
+        events = staging.stg_clickstream(clicks)
+    with work_folders(spark, "session-events") as (folder,):
+        events.write.parquet(folder)
+        events = spark.read.parquet(folder)
+        completed = events.filter(F.col("event_type") == "booking_complete")
+        days = [r[0] for r in completed.select(fv.BATCH_DATE).distinct().collect()]
+        # A batch is as good as any other where no session led to a booking.
+        since = min(days, default=dt.date.fromisoformat(date))
+        bookings = staging.stg_bookings(booked.filter(F.col(fv.BATCH_DATE) >= F.lit(since)))
+        bookings = bookings.filter(F.col(fv.BATCH_DATE).isin(days or [since]))
+        sessions = facts.fact_web_sessions(events, bookings, customers)
+        return upsert(sessions, target, ["session_id"], ["session_date_id", "session_id"])
+
+
 def build_facts(spark: SparkSession, root: str, date: str) -> dict[str, list[str]]:
     """Upsert the day's bookings, payments and sessions; rebuild the room nights,
-    to which many batches contribute."""
-    raw = {n: read_table(spark, staging_table(root, n)) for n in ("bookings", "payments", "clickstream")}
+    to which many batches contribute. A fact that has no table yet gets all batches."""
     table = lambda name: read_table(spark, analytics_table(root, name))
     fx = seeds.fx_rates(spark)
     hotels, customers, channels = table("dim_hotels"), table("dim_customers"), table("dim_channels")
 
+    def batch(name):
+        exists = path_exists(spark, analytics_table(root, f"fact_{name}"))
+        return staging.staging_batch(name, read_table(spark, staging_table(root, name)), date, exists)
+
     days = {}
-    bookings = facts.fact_bookings(
-        staging.staging_batch("bookings", raw["bookings"], date), hotels, customers, channels, fx
-    )
+    bookings = facts.fact_bookings(batch("bookings"), hotels, customers, channels, fx)
     days["fact_bookings"] = upsert(
         bookings, analytics_table(root, "fact_bookings"), ["booking_id"],
-        ["hotel_sk", "checkin_date_id"],
-    )
-    payments = facts.fact_payments(
-        staging.staging_batch("payments", raw["payments"], date), table("fact_bookings"), fx
+        ["hotel_sk", "checkin_date_id", "booking_id"],
     )
+    payments = facts.fact_payments(batch("payments"), table("fact_bookings"), fx)
     days["fact_payments"] = upsert(
         payments, analytics_table(root, "fact_payments"), ["payment_id"],
-        ["customer_sk", "payment_date_id"],
-    )
-    all_bookings = staging.stg_bookings(raw["bookings"])
-    events = facts.touched_sessions(staging.stg_clickstream(raw["clickstream"]), date)
-    sessions = facts.fact_web_sessions(events, all_bookings, customers)
-    days["fact_web_sessions"] = upsert(
-        sessions, analytics_table(root, "fact_web_sessions"), ["session_id"], ["session_date_id"]
+        ["customer_sk", "payment_date_id", "payment_id"],
     )
+    days["fact_web_sessions"] = build_sessions(spark, root, date, customers)
+    all_bookings = staging.stg_bookings(read_table(spark, staging_table(root, "bookings")))
     refresh(
         facts.fact_hotel_inventory(all_bookings, hotels, fx),
-        analytics_table(root, "fact_hotel_inventory"),
+        analytics_table(root, "fact_hotel_inventory"), ["hotel_sk", "date_id", "room_type"],
     )
     return days
 
@@ -109,7 +130,7 @@ def build_reports(spark: SparkSession, root: str, date: str) -> None:
     hotels, bookings = table("dim_hotels"), table("fact_bookings")
     refresh(
         reports.rpt_daily_revenue(bookings, hotels, table("dim_channels")),
-        analytics_table(root, "rpt_daily_revenue"),
+        analytics_table(root, "rpt_daily_revenue"), ["report_date", "country", "channel_name"],
     )
     refresh(
         reports.rpt_hotel_performance(hotels, bookings, table("fact_payments"), date),

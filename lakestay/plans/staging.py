@@ -9,6 +9,7 @@ from lakestay import fixed_values as fv
 from lakestay.functions import labels, parsing
 from lakestay.operators.frames import filter_nonempty
 from lakestay.operators.versions import latest_version
+from lakestay.sinks.upsert import incremental_slice
 
 # Normalisation per view: column -> expression over the staging column.
 _UPPER = lambda c: F.upper(F.trim(c))
@@ -59,14 +60,29 @@ def staging_view(name: str, staging: DataFrame) -> DataFrame:
     )
 
 
-def staging_batch(name: str, staging: DataFrame, date: str) -> DataFrame:
-    """The rows of one batch that no later batch replaces.
+def staging_batch(name: str, staging: DataFrame, date: str, exists: bool = True) -> DataFrame:
+    """The rows of one batch that no later batch replaces; all rows while the target is missing.
 
-    Older batches cannot change the answer, so their folders are not read.
+    Older batches cannot change the answer for one batch, so their folders are
+    not read.
     """
-    day = F.lit(date).cast("date")
-    recent = staging.filter(F.col(fv.BATCH_DATE) >= day)
-    return staging_view(name, recent).filter(F.col(fv.BATCH_DATE) == day)
+    if exists:
+        staging = staging.filter(F.col(fv.BATCH_DATE) >= F.lit(date).cast("date"))
+    return incremental_slice(staging_view(name, staging), date, exists)
+
+
+def staging_sessions(staging: DataFrame, date: str) -> DataFrame:
+    """The newest events of all sessions that may have an event in one batch.
+
+    Sessions are those of the batch as it landed, and with each of their events
+    come all its versions. Both are found by semi joins on two columns before
+    versions are ranked, so the rest of the history is neither shuffled nor
+    sorted.
+    """
+    ids = staging.select(F.trim("session_id").alias("_session"), "event_id", fv.BATCH_DATE)
+    sessions = ids.filter(F.col(fv.BATCH_DATE) == F.lit(date).cast("date")).select("_session").distinct()
+    events = ids.join(sessions, "_session", "left_semi").select("event_id").distinct()
+    return staging_view("clickstream", staging.join(events, "event_id", "left_semi"))
 
 
 def stg_bookings(staging: DataFrame) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,6 +60,23 @@ def work_folder(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared store, if it is there."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def work_folders(spark: SparkSession, *labels: str) -> Iterator[list[str]]:
+    """Work folders that are deleted at the end, also after a failure."""
+    folders = [work_folder(spark, label) for label in labels]
+    try:
+        yield folders
+    finally:
+        for folder in folders:
+            delete_folder(spark, folder)
+
+
 def plan_bytes(df: DataFrame) -> int:
     """The optimizer's size estimate of a frame, without running it."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

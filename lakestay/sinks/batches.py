@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
 from lakestay import fixed_values as fv
+from lakestay.session import delete_folder
 from lakestay.sources.readers import day_path
 
 
@@ -49,6 +51,27 @@ def write_quarantine(df: DataFrame, table: str, date: str) -> str:
 
 
 def refresh(df: DataFrame, table: str, sort_by: Sequence[str] = ()) -> None:
-    """Replace a whole table that the frame does not read."""
+    """Replace a whole table by renaming a finished new one into its place.
+
+    The new table is written beside the old one, under a name that scans pass
+    over, so a failed job leaves the old table as it was, and the frame may
+    read the table it replaces.
+    """
+    spark = df.sparkSession
+    Path = spark._jvm.org.apache.hadoop.fs.Path
+    folder, name = table.rstrip("/").rsplit("/", 1)
+    mark = uuid.uuid4().hex
+    fresh, old = f"{folder}/_{name}-{mark}", f"{folder}/_{name}-{mark}-old"
     body = df.sortWithinPartitions(*sort_by) if sort_by else df
-    body.write.mode("overwrite").parquet(table)
+    try:
+        body.write.parquet(fresh)
+        store = Path(table).getFileSystem(spark._jsc.hadoopConfiguration())
+        if store.exists(Path(table)) and not store.rename(Path(table), Path(old)):
+            raise OSError(f"cannot set {table} aside")
+        if not store.rename(Path(fresh), Path(table)):
+            store.rename(Path(old), Path(table))
+            raise OSError(f"cannot put the new {table} in place")
+    finally:
+        delete_folder(spark, fresh)
+    delete_folder(spark, old)
+    spark.catalog.refreshByPath(table)

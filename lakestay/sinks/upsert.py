@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakestay import fixed_values as fv
 from lakestay.sinks.batches import write_days
-from lakestay.sources.readers import path_exists, read_table
-from lakestay.session import work_folder
+from lakestay.session import delete_folder, work_folders
+from lakestay.sources.readers import day_path, path_exists, read_table
 
 
 def align_schema(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -29,9 +29,8 @@ def incremental_slice(df: DataFrame, date: str, exists: bool = True) -> DataFram
     return df.filter(F.col(fv.BATCH_DATE) == F.lit(date).cast("date")) if exists else df
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+def _days(df: DataFrame) -> set:
+    return {r[0] for r in df.select(fv.BATCH_DATE).distinct().collect()}
 
 
 def upsert(new: DataFrame, table: str, key: Sequence[str], sort_by: Sequence[str] = ()) -> list[str]:
@@ -40,34 +39,30 @@ def upsert(new: DataFrame, table: str, key: Sequence[str], sort_by: Sequence[str
     Only the days holding a replaced key, and the days of the new rows, are
     rewritten. Their new content is first written to the work folder, so the
     table is never read and overwritten by one job and a failed run can be
-    repeated. Returns the rewritten days; the driver sees days only, no rows.
+    repeated; the work folders are deleted either way. The frame runs once.
+    Returns the rewritten days; the driver sees days only, no rows.
     """
     spark = new.sparkSession
     if not path_exists(spark, table):
         write_days(new, table, sort_by)
-        return sorted(str(r[0]) for r in new.select(fv.BATCH_DATE).distinct().collect())
-
-    batch = work_folder(spark, "upsert-batch")
-    new.write.parquet(batch)
-    new = spark.read.parquet(batch)
-    target = read_table(spark, table)
-
-    hit = target.select(*key, fv.BATCH_DATE).join(new.select(*key), list(key), "left_semi")
-    old_days = [r[0] for r in hit.select(fv.BATCH_DATE).distinct().collect()]
-    new_days = [r[0] for r in new.select(fv.BATCH_DATE).distinct().collect()]
-    days = sorted({*old_days, *new_days})
-    if not days:
-        return []
-
-    staged = work_folder(spark, "upsert-days")
-    touched = target.filter(F.col(fv.BATCH_DATE).isin(days))
-    write_days(merged(touched, new, key), staged)
-
-    content = read_table(spark, staged)
-    write_days(content, table, sort_by)
-    kept = {r[0] for r in content.select(fv.BATCH_DATE).distinct().collect()}
-    for day in days:
-        if day not in kept:
+        return sorted(str(d) for d in _days(read_table(spark, table)))
+
+    with work_folders(spark, "upsert-batch", "upsert-days") as (batch, staged):
+        new.write.parquet(batch)
+        new = spark.read.parquet(batch)
+        target = read_table(spark, table)
+
+        hit = target.select(*key, fv.BATCH_DATE).join(new.select(*key), list(key), "left_semi")
+        days = sorted(_days(hit) | _days(new))
+        if not days:
+            return []
+
+        touched = target.filter(F.col(fv.BATCH_DATE).isin(days))
+        write_days(merged(touched, new, key), staged)
+
+        content = read_table(spark, staged)
+        write_days(content, table, sort_by)
+        for day in set(days) - _days(content):
             # All rows of this day moved to other days.
-            _delete(spark, f"{table.rstrip('/')}/{fv.BATCH_DATE}={day}")
+            delete_folder(spark, day_path(table, day))
     return [str(d) for d in days]

@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 
 from lakestay import fixed_values as fv
 from lakestay.operators.quality import BreakerTripped
-from lakestay.plans import daily, silver
+from lakestay.plans import daily, facts, silver, staging
 from lakestay.plans.bronze import bronze_ingest
+from lakestay.session import delete_folder, work_folder
 from lakestay.sinks.audit import lake_inventory
+from lakestay.sinks.batches import refresh
+from lakestay.sinks.upsert import upsert
 from lakestay.sources.readers import SOURCES, read_table
 from tests import landing as land
 
@@ -251,6 +254,63 @@ def test_rerun_and_backfill(spark, lake2):
     assert state() == before
 
 
+def test_a_lost_fact_is_loaded_whole(spark, lake2):
+    names = ("fact_bookings", "fact_payments", "fact_web_sessions")
+    state = lambda: {n: sorted(map(str, table(spark, lake2, n).collect())) for n in names}
+    before = state()
+    for name in names:
+        delete_folder(spark, daily.analytics_table(lake2, name))
+    days = daily.build_facts(spark, lake2, land.DAY2)
+    assert state() == before
+    assert days == {n: [land.DAY1, land.DAY2] for n in names}
+
+
+def test_refresh_keeps_the_old_table_when_it_fails(spark, tmp_path):
+    target = f"{tmp_path}/t"
+    refresh(spark.range(3), target)
+    with pytest.raises(Exception, match="no such luck"):
+        refresh(spark.range(5).select(F.when(F.col("id") == 4, F.raise_error(F.lit("no such luck"))).alias("id")), target)
+    assert read_table(spark, target).count() == 3 and os.listdir(tmp_path) == ["t"]
+    refresh(read_table(spark, target).filter("id > 0"), target)
+    assert read_table(spark, target).count() == 2 and os.listdir(tmp_path) == ["t"]
+
+
+def test_upsert_leaves_no_work_folder(spark, tmp_path):
+    base = work_folder(spark, "x").rsplit("/", 1)[0].removeprefix("file:")
+    left = lambda: {f for f in os.listdir(base) if f.startswith("upsert-")} if os.path.isdir(base) else set()
+    before, target = left(), f"{tmp_path}/t"
+    day = lambda n, d: spark.sql(f"SELECT id, DATE '{d}' AS _batch_date FROM range({n})")
+    assert upsert(day(4, "2026-01-01"), target, ["id"]) == ["2026-01-01"]
+    assert upsert(day(2, "2026-01-02"), target, ["id"]) == ["2026-01-01", "2026-01-02"]
+    assert upsert(day(4, "2026-01-03"), target, ["id"]) == ["2026-01-01", "2026-01-02", "2026-01-03"]
+    assert rows(read_table(spark, target), "id", "_batch_date") == [(i, dt.date(2026, 1, 3)) for i in range(4)]
+    bad = day(1, "2026-01-04").withColumn("id", F.raise_error(F.lit("bad row")).cast("bigint"))
+    with pytest.raises(Exception, match="bad row"):
+        upsert(bad, target, ["id"])
+    assert left() == before
+
+
+def test_sessions_are_pruned_before_versions_are_ranked(spark):
+    """An event that moved to another session counts there, and only touched sessions come."""
+    fields = (*fv.STAGING_COLUMNS["clickstream"], *fv.STAGING_META)
+
+    def event(e, s, day):
+        given = {"event_id": e, "session_id": s, "event_timestamp": dt.datetime(2026, 1, 1), "_batch_date": dt.date(2026, 1, day)}
+        return tuple(given.get(f) for f in fields)
+
+    types = {"event_timestamp": "timestamp", "_batch_date": "date", "_ingested_at": "timestamp"}
+    schema = ", ".join(f"{f} {types.get(f, 'string')}" for f in fields)
+    raw = spark.createDataFrame([
+        event("a", "s1", 1), event("b", "s1", 2), event("c", "s2", 1), event("d", "s3", 2),
+        event("d", "s2", 3), event("e", " s1 ", 3),
+    ], schema)
+    for day in ("2026-01-01", "2026-01-02", "2026-01-03"):
+        whole = facts.touched_sessions(staging.stg_clickstream(raw), day)
+        pruned = facts.touched_sessions(staging.staging_sessions(raw, day), day)
+        assert rows(pruned, "event_id", "session_id") == rows(whole, "event_id", "session_id")
+    assert {r[0] for r in rows(staging.staging_sessions(raw, "2026-01-02"), "event_id")} == {"a", "b", "d", "e"}
+
+
 def test_failures_are_isolated(spark, tmp_path):
     root = str(tmp_path)
     land.land_day1(root)
