@@ -174,20 +174,48 @@ def check_scd2(dim: DataFrame, key: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class Check:
-    """A named set of violations; severity is "error" or "warn"."""
+    """A named check: a frame of violations, or of all rows with an aggregate that counts
+    violations; severity is "error" or "warn"."""
 
     name: str
-    violations: DataFrame
+    frame: DataFrame
     severity: str = "error"
+    count: Column | None = None
+
+
+def count_nulls(col: str) -> Column:
+    return F.count_if(F.col(col).isNull())
+
+
+def count_not_accepted(col: str, values: Sequence[object]) -> Column:
+    """Distinct values outside the list; NULL is accepted."""
+    return F.count_distinct(F.when(~F.col(col).isin(*values), F.col(col)))
+
+
+def count_unmet(expression: str) -> Column:
+    """Rows where the expression is false or NULL."""
+    return F.count_if(~F.coalesce(F.expr(expression), F.lit(False)))
 
 
 def check_report(checks: Sequence[Check]) -> DataFrame:
-    """One row per check: name, severity, violations and status."""
-    rows = [
-        c.violations.agg(F.count(F.lit(1)).alias("violations")).select(
-            F.lit(c.name).alias("check_name"), F.lit(c.severity).alias("severity"), "violations"
-        )
-        for c in checks
-    ]
+    """One row per check: name, severity, violations and status.
+
+    All checks that are aggregates over one frame share one pass over it.
+    """
+    passes: dict[int, list[Check]] = {}
+    for i, check in enumerate(checks):
+        passes.setdefault(i if check.count is None else -id(check.frame), []).append(check)
+    rows = []
+    for group in passes.values():
+        counts = [F.count(F.lit(1)) if c.count is None else c.count for c in group]
+        counted = group[0].frame.agg(*[c.alias(f"_{i}") for i, c in enumerate(counts)])
+        lines = [
+            F.struct(
+                F.lit(c.name).alias("check_name"), F.lit(c.severity).alias("severity"),
+                F.col(f"_{i}").alias("violations"),
+            )
+            for i, c in enumerate(group)
+        ]
+        rows.append(counted.select(F.inline(F.array(*lines))))
     status = F.when(F.col("violations") == 0, "pass").otherwise(F.col("severity"))
     return union_frames(rows).withColumn("status", status)

@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame
 
 from lakestay.operators.quality import (
     Check,
-    check_accepted,
-    check_expression,
-    check_not_null,
     check_relationship,
     check_scd2,
     check_unique,
+    count_not_accepted,
+    count_nulls,
+    count_unmet,
 )
 
 # What is checked on which table.
@@ -75,16 +75,14 @@ def warehouse_checks(tables: Mapping[str, DataFrame]) -> list[Check]:
     """All checks on the tables at hand."""
     checks = []
 
-    def add(name, severity, needed, violations):
+    def add(name, severity, needed, violations=None, count=None):
         if all(t in tables for t in needed):
-            checks.append(Check(name, violations(), severity))
+            frame = violations() if violations else tables[needed[0]]
+            checks.append(Check(name, frame, severity, count))
 
     for table, cols in NOT_NULL.items():
         for col in cols:
-            add(
-                f"not_null {table}.{col}", "error", [table],
-                lambda t=table, c=col: check_not_null(tables[t], c),
-            )
+            add(f"not_null {table}.{col}", "error", [table], count=count_nulls(col))
     for table, keys in UNIQUE.items():
         for key in keys:
             add(
@@ -99,15 +97,9 @@ def warehouse_checks(tables: Mapping[str, DataFrame]) -> list[Check]:
             ),
         )
     for table, col, values in ACCEPTED:
-        add(
-            f"accepted {table}.{col}", "error", [table],
-            lambda t=table, c=col, v=values: check_accepted(tables[t], c, v),
-        )
+        add(f"accepted {table}.{col}", "error", [table], count=count_not_accepted(col, values))
     for table, expression in EXPECTED:
-        add(
-            f"expected {table}: {expression}", "warn", [table],
-            lambda t=table, e=expression: check_expression(tables[t], e),
-        )
+        add(f"expected {table}: {expression}", "warn", [table], count=count_unmet(expression))
     for table, key in HISTORIES:
         add(
             f"history {table}", "error", [table],

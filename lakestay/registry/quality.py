@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from lakestay import fixed_values as fv
 from lakestay.operators import quality as q
 from lakestay.operators.scd2 import scd2
-from lakestay.plans import checks
+from lakestay.plans import checks, facts
 from lakestay.plans.silver import entity
 from lakestay.registry.core import query
 from lakestay.registry.entities import judged_sql
@@ -13,10 +13,15 @@ from lakestay.registry.versions import LINE_KEY, LINE_TIES, RANKED, _lines
 from lakestay.registry.warehouse import (
     ALL_BOOKINGS,
     BOOKING_INPUTS,
+    CHANNEL_NAMES,
+    FACT_PAYMENTS,
+    INVENTORY,
+    SESSIONS,
     booking_facts,
     customers,
     hotels,
 )
+from lakestay.sources import seeds
 
 LINE_RULES = (
     ("SMALL_QUANTITY", "l_quantity < 4"),
@@ -137,23 +142,58 @@ def check_scd2(t):
     return q.check_scd2(broken, "user_id")
 
 
-@query("check_report", f"""{ALL_BOOKINGS}
-    SELECT check_name, severity, violations, CASE WHEN violations = 0 THEN 'pass' ELSE severity END AS status FROM (
-        SELECT 'unique fact_bookings(booking_id)' AS check_name, 'error' AS severity, count(*) - count(DISTINCT booking_id) AS violations FROM fact_bookings
-        UNION ALL SELECT 'expected fact_bookings: hotel_sk <> 0', 'warn', count(*) FILTER (hotel_sk = 0) FROM fact_bookings
-        UNION ALL SELECT 'expected fact_bookings: amount_usd IS NOT NULL', 'warn', count(*) FILTER (amount_usd IS NULL) FROM fact_bookings
-        UNION ALL SELECT 'accepted fact_bookings.booking_status', 'error', count(DISTINCT booking_status) FILTER (booking_status NOT IN ('CONFIRMED', 'CANCELLED', 'PENDING', 'NO_SHOW', 'UNKNOWN')) FROM fact_bookings
-        UNION ALL SELECT 'reference fact_bookings.hotel_sk to dim_hotels', 'error', count(*) FILTER (hotel_sk NOT IN (SELECT hotel_sk FROM dim_hotels)) FROM fact_bookings
-        UNION ALL SELECT 'not_null dim_customers.user_id', 'error', count(*) FILTER (user_id IS NULL) FROM dim_customers)""", BOOKING_INPUTS)
+REPORTED = ("dim_hotels", "dim_customers", "dim_channels", "fact_bookings", "fact_payments", "fact_web_sessions", "fact_hotel_inventory")
+
+
+def _report_sql():
+    """One SELECT per check on the reported tables, from the same lists."""
+    lines = []
+
+    def add(name, severity, *needed, count):
+        if all(t in REPORTED for t in needed):
+            lines.append(f"SELECT '{name}' AS check_name, '{severity}' AS severity, ({count}) AS violations")
+
+    for table, cols in checks.NOT_NULL.items():
+        for c in cols:
+            add(f"not_null {table}.{c}", "error", table, count=f"SELECT count(*) FROM {table} WHERE {c} IS NULL")
+    for table, keys in checks.UNIQUE.items():
+        for key in keys:
+            given = f"WHERE {key[0]} IS NOT NULL" if len(key) == 1 else ""
+            repeated = f"SELECT 1 FROM {table} {given} GROUP BY {', '.join(key)} HAVING count(*) > 1"
+            add(f"unique {table}({', '.join(key)})", "error", table, count=f"SELECT count(*) FROM ({repeated})")
+    for child, c, parent, p, severity in checks.REFERENCES:
+        missing = f"SELECT count(*) FROM {child} WHERE {c} IS NOT NULL AND {c} NOT IN (SELECT {p} FROM {parent} WHERE {p} IS NOT NULL)"
+        add(f"reference {child}.{c} to {parent}", severity, child, parent, count=missing)
+    for table, c, values in checks.ACCEPTED:
+        known = ", ".join(f"'{v}'" for v in values)
+        add(f"accepted {table}.{c}", "error", table, count=f"SELECT count(DISTINCT {c}) FROM {table} WHERE {c} NOT IN ({known})")
+    for table, rule in checks.EXPECTED:
+        add(f"expected {table}: {rule}", "warn", table, count=f"SELECT count(*) FROM {table} WHERE ({rule}) IS NOT TRUE")
+    for table, key in checks.HISTORIES:
+        add(f"history {table}", "error", table, count=f"""
+            SELECT (SELECT count(*) FROM (SELECT 1 FROM {table} GROUP BY {key} HAVING sum(CAST(is_current AS INTEGER)) <> 1))
+                + (SELECT count(*) FROM (SELECT valid_from > valid_to OR lead(valid_from) OVER (PARTITION BY {key} ORDER BY valid_from)
+                    - valid_to <> 1 AS bad FROM {table}) WHERE bad)""")
+    return f"""{ALL_BOOKINGS}, {FACT_PAYMENTS}, {SESSIONS},
+    fact_web_sessions AS (FROM sessions), inventory AS (WITH {INVENTORY}), fact_hotel_inventory AS (FROM inventory),
+    dim_channels AS (SELECT unnest(range(1, 5)) AS channel_id, unnest({CHANNEL_NAMES}) AS channel_name),
+    counted AS ({' UNION ALL '.join(lines)})
+    SELECT *, CASE WHEN violations = 0 THEN 'pass' ELSE severity END AS status FROM counted"""
+
+
+@query("check_report", _report_sql(), (*BOOKING_INPUTS, "payments", "clicks"))
 def check_report(t):
+    """Every check on the dimensions and facts, warnings and errors alike."""
+    bookings = t.once("fact-bookings", lambda t: booking_facts(t, hotels, customers))
+    rates = t("rates")
     tables = {
-        "fact_bookings": t.stored(booking_facts(t, hotels, customers), "fact-bookings"),
         "dim_hotels": hotels(t),
         "dim_customers": customers(t),
+        "dim_channels": seeds.dim_channels(t.spark),
+        "fact_bookings": bookings,
+        "fact_payments": t.stored(facts.fact_payments(t("payments"), bookings, rates), "fact-payments"),
+        "fact_web_sessions": t.stored(facts.fact_web_sessions(t("clicks"), t("bookings"), customers(t)), "fact-web-sessions"),
+        "fact_hotel_inventory": t.stored(facts.fact_hotel_inventory(t("bookings"), hotels(t), rates), "fact-hotel-inventory"),
     }
-    wanted = {
-        "unique fact_bookings(booking_id)", "expected fact_bookings: hotel_sk <> 0",
-        "expected fact_bookings: amount_usd IS NOT NULL", "accepted fact_bookings.booking_status",
-        "reference fact_bookings.hotel_sk to dim_hotels", "not_null dim_customers.user_id",
-    }
-    return q.check_report([c for c in checks.warehouse_checks(tables) if c.name in wanted])
+    assert tuple(tables) == REPORTED
+    return q.check_report(checks.warehouse_checks(tables))

@@ -356,11 +356,27 @@ def test_checks(spark):
     }
 
 
+def test_counting_checks_share_one_pass(spark, tmp_path):
+    rows = [(1, "a"), (2, None), (None, "c"), (-4, "c")]
+    path = str(tmp_path / "t")
+    spark.createDataFrame(rows, "n int, s string").write.parquet(path)
+    df = spark.read.parquet(path)
+    report = quality.check_report([
+        quality.Check("null", df, count=quality.count_nulls("s")),
+        quality.Check("list", df, count=quality.count_not_accepted("s", ["a"])),
+        quality.Check("rule", df, "warn", quality.count_unmet("n > 0")),
+        quality.Check("rows", quality.check_not_null(df, "n")),
+    ])
+    assert {r.check_name: r.violations for r in report.collect()} == {"null": 1, "list": 1, "rule": 2, "rows": 1}
+    assert report._jdf.queryExecution().optimizedPlan().collectLeaves().size() == 2
+
+
 def test_unknown_capacity_breaks_inventory_uniqueness(spark):
     """Two unknown hotels on one night and room type share key 0; the check says so."""
     rows = [(0, 20240101, "Suite"), (0, 20240101, "Suite"), (5, 20240101, "Suite")]
     inventory = spark.createDataFrame(rows, "hotel_sk long, date_id int, room_type string")
-    found = {c.name: c.violations.count() for c in checks.warehouse_checks({"fact_hotel_inventory": inventory})}
+    report = quality.check_report(checks.warehouse_checks({"fact_hotel_inventory": inventory}))
+    found = {r.check_name: r.violations for r in report.collect()}
     assert found["unique fact_hotel_inventory(hotel_sk, date_id, room_type)"] == 1
 
 
