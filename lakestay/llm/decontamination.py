@@ -1,20 +1,26 @@
 """Benchmark items that stand in documents, exactly or with few edits.
 
-Edit distance is made searchable by an embedding into Hamming space (CGK): a random walk
-reads a window of words; at each step it writes the word it stands on, and the word and the
-step decide by a fixed random bit whether it moves on. Windows at small edit distance write
-nearly the same. Sampling a few written words as a key (bit sampling) is then a hash that
-close windows share with fair chance, so a few independent walks and samples find nearly all.
-
-Items are indexed by windows of about half their length at every offset; documents are cut
-into windows side by side. An unedited occurrence always has a window whose key equals one
-of the item's. Every hit is verified by exact edit distance between the whole item and the
-best matching passage around the hit.
+Items and documents are normalised alike: lower case, single spaces between words. Edits
+break an item into runs of unedited characters. Every run of some length (a seed) of an item
+is indexed and looked up at every character of the documents; an occurrence is found if one
+run between its edits is as long as the seed. How long the longest run is when edits fall
+anywhere with equal chance has a closed form, so each item gets the longest seed that finds
+the wanted share of its copies with as many edits as are allowed. Edits side by side, as
+in replaced words, leave longer runs. Up to one edit for each seed length and one
+character, the longest run cannot be shorter, wherever edits fall.
+
+A hit is a region of a document. Regions in which too few four-character runs are the
+item's are passed over; an occurrence cannot be among them (q-gram lemma). Many of the rest
+are compared at once by a lower bound of the edit distance, and what it leaves is verified by
+exact edit distance between the whole item and the best matching passage.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from functools import lru_cache
+from math import comb
 from typing import NamedTuple
 
 import numpy as np
@@ -23,99 +29,118 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakestay.llm.batches import keep_rows, prepare, slices
-from lakestay.llm.words import Words, mix, words
 
 # Edits allowed for each character of an item, words in lower case, single spaces between.
 EDIT_RATE = 0.2
-# Walks are added until this share of occurrences is found at this rate of edited words.
+# Seeds are so short that this share of occurrences with that many edits is found.
 TARGET_RECALL = 0.95
-DESIGN_RATE = 0.1
-MOST_WALKS = 12
+# Longer seeds would hardly be rarer in documents.
+LONGEST_SEED = 16
 # Shorter items say too little to call their words a leak.
 LEAST_WORDS = 8
 # Items looked for in one pass; their index goes to every task.
 BLOCK_ITEMS = 5_000
 
-_SAMPLED = 4
-_FILTER_BITS = 20
+# Longer items are treated as this long when seeds are chosen; their recall is higher.
+_LONGEST_MODEL = 1000
+# Characters looked up at once.
+_STEP = 1 << 14
+# Characters of regions counted at once.
+_COUNTED = 1 << 20
+# Runs that are counted in regions, and bits of their hashes.
+_GRAM = 4
+_GRAM_BITS = 14
+# Regions compared at once; the last few are left to the exact comparison.
+_BATCH, _FEW = 2048, 32
+_BETWEEN_ROWS = " \n "
+_WORD = re.compile(r"\S+")
 _U = np.uint64
+_BASE, _SPREAD = _U(0x9E3779B97F4A7C15), _U(0xD6E8FEB86659FD93)
 
 
-class _Walk(NamedTuple):
-    """One random walk over windows of some length, with the steps that are sampled."""
+def run_chance(length: int, edits: int, run: int) -> float:
+    """Chance that edits at distinct random places leave a run of that many characters."""
+    left = length - edits
+    without = sum(
+        (-1) ** j * comb(edits + 1, j) * comb(length - j * run, edits) for j in range(min(edits + 1, left // run) + 1)
+    )
+    return 1 - without / comb(length, edits)
 
-    length: int
-    factors: np.ndarray
-    sampled: frozenset[int]
 
-    def keys(self, hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """The sampled key of the window that begins at each start."""
-        padded = np.append(hashes, _U(0))
-        moved = np.zeros(len(starts), np.int64)
-        key = np.zeros(len(starts), _U)
-        for step in range(max(self.sampled) + 1):
-            word = padded[starts + moved]
-            if step >= self.length:  # the end of the window may have been reached
-                word[moved >= self.length] = 0
-            if step in self.sampled:
-                key = key * _U(0x9E3779B97F4A7C15) + word
-            moved += ((word * self.factors[step]) >> _U(63)).astype(np.int64)
-            if step >= self.length:
-                np.minimum(moved, self.length, out=moved)
-        return mix(key)
-
-
-def _walk(length: int, number: int) -> _Walk:
-    """The same walk in every task: one step sampled in each part of twice the length."""
-    random = np.random.default_rng([length, number, 20])
-    factors = random.integers(1, 1 << 63, 2 * length, dtype=np.uint64) * _U(2) + _U(1)
-    cuts = np.linspace(0, 2 * length, min(_SAMPLED, 2 * length) + 1).astype(int)
-    return _Walk(length, factors, frozenset(int(random.integers(a, b)) for a, b in zip(cuts, cuts[1:])))
+@lru_cache(maxsize=None)
+def seed_length(length: int, edit_rate: float, recall: float) -> int:
+    """The longest seed that finds the wanted share of copies with all edits allowed.
 
+    Raises ValueError where not even single characters do.
+    """
+    length = min(length, _LONGEST_MODEL)
+    edits = int(edit_rate * length)
+    for run in range(min(LONGEST_SEED, length), 0, -1):
+        if run_chance(length, edits, run) >= recall:
+            return run
+    raise ValueError(f"items of {length} characters with {edits} edits cannot be found at a rate of {recall}")
 
-class _Item(NamedTuple):
-    item_id: int | None
-    text: str
-    hashes: np.ndarray
 
-    @property
-    def window(self) -> int:
-        """A power of two; a window of it lies in any occurrence, wherever cuts fall."""
-        return 1 << (((len(self.hashes) + 1) // 2).bit_length() - 1)
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le"), np.uint32)
 
 
-class _Index:
-    """Keys of the windows of items, for one walk."""
+class _Seeds:
+    """Seeds of one length of all items that have it."""
 
-    def __init__(self, walk: _Walk, items: list[_Item]):
-        self.walk = walk
+    def __init__(self, texts: dict[int, str], length: int):
         keys, owners, offsets = [], [], []
-        for i, item in enumerate(items):
-            if item.window == walk.length:
-                at = np.arange(len(item.hashes) - walk.length + 1)
-                keys.append(walk.keys(item.hashes, at))
-                owners.append(np.full(len(at), i))
-                offsets.append(at)
-        self.keys = np.concatenate(keys)
-        order = np.argsort(self.keys, kind="stable")
-        self.keys = self.keys[order]
-        self.owners, self.offsets = np.concatenate(owners)[order], np.concatenate(offsets)[order]
-        self.there = np.zeros(1 << _FILTER_BITS, bool)
-        self.there[self.keys >> _U(64 - _FILTER_BITS)] = True
-
-    def hits(self, hashes: np.ndarray, starts: np.ndarray) -> Iterator[tuple[int, int, int]]:
-        """(number of the start, item, offset in the item) for equal keys."""
-        keys = self.walk.keys(hashes, starts)
-        some = np.flatnonzero(self.there[keys >> _U(64 - _FILTER_BITS)])
-        first = np.searchsorted(self.keys, keys[some], side="left")
-        last = np.searchsorted(self.keys, keys[some], side="right")
-        for start, a, b in zip(some.tolist(), first.tolist(), last.tolist()):
-            for k in range(a, b):
-                yield start, int(self.owners[k]), int(self.offsets[k])
-
-
-def _normal(text: str) -> list[str]:
-    return [w.lower() for w in text.split()]
+        for i, text in texts.items():
+            for size, own in _grams(_codes(text), {length}):
+                own = own[: len(text) - size + 1]
+                keys.append(own)
+                owners.append(np.full(len(own), i))
+                offsets.append(np.arange(len(own)))
+        key, owner, offset = (np.concatenate(x) for x in (keys, owners, offsets))
+        order = np.lexsort((offset, owner, key))
+        key, owner, offset = key[order], owner[order], offset[order]
+        new = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])))
+        # A seed that an item repeats is kept once, with its first and last place.
+        self.keys, self.owners, self.low = key[new], owner[new], offset[new]
+        self.high = offset[np.append(new[1:], len(key)) - 1]
+        self.begin = np.flatnonzero(np.append(True, self.keys[1:] != self.keys[:-1]))
+        self.keys, self.count = self.keys[self.begin], np.diff(np.append(self.begin, len(self.keys)))
+        self.shift = _U(64 - max(16, (16 * len(self.keys)).bit_length()))
+        self.there = np.zeros(1 << int(_U(64) - self.shift), bool)
+        self.there[self.keys >> self.shift] = True
+
+    def hits(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place, number of the seed) for equal keys."""
+        some = np.flatnonzero(self.there[keys >> self.shift])
+        which = np.minimum(np.searchsorted(self.keys, keys[some]), len(self.keys) - 1)
+        equal = self.keys[which] == keys[some]
+        some, which = some[equal], which[equal]
+        count = self.count[which]
+        shift = self.begin[which] - (np.cumsum(count) - count)
+        return np.repeat(some, count), np.arange(count.sum()) + np.repeat(shift, count)
+
+
+def _grams(codes: np.ndarray, lengths: set[int]) -> Iterator[tuple[int, np.ndarray]]:
+    """Hashes of the runs of each length that begin at each character; zeros follow the last."""
+    n, longest = len(codes), max(lengths)
+    padded = np.zeros(n + longest, _U)
+    padded[:n] = codes
+    key = np.zeros(n, _U)
+    for j in range(longest):
+        key *= _BASE
+        key += padded[j : j + n]
+        if j + 1 in lengths:
+            yield j + 1, key * _SPREAD
+
+
+def _buckets(codes: np.ndarray) -> np.ndarray:
+    """A small number for the run of _GRAM characters that begins at each place."""
+    (_, key), = _grams(codes, {_GRAM})
+    return (key >> _U(64 - _GRAM_BITS)).astype(np.uint16)
+
+
+def _normal(text: str) -> str:
+    return " ".join(text.lower().split())
 
 
 def distances(pattern: str, text: str, anchored: bool) -> list[int]:
@@ -163,6 +188,51 @@ def best_part(pattern: str, text: str, most: int) -> tuple[int, int, int] | None
     return distance, end - backward.index(distance), end
 
 
+def least_distances(patterns: list[str], own: np.ndarray, low: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """For each part of low, a bound below the edit distance of its pattern to any passage in it.
+
+    The method of distances in blocks of 64 characters, for many parts side by side; own is the
+    pattern of each part. Length is in descending order; the last few parts left are not
+    followed to their end, their bound is 0. Low has the lower seven bits of characters, so
+    different ones may count as the same.
+    """
+    sizes = np.array([len(p) for p in patterns])
+    blocks = -(-int(sizes.max()) // 64)
+    one, all_bits = _U(1), ~_U(0)
+    equal, rising = np.zeros((blocks, len(patterns), 128), _U), np.zeros((blocks, len(patterns)), _U)
+    for i, pattern in enumerate(patterns):
+        # Patterns end with the last block. What stands before them equals any character.
+        before = 64 * blocks - len(pattern)
+        at = before + np.arange(len(pattern))
+        np.bitwise_or.at(equal[:, i], (at >> 6, _codes(pattern) & 127), one << (at & 63).astype(_U))
+        full, part = before >> 6, _U(before & 63)
+        equal[:full, i] = all_bits
+        equal[full, i] |= (one << part) - one
+        rising[full, i], rising[full + 1 :, i] = all_bits << part, all_bits
+    equal = equal.reshape(blocks, -1)
+    up, down = rising[:, own], np.zeros((blocks, len(own)), _U)
+    score = sizes[own]
+    least = score.copy()
+    for j, n in enumerate(np.searchsorted(-length, -np.arange(length[0]), side="left").tolist()):
+        if n < _FEW:
+            least[:n] = 0
+            break
+        slot = (own[:n] << 7) + low[start[:n] + j]
+        more = less = np.zeros(n, _U)
+        for k in range(blocks):
+            same, rise, fall = equal[k][slot], up[k, :n], down[k, :n]
+            vertical = same | fall
+            same |= less
+            across = (((same & rise) + rise) ^ rise) | same
+            higher, lower = fall | ~(across | rise), rise & across
+            more, less, more_in, less_in = higher >> _U(63), lower >> _U(63), more, less
+            higher, lower = higher << one | more_in, lower << one | less_in
+            up[k, :n], down[k, :n] = lower | ~(vertical | higher), higher & vertical
+        score[:n] += more.view(np.int64) - less.view(np.int64)
+        np.minimum(least[:n], score[:n], out=least[:n])
+    return least
+
+
 class Leak(NamedTuple):
     row: int
     item_id: int | None
@@ -172,126 +242,137 @@ class Leak(NamedTuple):
     similarity: float
 
 
+class _Regions(NamedTuple):
+    """Parts of the joined rows that may hold items."""
+
+    row: np.ndarray
+    item: np.ndarray
+    start: np.ndarray
+    end: np.ndarray
+
+    def merged(self) -> _Regions:
+        """In order of row, item and place, those that overlap made one."""
+        if len(self.row) == 0:
+            return self
+        order = np.lexsort((self.start, self.item, self.row))
+        row, item, start, end = (x[order] for x in self)
+        other = np.append(True, (row[1:] != row[:-1]) | (item[1:] != item[:-1]))
+        # Ends of a group are put behind those of all groups before it.
+        lift = np.cumsum(other) * (int(end.max()) + 1)
+        reach = np.maximum.accumulate(end + lift) - lift
+        new = np.flatnonzero(other | np.append(True, start[1:] > reach[:-1]))
+        return _Regions(row[new], item[new], start[new], reach[np.append(new[1:], len(row)) - 1])
+
+
 class Searcher:
     """Finds items in batches of texts."""
 
     def __init__(self, items: list[tuple[int | None, str | None]], edit_rate: float = EDIT_RATE,
-                 recall: float = TARGET_RECALL, design_rate: float = DESIGN_RATE):
-        known = [(i, " ".join(_normal(t or ""))) for i, t in items]
-        found = words(pa.array([t for _, t in known], pa.string()))
-        self.items = [
-            _Item(i, text, found.hashes[a:b])
-            for (i, text), a, b in zip(known, found.first, found.first[1:])
-            if b - a >= LEAST_WORDS
-        ]
-        self.edit_rate = edit_rate
-        self.indexes: list[_Index] = []
-        for length in sorted({item.window for item in self.items}):
-            of = [i for i in self.items if i.window == length]
-            self.indexes += [_Index(w, self.items) for w in _walks(length, of, recall, design_rate)]
+                 recall: float = TARGET_RECALL):
+        known = [(i, _normal(t or "")) for i, t in items]
+        known = [(i, t) for i, t in known if len(t.split()) >= LEAST_WORDS]
+        self.ids, self.texts = [i for i, _ in known], [t for _, t in known]
+        self.sizes = np.array([len(t) for t in self.texts], np.int64)
+        self.most = np.array([int(edit_rate * n) for n in self.sizes], np.int64)
+        by_length: dict[int, dict[int, str]] = {}
+        for i, text in enumerate(self.texts):
+            by_length.setdefault(seed_length(len(text), edit_rate, recall), {})[i] = text
+        self.seeds = {n: _Seeds(of, n) for n, of in sorted(by_length.items())}
+        self.grams = np.zeros((len(self.texts), 1 << _GRAM_BITS), bool)
+        for i, text in enumerate(self.texts):
+            self.grams[i, _buckets(_codes(text))[: len(text) - _GRAM + 1]] = True
 
     def find(self, texts: pa.Array) -> list[Leak]:
         """The best match of each item in each row that holds it; ties: the first."""
-        found = words(texts)
-        candidates: set[tuple[int, int, int]] = set()
-        by_length: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        for index in self.indexes:
-            length = index.walk.length
-            if length not in by_length:
-                by_length[length] = _side_by_side(found.first, length)
-            starts, rows = by_length[length]
-            for k, item, offset in index.hits(found.hashes, starts):
-                row = int(rows[k])
-                candidates.add((row, item, int(starts[k] - found.first[row]) - offset))
-        best: dict[tuple[int, int], Leak] = {}
-        done: dict[tuple[int, int], list[int]] = {}
-        for row, item, place in sorted(candidates):
-            slack = self._slack(item)
-            near = done.setdefault((row, item), [])
-            if near and place - near[-1] <= slack // 2:
-                continue  # the region searched for the last place holds this one
-            near.append(place)
-            leak = self._verify(found, row, item, place)
-            if leak and ((row, item) not in best or leak.distance < best[row, item].distance):
-                best[row, item] = leak
-        return [best[k] for k in sorted(best)]
-
-    def _slack(self, item: int) -> int:
-        """Words by which the two ends of an occurrence may be off."""
-        return 2 * (2 + int(self.edit_rate * len(self.items[item].hashes)))
-
-    def _verify(self, found: Words, row: int, item: int, place: int) -> Leak | None:
-        own, slack = self.items[item], self._slack(item)
-        first, last = found.first[row], found.first[row + 1]
-        a = max(first, first + place - slack)
-        b = min(last, first + place + len(own.hashes) + slack)
-        if a >= b:
-            return None
-        starts, ends = found.starts[a:b].tolist(), found.ends[a:b].tolist()
-        normal = [found.data[x:y].tobytes().decode().lower() for x, y in zip(starts, ends)]
-        # Where each word begins in the joined region.
-        begins = np.cumsum([0, *(len(w) + 1 for w in normal)])
-        match = best_part(own.text, " ".join(normal), int(self.edit_rate * len(own.text)))
-        if match is None:
-            return None
-        distance, start, end = match
+        if not self.seeds:
+            return []
+        raw = texts.to_pylist()
+        rows = [_normal(t) if t else "" for t in raw]
+        joined = _BETWEEN_ROWS.join(rows)
+        codes = _codes(joined)
+        first = np.cumsum([0, *(len(t) + len(_BETWEEN_ROWS) for t in rows)])
+        regions = self._compared(codes, self._narrowed(codes, self._regions(codes, first)))
+        best: dict[tuple[int, int], tuple[int, int, int]] = {}
+        for row, item, start, end in zip(*(x.tolist() for x in regions)):
+            match = best_part(self.texts[item], joined[start:end], int(self.most[item]))
+            if match and ((row, item) not in best or match[0] < best[row, item][0]):
+                place = start - int(first[row])
+                best[row, item] = match[0], match[1] + place, match[2] + place
+        return [self._leak(raw[row], row, item, *best[row, item]) for row, item in sorted(best)]
+
+    def _regions(self, codes: np.ndarray, first: np.ndarray) -> _Regions:
+        """Where an occurrence around a seed can lie."""
+        found = [_Regions(*np.zeros((4, 0), np.int64))]
+        longest = max(self.seeds)
+        for at in range(0, len(codes), _STEP):
+            here = []
+            for length, keys in _grams(codes[at : at + _STEP + longest], set(self.seeds)):
+                seeds = self.seeds[length]
+                place, seed = seeds.hits(keys[:_STEP])
+                place += at
+                item = seeds.owners[seed]
+                row = np.searchsorted(first, place, side="right") - 1
+                start = place - seeds.high[seed] - self.most[item]
+                end = place - seeds.low[seed] + self.sizes[item] + self.most[item]
+                start = np.maximum(start, first[row])
+                end = np.minimum(end, first[row + 1] - len(_BETWEEN_ROWS))
+                here.append(_Regions(row, item, start, end))
+            found.append(_Regions(*map(np.concatenate, zip(*here))).merged())
+        return _Regions(*map(np.concatenate, zip(*found))).merged()
+
+    def _narrowed(self, codes: np.ndarray, regions: _Regions) -> _Regions:
+        """The part of each region where enough runs of _GRAM characters are the item's.
+
+        An occurrence with e edits lies in as many characters as the item has and e more,
+        and has all such runs of the item but _GRAM for each edit.
+        """
+        grams = _buckets(codes)
+        bounds = np.cumsum(np.maximum(regions.end - regions.start - _GRAM + 1, 0))
+        parts = [_Regions(*np.zeros((4, 0), np.int64))]
+        at = 0
+        while at < len(bounds):
+            done = bounds[at - 1] if at else 0
+            to = max(at + 1, int(np.searchsorted(bounds, done + _COUNTED, side="right")))
+            parts.append(self._counted(grams, _Regions(*(x[at:to] for x in regions))))
+            at = to
+        return _Regions(*map(np.concatenate, zip(*parts)))
+
+    def _counted(self, grams: np.ndarray, of: _Regions) -> _Regions:
+        length = np.maximum(of.end - of.start - _GRAM + 1, 0)
+        begin = np.concatenate([[0], np.cumsum(length)])
+        owner = np.repeat(np.arange(len(length)), length)
+        item = of.item[owner]
+        place = np.arange(begin[-1]) + (of.start - begin[:-1])[owner]
+        total = np.concatenate([[0], np.cumsum(self.grams[item, grams[place]])])
+        window = (self.sizes + self.most - _GRAM + 1)[item]
+        upto = np.minimum(np.arange(begin[-1]) + window, begin[1:][owner])
+        needed = (self.sizes - _GRAM + 1 - _GRAM * self.most)[item]
+        enough = np.flatnonzero(total[upto] - total[:-1] >= needed)
+        which, one = np.unique(owner[enough], return_index=True)
+        last = np.append(one[1:], len(enough)) - 1
+        end = place[enough[last]] + (self.sizes + self.most)[of.item[which]]
+        return _Regions(of.row[which], of.item[which], place[enough[one]], np.minimum(end, of.end[which]))
+
+    def _compared(self, codes: np.ndarray, of: _Regions) -> _Regions:
+        """Without regions whose bound is above the edits allowed."""
+        low = (codes & 127).astype(np.uint8)
+        length = of.end - of.start
+        order = np.argsort(-length, kind="stable")
+        keep = np.ones(len(order), bool)
+        for at in range(0, len(order), _BATCH):
+            batch = order[at : at + _BATCH]
+            items, own = np.unique(of.item[batch], return_inverse=True)
+            least = least_distances([self.texts[i] for i in items], own, low, of.start[batch], length[batch])
+            keep[batch] = least <= self.most[of.item[batch]]
+        return _Regions(*(x[keep] for x in of))
+
+    def _leak(self, text: str, row: int, item: int, distance: int, start: int, end: int) -> Leak:
+        """A match in a normalised row, as whole words of the row itself."""
+        spans = [m.span() for m in _WORD.finditer(text)]
+        begins = np.cumsum([0, *(len(text[a:b].lower()) + 1 for a, b in spans)])
         head = int(np.searchsorted(begins, start, side="right")) - 1
         tail = int(np.searchsorted(begins, max(end - 1, start), side="right")) - 1
-        before = found.data[found.offsets[row] : starts[head]].tobytes().decode()
-        inside = found.data[starts[head] : ends[tail]].tobytes().decode()
-        return Leak(row, own.item_id, len(before), len(before) + len(inside), distance, 1 - distance / len(own.text))
-
-
-def _side_by_side(first: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Starts of windows of each row from its first word on, and their rows.
-
-    The last window of a row ends with the row, so that no word is left out.
-    """
-    count = np.diff(first)
-    full = count // length
-    windows = full + ((count % length > 0) & (full > 0))
-    begin = np.concatenate([[0], np.cumsum(windows)])
-    rows = np.repeat(np.arange(len(count)), windows)
-    at = (np.arange(begin[-1]) - begin[rows]) * length
-    return first[rows] + np.minimum(at, count[rows] - length), rows
-
-
-def _walks(length: int, items: list[_Item], recall: float, rate: float) -> list[_Walk]:
-    """As many walks as find the wanted share of edited copies of items, in a trial run.
-
-    In the trial every word of an item is replaced, lost or doubled at the given rate, by
-    numbers of a fixed seed, and the copy is cut at every possible place.
-    """
-    random = np.random.default_rng(length)
-    found: list[np.ndarray] = []
-    trials = []
-    for i in range(max(200, len(items))):
-        own = items[i % len(items)].hashes
-        edited = []
-        for word in own:
-            draw = random.random()
-            if draw >= rate:
-                edited.append(word)
-            elif draw < rate / 3:
-                edited.append(mix(np.array([word], _U))[0])
-            elif draw < 2 * rate / 3:
-                edited += [word, word]
-        copy = np.array(edited, _U)
-        if len(copy) >= length:
-            trials.append((i % len(items), copy, int(random.integers(0, length))))
-        if len(trials) == 200:
-            break
-    walks: list[_Walk] = []
-    missed = np.ones(len(trials), bool)
-    while len(walks) < MOST_WALKS and (not walks or missed.mean() > 1 - recall):
-        walk = _walk(length, len(walks))
-        walks.append(walk)
-        for t, (i, copy, cut) in enumerate(trials):
-            starts = np.arange(cut, len(copy) - length + 1, length)
-            at = np.arange(len(items[i].hashes) - length + 1)
-            if missed[t] and np.isin(walk.keys(copy, starts), walk.keys(items[i].hashes, at)).any():
-                missed[t] = False
-    return walks
+        return Leak(row, self.ids[item], spans[head][0], spans[tail][1], distance, 1 - distance / len(self.texts[item]))
 
 
 def _blocks(benchmark: DataFrame, id_column: str, text_column: str) -> Iterator[list[tuple]]:
