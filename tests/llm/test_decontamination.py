@@ -91,3 +91,18 @@ def test_regions_are_those_of_every_row():
     found = [(x.row, x.start, x.end, x.distance) for x in Searcher([(1, text)]).find(pa.array(rows))]
     n = len(text)
     assert found == [(1, 0, n, 0), (3, 0, n, 0), (4, 0, n - 1, 1), (5, len(rows[5]) - n, len(rows[5]), 0)]
+
+
+@pytest.mark.parametrize("text", [
+    "Équement Èment Àé Ñandú Ωμέγα ΣΑΣ Ärger Élan Ôde",
+    "ΑΡΧΗ ΤΗΣ ΜΕΓΑΛΗΣ ΟΔΟΥ ΚΑΙ ΤΕΛΟΣ ΤΟΥ ΔΡΟΜΟΥ",
+    "ВСЕ СЛОВА ЭТОГО ЗАГОЛОВКА НАПИСАНЫ ПРОПИСНЫМИ БУКВАМИ РУССКОГО АЛФАВИТА",
+    "İstanbul one two three four five six seven",
+])
+def test_exact_copies_beyond_ascii(text):
+    rows = [text, f"Ü {text} Z", text.replace(" ", "\u00a0"), text.replace(" ", "\u3000\u00a0 "), text.lower()]
+    n = len(text)
+    for item in (text, text.replace(" ", "\u00a0")):
+        found = Searcher([(1, item)]).find(pa.array(rows))
+        assert [(x.row, x.distance) for x in found] == [(k, 0) for k in range(len(rows))]
+        assert [(x.start, x.end) for x in found[:3]] == [(0, n), (2, 2 + n), (0, n)]
