@@ -4,7 +4,8 @@ Splitting a text is far cheaper than merging its pieces, and pieces repeat. So t
 cut where the tokenizer itself always cuts, the library encodes each piece new to a
 worker, many in one call, and ids are gathered from what it gave. The ids are those of
 the whole text encoded at once. Pieces are told apart by 64-bit hashes. A text the cutting
-rules don't cover, or a vocabulary of another kind, is given to the library as it is.
+rules don't cover, one that holds an added token such as <|endoftext|>, or a vocabulary of
+another kind, is given to the library as it is.
 """
 
 from __future__ import annotations
@@ -15,7 +16,9 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
+from lakestay.llm.batches import as_bytes
 from lakestay.llm.words import LOWER, SAME, mix, words
 
 BYTE_VOCABULARY = "byte_bpe_50k.json"
@@ -103,17 +106,18 @@ class _Store:
 
 
 class Encoder:
-    """Encodes texts with one vocabulary file, special tokens taken as ordinary text."""
+    """Encodes texts with one vocabulary file, as the library does without adding tokens."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.size = self.tokenizer.get_vocab_size()
         with open(path, encoding="utf-8") as file:
-            self.kind = _kind(json.load(file))
+            spec = json.load(file)
+        self.kind = _kind(spec)
+        self.added = [t["content"].encode() for t in spec.get("added_tokens") or []]
         self.store = _Store() if self.kind != "whole" else None
         self.gaps: dict[bytes, int] = {}
         if self.kind == "byte":
@@ -144,7 +148,13 @@ class Encoder:
         """The ids of all texts and where each text's begin; null counts as empty."""
         if self.kind == "whole":
             return _joined([self._whole(t) if t else np.empty(0, np.uint32) for t in texts.to_pylist()])
-        found = words(texts, SAME if self.kind == "byte" else LOWER)
+        added = _holding(*as_bytes(texts), self.added)
+        plain = texts
+        if len(added):
+            without = np.zeros(len(texts), bool)
+            without[added] = True
+            plain = pc.if_else(pa.array(without), pa.scalar("", texts.type), texts)
+        found = words(plain, SAME if self.kind == "byte" else LOWER)
         rows = len(found.offsets) - 1
         if self.kind == "word":
             pieces, at = self._pieces(found, found.hashes, None), found.first
@@ -152,7 +162,7 @@ class Encoder:
             pieces, at = self._with_gaps(found)
         ids, begin = self.store.gather(pieces)
         first = begin[at]
-        odd = _wide_rows(found.data, found.offsets) if self.kind == "byte" else []
+        odd = [*added, *(_wide_rows(found.data, found.offsets) if self.kind == "byte" else [])]
         if len(odd) == 0:
             return ids, first
         own = dict(zip(odd, (self._whole(texts[int(r)].as_py()) for r in odd)))
@@ -262,6 +272,17 @@ def _joined(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(rows) if rows else np.empty(0, np.uint32)), first
 
 
+def _holding(data: np.ndarray, offsets: np.ndarray, contents: list[bytes]) -> np.ndarray:
+    """Rows in which one of the contents begins."""
+    text, at = data.tobytes(), []
+    for content in contents:
+        place = text.find(content)
+        while place >= 0:
+            at.append(place)
+            place = text.find(content, place + 1)
+    return np.unique(np.searchsorted(offsets, np.array(at, np.int64), side="right") - 1)
+
+
 def _wide_rows(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Rows holding white space beyond ASCII."""
     if not len(data) or not _WIDE_FIRST[data].any():
@@ -273,6 +294,10 @@ def _wide_rows(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 def _kind(spec: dict) -> str:
     """byte: spaces begin pieces and nothing is normalised; word: white space only separates."""
     before, normal = spec.get("pre_tokenizer") or {}, spec.get("normalizer")
+    for token in spec.get("added_tokens") or []:  # others than those found by their bytes alone
+        wider = token.get("lstrip") or token.get("rstrip") or token.get("single_word")
+        if wider or (normal and token.get("normalized")) or re.search(r"\s", token["content"]):
+            return "whole"
     if before.get("type") == "ByteLevel" and normal is None:
         if before.get("use_regex", True) and not before.get("add_prefix_space"):
             return "byte"

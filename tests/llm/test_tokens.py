@@ -9,11 +9,12 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from lakestay.llm import packing, token_counts, token_files
 from lakestay.llm.entries import QUERIES
 from lakestay.llm.range_coder import decode_block, encode_block
-from lakestay.llm.tokens import BYTE_VOCABULARY, WORD_VOCABULARY, encoder
+from lakestay.llm.tokens import BYTE_VOCABULARY, WORD_VOCABULARY, encoder, vocabulary_path
 from tests.llm.common import FOLDER, ODD_TEXTS, documents, odd_documents
 
 VOCABULARIES = [BYTE_VOCABULARY, WORD_VOCABULARY]
@@ -40,6 +41,22 @@ def test_ids_of_any_texts(texts):
             assert ids[first[i] : first[i + 1]].tolist() == direct(name, text).tolist()
 
 
+@pytest.mark.parametrize("name", VOCABULARIES)
+def test_ids_of_texts_with_added_tokens(name):
+    fresh = Tokenizer.from_file(vocabulary_path(name))
+    texts = [
+        "a <|endoftext|> b", "plain", "<|endoftext|>", None, "<|endof", "text|> b", "x<|startoftext|>y  <|endoftext|>\n",
+        "<|ENDOFTEXT|> c", "<|endoftext|><|endoftext|>", "é\u00a0<|endoftext|> d", "don't <|endoftext|>'s", "last \n",
+        "some more words, " * 10_000 + "<|endoftext|> and more " * 3,
+    ]
+    assert len(fresh.encode("<|endoftext|>", add_special_tokens=False).ids) == 1
+    for _ in range(2):
+        ids, first = encoder(name).encode(pa.array(texts))
+        for i, text in enumerate(texts):
+            want = fresh.encode(text or "", add_special_tokens=False).ids
+            assert ids[first[i] : first[i + 1]].tolist() == want, repr(text)[:80]
+
+
 @pytest.mark.parametrize("vocabulary", [2, 300, 50257, 200_000])
 @pytest.mark.parametrize("n", [0, 1, 63, 64, 129, 5000, 70_000])
 def test_blocks_round_trip(vocabulary, n):
