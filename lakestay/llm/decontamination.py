@@ -36,7 +36,7 @@ EDIT_RATE = 0.2
 TARGET_RECALL = 0.95
 # Longer seeds would hardly be rarer in documents.
 LONGEST_SEED = 16
-# Shorter items say too little to call their words a leak.
+# Shorter items say too little for edits: they are found where all their words stand unedited.
 LEAST_WORDS = 8
 # Items looked for in one pass; their index goes to every task.
 BLOCK_ITEMS = 5_000
@@ -52,7 +52,6 @@ _GRAM = 4
 _GRAM_BITS = 14
 # Regions compared at once; the last few are left to the exact comparison.
 _BATCH, _FEW = 2048, 32
-_BETWEEN_ROWS = " \n "
 _WORD = re.compile(r"\S+")
 _U = np.uint64
 _BASE, _SPREAD = _U(0x9E3779B97F4A7C15), _U(0xD6E8FEB86659FD93)
@@ -269,14 +268,17 @@ class Searcher:
 
     def __init__(self, items: list[tuple[int | None, str | None]], edit_rate: float = EDIT_RATE,
                  recall: float = TARGET_RECALL):
-        known = [(i, _normal(t or "")) for i, t in items]
-        known = [(i, t) for i, t in known if len(t.split()) >= LEAST_WORDS]
-        self.ids, self.texts = [i for i, _ in known], [t for _, t in known]
+        known = [(i, t) for i, t in ((i, _normal(t or "")) for i, t in items) if t]
+        short = [t.count(" ") + 1 < LEAST_WORDS for _, t in known]
+        # The spaces around a short item keep its first and last word whole.
+        self.ids, self.texts = [i for i, _ in known], [f" {t} " if s else t for (_, t), s in zip(known, short)]
         self.sizes = np.array([len(t) for t in self.texts], np.int64)
-        self.most = np.array([int(edit_rate * n) for n in self.sizes], np.int64)
+        rates = [0 if s else edit_rate for s in short]
+        self.most = np.array([int(r * n) for r, n in zip(rates, self.sizes)], np.int64)
+        self.needed = self.sizes - _GRAM + 1 - _GRAM * self.most
         by_length: dict[int, dict[int, str]] = {}
         for i, text in enumerate(self.texts):
-            by_length.setdefault(seed_length(len(text), edit_rate, recall), {})[i] = text
+            by_length.setdefault(seed_length(len(text), rates[i], recall), {})[i] = text
         self.seeds = {n: _Seeds(of, n) for n, of in sorted(by_length.items())}
         self.grams = np.zeros((len(self.texts), 1 << _GRAM_BITS), bool)
         for i, text in enumerate(self.texts):
@@ -287,17 +289,17 @@ class Searcher:
         if not self.seeds:
             return []
         raw = texts.to_pylist()
-        rows = [_normal(t) if t else "" for t in raw]
-        joined = _BETWEEN_ROWS.join(rows)
+        rows = [f" {_normal(t)} " if t else "" for t in raw]
+        joined = "\n".join(rows)
         codes = _codes(joined)
-        first = np.cumsum([0, *(len(t) + len(_BETWEEN_ROWS) for t in rows)])
+        first = np.cumsum([0, *(len(t) + 1 for t in rows)])
         regions = self._compared(codes, self._narrowed(codes, self._regions(codes, first)))
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
         for row, item, start, end in zip(*(x.tolist() for x in regions)):
             match = best_part(self.texts[item], joined[start:end], int(self.most[item]))
             if match and ((row, item) not in best or match[0] < best[row, item][0]):
-                place = start - int(first[row])
-                best[row, item] = match[0], match[1] + place, match[2] + place
+                place, around = start - int(first[row]) - 1, int(self.texts[item][0] == " ")
+                best[row, item] = match[0], match[1] + place + around, match[2] + place - around
         return [self._leak(raw[row], row, item, *best[row, item]) for row, item in sorted(best)]
 
     def _regions(self, codes: np.ndarray, first: np.ndarray) -> _Regions:
@@ -315,7 +317,7 @@ class Searcher:
                 start = place - seeds.high[seed] - self.most[item]
                 end = place - seeds.low[seed] + self.sizes[item] + self.most[item]
                 start = np.maximum(start, first[row])
-                end = np.minimum(end, first[row + 1] - len(_BETWEEN_ROWS))
+                end = np.minimum(end, first[row + 1] - 1)
                 here.append(_Regions(row, item, start, end))
             found.append(_Regions(*map(np.concatenate, zip(*here))).merged())
         return _Regions(*map(np.concatenate, zip(*found))).merged()
@@ -327,8 +329,10 @@ class Searcher:
         and has all such runs of the item but _GRAM for each edit.
         """
         grams = _buckets(codes)
+        free = self.needed[regions.item] <= 0
+        parts = [_Regions(*(x[free] for x in regions))]
+        regions = _Regions(*(x[~free] for x in regions))
         bounds = np.cumsum(np.maximum(regions.end - regions.start - _GRAM + 1, 0))
-        parts = [_Regions(*np.zeros((4, 0), np.int64))]
         at = 0
         while at < len(bounds):
             done = bounds[at - 1] if at else 0
@@ -346,8 +350,7 @@ class Searcher:
         total = np.concatenate([[0], np.cumsum(self.grams[item, grams[place]])])
         window = (self.sizes + self.most - _GRAM + 1)[item]
         upto = np.minimum(np.arange(begin[-1]) + window, begin[1:][owner])
-        needed = (self.sizes - _GRAM + 1 - _GRAM * self.most)[item]
-        enough = np.flatnonzero(total[upto] - total[:-1] >= needed)
+        enough = np.flatnonzero(total[upto] - total[:-1] >= self.needed[item])
         which, one = np.unique(owner[enough], return_index=True)
         last = np.append(one[1:], len(enough)) - 1
         end = place[enough[last]] + (self.sizes + self.most)[of.item[which]]
@@ -400,8 +403,8 @@ def find_leaks(
     One row for each document row and item with a match of at most edit_rate edits for each
     character, the best one; start and end are code points of the text, end exclusive. Null
     and empty texts hold nothing, null ids are kept, equal rows each give their own matches.
-    Items without text or with fewer than LEAST_WORDS words are not looked for; two items
-    with one id are two items. No shuffle: each document is searched whole where it is read.
+    Items with fewer than LEAST_WORDS words are found as whole words without edits only, items
+    without text not at all; two items with one id are two items. No shuffle: each document is searched whole where it is read.
     """
     prepare(docs.sparkSession)
     schema = pa.schema([

@@ -106,3 +106,15 @@ def test_exact_copies_beyond_ascii(text):
         found = Searcher([(1, item)]).find(pa.array(rows))
         assert [(x.row, x.distance) for x in found] == [(k, 0) for k in range(len(rows))]
         assert [(x.start, x.end) for x in found[:3]] == [(0, n), (2, 2 + n), (0, n)]
+
+
+def test_short_items_are_found_as_whole_words():
+    items = [(1, "Who  wrote the\nOdyssey?"), (2, "a"), (3, " "), (4, None), (5, "the"), (6, "seven words are one too few here")]
+    rows = ["So: who wrote THE odyssey? Homer", "who wrote the odyssey", "whowrote the odyssey?", None, "a", "b\u00a0A ", "aa",
+            "or seven words are one too few here", "seven words are one too few her"]
+    found = Searcher(items).find(pa.array(rows))
+    assert [(x.row, x.item_id, rows[x.row][x.start : x.end]) for x in found] == [
+        (0, 1, "who wrote THE odyssey?"), (0, 5, "THE"), (1, 5, "the"), (2, 5, "the"), (4, 2, "a"), (5, 2, "A"),
+        (7, 6, "seven words are one too few here"),
+    ]
+    assert all(x.distance == 0 and x.similarity == 1 for x in found)
