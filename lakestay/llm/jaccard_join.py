@@ -430,9 +430,14 @@ def _unconnected(shared: DataFrame, roots: DataFrame, percent: int) -> DataFrame
     def most(own, total):
         return F.when(F.col("finest"), own - least(total)).otherwise(total - 2 * least(total))
 
-    # The bound on the rank falls as the partner grows, from the smallest one possible.
+    # In the finest partition the bound on the rank falls as the partner grows, from the
+    # smallest one possible; elsewhere it rises by steps, and a partner of the same size is
+    # the largest, as the index side of a pair is never the larger one.
     smallest = F.greatest("least_n", F.ceil(percent * F.col("n") / 100))
-    able = F.col("index") | (F.col("rank") <= most(F.col("n"), F.col("n") + smallest))
+    largest = F.when(F.col("finest"), most(F.col("n"), F.col("n") + smallest)).otherwise(
+        F.floor(2 * F.col("n") * (100 - percent) / (100 + percent))
+    )
+    able = F.col("index") | (F.col("rank") <= largest)
     entries = stored(entries.join(keys, "key").filter(able), "entries")
     left = entries.filter("index").select("key", "finest", *[F.col(x).alias(f"{x}_a") for x in ("c", "n", "rank", "root")])
     right = entries.select("key", *[F.col(x).alias(f"{x}_b") for x in ("c", "n", "rank", "root")])
