@@ -243,7 +243,7 @@ def block_score(block: Block, has_article: bool) -> int:
     score = min(n, 300) // 3 - 40 - int(300 * block.links)
     score += 60 if text[-1] in ".!?…。！？\"”»" and n > 20 else 0
     score += 30 if block.tag in _HEADINGS else -30 if block.tag in ("li", "td", "th", "dt") else 0
-    score -= 0 if any(c.isalpha() for c in text[:200]) else 60
+    score -= 0 if any(c.isalpha() for c in text) else 60
     score -= 150 if n < 400 and _LEGAL.search(text) else 0
     return zone + score
 

@@ -78,3 +78,9 @@ def test_query_gives_every_page_its_article(spark):
     rows = QUERIES["op2_html_extraction"](spark, FOLDER).collect()
     assert {r.page_id for r in rows} == set(pages)
     assert all(r.n_chars == len(r.text) and r.url == pages[r.page_id].url and r.text for r in rows)
+
+
+def test_letters_count_wherever_a_block_has_them():
+    block = html_extraction.Block("1 " * 150 + LONG, html_extraction.CONTENT, "p", 0, 0.0)
+    bare = block._replace(text="1 " * 150 + "2 " * 40 + "3.")
+    assert html_extraction.block_score(block, False) == html_extraction.block_score(bare, False) + 60
