@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestay.llm import (
+    collocations,
     decontamination,
     html_extraction,
     jaccard_join,
@@ -15,9 +16,11 @@ from lakestay.llm import (
     pii,
     quality,
     secret_scan,
+    sentence_pieces,
     token_counts,
     token_files,
     vector_search,
+    whitening,
 )
 from lakestay.llm.batches import prepare, table
 from lakestay.llm.components import stored
@@ -114,3 +117,55 @@ FROM s QUALIFY rank <= 10
 @query("op3_vector_search", TOP_SQL)
 def op3_vector_search(spark, folder):
     return vector_search.top_products(table(spark, folder, "embeddings"))
+
+
+@query("op11_sentence_pieces")
+def op11_sentence_pieces(spark, folder):
+    coded = sentence_pieces.encode(table(spark, folder, "documents").select("doc_id", "text"))
+    both = sentence_pieces.decode(coded)
+    return both.select(
+        "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
+@query("op12_whitening")
+def op12_whitening(spark, folder):
+    white = whitening.whitened_components(table(spark, folder, "embeddings"))
+    return white.withColumn("deviation", F.col("deviation").cast("long"))
+
+
+# DuckDB counts every run of one to five words by itself and compares lists of words.
+PHRASES_SQL = f"""
+WITH pieces AS (
+  SELECT lang, [x FOR x IN string_split_regex(piece, '[ \\t]+') IF x <> ''] AS w FROM (
+    SELECT ifnull(lang, 'und') AS lang, unnest(string_split_regex(translate(ifnull(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\n\\x0B\\x0C\\r]')) AS piece
+    FROM documents)
+), totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM pieces GROUP BY lang),
+starts AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM pieces),
+f AS (
+  SELECT lang, g, len(g) AS k, count(*) AS a
+  FROM (SELECT lang, w[i:i + k - 1] AS g FROM starts, range(1, {collocations.LONGEST + 1}) AS t(k) WHERE i + k - 1 <= len(w))
+  GROUP BY lang, g HAVING count(*) >= {collocations.LEAST_COUNT}
+), inner_parts AS (
+  SELECT lang, g[i:i + k2 - 1] AS g, max(a) AS longer
+  FROM f, range(2, {collocations.LONGEST}) AS s(k2), range(1, {collocations.LONGEST}) AS t(i) WHERE k2 < k AND i + k2 - 1 <= k
+  GROUP BY ALL
+), cuts AS (
+  SELECT f.lang, f.g, f.a, x.a AS l, y.a AS r, n, c,
+    CAST((CAST(1000 AS HUGEINT) * f.a * n) // (CAST(x.a AS HUGEINT) * y.a) AS BIGINT) AS score
+  FROM f JOIN totals USING (lang) LEFT JOIN inner_parts q ON q.lang = f.lang AND q.g = f.g
+    JOIN range(1, {collocations.LONGEST}) AS t(c) ON c < f.k
+    JOIN f AS x ON x.lang = f.lang AND x.g = f.g[1:c] JOIN f AS y ON y.lang = f.lang AND y.g = f.g[c + 1:]
+  WHERE f.k > 1 AND (q.longer IS NULL OR 100 * q.longer < {collocations.COVERED_PERCENT} * f.a)
+), best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, c) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(g, ' ')) AS rank,
+  array_to_string(g, ' ') AS phrase, a, l, r, n, score
+FROM best QUALIFY rank <= {collocations.BEST}
+"""
+
+
+@query("op13_collocations", PHRASES_SQL)
+def op13_collocations(spark, folder):
+    return collocations.collocations(table(spark, folder, "documents"))
