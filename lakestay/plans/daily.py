@@ -19,9 +19,9 @@ from lakestay.session import configure, work_folders
 from lakestay.sinks.audit import append_audit
 from lakestay.sinks.batches import refresh
 from lakestay.sinks.staging import publish_staging
-from lakestay.sinks.upsert import upsert
+from lakestay.sinks.versioned import change, is_versioned
 from lakestay.sources import seeds
-from lakestay.sources.readers import SOURCES, path_exists, read_layer, read_table
+from lakestay.sources.readers import SOURCES, read_layer, read_table
 
 log = logging.getLogger(__name__)
 
@@ -77,7 +77,7 @@ def build_sessions(spark: SparkSession, root: str, date: str, customers: DataFra
     """
     target = analytics_table(root, "fact_web_sessions")
     clicks, booked = (read_table(spark, staging_table(root, n)) for n in ("clickstream", "bookings"))
-    if path_exists(spark, target):
+    if is_versioned(spark, target):
         events = facts.touched_sessions(staging.staging_sessions(clicks, date), date)
     else:
         events = staging.stg_clickstream(clicks)
@@ -91,7 +91,7 @@ def build_sessions(spark: SparkSession, root: str, date: str, customers: DataFra
         bookings = staging.stg_bookings(booked.filter(F.col(fv.BATCH_DATE) >= F.lit(since)))
         bookings = bookings.filter(F.col(fv.BATCH_DATE).isin(days or [since]))
         sessions = facts.fact_web_sessions(events, bookings, customers)
-        return upsert(sessions, target, ["session_id"], ["session_date_id", "session_id"])
+        return change(sessions, target, ["session_id"], ["session_date_id", "session_id"])
 
 
 def build_facts(spark: SparkSession, root: str, date: str) -> dict[str, list[str]]:
@@ -102,17 +102,17 @@ def build_facts(spark: SparkSession, root: str, date: str) -> dict[str, list[str
     hotels, customers, channels = table("dim_hotels"), table("dim_customers"), table("dim_channels")
 
     def batch(name):
-        exists = path_exists(spark, analytics_table(root, f"fact_{name}"))
+        exists = is_versioned(spark, analytics_table(root, f"fact_{name}"))
         return staging.staging_batch(name, read_table(spark, staging_table(root, name)), date, exists)
 
     days = {}
     bookings = facts.fact_bookings(batch("bookings"), hotels, customers, channels, fx)
-    days["fact_bookings"] = upsert(
+    days["fact_bookings"] = change(
         bookings, analytics_table(root, "fact_bookings"), ["booking_id"],
         ["hotel_sk", "checkin_date_id", "booking_id"],
     )
     payments = facts.fact_payments(batch("payments"), table("fact_bookings"), fx)
-    days["fact_payments"] = upsert(
+    days["fact_payments"] = change(
         payments, analytics_table(root, "fact_payments"), ["payment_id"],
         ["customer_sk", "payment_date_id", "payment_id"],
     )

@@ -9,7 +9,7 @@ from lakestay.plans.silver import silver_frames
 from lakestay.registry.core import flat, query
 from lakestay.registry.entities import ranked_sql
 from lakestay.session import work_folder
-from lakestay.sinks import audit, batches
+from lakestay.sinks import audit, batches, versioned
 from lakestay.sinks.staging import publish_staging, reconcile_batches
 from lakestay.sinks.upsert import align_schema, incremental_slice, upsert
 from lakestay.sources import readers, seeds
@@ -164,6 +164,46 @@ def incremental_upsert(t):
     return merged.select("booking_id", "booking_status", F.col(fv.BATCH_DATE).cast("date").alias(fv.BATCH_DATE), "note")
 
 
+CHANGES_SQL = """
+    WITH base AS (SELECT booking_id, booking_status, _batch_date, CAST(substr(booking_id, 4) AS BIGINT) AS k FROM bookings),
+    states AS (SELECT *, CASE WHEN k % 15 = 0 THEN 2 WHEN k % 10 = 0 OR _batch_date = DATE '2024-01-02' THEN 1 ELSE 0 END AS change FROM base WHERE k % 7 <> 3)
+    SELECT booking_id, list_extract([booking_status, 'CHANGED', 'AGAIN'], change + 1) AS booking_status,
+        CASE change WHEN 1 THEN DATE '2024-02-10' ELSE _batch_date END AS _batch_date,
+        list_extract([NULL, 'new', 'again'], change + 1) AS note FROM states"""
+
+
+def _changed_bookings(t):
+    """A batch replacing every tenth booking and a whole day, with a new column, another
+    putting some back into their days, and the deletion of some keys."""
+    table = work_folder(t.spark, "bookings")
+    base = t("bookings").select("booking_id", "booking_status", fv.BATCH_DATE)
+    key = F.substring("booking_id", 4, 20).cast("long")
+    bookings = versioned.VersionedTable.create(base, table, ["booking_id"])
+    moved = base.filter((key % 10 == 0) | (F.col(fv.BATCH_DATE) == "2024-01-02"))
+    bookings.upsert(moved.select(
+        "booking_id", F.lit("CHANGED").alias("booking_status"), F.lit("new").alias("note"),
+        F.lit("2024-02-10").cast("date").alias(fv.BATCH_DATE),
+    ))
+    again = base.filter(key % 15 == 0)
+    bookings.upsert(again.withColumns({"booking_status": F.lit("AGAIN"), "note": F.lit("again")}))
+    bookings.delete(base.filter(key % 7 == 3))
+    return bookings
+
+
+@query("merge_on_read", CHANGES_SQL, ("bookings",))
+def merge_on_read(t):
+    """The current rows of a table and its changes, read together."""
+    return _changed_bookings(t).read()
+
+
+@query("merge_compacted", CHANGES_SQL, ("bookings",))
+def merge_compacted(t):
+    """The same rows once the changes are compacted into their days."""
+    bookings = _changed_bookings(t)
+    bookings.compact()
+    return bookings.read()
+
+
 @query("incremental_slice", """
     SELECT event_id, CAST(ts AS DATE) AS _batch_date FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-12'""")
 def incremental_slice_query(t):
@@ -231,7 +271,7 @@ def reconcile_counts(t):
 
 @query("run_audit", """
     SELECT 'run-1' AS run_id, _batch_date AS execution_date, 'staging' AS step_name, 'SUCCESS' AS status, count(*) AS rows_processed,
-        '' AS error_message, '{"expected":' || count(*) || ',"actual":' || count(*) || '}' AS details FROM bookings GROUP BY _batch_date""", ("bookings",))
+        '' AS error_message, '{"expected":' || count(*) || ',"actual":' || count(*) || '}' AS details, true AS _created_at FROM bookings GROUP BY _batch_date""", ("bookings",))
 def run_audit(t):
     """An audit row per batch, from its reconciliation."""
     counts = reconcile_batches(*_written_bookings(t))
@@ -242,14 +282,31 @@ def run_audit(t):
     ))
     table = work_folder(t.spark, "audit")
     rows.write.mode("append").parquet(table)
-    return t.spark.read.parquet(table).drop("started_at", "finished_at")
+    found = t.spark.read.parquet(table).withColumn("_created_at", F.col("_created_at") >= F.col("finished_at"))
+    return found.drop("started_at", "finished_at")
 
 
-@query("lake_inventory")
+EVENT_LINE = "event_id || ',' || event_type || ',' || user_id"
+INVENTORY_SQL = f"""
+    WITH counted AS (SELECT count(DISTINCT CAST(ts AS DATE)) + 1 AS n, sum(length({EVENT_LINE}) + 1) AS b FROM events)
+    SELECT layer, CAST(CASE layer WHEN 'raw' THEN n WHEN 'other' THEN 1 ELSE 0 END AS BIGINT) AS n_files,
+        CAST(CASE layer WHEN 'raw' THEN b ELSE 0 END AS BIGINT) AS n_bytes
+    FROM counted, (SELECT unnest({[*fv.LAYERS, 'other']}) AS layer)"""
+
+
+@query("lake_inventory", INVENTORY_SQL)
 def lake_inventory(t):
-    """Files and bytes of a lake with bronze and silver bookings; both depend on the cluster."""
+    """A lake with a text file of events for every day and an empty file beside the layers.
+
+    Every day is one file and Spark marks the finished write with a further one, so
+    neither files nor bytes depend on the cluster.
+    """
     root = work_folder(t.spark, "lake")
-    rows = t("bookings").select("booking_id", "total_amount", fv.BATCH_DATE)
-    batches.write_days(rows, readers.layer_path(root, "bronze", "bookings"))
-    batches.write_days(rows.dropDuplicates(["booking_id"]), readers.layer_path(root, "silver", "bookings"))
+    line = F.concat_ws(",", F.col("event_id").cast("string"), "event_type", F.col("user_id").cast("string"))
+    lines = t("events").select(line.alias("value"), F.to_date("ts").alias(fv.BATCH_DATE))
+    days = lines.repartition(fv.BATCH_DATE).write.partitionBy(fv.BATCH_DATE)
+    days.text(readers.layer_path(root, "raw", "events"))
+    Path = t.spark._jvm.org.apache.hadoop.fs.Path
+    store = Path(root).getFileSystem(t.spark._jsc.hadoopConfiguration())
+    store.create(Path(f"{root}/notes/empty.txt")).close()
     return audit.lake_inventory(t.spark, root)

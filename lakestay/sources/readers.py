@@ -158,7 +158,15 @@ def read_rejected(spark: SparkSession, path: str, schema: StructType) -> DataFra
 
 
 def read_table(spark: SparkSession, table: str) -> DataFrame:
-    """A whole table by batch date; filters on the date prune folders."""
+    """A whole table by batch date; filters on the date prune folders.
+
+    Of a table changed by key these are its current rows.
+    """
+    # Sinks read what they write, so this one is imported here.
+    from lakestay.sinks.versioned import VersionedTable, is_versioned
+
+    if is_versioned(spark, table):
+        return VersionedTable.open(spark, table).read()
     df = spark.read.parquet(table)
     if fv.BATCH_DATE in df.columns:
         df = df.withColumn(fv.BATCH_DATE, F.col(fv.BATCH_DATE).cast("date"))

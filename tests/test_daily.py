@@ -170,21 +170,33 @@ def test_audit_and_inventory(spark, lake):
     audit = table(spark, root, "run_audit")
     assert audit.filter("status = 'SUCCESS'").count() == 7
     assert audit.filter("step_name = 'bronze'").first()["rows_processed"] == 37
-    found = {r["layer"]: (r["n_files"], r["n_bytes"]) for r in lake_inventory(spark, root).collect()}
+    assert audit.filter("_created_at >= finished_at").count() == 7
     want = {}
     for folder, _, files in os.walk(root):
         for name in files:
-            if not name.startswith((".", "_")):
+            if not name.endswith(".crc"):  # the local store's own check files
                 path = os.path.join(folder, name)
-                if not os.path.getsize(path):
-                    continue  # a scan does not see empty files
                 layer = os.path.relpath(path, root).split(os.sep)[0]
                 layer = layer if layer in fv.LAYERS else "other"
-                n, size = want.get(layer, (0, 0))
-                want[layer] = (n + 1, size + os.path.getsize(path))
-    assert found == want and found["raw"][0] == 6 and "other" in found
-    assert lake_inventory(spark, root, "2020-01-01").count() == 0
-    assert {r["layer"] for r in lake_inventory(spark, root, layer="raw").collect()} == {"raw"}
+                want.setdefault(layer, []).append((path, os.path.getsize(path)))
+
+    def listed(**by):
+        return {r["layer"]: (r["n_files"], r["n_bytes"]) for r in lake_inventory(spark, root, **by).collect()}
+
+    def counted(pick, layers):
+        picked = {n: [s for p, s in want.get(n, []) if pick in p] for n in layers}
+        return {n: (len(s), sum(s)) for n, s in picked.items()}
+
+    everything = (*fv.LAYERS, "other")
+    assert listed() == counted("", everything) and listed()["raw"][0] == 6
+    assert any(size == 0 for found in want.values() for _, size in found)
+    assert listed(date=land.DAY1) == counted(f"_batch_date={land.DAY1}/", everything)
+    assert listed(date=land.DAY1)["bronze"][0] > 0
+    assert listed(date="2020-01-01") == {n: (0, 0) for n in everything}
+    assert listed(layer="raw") == counted("", ("raw",))
+    open(f"{root}/stray", "w").close()
+    assert listed()["other"][0] == len(want["other"]) + 1
+    os.remove(f"{root}/stray")
 
 
 def test_second_day(spark, lake2):

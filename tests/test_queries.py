@@ -9,8 +9,6 @@ from lakestay.registry import REGISTRY
 from tests.oracle import compare, connect
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
-# Their numbers depend on the cluster; tested in test_daily.py.
-ROWS_ONLY = {"lake_inventory"}
 
 
 @pytest.fixture(scope="module")
@@ -21,7 +19,7 @@ def duck():
 
 
 def test_every_query_has_its_sql():
-    assert set(REGISTRY) - set(oracle_sql()) == ROWS_ONLY
+    assert set(REGISTRY) - set(oracle_sql()) == set()
     assert set(oracle_sql()) <= set(queries())
 
 
@@ -31,11 +29,8 @@ def test_query(spark, duck, name):
     plan = df._jdf.queryExecution().executedPlan().toString()
     for slow in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "ArrowEvalPython", "MapInPandas"):
         assert slow not in plan
-    if name in ROWS_ONLY:
-        assert df.count() > 0
-    else:
-        difference = compare(duck, df, oracle_sql()[name])
-        assert difference is None, difference
+    difference = compare(duck, df, oracle_sql()[name])
+    assert difference is None, difference
 
 
 def test_entry(spark):
