@@ -12,14 +12,14 @@ from pyspark.sql import functions as F
 
 from lakestay import fixed_values as fv
 from lakestay.operators.quality import check_report
-from lakestay.plans import checks, dimensions, facts, reports, staging
+from lakestay.plans import checks, dimensions, facts, inventory, reports, staging
 from lakestay.plans.bronze import bronze_ingest
 from lakestay.plans.silver import cleanse
-from lakestay.session import configure, work_folders
+from lakestay.session import configure, delete_folder, work_folders
 from lakestay.sinks.audit import append_audit
 from lakestay.sinks.batches import refresh
 from lakestay.sinks.staging import publish_staging
-from lakestay.sinks.versioned import change, is_versioned
+from lakestay.sinks.versioned import VersionedTable, change, is_versioned
 from lakestay.sources import seeds
 from lakestay.sources.readers import SOURCES, read_layer, read_table
 
@@ -60,15 +60,86 @@ def load_staging(spark: SparkSession, root: str, name: str, date: str) -> int:
     )
 
 
-def build_dimensions(spark: SparkSession, root: str) -> None:
-    views = {n: staging.staging_view(n, read_table(spark, staging_table(root, n))) for n in ("hotels", "customers")}
-    refresh(dimensions.dim_hotels(views["hotels"]), analytics_table(root, "dim_hotels"), ["hotel_id", "valid_from"])
-    refresh(dimensions.dim_customers(views["customers"]), analytics_table(root, "dim_customers"), ["user_id", "valid_from"])
+def batches_of(spark: SparkSession, table: str) -> list[str]:
+    """The days a table has a folder for."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{table}/{fv.BATCH_DATE}=*")
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
+    return sorted(str(s.getPath()).rsplit("=", 1)[1] for s in found)
+
+
+def days_to_apply(target: VersionedTable, staged: list[str], date: str) -> list[str]:
+    """The day itself and staged days an earlier run did not get to."""
+    return sorted({*staged, date} - target.applied() | {date})
+
+
+def build_dimension(spark: SparkSession, root: str, history: dimensions.History, date: str) -> None:
+    """Merge one day's snapshot into a dimension; all snapshots while there is no table of it.
+
+    Ids of changed hotels are written down before the dimension changes, for the room nights.
+    """
+    path, source = analytics_table(root, history.name), staging_table(root, history.source)
+    staged = batches_of(spark, source)
+    raw = read_table(spark, source)
+    if not is_versioned(spark, path):
+        whole = history.build(staging.staging_view(history.source, raw))
+        target = VersionedTable.create(whole, path, [history.key], [history.key], "valid_from")
+        target.note_applied(staged)
+        return
+    target = VersionedTable.open(spark, path)
+    for day in days_to_apply(target, staged, date):
+        own = F.col(fv.BATCH_DATE) == F.lit(day).cast("date")
+        after = [d for d in target.applied() if d > day]
+        later = staging.staging_keys(history.source, raw.filter(F.col(fv.BATCH_DATE).isin(
+            [F.lit(d).cast("date") for d in after]
+        ))) if after else None
+        with work_folders(spark, "touched-keys") as (folder,):
+            touched, rows = dimensions.merge_snapshot(
+                history, target.read(), staging.staging_view(history.source, raw.filter(own)), later, day, folder
+            )
+            if touched.limit(1).count():
+                if history.name == "dim_hotels":
+                    touched.write.parquet(f"{root.rstrip('/')}/analytics/_changed_hotels/{day}-{uuid.uuid4().hex}")
+                # A key whose only snapshot is gone has no rows left.
+                gone = touched.join(rows.select(history.key), history.key, "left_anti")
+                target.upsert(rows, sort_by=[history.key])
+                if gone.limit(1).count():
+                    target.delete(gone, sort_by=[history.key])
+        target.note_applied([day])
+
+
+def build_dimensions(spark: SparkSession, root: str, date: str) -> None:
+    for history in dimensions.HISTORIES:
+        build_dimension(spark, root, history, date)
     refresh(seeds.dim_channels(spark), analytics_table(root, "dim_channels"))
     refresh(seeds.dim_geography(spark), analytics_table(root, "dim_geography"))
     refresh(seeds.dim_dates(spark), analytics_table(root, "dim_dates"))
 
 
+def build_inventory(spark: SparkSession, root: str, date: str, hotels: DataFrame, fx: DataFrame) -> None:
+    """Bring the room nights up to date with the day; all bookings while there is no table of them."""
+    fact, kept = analytics_table(root, "fact_hotel_inventory"), analytics_table(root, "booked_stays")
+    pending = analytics_table(root, "_inventory_change")
+    source = staging_table(root, "bookings")
+    staged, raw = batches_of(spark, source), read_table(spark, source)
+    journal = analytics_table(root, "_changed_hotels")
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{journal}/*")
+    noted = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
+    names = [str(s.getPath()) for s in noted]
+    if is_versioned(spark, fact):
+        target = VersionedTable.open(spark, fact)
+        changed = [(spark.read.parquet(n), n.rsplit("/", 1)[1][:10]) for n in names]
+        for day in days_to_apply(target, staged, date):
+            inventory.update(raw, hotels, fx, fact, kept, pending, day, changed)
+            target.note_applied([day])
+            changed = []
+    else:
+        delete_folder(spark, pending)
+        inventory.build(staging.stg_bookings(raw), hotels, fx, fact, kept)
+        VersionedTable.open(spark, fact).note_applied(staged)
+    for name in names:
+        delete_folder(spark, name)
+
+
 def build_sessions(spark: SparkSession, root: str, date: str, customers: DataFrame) -> list[str]:
     """Upsert the sessions a batch touches; all sessions while there is no table of them.
 
@@ -95,8 +166,8 @@ def build_sessions(spark: SparkSession, root: str, date: str, customers: DataFra
 
 
 def build_facts(spark: SparkSession, root: str, date: str) -> dict[str, list[str]]:
-    """Upsert the day's bookings, payments and sessions; rebuild the room nights,
-    to which many batches contribute. A fact that has no table yet gets all batches."""
+    """Upsert the day's bookings, payments and sessions; count its bookings into and out of
+    the room nights. A fact that has no table yet gets all batches."""
     table = lambda name: read_table(spark, analytics_table(root, name))
     fx = seeds.fx_rates(spark)
     hotels, customers, channels = table("dim_hotels"), table("dim_customers"), table("dim_channels")
@@ -117,11 +188,7 @@ def build_facts(spark: SparkSession, root: str, date: str) -> dict[str, list[str
         ["customer_sk", "payment_date_id", "payment_id"],
     )
     days["fact_web_sessions"] = build_sessions(spark, root, date, customers)
-    all_bookings = staging.stg_bookings(read_table(spark, staging_table(root, "bookings")))
-    refresh(
-        facts.fact_hotel_inventory(all_bookings, hotels, fx),
-        analytics_table(root, "fact_hotel_inventory"), ["hotel_sk", "date_id", "room_type"],
-    )
+    build_inventory(spark, root, date, hotels, fx)
     return days
 
 
@@ -183,7 +250,7 @@ def run_day(
         "bronze": for_all(SOURCES, lambda n: bronze_ingest(spark, SOURCES[n], root, date, run_id)),
         "silver": for_all(SOURCES, lambda n: cleanse(spark, root, n, date, max_ratio)),
         "staging": for_all(SOURCES, lambda n: {"rows": load_staging(spark, root, n, date)}),
-        "dimensions": lambda: build_dimensions(spark, root),
+        "dimensions": lambda: build_dimensions(spark, root, date),
         "facts": lambda: build_facts(spark, root, date),
         "reports": lambda: build_reports(spark, root, date),
         "checks": lambda: verify_tables(spark, root),

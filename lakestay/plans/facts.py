@@ -125,35 +125,56 @@ def fact_web_sessions(events: DataFrame, bookings: DataFrame, dim_customers: Dat
     )
 
 
-def room_nights(stg_bookings: DataFrame, fx: DataFrame) -> DataFrame:
-    """Booked rooms and full-precision night rate sums per hotel, room type and night."""
+STAY = ("hotel_id", "room_type", "checkin_date", "nights", "_rate")
+NIGHT = ("hotel_id", "room_type", "stay_date")
+
+
+def stays(stg_bookings: DataFrame, fx: DataFrame) -> DataFrame:
+    """The confirmed bookings with their nights and full-precision night rate."""
     confirmed = stg_bookings.filter(is_status("booking_status", "CONFIRMED"))
     nights = F.greatest("nights", F.lit(1))
-    rated = fx_asof(confirmed, fx, "currency", fv.BATCH_DATE).select(
-        "hotel_id", "room_type", "checkin_date", nights.alias("nights"),
-        (to_usd(F.col("total_amount"), F.col("fx_units_per_usd")) / nights)
-        .cast("decimal(26,12)").alias("_rate"),
-    )
-    return (
-        explode_nights(rated, "checkin_date", F.col("nights"), "stay_date")
-        .groupBy("hotel_id", "room_type", "stay_date")
-        .agg(
-            F.count(F.lit(1)).alias("booked_rooms"),
-            (F.sum("_rate") / F.count("_rate")).alias("_adr"),
-        )
+    rate = to_usd(F.col("total_amount"), F.col("fx_units_per_usd")) / nights
+    kept = ["hotel_id", "room_type", "checkin_date", nights.alias("nights"), rate.cast("decimal(26,12)").alias("_rate")]
+    return fx_asof(confirmed, fx, "currency", fv.BATCH_DATE).select("booking_id", *kept, fv.BATCH_DATE)
+
+
+def room_nights(stays: DataFrame, sign: str = "1") -> DataFrame:
+    """Booked rooms, rooms with a rate and the exact sum of rates per hotel, room type and
+    night; sign is an expression that counts a stay in or out."""
+    nights = explode_nights(stays, "checkin_date", F.col("nights"), "stay_date")
+    one = F.expr(sign).cast("long")
+    return nights.groupBy(*NIGHT).agg(
+        F.sum(one).alias("booked_rooms"),
+        F.sum(F.when(F.col("_rate").isNotNull(), one).otherwise(0)).alias("_rated"),
+        F.coalesce(F.sum(F.when(one < 0, -F.col("_rate")).otherwise(F.col("_rate"))), F.lit(0))
+        .cast("decimal(36,12)").alias("_rate_sum"),
     )
 
 
 def fact_hotel_inventory(stg_bookings: DataFrame, dim_hotels: DataFrame, fx: DataFrame) -> DataFrame:
-    """Occupancy, average daily rate and revenue per available room of each night.
+    """Occupancy, average daily rate and revenue per available room of each night."""
+    return inventory_rows(room_nights(stays(stg_bookings, fx)), dim_hotels).select(*INVENTORY)
+
+
+INVENTORY = (
+    "hotel_sk", "date_id", "room_type", "total_rooms", "booked_rooms", "available_rooms", "occupancy_rate",
+    "adr_usd", "revpar_usd", "stay_date",
+)
+# What is kept beside a night's row so that bookings can be counted in and out.
+KEPT = ("_hotel_id", "_rated", "_rate_sum")
+
+
+def inventory_rows(nights: DataFrame, dim_hotels: DataFrame) -> DataFrame:
+    """A row of the inventory for each night, with the columns kept to change it.
 
     Capacity is that of the hotel version on the night itself. Rates keep 12
     digits to the end, operands being narrowed so that products and quotients
     keep them too; the inner rounding at 10 digits brings thirds and sevenths
     back onto the cent they stand for.
     """
+    nights = nights.withColumn("_adr", F.col("_rate_sum") / F.nullif("_rated", F.lit(0).cast("long")))
     found = scd2_lookup(
-        room_nights(stg_bookings, fx), dim_hotels, ("hotel_id", "hotel_id"), "stay_date",
+        nights, dim_hotels, ("hotel_id", "hotel_id"), "stay_date",
         {"hotel_sk": "hotel_sk", "total_rooms": "total_rooms"},
         {"hotel_sk": _unknown(), "total_rooms": F.lit(0)},
     )
@@ -169,5 +190,5 @@ def fact_hotel_inventory(stg_bookings: DataFrame, dim_hotels: DataFrame, fx: Dat
         cents(
             F.col("_adr").cast("decimal(24,12)") * booked.cast("decimal(10,0)") / capacity.cast("decimal(10,0)")
         ).alias("revpar_usd"),
-        "stay_date",
+        "stay_date", F.col("hotel_id").alias("_hotel_id"), "_rated", "_rate_sum",
     )

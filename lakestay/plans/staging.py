@@ -60,6 +60,13 @@ def staging_view(name: str, staging: DataFrame) -> DataFrame:
     )
 
 
+def staging_keys(name: str, staging: DataFrame) -> DataFrame:
+    """(key, batch date) of a staging view's rows, without their versions and other columns."""
+    key = fv.STAGING_VERSIONS[name][0][0]
+    kept = filter_nonempty(staging, key).select(NORMALISED[name][key](key).alias(key), fv.BATCH_DATE)
+    return kept.distinct()
+
+
 def staging_batch(name: str, staging: DataFrame, date: str, exists: bool = True) -> DataFrame:
     """The rows of one batch that no later batch replaces; all rows while the target is missing.
 

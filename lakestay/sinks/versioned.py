@@ -2,9 +2,9 @@
 
 A table is a folder with
 
-    _table/<n>.json                     key and columns, the highest number counts
-    _batch_date=<day>/gen=<g>/          the rows of a day, the highest generation counts;
-    _batch_date=<day>/gone=<g>/         a day without rows
+    _table/<n>.json                     key, day and columns, the highest number counts
+    <day>=<date>/gen=<g>/               the rows of a day, the highest generation counts;
+    <day>=<date>/gone=<g>/              a day without rows
     _changes/version=<v>/               the rows of one change and the keys it deletes
 
 A change is one appended folder, as large as the change, whatever days hold the keys it
@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -28,7 +28,6 @@ from pyspark.sql.types import BooleanType, IntegerType, StructField, StructType
 
 from lakestay import fixed_values as fv
 from lakestay.session import delete_folder
-from lakestay.sinks.batches import write_days
 
 # Changes a table collects before its next change compacts it.
 MOST_CHANGES = 24
@@ -87,27 +86,31 @@ def is_versioned(spark: SparkSession, table: str) -> bool:
 
 @dataclass
 class VersionedTable:
-    """A table with rows by batch date, changed by key."""
+    """A table with its rows in folders by a date column, changed by key."""
 
     spark: SparkSession
     path: str
     key: tuple[str, ...]
     schema: StructType
+    day: str = fv.BATCH_DATE
 
     # ---- opening ------------------------------------------------------------------
 
     @classmethod
-    def create(cls, rows: DataFrame, path: str, key: Sequence[str], sort_by: Sequence[str] = ()) -> VersionedTable:
+    def create(
+        cls, rows: DataFrame, path: str, key: Sequence[str], sort_by: Sequence[str] = (), day: str = fv.BATCH_DATE
+    ) -> VersionedTable:
         """A new table of some rows; what a failed attempt left is deleted first."""
         spark = rows.sparkSession
         store = _Store(spark, path)
         if is_versioned(spark, path):
             raise FileExistsError(path)
         delete_folder(spark, path)
-        table = cls(spark, path, tuple(key), StructType([StructField(f.name, f.dataType) for f in rows.schema.fields]))
+        schema = StructType([StructField(f.name, f.dataType) for f in rows.schema.fields])
+        table = cls(spark, path, tuple(key), schema, day)
         staged = table._staged(rows, sort_by)
-        for day in store.names(f"{staged}/*=*"):
-            store.move(day, f"{day.split('/')[-1]}/gen=000000")
+        for folder in store.names(f"{staged}/*=*"):
+            store.move(folder, f"{folder.split('/')[-1]}/gen=000000")
         store.drop(staged)
         table._describe(0)
         return table
@@ -119,10 +122,10 @@ class VersionedTable:
         if not found:
             raise FileNotFoundError(f"no versioned table at {path}")
         known = json.loads(store.get(found[-1]))
-        return cls(spark, path, tuple(known["key"]), StructType.fromJson(known["schema"]))
+        return cls(spark, path, tuple(known["key"]), StructType.fromJson(known["schema"]), known["day"])
 
     def _describe(self, number: int) -> None:
-        text = json.dumps({"key": list(self.key), "schema": json.loads(self.schema.json())})
+        text = json.dumps({"key": list(self.key), "day": self.day, "schema": json.loads(self.schema.json())})
         self._store().put(f"_table/{number:06d}.json", text)
 
     def _store(self) -> _Store:
@@ -131,7 +134,7 @@ class VersionedTable:
     # ---- reading ------------------------------------------------------------------
 
     def read(self) -> DataFrame:
-        """The current rows; filters on the batch date prune days."""
+        """The current rows; filters on the day prune folders."""
         return self._read(self._versions())
 
     def _read(self, versions: Sequence[str]) -> DataFrame:
@@ -147,7 +150,7 @@ class VersionedTable:
     def _day_folders(self) -> list[str]:
         """Of every day its newest folder, if it has rows."""
         newest: dict[str, str] = {}
-        for name in self._store().names(f"{fv.BATCH_DATE}=*/*=*"):
+        for name in self._store().names(f"{self.day}=*/*=*"):
             day, state = name.split("/")
             old = newest.get(day, "=")
             if state.split("=")[1] >= old.split("=")[1]:
@@ -214,9 +217,20 @@ class VersionedTable:
     def _agree(self, rows: DataFrame) -> None:
         """A column keeps its type."""
         for field in self.schema.fields:
-            if field.name in rows.columns and rows.schema[field.name].dataType != field.dataType:
+            if field.name in rows.columns and rows.schema[field.name].dataType.simpleString() != field.dataType.simpleString():
                 raise TypeError(f"{field.name}: {rows.schema[field.name].dataType} for {field.dataType}")
 
+    # ---- batches that went in -------------------------------------------------------
+
+    def applied(self) -> set[str]:
+        """The batches noted as applied to this table."""
+        return {n.split("/")[-1] for n in self._store().names("_applied/*")}
+
+    def note_applied(self, batches: Iterable[str]) -> None:
+        store = self._store()
+        for batch in batches:
+            store.fs.mkdirs(store.at(f"_applied/{batch}"))
+
     # ---- compaction ---------------------------------------------------------------
 
     def compact(self, sort_by: Sequence[str] = ()) -> list[str]:
@@ -229,17 +243,17 @@ class VersionedTable:
         if not versions:
             return []
         changes, days = self._changes(versions), self._days()
-        replaced = days.select(*self.key, fv.BATCH_DATE).join(changes.select(*self.key), list(self.key), "left_semi")
+        replaced = days.select(*self.key, self.day).join(changes.select(*self.key), list(self.key), "left_semi")
         newest = self._newest(changes).filter(~F.col(_DELETED)).drop(_DELETED)
-        touched = replaced.select(fv.BATCH_DATE).unionByName(newest.select(fv.BATCH_DATE)).distinct()
+        touched = replaced.select(self.day).unionByName(newest.select(self.day)).distinct()
         touched = sorted(str(r[0]) for r in touched.collect())
         if touched:
-            old = days.filter(F.col(fv.BATCH_DATE).isin([F.lit(d).cast("date") for d in touched]))
+            old = days.filter(F.col(self.day).isin([F.lit(d).cast("date") for d in touched]))
             staged = self._staged(self._unchanged(old, changes).unionByName(newest), sort_by)
             try:
                 filled = {n.split("/")[-1]: n for n in store.names(f"{staged}/*=*")}
                 for day in touched:
-                    self._publish(f"{fv.BATCH_DATE}={day}", filled)
+                    self._publish(f"{self.day}={day}", filled)
             finally:
                 store.drop(staged)
         for version in versions:
@@ -261,20 +275,23 @@ class VersionedTable:
     def _staged(self, rows: DataFrame, sort_by: Sequence[str]) -> str:
         """The rows by day in a new folder of the table that reads pass over."""
         staged = f"_staged-{uuid.uuid4().hex}"
-        write_days(rows, f"{self.path.rstrip('/')}/{staged}", sort_by)
+        body = rows.hint("rebalance", self.day).sortWithinPartitions(self.day, *sort_by)
+        body.write.partitionBy(self.day).parquet(f"{self.path.rstrip('/')}/{staged}")
         return staged
 
 
-def change(new: DataFrame, path: str, key: Sequence[str], sort_by: Sequence[str] = ()) -> list[str]:
+def change(
+    new: DataFrame, path: str, key: Sequence[str], sort_by: Sequence[str] = (), day: str = fv.BATCH_DATE
+) -> list[str]:
     """Upsert into a versioned table, made with these rows where there is none; the days of the rows."""
     spark = new.sparkSession
     if is_versioned(spark, path):
         table = VersionedTable.open(spark, path)
         number = table.upsert(new, most_changes=1 << 30, sort_by=sort_by)
-        own = table._changes([f"_changes/{_VERSION}={number:06d}"]).select(fv.BATCH_DATE).distinct().collect()
+        own = table._changes([f"_changes/{_VERSION}={number:06d}"]).select(table.day).distinct().collect()
         days = sorted(str(r[0]) for r in own)
         if len(table._versions()) > MOST_CHANGES:
             table.compact(sort_by)
         return days
-    table = VersionedTable.create(new, path, key, sort_by)
+    table = VersionedTable.create(new, path, key, sort_by, day)
     return [f.split("/")[0].split("=")[1] for f in table._day_folders()]
