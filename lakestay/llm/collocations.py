@@ -1,9 +1,10 @@
 """Phrases that occur together more often than their parts would by chance, by language.
 
 Frequent phrases are found length by length. A phrase can only be frequent if the phrases
-without its last and without its first word are, and if at least one part of the documents
-holds its share of the least count. What passes both, seen in the pass over the texts for the
-length before, is a candidate. Candidates are put into double-array tries of bounded size,
+without its last and without its first word are. Of those the pass for the length before
+has seen, each part of the documents names the ones that have their share of the least count
+in it, and what the parts named bounds the count of each phrase from above; candidates are
+those whose bound reaches the least count. Candidates are put into double-array tries of bounded size,
 which are broadcast; every task walks them from all positions of its texts at once and adds
 up what it arrives at, and the sums of all tasks are added up.
 
@@ -40,8 +41,10 @@ TRIE_ROWS = 1 << 20
 # Frequent words that are broadcast to look candidates over in the tasks that see them first;
 # where there are more, joins alone do that.
 MOST_WORDS = 1 << 22
-# Distinct rows a task keeps before it passes them on.
-KEPT_ROWS = 1 << 20
+# Distinct rows a task keeps before it passes them on, and words of such a part of the texts.
+KEPT_ROWS = 1 << 21
+PART_WORDS = 1 << 23
+_BATCH = 1 << 16
 
 # What ends a piece of text.
 BREAKS = b".,;:!?\n\x0b\x0c\r"
@@ -147,9 +150,11 @@ def _keys(column: pa.ChunkedArray, length: int) -> np.ndarray:
 class _Seen:
     """Candidates for the next length that a task has seen: pairs of a prefix and a word.
 
-    The rows of a part are passed on that hold their share of the least count: of a phrase
-    with at least that count in all, one part has at least its words' share of it. A part
-    is what a task has read since it last passed rows on.
+    A part is what a task has read since it last passed rows on. It names the phrases whose
+    count in it is at least its words' share of the least count; others have at most one
+    less in it. So, with n = count - (share - 1) for what a part names and share - 1 for
+    every part, the sum of all n is no less than the count of a phrase. Where all words are
+    many parts' worth, the share is 1 and that sum is the count.
     """
 
     def __init__(self, all_words: int, least: int):
@@ -165,25 +170,35 @@ class _Seen:
         self.counts.append(count)
         self.size += len(own)
         self.words += words
-        if self.size > KEPT_ROWS:
-            self._combine()
-
-    def _combine(self) -> None:
-        codes, place = np.unique(np.concatenate(self.codes), return_inverse=True)
-        counts = np.bincount(place, weights=np.concatenate(self.counts), minlength=len(codes)).astype(np.int64)
-        self.codes, self.counts, self.size = [codes], [counts], len(codes)
+        if self.size > 2 * KEPT_ROWS:
+            codes, place = np.unique(np.concatenate(self.codes), return_inverse=True)
+            counts = np.bincount(place, weights=np.concatenate(self.counts), minlength=len(codes)).astype(np.int64)
+            self.codes, self.counts, self.size = [codes], [counts], len(codes)
 
     def full(self) -> bool:
-        return self.size > KEPT_ROWS // 2
+        return self.size > KEPT_ROWS and len(self.codes) == 1 or self.words > PART_WORDS
 
-    def take(self) -> np.ndarray:
+    def take(self, phrases) -> Iterator[pa.RecordBatch]:
+        """The rows of a part; phrases makes phrases of codes."""
         if not self.codes:
-            return np.empty(0, np.int64)
-        self._combine()
-        share = -(-self.least * self.words // max(self.all_words, 1))
-        codes = self.codes[0][self.counts[0] >= share]
+            return
+        codes, place = np.unique(np.concatenate(self.codes), return_inverse=True)
+        counts = np.bincount(place, weights=np.concatenate(self.counts), minlength=len(codes)).astype(np.int64)
+        share = 1
+        if not _many(self.all_words, self.least):
+            share = max(-(-self.least * self.words // max(self.all_words, 1)), 1)
+        named = np.flatnonzero(counts >= share)
         self._clear()
-        return codes
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.binary()), pa.array([share - 1], pa.int64())], ["phrase", "n"])
+        for a in range(0, len(named), _BATCH):
+            at = named[a : a + _BATCH]
+            rows = _binary(phrases(codes[at]))
+            yield pa.RecordBatch.from_arrays([rows, pa.array(counts[at] - (share - 1))], ["phrase", "n"])
+
+
+def _many(all_words: int, least: int) -> bool:
+    """Whether no part's share of the least count is more than 1."""
+    return all_words >= least * PART_WORDS
 
 
 def _numbered(keys: np.ndarray, frequent: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
@@ -200,16 +215,14 @@ def _numbered(keys: np.ndarray, frequent: np.ndarray | None) -> tuple[np.ndarray
 
 
 def _pairs(docs: DataFrame, seed: int, frequent, all_words: int, least: int) -> DataFrame:
-    """Pairs of words that may be frequent, with 0 for their count."""
+    """Pairs of frequent words as _Seen passes them on."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = None if frequent is None else frequent.value
         seen = _Seen(all_words, least)
         table = known
 
-        def passed():
-            codes = seen.take()
-            rows = np.column_stack([table[codes >> 32], table[codes & 0xFFFFFFFF]]) if len(codes) else np.empty((0, 2), np.uint64)
-            return pa.RecordBatch.from_arrays([_binary(rows), pa.array(np.zeros(len(rows), np.int64))], ["phrase", "n"])
+        def phrases(codes):
+            return np.column_stack([table[codes >> 32], table[codes & 0xFFFFFFFF]])
 
         for part in slices(batches, "text"):
             _, _, keys, room = _tokens(part, seed)
@@ -217,28 +230,23 @@ def _pairs(docs: DataFrame, seed: int, frequent, all_words: int, least: int) ->
             at = np.flatnonzero((room[:-1] > 1) & (number[:-1] >= 0) & (number[1:] >= 0)) if len(keys) else np.empty(0, np.int64)
             seen.add(number[at] << 32 | number[at + 1], len(keys))
             if known is None or seen.full():
-                yield passed()
-        if seen.codes:
-            yield passed()
+                yield from seen.take(phrases)
+        yield from seen.take(phrases)
 
     return docs.mapInArrow(run, "phrase binary, n long")
 
 
 def _counted(docs: DataFrame, seed: int, trie, frequent, all_words: int, least: int, longest: int, whole: bool) -> DataFrame:
-    """(phrase, n) summed per task for the phrases of a trie, and with 0 for their count the
-    phrases a word longer that may be frequent. whole: the trie has all candidates of its length."""
+    """(phrase, n) summed per task for the phrases of a trie, and the phrases a word longer as
+    _Seen passes them on. whole: the trie has all candidates of its length."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         array = trie.value
         known = None if frequent is None else frequent.value
         depth, total = array.depth, np.zeros(len(array.rows), np.int64)
         seen, table = _Seen(all_words, least), array.words if whole else known
 
-        def passed():
-            codes = seen.take()
-            rows = np.empty((len(codes), depth + 1), np.uint64)
-            if len(codes):
-                rows[:, :-1], rows[:, -1] = array.rows[codes >> 32], table[codes & 0xFFFFFFFF]
-            return pa.RecordBatch.from_arrays([_binary(rows), pa.array(np.zeros(len(rows), np.int64))], ["phrase", "n"])
+        def phrases(codes):
+            return np.column_stack([array.rows[codes >> 32], table[codes & 0xFFFFFFFF]])
 
         for part in slices(batches, "text"):
             _, _, keys, room = _tokens(part, seed)
@@ -258,12 +266,11 @@ def _counted(docs: DataFrame, seed: int, trie, frequent, all_words: int, least:
                 more[more] &= last[at[more] + depth] >= 0
             seen.add(row[more] << 32 | last[at[more] + depth], len(keys))
             if (known is None and not whole) or seen.full():
-                yield passed()
-        if seen.codes:
-            yield passed()
+                yield from seen.take(phrases)
+        yield from seen.take(phrases)
         found = np.flatnonzero(total)
-        for a in range(0, len(found), KEPT_ROWS // 16):
-            rows = found[a : a + KEPT_ROWS // 16]
+        for a in range(0, len(found), _BATCH):
+            rows = found[a : a + _BATCH]
             yield pa.RecordBatch.from_arrays([_binary(array.rows[rows]), pa.array(total[rows])], ["phrase", "n"])
 
     return docs.mapInArrow(run, "phrase binary, n long")
@@ -316,10 +323,15 @@ def frequent_phrases(
         keys = _keys(frequent_words.select("key").toArrow().column("key"), 1)[:, 0]
         frequent = spark.sparkContext.broadcast(np.sort(keys))
     known = [frequent_words.select(F.col("key").alias("phrase"), F.col("n").alias("a"))]
-    seen = _kept(_pairs(docs, seed, frequent, all_words, least), f"{folder}/seen-2")
+    seen = _pairs(docs, seed, frequent, all_words, least)
     for length in range(2, longest + 1):
         shorter = known[-1].select(F.col("phrase").alias("part"))
-        new = seen.filter((F.length("phrase") == _KEY * length) & (F.col("n") == 0)).select("phrase").distinct()
+        bounds = seen.filter(F.col("phrase").isNull() | (F.length("phrase") == _KEY * length))
+        bounds = bounds.groupBy("phrase").agg(F.sum("n").alias("n"))
+        enough = least if _many(all_words, least) else 1
+        bounds = _kept(bounds.filter((F.col("n") >= enough) | F.col("phrase").isNull()), f"{folder}/bounds-{length}")
+        unnamed = bounds.filter("phrase is null").agg(F.sum("n")).first()[0] or 0
+        new = bounds.filter(F.col("phrase").isNotNull() & (F.col("n") + unnamed >= least)).select("phrase")
         for first in (0, 1):
             new = new.join(shorter, _part(first, length - 1) == F.col("part"), "left_semi")
         new = _kept(new, f"{folder}/candidates-{length}")
@@ -339,7 +351,7 @@ def frequent_phrases(
         seen = counts[0]
         for other in counts[1:]:
             seen = seen.unionByName(other)
-        found = seen.filter("n > 0").groupBy("phrase").agg(F.sum("n").alias("a")).filter(F.col("a") >= least)
+        found = seen.filter(F.length("phrase") == _KEY * length).groupBy("phrase").agg(F.sum("n").alias("a")).filter(F.col("a") >= least)
         known.append(_kept(found, f"{folder}/phrases-{length}"))
     if frequent is not None:
         frequent.unpersist()
