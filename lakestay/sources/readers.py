@@ -2,17 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from lakestay import fixed_values as fv
 from lakestay.operators.frames import union_frames
 
 
+_FILE = "_source_file"
+# Files whose headers are read at the same time.
+OPENED_AT_ONCE = 16
+# Bytes read at once in search of a file's first record.
+HEAD_BYTES = 1 << 16
+
+
 @dataclass(frozen=True)
 class SourceSpec:
     """A landing source: (format, row tag, optional) entries and the columns it must have."""
@@ -44,50 +53,182 @@ def path_exists(spark: SparkSession, glob: str) -> bool:
     return bool(found)
 
 
-def read_csv_raw(spark: SparkSession, path: str) -> DataFrame:
+def _files(spark: SparkSession, path: str) -> list[str]:
+    """The data files of a path or glob, a folder's own files included."""
+    Path = spark._jvm.org.apache.hadoop.fs.Path
+    store = Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    found: list[str] = []
+    for status in store.globStatus(Path(path)) or []:
+        inner = store.listStatus(status.getPath()) if status.isDirectory() else [status]
+        for file in inner:
+            if file.isFile() and not file.getPath().getName().startswith(("_", ".")):
+                found.append(str(file.getPath()))
+    return sorted(found)
+
+
+def _first_line(spark: SparkSession, file: str) -> str | None:
+    """The first line of a text file, None for an empty one; no more of it is read."""
+    jvm = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(file)
+    stream = path.getFileSystem(conf).open(path)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(path)
+        plain = codec.createInputStream(stream) if codec is not None else stream
+        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(plain, "UTF-8")).readLine()
+    finally:
+        stream.close()
+
+
+def _csv_rows(spark: SparkSession, path: str, required: Sequence[str] = ()) -> DataFrame:
     """CSV with a header, all columns as text, malformed rows kept in _corrupt_record.
 
-    Column pruning is off so that a row of the wrong length is found whichever
-    columns a query uses. A file with other headers than the first one fails
-    instead of being read by position.
+    Files are grouped by their header; each group is read with its own columns and the
+    groups are united by name, so moved, missing and further columns land where they
+    belong. The lines of a file that lacks a required column are malformed rows, unless
+    every file lacks one. Column pruning is off so that a row of the wrong length is found
+    whichever columns a query uses.
     """
+    files = _files(spark, path)
+    with ThreadPoolExecutor(OPENED_AT_ONCE) as pool:
+        headers = list(pool.map(lambda f: _first_line(spark, f), files))
+    groups: dict[str, list[str]] = {}
+    for file, header in zip(files, headers):
+        if header is not None:
+            groups.setdefault(header, []).append(file)
+    if not groups:
+        return spark.createDataFrame([], f"{fv.CORRUPT} string, {_FILE} string")
     options = {"header": True, "encoding": "UTF-8"}
-    names = spark.read.options(**options).csv(path).columns
-    schema = StructType([StructField(c, StringType()) for c in [*names, fv.CORRUPT]])
-    return (
-        spark.read.schema(schema)
-        .options(
-            **options,
-            mode="PERMISSIVE",
-            columnNameOfCorruptRecord=fv.CORRUPT,
-            columnPruning=False,
-            enforceSchema=False,
+    names = {h: spark.read.options(**options).csv(g[0]).columns for h, g in groups.items()}
+    whole = [h for h in groups if set(required) <= set(names[h])]
+    frames = []
+    for header, group in groups.items():
+        if whole and header not in whole:
+            lines = spark.read.text(group).filter(F.col("value") != F.lit(header))
+            frames.append(lines.select(F.col("value").alias(fv.CORRUPT), F.col("_metadata.file_path").alias(_FILE)))
+            continue
+        schema = StructType([StructField(c, StringType()) for c in [*names[header], fv.CORRUPT]])
+        body = spark.read.schema(schema).options(
+            **options, mode="PERMISSIVE", columnNameOfCorruptRecord=fv.CORRUPT, columnPruning=False, enforceSchema=False,
         )
-        .csv(path)
-    )
+        frames.append(body.csv(group).select("*", F.col("_metadata.file_path").alias(_FILE)))
+    # The columns of the most files come first.
+    order = sorted(range(len(frames)), key=lambda i: -len(list(groups.values())[i]))
+    union = union_frames([frames[i] for i in order], allow_missing=True)
+    return union.select(*[c for c in union.columns if c not in (fv.CORRUPT, _FILE)], fv.CORRUPT, _FILE)
+
+
+def _xml_start(spark: SparkSession, file: str, row_tag: str) -> tuple[str, str] | None:
+    """How the first record of a file starts, up to the character after its name, and all
+    text before it; None for a file without records."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(file)
+    stream = path.getFileSystem(spark._jsc.hadoopConfiguration()).open(path)
+    start, head = re.compile(rf"<{re.escape(row_tag)}[\s>]"), b""
+    try:
+        while True:
+            more = bytes(stream.readNBytes(HEAD_BYTES))
+            head += more
+            text = head.decode("utf-8", "ignore")
+            found = start.search(text)
+            if found or not more:
+                return (found.group(), text[: found.start()]) if found else None
+    finally:
+        stream.close()
+
+
+def _xml_records(spark: SparkSession, path: str, row_tag: str) -> DataFrame:
+    """(record, file) of all records by tag, each from its start tag to its end tag.
+
+    The text reader cuts files where a record starts as the file's first one does, so a
+    large file is read by many tasks; records that start otherwise, with attributes or
+    without, are cut apart afterwards. A record without an end tag goes up to the next
+    record. An element of a record must not bear the record's name; an empty record
+    (<tag/>) is none.
+    """
+    tag = re.escape(row_tag)
+    files = _files(spark, path)
+    with ThreadPoolExecutor(OPENED_AT_ONCE) as pool:
+        starts = list(pool.map(lambda f: _xml_start(spark, f, row_tag), files))
+    frames = []
+    for start in sorted({s[0] for s in starts if s}):
+        own = [f for f, s in zip(files, starts) if s and s[0] == start]
+        before = sorted({s[1] for s in starts if s and s[0] == start})
+        pieces = spark.read.option("lineSep", start).text(own)
+        # What stands before the first record of a file; it may be cut like a record.
+        pieces = pieces.filter(~F.col("value").isin(before))
+        cut = F.split(F.concat(F.lit(start), F.col("value")), f"(?=<{tag}[\\s/>])")
+        frames.append(pieces.select(F.explode(cut).alias("record"), F.col("_metadata.file_path").alias(_FILE)))
+    if not frames:
+        return spark.createDataFrame([], f"record string, {_FILE} string")
+    records = union_frames(frames).filter(F.col("record").rlike(f"^<{tag}[\\s>]") & ~F.col("record").rlike(f"^<{tag}[^<>]*/>"))
+    ended = F.regexp_extract("record", f"(?s)^(.*?</{tag}\\s*>)", 1)
+    return records.select(F.when(ended != "", ended).otherwise(F.col("record")).alias("record"), _FILE)
 
 
-def read_xml_raw(
+def _xml_schema(records: DataFrame, options: Mapping[str, str]) -> StructType:
+    """The columns of all well-formed records, nested and repeated elements as such.
+
+    The texts are taken out of the records and what differs is left: structures, of which
+    there are few. Spark's own rules then find the columns of one document of them all.
+    """
+    bare = F.regexp_replace("record", "(?s)<!--.*?-->", "")
+    bare = F.regexp_replace(bare, "(?s)<!\\[CDATA\\[.*?\\]\\]>", "x")
+    bare = F.regexp_replace(bare, "=\\s*(\"[^\"]*\"|'[^']*')", "=''")
+    bare = F.regexp_replace(F.regexp_replace(bare, ">\\s+<", "><"), ">[^<]+<", ">x<")
+    # An empty element is a leaf like another.
+    bare = F.regexp_replace(bare, "<([\\w.:-]+)(\\s[^<>]*)?/>", "<$1$2>x</$1>")
+    bare = F.regexp_replace(bare, "<([\\w.:-]+)(\\s[^<>]*)?></\\1>", "<$1$2>x</$1>")
+    bare = F.regexp_replace(bare, "(<([\\w.:-]+)(?:\\s[^<>]*)?>x</\\2>)\\1+", "$1$1")
+    shapes = records.select(bare.alias("shape")).distinct()
+    parsed = F.from_xml("shape", f"{fv.CORRUPT} string", dict(options))
+    shapes = [r[0] for r in shapes.filter(parsed[fv.CORRUPT].isNull()).collect()]
+    if not shapes:
+        return StructType([])
+    document = f"<all><record>{'</record><record>'.join(shapes)}</record><record/><record/></all>"
+    found = records.sparkSession.range(1).select(F.schema_of_xml(F.lit(document), dict(options))).first()[0]
+    outer = StructType.fromDDL(f"x {found}")["x"].dataType["record"].dataType
+    outer = outer.elementType if isinstance(outer, ArrayType) else outer
+    inner = outer.fields[0].dataType if isinstance(outer, StructType) else None
+    if isinstance(inner, ArrayType):
+        inner = inner.elementType
+    return inner if isinstance(inner, StructType) else StructType([])
+
+
+def _xml_rows(
     spark: SparkSession, path: str, row_tag: str, columns: Sequence[str] | None = None
 ) -> DataFrame:
     """XML records by row tag, leaves as text.
 
-    The columns are found by a pass over the files; naming them saves that
-    pass. The record-wise parser rejects one malformed record, the default one
-    would lose the rest of the file.
+    Records are cut out of the text and parsed one by one, so a malformed one is rejected
+    alone and a large file takes many tasks. Each is parsed once; the columns are found by
+    a pass that compares structures only, or are named, which saves that pass.
     """
-    reader = spark.read.format("xml").options(
-        rowTag=row_tag,
-        encoding="UTF-8",
-        inferSchema=False,
-        mode="PERMISSIVE",
-        columnNameOfCorruptRecord=fv.CORRUPT,
-        useLegacyXMLParser=True,
-    )
-    if columns is not None:
-        fields = [StructField(c, StringType()) for c in [*columns, fv.CORRUPT]]
-        reader = reader.schema(StructType(fields))
-    return reader.load(path)
+    options = {"inferSchema": "false", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": fv.CORRUPT}
+    records = _xml_records(spark, path, row_tag)
+    if columns is None:
+        known = _xml_schema(records, options)
+    else:
+        known = StructType([StructField(c, StringType()) for c in columns])
+    # A record of text alone, or of nothing, has no columns.
+    schema = StructType([*[f for f in known.fields if f.name != "_VALUE"], StructField(fv.CORRUPT, StringType())])
+    parsed = records.select(F.from_xml("record", _ddl(schema), options).alias("_parsed"), _FILE)
+    return parsed.select("_parsed.*", _FILE)
+
+
+def _ddl(schema: StructType) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+
+
+def read_csv_raw(spark: SparkSession, path: str) -> DataFrame:
+    """CSV files with a header as text, without the file each row is from."""
+    return _csv_rows(spark, path).drop(_FILE)
+
+
+def read_xml_raw(
+    spark: SparkSession, path: str, row_tag: str, columns: Sequence[str] | None = None
+) -> DataFrame:
+    """XML records as text, without the file each is from."""
+    return _xml_rows(spark, path, row_tag, columns).drop(_FILE)
 
 
 def read_source(spark: SparkSession, spec: SourceSpec, folder: str) -> DataFrame:
@@ -100,19 +241,19 @@ def read_source(spark: SparkSession, spec: SourceSpec, folder: str) -> DataFrame
                 continue
             raise FileNotFoundError(f"{spec.name}: nothing at {glob}")
         if fmt == "csv":
-            df = read_csv_raw(spark, glob)
+            df = _csv_rows(spark, glob, spec.required)
         else:
-            df = read_xml_raw(spark, glob, row_tag)
+            df = _xml_rows(spark, glob, row_tag)
         if fv.CORRUPT not in df.columns:
             df = df.withColumn(fv.CORRUPT, F.lit(None).cast("string"))
-        elif set(df.columns) == {fv.CORRUPT}:
+        elif set(df.columns) == {fv.CORRUPT, _FILE}:
             # Every record is malformed: read with the agreed columns.
-            df = read_xml_raw(spark, glob, row_tag, spec.required)
+            df = _xml_rows(spark, glob, row_tag, spec.required)
         frames.append(
             df.select(
-                "*",
+                *[c for c in df.columns if c != _FILE],
                 F.lit(fmt).alias("_source_format"),
-                F.col("_metadata.file_path").alias("_source_file"),
+                _FILE,
             )
         )
     if not frames:
