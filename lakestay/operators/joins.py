@@ -97,12 +97,16 @@ def _next_to(rows: DataFrame, group: Sequence[str], forward: bool) -> DataFrame:
 
 
 def _next_to_in_slices(
-    rows: DataFrame, on: Sequence[str], forward: bool, slice_seconds: int
+    rows: DataFrame, on: Sequence[str], forward: bool, slice_seconds: int, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """The same for hot keys, each cut into time slices shared by many tasks.
 
     What a slice needs from the others is one carried right value per
     direction; those come from an aggregate with one row per key and slice.
+    The left rows of a slice with more than hot_rows, down to a single moment,
+    are spread over parts, and each part gets the right rows of the slice and
+    what is carried into it; left rows that are equal in every column stay in
+    one part.
     """
     unmatchable = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in [*on, "_ts"]])
     in_time = F.floor(_seconds(F.col("_ts")) / F.lit(slice_seconds))
@@ -114,6 +118,7 @@ def _next_to_in_slices(
         F.max_by("_value", right_ts).alias("_last"),
         F.min_by("_value", right_ts).alias("_first"),
         F.max("_side").alias("_has_left"),
+        F.sum("_side").alias("_n_left"),
     )
     others = (Window.unboundedPreceding, -1)
     per_key = Window.partitionBy(*on)
@@ -136,7 +141,15 @@ def _next_to_in_slices(
             "_slice",
         )
     )
-    return _next_to(rows.unionByName(brought), [*on, "_slice"], forward)
+    crowded = slices.filter(F.col("_n_left") > hot_rows).select(
+        *on, "_slice", F.ceil(F.col("_n_left") / F.lit(hot_rows)).cast("int").alias("_parts")
+    )
+    spread = rows.unionByName(brought).join(crowded, [*on, "_slice"], "left")
+    parts = F.coalesce("_parts", F.lit(1))
+    own = F.array(F.pmod(F.xxhash64("_row"), parts).cast("int"))
+    every = F.sequence(F.lit(0), parts - 1)
+    spread = spread.withColumn("_part", F.explode(F.when(F.col("_side") == 1, own).otherwise(every)))
+    return _next_to(spread.drop("_parts"), [*on, "_slice", "_part"], forward)
 
 
 def _neighbours(
@@ -177,7 +190,7 @@ def _neighbours(
     found = _next_to(cold, on, forward)
     if hot is None:
         return found
-    return found.unionByName(_next_to_in_slices(hot, on, forward, slice_seconds))
+    return found.unionByName(_next_to_in_slices(hot, on, forward, slice_seconds, hot_rows))
 
 
 def asof_join_sliced(

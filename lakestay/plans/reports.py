@@ -9,6 +9,7 @@ from lakestay import fixed_values as fv
 from lakestay.functions import aggregates as agg
 from lakestay.functions.labels import is_status
 from lakestay.operators.frames import current_members, filter_as_of
+from lakestay.operators.order import with_position
 from lakestay.operators.joins import key_map, preagg_join, star_join
 
 
@@ -93,7 +94,8 @@ def rpt_hotel_performance(
 
 
 def rpt_conversion_funnel(sessions: DataFrame) -> DataFrame:
-    """Sessions reaching each step per day and device, with step rates."""
+    """Sessions reaching each step per day and device, with step rates, by day and falling
+    sessions; position tells the order, the device decides ties."""
     viewed, searched = F.col("page_views") > 0, F.col("search_count") > 0
     hotel_seen, converted = F.col("hotels_viewed") > 0, F.col("converted")
     steps = {
@@ -113,7 +115,7 @@ def rpt_conversion_funnel(sessions: DataFrame) -> DataFrame:
         "avg_page_views": "page_views",
         "avg_events_per_session": "total_events",
     }
-    return (
+    report = (
         sessions.groupBy(F.col(fv.BATCH_DATE).alias("report_date"), "device_type")
         .agg(
             _count().alias("total_sessions"),
@@ -121,5 +123,6 @@ def rpt_conversion_funnel(sessions: DataFrame) -> DataFrame:
             *[agg.pct(part, whole).alias(name) for name, (part, whole) in rates.items()],
             *[F.avg(col).alias(name) for name, col in means.items()],
         )
-        .orderBy("report_date", F.desc("total_sessions"))
     )
+    order = [F.asc("report_date"), F.desc("total_sessions"), F.asc_nulls_first("device_type")]
+    return with_position(report, order)

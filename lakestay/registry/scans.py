@@ -5,11 +5,12 @@ from pyspark.sql import functions as F
 from lakestay import fixed_values as fv
 from lakestay.operators.frames import split_corrupt
 from lakestay.operators.joins import asof_join, lookup
+from lakestay.operators.order import with_position
 from lakestay.plans.silver import silver_frames
 from lakestay.registry.core import flat, query
 from lakestay.registry.entities import ranked_sql
 from lakestay.session import work_folder
-from lakestay.sinks import audit, batches, versioned
+from lakestay.sinks import audit, batches, layout, versioned
 from lakestay.sinks.staging import publish_staging, reconcile_batches
 from lakestay.sinks.upsert import align_schema, incremental_slice, upsert
 from lakestay.sources import readers, seeds
@@ -204,6 +205,26 @@ def merge_compacted(t):
     return bookings.read()
 
 
+@query("month_layout", """
+    SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS o_orderdate FROM orders
+    WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1996-02-20' AND DATE '1996-05-03' AND o_custkey < 500""")
+def month_layout(t):
+    """Orders in month folders clustered by customer; some days and customers read back."""
+    table = work_folder(t.spark, "orders")
+    orders = t("orders").select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("o_orderdate"))
+    layout.write_by_month(orders, table, "o_orderdate", ["o_custkey", "o_orderkey"])
+    found = layout.read_by_month(t.spark, table, "o_orderdate", "1996-02-20", "1996-05-03")
+    return found.filter("o_custkey < 500")
+
+
+@query("order_positions", """
+    SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS position FROM orders""")
+def order_positions(t):
+    """The place of every order by falling price."""
+    orders = t("orders").select("o_orderkey", "o_totalprice")
+    return with_position(orders, [F.desc("o_totalprice"), F.asc("o_orderkey")])
+
+
 @query("incremental_slice", """
     SELECT event_id, CAST(ts AS DATE) AS _batch_date FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-12'""")
 def incremental_slice_query(t):

@@ -341,7 +341,8 @@ def rpt_performance(t):
         round(CAST(100 AS DOUBLE) * count(*) FILTER (search_count > 0) / count(*), 2) AS search_rate_pct,
         round(CAST(100 AS DOUBLE) * count(*) FILTER (hotels_viewed > 0) / NULLIF(count(*) FILTER (search_count > 0), 0), 2) AS view_after_search_pct,
         round(CAST(100 AS DOUBLE) * count(*) FILTER (converted) / count(*), 2) AS conversion_rate_pct,
-        avg(session_duration_sec) AS avg_session_duration_sec, avg(page_views) AS avg_page_views, avg(total_events) AS avg_events_per_session
+        avg(session_duration_sec) AS avg_session_duration_sec, avg(page_views) AS avg_page_views, avg(total_events) AS avg_events_per_session,
+        row_number() OVER (ORDER BY _batch_date, count(*) DESC, device_type NULLS FIRST) AS position
     FROM sessions GROUP BY 1, 2""", SESSION_INPUTS)
 def rpt_funnel(t):
     return reports.rpt_conversion_funnel(session_facts(t))

@@ -275,7 +275,10 @@ class VersionedTable:
     def _staged(self, rows: DataFrame, sort_by: Sequence[str]) -> str:
         """The rows by day in a new folder of the table that reads pass over."""
         staged = f"_staged-{uuid.uuid4().hex}"
-        body = rows.hint("rebalance", self.day).sortWithinPartitions(self.day, *sort_by)
+        if sort_by:  # files of a day hold ranges of the sort key
+            body = rows.repartitionByRange(self.day, *sort_by).sortWithinPartitions(self.day, *sort_by)
+        else:
+            body = rows.hint("rebalance", self.day)
         body.write.partitionBy(self.day).parquet(f"{self.path.rstrip('/')}/{staged}")
         return staged
 
