@@ -1,10 +1,10 @@
 """Phrases that occur together more often than their parts would by chance, by language.
 
 Frequent phrases are found length by length. A phrase can only be frequent if the phrases
-without its last and without its first word are. Of those the pass for the length before
-has seen, each part of the documents names the ones that have their share of the least count
-in it, and what the parts named bounds the count of each phrase from above; candidates are
-those whose bound reaches the least count. Candidates are put into double-array tries of bounded size,
+without its last and without its first word are. The pass for one length notes which runs a
+word longer it sees between such phrases, as far as a task knows them then, and how often;
+what was noted often enough, and has a frequent beginning and end, is a candidate, so there
+are no more candidates than the texts can fill. Candidates are put into double-array tries of bounded size,
 which are broadcast; every task walks them from all positions of its texts at once and adds
 up what it arrives at, and the sums of all tasks are added up.
 
@@ -15,7 +15,7 @@ while words are counted, and then all is counted anew with another hash.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -41,9 +41,8 @@ TRIE_ROWS = 1 << 20
 # Frequent words that are broadcast to look candidates over in the tasks that see them first;
 # where there are more, joins alone do that.
 MOST_WORDS = 1 << 22
-# Distinct rows a task keeps before it passes them on, and words of such a part of the texts.
+# Distinct rows a task keeps before it passes them on.
 KEPT_ROWS = 1 << 21
-PART_WORDS = 1 << 23
 _BATCH = 1 << 16
 
 # What ends a piece of text.
@@ -148,57 +147,40 @@ def _keys(column: pa.ChunkedArray, length: int) -> np.ndarray:
 
 
 class _Seen:
-    """Candidates for the next length that a task has seen: pairs of a prefix and a word.
+    """Runs a word longer that a task has seen, as pairs of a prefix and a word, and how often."""
 
-    A part is what a task has read since it last passed rows on. It names the phrases whose
-    count in it is at least its words' share of the least count; others have at most one
-    less in it. So, with n = count - (share - 1) for what a part names and share - 1 for
-    every part, the sum of all n is no less than the count of a phrase. Where all words are
-    many parts' worth, the share is 1 and that sum is the count.
-    """
-
-    def __init__(self, all_words: int, least: int):
-        self.all_words, self.least = all_words, least
+    def __init__(self):
         self._clear()
 
     def _clear(self) -> None:
-        self.codes, self.counts, self.size, self.words = [], [], 0, 0
+        self.codes, self.counts, self.size = [], [], 0
 
-    def add(self, codes: np.ndarray, words: int) -> None:
+    def add(self, codes: np.ndarray) -> None:
         own, count = np.unique(codes, return_counts=True)
         self.codes.append(own)
         self.counts.append(count)
         self.size += len(own)
-        self.words += words
         if self.size > 2 * KEPT_ROWS:
-            codes, place = np.unique(np.concatenate(self.codes), return_inverse=True)
-            counts = np.bincount(place, weights=np.concatenate(self.counts), minlength=len(codes)).astype(np.int64)
+            codes, counts = self._summed()
             self.codes, self.counts, self.size = [codes], [counts], len(codes)
 
+    def _summed(self) -> tuple[np.ndarray, np.ndarray]:
+        codes, place = np.unique(np.concatenate(self.codes), return_inverse=True)
+        counts = np.bincount(place, weights=np.concatenate(self.counts), minlength=len(codes))
+        return codes, counts.astype(np.int64)
+
     def full(self) -> bool:
-        return self.size > KEPT_ROWS and len(self.codes) == 1 or self.words > PART_WORDS
+        return self.size > KEPT_ROWS and len(self.codes) == 1
 
-    def take(self, phrases) -> Iterator[pa.RecordBatch]:
-        """The rows of a part; phrases makes phrases of codes."""
+    def take(self, phrases: Callable[[np.ndarray], np.ndarray]) -> Iterator[pa.RecordBatch]:
+        """What was seen since the last time; phrases makes rows of word keys of codes."""
         if not self.codes:
             return
-        codes, place = np.unique(np.concatenate(self.codes), return_inverse=True)
-        counts = np.bincount(place, weights=np.concatenate(self.counts), minlength=len(codes)).astype(np.int64)
-        share = 1
-        if not _many(self.all_words, self.least):
-            share = max(-(-self.least * self.words // max(self.all_words, 1)), 1)
-        named = np.flatnonzero(counts >= share)
+        codes, counts = self._summed()
         self._clear()
-        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.binary()), pa.array([share - 1], pa.int64())], ["phrase", "n"])
-        for a in range(0, len(named), _BATCH):
-            at = named[a : a + _BATCH]
-            rows = _binary(phrases(codes[at]))
-            yield pa.RecordBatch.from_arrays([rows, pa.array(counts[at] - (share - 1))], ["phrase", "n"])
-
-
-def _many(all_words: int, least: int) -> bool:
-    """Whether no part's share of the least count is more than 1."""
-    return all_words >= least * PART_WORDS
+        for a in range(0, len(codes), _BATCH):
+            at = slice(a, a + _BATCH)
+            yield pa.RecordBatch.from_arrays([_binary(phrases(codes[at])), pa.array(counts[at])], ["phrase", "n"])
 
 
 def _numbered(keys: np.ndarray, frequent: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
@@ -214,11 +196,11 @@ def _numbered(keys: np.ndarray, frequent: np.ndarray | None) -> tuple[np.ndarray
     return np.where(frequent[at] == keys, at, -1), frequent
 
 
-def _pairs(docs: DataFrame, seed: int, frequent, all_words: int, least: int) -> DataFrame:
+def _pairs(docs: DataFrame, seed: int, frequent) -> DataFrame:
     """Pairs of frequent words as _Seen passes them on."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = None if frequent is None else frequent.value
-        seen = _Seen(all_words, least)
+        seen = _Seen()
         table = known
 
         def phrases(codes):
@@ -228,7 +210,7 @@ def _pairs(docs: DataFrame, seed: int, frequent, all_words: int, least: int) ->
             _, _, keys, room = _tokens(part, seed)
             number, table = _numbered(keys, known)
             at = np.flatnonzero((room[:-1] > 1) & (number[:-1] >= 0) & (number[1:] >= 0)) if len(keys) else np.empty(0, np.int64)
-            seen.add(number[at] << 32 | number[at + 1], len(keys))
+            seen.add(number[at] << 32 | number[at + 1])
             if known is None or seen.full():
                 yield from seen.take(phrases)
         yield from seen.take(phrases)
@@ -236,14 +218,14 @@ def _pairs(docs: DataFrame, seed: int, frequent, all_words: int, least: int) ->
     return docs.mapInArrow(run, "phrase binary, n long")
 
 
-def _counted(docs: DataFrame, seed: int, trie, frequent, all_words: int, least: int, longest: int, whole: bool) -> DataFrame:
+def _counted(docs: DataFrame, seed: int, trie, frequent, longest: int, whole: bool) -> DataFrame:
     """(phrase, n) summed per task for the phrases of a trie, and the phrases a word longer as
     _Seen passes them on. whole: the trie has all candidates of its length."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         array = trie.value
         known = None if frequent is None else frequent.value
         depth, total = array.depth, np.zeros(len(array.rows), np.int64)
-        seen, table = _Seen(all_words, least), array.words if whole else known
+        seen, table = _Seen(), array.words if whole else known
 
         def phrases(codes):
             return np.column_stack([array.rows[codes >> 32], table[codes & 0xFFFFFFFF]])
@@ -264,7 +246,7 @@ def _counted(docs: DataFrame, seed: int, trie, frequent, all_words: int, least:
             else:
                 last, table = _numbered(keys, known)
                 more[more] &= last[at[more] + depth] >= 0
-            seen.add(row[more] << 32 | last[at[more] + depth], len(keys))
+            seen.add(row[more] << 32 | last[at[more] + depth])
             if (known is None and not whole) or seen.full():
                 yield from seen.take(phrases)
         yield from seen.take(phrases)
@@ -316,22 +298,17 @@ def frequent_phrases(
     """
     spark = docs.sparkSession
     vocabulary, seed = _vocabulary(docs, folder, least)
-    all_words = vocabulary.filter("key is null").agg(F.sum("n")).first()[0] or 0
     frequent_words = vocabulary.filter("key is not null")
     frequent = None
     if frequent_words.count() <= most_words:
         keys = _keys(frequent_words.select("key").toArrow().column("key"), 1)[:, 0]
         frequent = spark.sparkContext.broadcast(np.sort(keys))
     known = [frequent_words.select(F.col("key").alias("phrase"), F.col("n").alias("a"))]
-    seen = _pairs(docs, seed, frequent, all_words, least)
+    seen = _pairs(docs, seed, frequent)
     for length in range(2, longest + 1):
         shorter = known[-1].select(F.col("phrase").alias("part"))
-        bounds = seen.filter(F.col("phrase").isNull() | (F.length("phrase") == _KEY * length))
-        bounds = bounds.groupBy("phrase").agg(F.sum("n").alias("n"))
-        enough = least if _many(all_words, least) else 1
-        bounds = _kept(bounds.filter((F.col("n") >= enough) | F.col("phrase").isNull()), f"{folder}/bounds-{length}")
-        unnamed = bounds.filter("phrase is null").agg(F.sum("n")).first()[0] or 0
-        new = bounds.filter(F.col("phrase").isNotNull() & (F.col("n") + unnamed >= least)).select("phrase")
+        new = seen.filter(F.length("phrase") == _KEY * length).groupBy("phrase").agg(F.sum("n").alias("n"))
+        new = new.filter(F.col("n") >= least).select("phrase")
         for first in (0, 1):
             new = new.join(shorter, _part(first, length - 1) == F.col("part"), "left_semi")
         new = _kept(new, f"{folder}/candidates-{length}")
@@ -345,7 +322,7 @@ def frequent_phrases(
             if not len(rows):
                 continue
             trie = spark.sparkContext.broadcast(DoubleArray(rows))
-            passed = _counted(docs, seed, trie, frequent, all_words, least, longest, tries == 1)
+            passed = _counted(docs, seed, trie, frequent, longest, tries == 1)
             counts.append(_kept(passed, f"{folder}/counts-{length}-{i}"))
             trie.unpersist()
         seen = counts[0]
