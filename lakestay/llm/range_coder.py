@@ -28,11 +28,11 @@ MAGIC = b"LSTB"
 BLOCK_IDS = 1 << 22
 _HEAD = struct.Struct("<4sIIIII")
 _U = np.uint64
-_LANES = 1 << 15
-_LANE_IDS = 64  # at least, if the block has more than one lane
+_LANES = 1 << 12
+_LANE_IDS = 256  # at least, if the block has more than one lane
 _SPLIT_BITS = 16  # precision of the parts of the mixed interval
 _TOP, _BOTTOM, _WORD = _U(1 << 48), _U(1 << 32), _U(16)
-_PAIRS = 1 << 18
+_PAIRS = 1 << 20
 _CONFIDENCE = 8
 _REFRESH = 4  # steps between two sizings of the parts
 
