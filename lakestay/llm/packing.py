@@ -45,6 +45,14 @@ def assign(
     to the sequence of lowest cost that has room for it (ties: the first). If none has room,
     a part of it fills the roomiest one and the rest waits for its turn by length.
     """
+    return _assigned(lengths, capacity, cost, True)[0]
+
+
+def _assigned(
+    lengths: list[int], capacity: int, cost: Callable[[int], float], last: bool
+) -> tuple[list[tuple[int, int, int, int, int]], list[tuple[int, int]]]:
+    """Places, and what has none: (document, start), to its end. Unless last, there are full
+    sequences only, and less than one of them is left."""
     places = []
     waiting = []
     sequence = 0
@@ -58,7 +66,10 @@ def assign(
     total = -sum(w[0] for w in waiting)
     rest = total % capacity
     sizes = [capacity] * (total // capacity)
-    sizes += [1 << b for b in range(rest.bit_length() - 1, -1, -1) if rest >> b & 1]
+    if last:
+        sizes += [1 << b for b in range(rest.bit_length() - 1, -1, -1) if rest >> b & 1]
+    if not sizes:
+        return places, [(doc, start) for _, doc, start in waiting]
     room = np.array(sizes, np.int64)
     used = np.zeros(len(sizes), np.int64)
     spent = np.zeros(len(sizes))
@@ -70,13 +81,16 @@ def assign(
         to = int(np.argmin(fits))
         if room[to] < n:
             to = int(np.argmax(room))
+            if room[to] == 0:
+                waiting.append((left, doc, start))
+                return places, [(doc, start) for _, doc, start in sorted(waiting)]
             heapq.heappush(waiting, (int(room[to]) - n, doc, start + int(room[to])))
             n = int(room[to])
         places.append((doc, start, n, sequence + to, int(used[to])))
         room[to] -= n
         used[to] += n
         spent[to] += cost(n)
-    return places
+    return places, []
 
 
 def pack(
@@ -94,6 +108,8 @@ def pack(
 
     Each task packs its rows in groups as it reads them, so nothing is shuffled, memory is
     bounded by a group (or by one document), and a repeated task gives the same pieces. A
+    group fills whole sequences; what is left of it, less than one, goes on into the next, so
+    that only the last group of a task ends in shorter ones. A
     null or empty text has the end id alone; rows with the same id are packed each on its own,
     a null id is kept. An empty table gives no pieces; other columns are not read.
 
@@ -107,31 +123,39 @@ def pack(
         tokens = encoder(vocabulary)
         task = TaskContext.get()
         next_sequence = task.partitionId() << 32
-        group: list[tuple[int | None, np.ndarray]] = []
+        # Document, its ids, and from where on they have no place yet.
+        group: list[tuple[int | None, np.ndarray, int]] = []
         held = 0
 
-        def flush():
-            nonlocal next_sequence
-            places = assign([len(x) for _, x in group], capacity, lambda n: attention_cost(n, linear, quadratic))
-            rows = [
-                (group[d][0], start, n, group[d][1][start : start + n].astype("<u4").tobytes(),
-                 len(group[d][1]), next_sequence + s, offset, attention_cost(n, linear, quadratic))
-                for d, start, n, s, offset in places
-            ]
+        def flush(last: bool):
+            nonlocal next_sequence, group
+            lengths = [len(x) - start for _, x, start in group]
+            places, left = _assigned(lengths, capacity, lambda n: attention_cost(n, linear, quadratic), last)
+            rows = []
+            for d, start, n, s, offset in places:
+                doc, ids, before = group[d]
+                start += before
+                rows.append((
+                    doc, start, n, ids[start : start + n].astype("<u4").tobytes(), len(ids), next_sequence + s,
+                    offset, attention_cost(n, linear, quadratic),
+                ))
+            group = [(group[d][0], group[d][1], group[d][2] + start) for d, start in left]
+            if not rows:
+                return
             next_sequence += max(p[3] for p in places) + 1
             columns = [pa.array(c, t) for c, t in zip(zip(*rows), _SCHEMA.types)]
-            return pa.RecordBatch.from_arrays(columns, schema=_SCHEMA)
+            yield pa.RecordBatch.from_arrays(columns, schema=_SCHEMA)
 
         for part in slices(batches, text_column):
             ids, first = tokens.encode(part.column(text_column))
             for doc, a, b in zip(part.column(id_column).to_pylist(), first.tolist(), first[1:].tolist()):
-                group.append((doc, np.concatenate([ids[a:b], end])))
+                group.append((doc, np.concatenate([ids[a:b], end]), 0))
                 held += b - a + 1
             if held >= group_tokens:
-                yield flush()
-                group, held = [], 0
+                yield from flush(False)
+                held = sum(len(x) - start for _, x, start in group)
         if group:
-            yield flush()
+            yield from flush(True)
 
     own = docs.select(docs[id_column].cast("bigint").alias(id_column), docs[text_column].alias(text_column))
     return own.mapInArrow(run, _PIECES)

@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -76,6 +77,14 @@ def test_repeats_are_cheap_and_damage_is_found():
         decode_block(bytes(bad))
 
 
+def test_blocks_are_smaller_than_order_0_entropy():
+    rows = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"]).column(0).combine_chunks()
+    ids = np.concatenate([encoder(BYTE_VOCABULARY).encode(rows.slice(a, 50))[0] for a in range(0, len(rows), 50)])
+    share = np.bincount(ids)[np.unique(ids)] / len(ids)
+    entropy = -(share * np.log2(share)).sum() / 8
+    assert len(encode_block(ids, 50_257)) < 0.97 * entropy * len(ids)
+
+
 def whole(name, text):
     return np.append(direct(name, text), 2).astype("<u4")
 
@@ -108,6 +117,22 @@ def test_packing_places_every_id_once(spark):
     assert sorted(map(str, again)) == sorted(map(str, pieces))
 
 
+def test_groups_of_a_task_share_their_ends(spark):
+    """Many small groups: only the last one of the task ends in short sequences."""
+    texts = ["some words of a document " * (i % 37) for i in range(500)] + ["long " * 30_000]
+    docs = documents(spark, list(enumerate(texts))).coalesce(1)
+    pieces = packing.pack(docs, group_tokens=3000).collect()
+    used, parts = Counter(), defaultdict(list)
+    for p in pieces:
+        used[p.sequence_id] += p.length
+        parts[p.doc_id].append((p.start, p.length, bytes(p.ids), p.doc_tokens))
+    assert len(used) > 20 and sum(n < 4096 for n in used.values()) <= 12
+    for doc, text in enumerate(texts):
+        own = sorted(parts[doc])
+        assert [a for a, *_ in own] == [0, *np.cumsum([n for _, n, *_ in own])[:-1]]
+        assert b"".join(x for *_, x, _ in own) == whole(WORD_VOCABULARY, text).tobytes()
+
+
 def test_packing_balances_cost():
     random = np.random.default_rng(1)
     lengths = random.integers(1, 900, 4000).tolist()
