@@ -55,8 +55,6 @@ WEAK = {
     "endpoint": re.compile(r"""https?://[^\s"'<>]{4,}+""", re.ASCII),
 }
 KINDS = ("assign", "access", "hex", "opaque", "user", "endpoint")
-# Characters between two parts of one credential, at most.
-REACH = 400
 _ENTROPY = 3.0
 
 _NAMES = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
@@ -114,7 +112,7 @@ class _Near:
         return k >= 0 and self._joined(self.spans[k].end, span.start)
 
     def _joined(self, a: int, b: int) -> bool:
-        return b - a <= REACH and bisect_left(self.breaks, a) == bisect_left(self.breaks, b)
+        return bisect_left(self.breaks, a) == bisect_left(self.breaks, b)
 
 
 def _opaque(token: str) -> bool:
