@@ -573,14 +573,22 @@ def keep_one(
     """
     found = stored(similar_documents(docs, percent, id_column, text_column), "similar")
     ids = found.filter("doc_id is not null").groupBy("doc_id", "component_id").count()
+    # Names the documents don't have.
+    own, root, place = (_free(name, docs.columns) for name in ("_id", "_root", "_first"))
     out = ids.filter("doc_id <> component_id or count > 1").select(
-        F.col("doc_id").alias("_id"), (F.col("doc_id") == F.col("component_id")).alias("_root")
+        F.col("doc_id").alias(own), (F.col("doc_id") == F.col("component_id")).alias(root)
     )
     if out.count() <= BROADCAST_IDS:
         out = F.broadcast(out)
     key = F.col(id_column).cast("bigint")
-    kept = docs.join(out, key == F.col("_id"), "left_anti")
-    again = docs.join(out.filter("_root"), key == F.col("_id"), "left_semi")
+    kept = docs.join(out, key == F.col(own), "left_anti")
+    again = docs.join(out.filter(F.col(root)), key == F.col(own), "left_semi")
     first = Window.partitionBy(key).orderBy(F.xxhash64(*[F.col(c).cast("string") for c in docs.columns]), text_column)
-    again = again.withColumn("_first", F.row_number().over(first)).filter("_first = 1").drop("_first")
+    again = again.withColumn(place, F.row_number().over(first)).filter(F.col(place) == 1).drop(place)
     return kept.unionByName(again)
+
+
+def _free(name: str, taken: list[str]) -> str:
+    while name.lower() in [c.lower() for c in taken]:
+        name = f"_{name}"
+    return name

@@ -121,6 +121,28 @@ def test_one_of_each_group_stays(spark):
     assert Counter(r.doc_id for r in kept.collect()) == want
 
 
+def test_one_of_each_group_beside_clashing_names(spark):
+    text = "one two three four five six seven eight nine ten"
+    docs = documents(spark, [(4, text), (2, text), (2, text), (3, text + " eleven"), (9, "other words stand in here, all of them")])
+    docs = docs.selectExpr("*", "doc_id as _id", "1 as _first", "true as _ROOT", "doc_id as component_id", "2 as node")
+    kept = jaccard_join.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == [2, 9]
+
+
+def test_rounds_leave_one_table(spark):
+    import os
+
+    from lakestay.llm.components import components
+    from lakestay.session import work_folder
+
+    base = work_folder(spark, "x").rsplit("/", 1)[0].removeprefix("file:")
+    held = lambda: {f for f in os.listdir(base) if f.startswith("edges-")} if os.path.isdir(base) else set()
+    before = held()
+    found = components(spark.createDataFrame([(i, i + 1) for i in range(50)], "a long, b long"))
+    assert {r.root for r in found.collect()} == {0} and len(held() - before) == 1
+
+
 def test_components(spark):
     draw = random.Random(8)
     edges = [(i, i + 1) for i in range(200)] + [(1000, i) for i in range(1001, 1400)]
