@@ -33,13 +33,13 @@ def build(stg_bookings: DataFrame, dim_hotels: DataFrame, fx: DataFrame, fact: s
     spark = stg_bookings.sparkSession
     delete_folder(spark, fact)
     delete_folder(spark, kept)
-    stays = _stays(stg_bookings, fx)
+    stays = counted_stays(stg_bookings, fx)
     known = VersionedTable.create(stays, kept, ["booking_id"]).read()
     nights = facts.room_nights(known.filter("counted"))
     VersionedTable.create(facts.inventory_rows(nights, dim_hotels), fact, NIGHT_KEY, SORT, "stay_date")
 
 
-def _stays(stg_bookings: DataFrame, fx: DataFrame) -> DataFrame:
+def counted_stays(stg_bookings: DataFrame, fx: DataFrame) -> DataFrame:
     """What each booking counts as; one that is not confirmed counts as nothing."""
     counted = facts.stays(stg_bookings, fx).withColumn("counted", F.lit(True))
     names = [c for c in counted.columns if c not in ("booking_id", fv.BATCH_DATE)]
@@ -101,7 +101,7 @@ def update(
     stays, nights = VersionedTable.open(spark, kept), VersionedTable.open(spark, fact)
     with work_folders(spark, "inventory-bookings", "inventory-nights") as (folder, touched):
         lost = lost_bookings(bookings, stays.read(), date).select("booking_id")
-        newest = _stays(changed_bookings(bookings, stays.read(), date), fx)
+        newest = counted_stays(changed_bookings(bookings, stays.read(), date), fx)
         # A booking that is in no batch any more counts as nothing.
         blank = lost.join(newest.select("booking_id"), "booking_id", "left_anti")
         typed = [F.lit(None).cast(newest.schema[c].dataType).alias(c) for c in facts.STAY]

@@ -5,8 +5,9 @@ from pyspark.sql import functions as F
 from lakestay import fixed_values as fv
 from lakestay.functions import keys
 from lakestay.operators.frames import add_unknown_member, explode_nights
+from lakestay.operators.history import splice, touched_keys
 from lakestay.operators.scd2 import scd2
-from lakestay.plans import dimensions, facts, reports
+from lakestay.plans import dimensions, facts, inventory, reports
 from lakestay.registry.core import flat, query
 from lakestay.sources import seeds
 from lakestay.functions.parsing import to_tag_array
@@ -134,6 +135,25 @@ def scd2_dimension(t):
     return scd2(t("user_days"), "user_id", ["event_type"], "sk", "day")
 
 
+@query("scd2_splice", f"""WITH snapshots AS (SELECT user_id, event_type, day AS _batch_date FROM user_days),
+    {versions_sql("d", "snapshots", "user_id", "sk", ("event_type",), "user_id, event_type", "0, ''")}
+    SELECT * FROM d WHERE sk <> 0""".replace(
+        "md5(user_id", "md5(CAST(user_id AS VARCHAR)"), ("user_days",))
+def scd2_splice(t):
+    """The same versions: two days are left out at first and merged in, the earlier one last."""
+    days, tracked = t("user_days"), ["event_type"]
+    parts = {d: days.filter(F.col("day") == F.lit(d).cast("date")) for d in ("2024-01-20", "2024-01-12")}
+    known = days.filter(~F.col("day").isin([F.lit(d).cast("date") for d in parts]))
+    versions = t.stored(scd2(known, "user_id", tracked, "sk", "day"), "versions")
+    for day, snapshot in parts.items():
+        touched = t.stored(touched_keys(versions, snapshot, day, "user_id", tracked), "touched")
+        later = known.filter(F.col("day") > day).select("user_id", "day")
+        new = splice(versions, touched, later, day, "user_id", tracked, "sk", "day")
+        rest = versions.join(touched.select("user_id"), "user_id", "left_anti").select(*versions.columns)
+        versions, known = t.stored(rest.unionByName(new), "versions"), known.unionByName(snapshot)
+    return versions
+
+
 @query("dim_hotels", f"WITH {DIM_HOTELS} SELECT * FROM dim_hotels", ("hotel_snapshots",))
 def dim_hotels(t):
     return flat(hotel_dimension(t))
@@ -263,6 +283,25 @@ def fact_inventory(t):
     return facts.fact_hotel_inventory(t("bookings"), hotel_dimension(t), t("rates"))
 
 
+@query("inventory_differences", f"WITH {DIM_HOTELS}, {INVENTORY}", ("hotel_snapshots", "bookings", "rates"))
+def inventory_differences(t):
+    """The same nights: a third of the bookings count as something else at first, and their
+    old stays are counted out and the new ones in."""
+    now, moved = t("bookings"), F.substring("booking_id", 4, 20).cast("long") % 3 == 0
+    before = now.withColumns({
+        "booking_status": F.when(moved, F.when(F.col("booking_status") == "CONFIRMED", "PENDING").otherwise("CONFIRMED"))
+        .otherwise(F.col("booking_status")),
+        "hotel_id": F.when(moved, F.lit("HTL-7")).otherwise(F.col("hotel_id")),
+    })
+    old, new = (inventory.counted_stays(x, t("rates")) for x in (before, now))
+    nights = facts.room_nights(old.filter("counted"))
+    change = inventory.differences(old, new)
+    after = nights.unionByName(change).groupBy(*facts.NIGHT).agg(*[
+        F.sum(c).cast(nights.schema[c].dataType).alias(c) for c in ("booked_rooms", "_rated", "_rate_sum")
+    ])
+    return facts.inventory_rows(after.filter("booked_rooms <> 0"), hotel_dimension(t)).select(*facts.INVENTORY)
+
+
 @query("rpt_daily_revenue", """
     SELECT CAST(o_orderdate AS DATE) AS report_date, n_name AS country, r_name AS region, c_mktsegment AS hotel_tier,
         CASE o_orderpriority WHEN '1-URGENT' THEN 'Web' WHEN '2-HIGH' THEN 'Mobile App' WHEN '3-MEDIUM' THEN 'Partner API' ELSE 'Other' END AS channel_name,
