@@ -10,7 +10,8 @@ from lakestay.plans.bronze import bronze_ingest
 from lakestay.plans.silver import entity, silver_frames
 from lakestay.registry.core import flat, query
 from lakestay.session import work_folder
-from lakestay.sources.readers import SOURCES, day_path, layer_path, read_layer
+from lakestay.sinks.batches import write_quarantine
+from lakestay.sources.readers import SOURCES, day_path, layer_path, read_day, read_layer
 
 # ---- the same typing in the other engine's SQL ---------------------------------
 
@@ -152,6 +153,19 @@ def quarantine_summary(t):
     return union_frames(parts)
 
 
+@query("quarantine_sink", f"""WITH {ranked_sql('payments')}
+    SELECT payment_id, booking_id, amount, _dq_reason, DATE '2026-10-01' AS _batch_date FROM judged WHERE _dq_reason <> ''
+    UNION ALL SELECT payment_id, booking_id, amount, 'DUPLICATE_KEY', DATE '2026-10-01' FROM ranked WHERE rn > 1""", ("bronze_payments",))
+def quarantine_sink(t):
+    """The payments kept out of silver, written to quarantine twice and read back."""
+    table = work_folder(t.spark, "quarantine")
+    rest = silver_frames("payments", bronze(t, "payments"))[1]
+    rest = rest.select("payment_id", "booking_id", "amount", fv.DQ_REASON)
+    for _ in range(2):
+        write_quarantine(rest, table, "2026-10-01")
+    return read_day(t.spark, table, "2026-10-01")
+
+
 # ---- staging views -------------------------------------------------------------
 
 VIEWS = {

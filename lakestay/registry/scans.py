@@ -205,6 +205,18 @@ def merge_compacted(t):
     return bookings.read()
 
 
+@query("refresh_table", """
+    SELECT c_custkey, c_name, c_acctbal + 2 AS c_acctbal FROM customer WHERE c_custkey % 3 <> 0""")
+def refresh_table(t):
+    """A table replaced twice by what is made of its own rows."""
+    table = work_folder(t.spark, "customers")
+    batches.refresh(t("customer").select("c_custkey", "c_name", "c_acctbal"), table, ["c_custkey"])
+    for changed in ("c_custkey % 3 <> 0", "true"):
+        rows = readers.read_table(t.spark, table).filter(changed)
+        batches.refresh(rows.withColumn("c_acctbal", F.col("c_acctbal") + 1), table, ["c_custkey"])
+    return readers.read_table(t.spark, table)
+
+
 @query("month_layout", """
     SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS o_orderdate FROM orders
     WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1996-02-20' AND DATE '1996-05-03' AND o_custkey < 500""")
