@@ -1,11 +1,12 @@
 """The main text of web pages by minimum-cut labelling of their blocks.
 
 A page is read into blocks, runs of text between block elements. Each block has a score, the
-log odds of content against boilerplate from signs on its ancestors (elements, roles, words
-of classes and ids) and from its text (length, links, punctuation); scores become terminal
-capacities. Blocks that follow each other and blocks with the same parent are joined by
-smoothness edges. The minimum cut, found by maximum flow, is the cheapest labelling of all
-blocks together.
+log odds of content against boilerplate: a moderate prior from signs on its ancestors
+(elements, roles, words of classes and ids) and the evidence of its text (length, links,
+punctuation); scores become terminal capacities. Blocks that follow each other are joined by
+smoothness edges, the stronger the fewer elements lie between them, and so are blocks with
+the same parent. The minimum cut, found by maximum flow, is the cheapest labelling of all
+blocks together, so a block whose own signs are weak goes with those around it.
 """
 
 from __future__ import annotations
@@ -68,7 +69,13 @@ _FIRM_ROLES = {
     "navigation", "contentinfo", "complementary", "search", "alert", "alertdialog", "dialog", "menu", "menubar",
     "toolbar", "tablist", "status",
 }
-_COMMENT_WORDS = {"comment", "comments", "commentlist", "reply", "replies", "respond", "disqus", "discussion", "reviews"}
+_COMMENT_WORDS = {"comment", "comments", "commentlist", "respond", "disqus"}
+# Words of readers' comments or of a part of the article: comments if several entries of users are inside.
+_DOUBTFUL_WORDS = {"discussion", "reply", "replies", "review", "reviews"}
+_ENTRY_WORDS = {
+    "reply", "review", "user", "username", "author", "avatar", "commenter", "reviewer", "vote", "votes", "rating", "stars",
+}
+_LEAST_ENTRIES = 2
 _SOFT_WORDS = {
     "ad", "ads", "advert", "adverts", "advertisement", "advertising", "adsense", "sponsor", "sponsored", "sponsors",
     "promo", "promoted", "promotion", "promotions", "banner", "cookie", "cookies", "consent", "gdpr", "notice",
@@ -79,6 +86,8 @@ _SOFT_WORDS = {
     "pager", "search", "copyright", "tags", "tagcloud", "paywall", "form",
 }
 _GOOD_WORDS = {"article", "post", "entry", "story", "content", "maincontent", "main"}
+# Names that begin with one of these are of a subject or kind, not of a place on the page.
+_SUBJECT = re.compile(r"(?:tag|category|cat|type|status|format|topic|lang)[-_]")
 # A name with one of these is of a frame around several parts, and says nothing of its text.
 _FRAME_WORDS = {"with", "has", "no", "layout", "wrap", "wrapper", "container", "page", "site", "body", "row", "grid"}
 # Ids that stand for the main part wherever they are.
@@ -94,20 +103,25 @@ class Block(NamedTuple):
     tag: str  # the nearest block element
     parent: int  # a number of the element around that
     links: float  # share of the text in links
+    depth: int = 0  # of the nearest block element
+    lowest: int = 0  # depth of the deepest element around this block and the one before it
+    doubt: int = 0  # number of the element around that may hold readers' comments
 
 
 class _Open(NamedTuple):
     tag: str
     zone: int
     number: int
+    doubt: int = 0
 
 
-def _zone(tag: str, attributes: str, around: int) -> int:
-    """The zone inside an element, from its own signs and the zone around it."""
+def _zone(tag: str, attributes: str, around: int) -> tuple[int, set[str]]:
+    """The zone inside an element, from its own signs and the zone around it, and the words of its names."""
     if around == FIRM or tag in _FIRM_TAGS:
-        return FIRM
+        return FIRM, set()
     names: set[str] = set()
     role, main_id = "", False
+    alone: set[str] = set()  # names of a single word
     if attributes and "=" in attributes:
         for m in _ATTRIBUTE.finditer(attributes):
             value = m[2] or m[3] or m[4] or ""
@@ -117,8 +131,13 @@ def _zone(tag: str, attributes: str, around: int) -> int:
             main_id |= m[1].lower() == "id" and value.strip().lower() in _MAIN_IDS
             for name in value.split():
                 words = {w.lower() for w in _NAME_WORD.findall(name)}
-                if not words & _FRAME_WORDS:
+                if not words & _FRAME_WORDS and not _SUBJECT.match(name.lower()):
                     names |= words
+                    alone |= words if len(words) == 1 else set()
+    return _zone_of(tag, role, main_id, names, alone, around), names
+
+
+def _zone_of(tag: str, role: str, main_id: bool, names: set[str], alone: set[str], around: int) -> int:
     if role in _FIRM_ROLES or (names & _COMMENT_WORDS and tag not in ("html", "body", "main")):
         return FIRM
     if tag in ("article", "main") or role in ("main", "article"):
@@ -129,7 +148,8 @@ def _zone(tag: str, attributes: str, around: int) -> int:
         return around
     if main_id and around != CONTENT:
         return LIKELY
-    if names & _SOFT_WORDS:
+    # A whole name such as "entry" outweighs a word within another name of the same element.
+    if (alone if alone & _GOOD_WORDS else names) & _SOFT_WORDS:
         return SOFT
     if around != CONTENT and (tag == "header" or role == "banner" or "header" in names):
         return SOFT
@@ -146,10 +166,12 @@ def read_blocks(page: str) -> list[Block]:
     links = 0  # open links
     parts: list[str] = []
     linked = 0
+    lowest = 0
+    entries: dict[int, int] = {}  # of users, by the element in doubt
     at, size = 0, len(page)
 
     def end_block():
-        nonlocal parts, linked
+        nonlocal parts, linked, lowest
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
@@ -157,7 +179,11 @@ def read_blocks(page: str) -> list[Block]:
                 while k > 0 and stack[k].tag not in _BLOCKS:
                     k -= 1
                 parent = stack[max(k - 1, 0)].number
-                blocks.append(Block(text, stack[-1].zone, stack[k].tag, parent, min(1.0, linked / len(text))))
+                share = min(1.0, linked / len(text))
+                blocks.append(
+                    Block(text, stack[-1].zone, stack[k].tag, parent, share, k, min(lowest, k), stack[-1].doubt)
+                )
+                lowest = k
             parts, linked = [], 0
 
     def add(text: str):
@@ -168,7 +194,8 @@ def read_blocks(page: str) -> list[Block]:
                 linked += len(text.strip())
 
     def close(k: int):
-        nonlocal links
+        nonlocal links, lowest
+        lowest = min(lowest, k - 1)
         links -= sum(x.tag == "a" for x in stack[k:])
         del stack[k:]
 
@@ -216,14 +243,21 @@ def read_blocks(page: str) -> list[Block]:
                 _end_open(stack, *_CLOSES[tag], close)
         if tag in _VOID:
             continue
-        zone = _zone(tag, m[3], stack[-1].zone)
+        zone, names = _zone(tag, m[3], stack[-1].zone)
         if zone != stack[-1].zone:
             end_block()
         numbers += 1
-        stack.append(_Open(tag, zone, numbers))
+        doubt = stack[-1].doubt
+        if doubt:
+            entries[doubt] += bool(names & _ENTRY_WORDS)
+        elif zone < SOFT and tag in _BLOCKS and tag not in _NEVER_NAMED and names & _DOUBTFUL_WORDS:
+            end_block()
+            doubt = numbers
+            entries[doubt] = 0
+        stack.append(_Open(tag, zone, numbers, doubt))
         links += tag == "a"
     end_block()
-    return blocks
+    return [b._replace(zone=FIRM) if entries.get(b.doubt, 0) >= _LEAST_ENTRIES else b for b in blocks]
 
 
 def _end_open(stack: list[_Open], names: set[str], holders: set[str], close) -> None:
@@ -236,35 +270,62 @@ def _end_open(stack: list[_Open], names: set[str], holders: set[str], close) ->
             return
 
 
+# Hundredths of the log odds of each zone: neutral, likely, content, soft, firm; without an
+# article or main element a page's other parts are its text.
+_PRIORS = {True: (-250, 0, 400, -300, -450), False: (0, 150, 400, -300, -450)}
+
+
 def block_score(block: Block, has_article: bool) -> int:
     """Hundredths of the log odds that a block is content."""
     text, n = block.text, len(block.text)
-    zone = (-300 if has_article else 0, 100 if has_article else 250, 700, -800, -1000)[block.zone]
     score = min(n, 300) // 3 - 40 - int(300 * block.links)
     score += 60 if text[-1] in ".!?…。！？\"”»" and n > 20 else 0
     score += 30 if block.tag in _HEADINGS else -30 if block.tag in ("li", "td", "th", "dt") else 0
     score -= 0 if any(c.isalpha() for c in text) else 60
     score -= 150 if n < 400 and _LEGAL.search(text) else 0
-    return zone + score
+    return _PRIORS[has_article][block.zone] + score
 
 
-# Costs of a cut between two blocks: in the same zone, and beyond its border.
-_NEXT, _SIBLING, _BORDER = 25, 25, 5
+# Costs of a cut between two blocks: next to each other with two elements between them (as two
+# paragraphs have), and with the same parent; beyond the border of a zone a share of it.
+_NEXT, _SIBLING, _BORDER_SHARE = 60, 40, 6
+# What is added to the scores of plain text where a page would have no content otherwise.
+_LAST_RESORT = 100
 
 
-def label(blocks: list[Block]) -> list[bool]:
-    """Which blocks are content, by the minimum cut."""
-    has_article = sum(len(b.text) for b in blocks if b.zone == CONTENT) > 0
+def smoothness(blocks: list[Block]) -> list[tuple[int, int, int]]:
+    """The edges between blocks and what cutting them costs."""
     edges: list[tuple[int, int, int]] = []
     last_of: dict[int, int] = {}
+
+    def join(i: int, j: int, weight: int):
+        weight = weight if blocks[i].zone == blocks[j].zone else weight // _BORDER_SHARE
+        if weight:
+            edges.append((i, j, weight))
+
     for i, b in enumerate(blocks):
         if i:
-            edges.append((i - 1, i, _NEXT if blocks[i - 1].zone == b.zone else _BORDER))
-        if b.parent in last_of and last_of[b.parent] < i:
-            j = last_of[b.parent]
-            edges.append((j, i, _SIBLING if blocks[j].zone == b.zone else _BORDER))
+            steps = blocks[i - 1].depth + b.depth - 2 * b.lowest
+            join(i - 1, i, 2 * _NEXT // max(steps, 2))
+        if b.parent in last_of:
+            join(last_of[b.parent], i, _SIBLING)
         last_of[b.parent] = i
-    return minimum_cut([block_score(b, has_article) for b in blocks], edges)
+    return edges
+
+
+def label(blocks: list[Block]) -> list[bool]:
+    """Which blocks are content, by the minimum cut.
+
+    A page without any content is cut once more, with the odds of blocks outside of menus,
+    notices and the like that are not mostly links raised: some of its plain text is its text.
+    """
+    has_article = sum(len(b.text) for b in blocks if b.zone == CONTENT) > 0
+    scores, edges = [block_score(b, has_article) for b in blocks], smoothness(blocks)
+    found = minimum_cut(scores, edges)
+    if any(found):
+        return found
+    plain = [b.zone < SOFT and b.links < 0.5 for b in blocks]
+    return minimum_cut([s + _LAST_RESORT * p for s, p in zip(scores, plain)], edges)
 
 
 def main_text(page: str | None) -> str:

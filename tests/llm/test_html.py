@@ -1,6 +1,8 @@
 """Main text of pages and the minimum cut behind it."""
 
+import html
 import random
+import re
 
 from lakestay.llm import html_extraction
 from lakestay.llm.html_extraction import main_text, read_blocks
@@ -73,14 +75,69 @@ def test_rows_of_all_kinds(spark):
     assert html_extraction.extract(pages.limit(0)).count() == 0
 
 
+def article_text(page: str) -> str:
+    """All text of the only article of a page of the supplied tables, by plain replacement."""
+    inside = re.search(r"<article>(.*)</article>", re.sub(r"<!--.*?-->", "", page, flags=re.S), re.S)[1]
+    inside = re.sub(r"(?s)<(script|style)\b.*?</\1>", "", inside)
+    inside = re.sub(r"<br ?/?>", " ", inside)
+    lines = re.split(r"</?(?:p|h\d|div|ul|ol|li|blockquote|section|table|tr|td|pre|figure|figcaption)\b[^>]*>", inside)
+    lines = [" ".join(html.unescape(re.sub(r"</?[a-zA-Z][^>]*>", "", x)).split()) for x in lines]
+    return "\n".join(x for x in lines if x)
+
+
 def test_query_gives_every_page_its_article(spark):
     pages = {r.page_id: r for r in spark.read.parquet(f"{FOLDER}/pages.parquet").collect()}
     rows = QUERIES["op2_html_extraction"](spark, FOLDER).collect()
     assert {r.page_id for r in rows} == set(pages)
-    assert all(r.n_chars == len(r.text) and r.url == pages[r.page_id].url and r.text for r in rows)
+    for r in rows:
+        assert r.n_chars == len(r.text) and r.url == pages[r.page_id].url
+        assert r.text == article_text(pages[r.page_id].html)
 
 
 def test_letters_count_wherever_a_block_has_them():
     block = html_extraction.Block("1 " * 150 + LONG, html_extraction.CONTENT, "p", 0, 0.0)
     bare = block._replace(text="1 " * 150 + "2 " * 40 + "3.")
     assert html_extraction.block_score(block, False) == html_extraction.block_score(bare, False) + 60
+
+
+def test_parts_of_the_article_stay_whatever_their_name():
+    for part in (
+        f'<article><p>{LONG}</p><section id="discussion"><h2>Discussion</h2><p>{LONG}</p></section></article>',
+        f'<main><div class="book-reviews"><h2>Books</h2><p>{LONG}</p></div></main>',
+        f'<div class="entry tag-search"><h2>Title</h2><p>{LONG}</p></div>',
+        f'<div class="entry site-search"><h2>Title</h2><p>{LONG}</p></div>',
+        "<div><p>It rained.</p><p>We stayed.</p><p>Then it was over.</p></div>",
+        "<div>It rained.</div><div>We stayed.</div>",
+    ):
+        page = f"<body><nav><a href=1>Home</a></nav>{part}<footer>&copy; me</footer></body>"
+        want = [x for x in re.split(r"<[^>]*>", part) if x]
+        assert main_text(page).split("\n") == want, part
+
+
+def test_several_entries_of_users_are_comments():
+    entry = f'<div><span class="username">Ann</span><p>{LONG} I agree.</p></div>'
+    page = f'<article><p>{LONG}</p><div class="discussion">{{}}</div></article>'
+    assert main_text(page.format(entry * 3)) == LONG
+    assert main_text(page.format(entry)).count("\n") == 2
+
+
+def test_the_cut_overrules_the_sign_of_a_block():
+    page = f"<div><p>{LONG}</p><p>Then came May.</p><p>{LONG}</p></div><div><p>Next</p></div><ul><li><a href=1>Up</a><li><a href=2>Top</a></ul>"
+    blocks = read_blocks(page)
+    own = [html_extraction.block_score(b, False) > 0 for b in blocks]
+    assert own == [True, False, True, False, False, False]
+    assert html_extraction.label(blocks) == [True, True, True, False, False, False]
+
+
+def test_edges_weaken_with_the_elements_between_blocks():
+    near = read_blocks("<div><p>a</p><p>b</p></div>")
+    far = read_blocks("<div><div><div><p>a</p></div></div></div><div><div><div><p>b</p></div></div></div>")
+    weight = [sum(w for _, _, w in html_extraction.smoothness(x)) for x in (near, far)]
+    assert weight[0] == html_extraction._NEXT + html_extraction._SIBLING and 0 < weight[1] < weight[0] / 4
+
+
+def test_lists_of_links_in_the_article_stay():
+    items = "".join(f"<li><a href={i}>Work {i}</a>" for i in range(30))
+    assert main_text(f"<article><p>{LONG}</p><ul>{items}</ul></article>").count("\n") == 30
+    cells = "".join(f"<tr><td>{i}<td><a href=x>{i}</a>" for i in range(30))
+    assert main_text(f"<article><p>{LONG}</p><table>{cells}</table></article>").count("\n") == 60
