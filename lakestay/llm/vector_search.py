@@ -4,12 +4,14 @@ Vectors are lifted onto a sphere (one more component makes all of them equally l
 that the highest inner products are the nearest neighbours. Each vector is keyed by its
 nearest pivot and its distance to it; the keys of a pivot are cut into rings, and the pairs of
 pivot and ring are annuli. By the triangle inequality no vector of an annulus is nearer to a
-query than the query's distance to the pivot is to the ring. A query first searches the
-annuli of lowest bounds, until they hold enough vectors; its tenth best score then rules
-out the annuli whose bounds cannot reach it, and the rest are searched.
-
-Rows are stored in blocks of one annulus and queries in blocks of neighbours; blocks meet by
-a join on the annulus, in parts of bounded size.
+query than the query's distance to the pivot is to the ring. The same holds for every other
+pivot and the range of distances the annulus has to it; the greatest of these bounds counts.
+A query first searches the annuli of lowest bounds, until they hold enough vectors; its tenth
+best score then rules out the annuli whose bounds cannot reach it, and the rest are searched.
+
+Rows are stored in blocks of one annulus and queries in blocks of neighbours. Annuli of few
+blocks make up a band together, those of many are cut into parts. Query blocks first say which
+parts of bands they want, then row blocks are copied to the groups of queries that want them.
 """
 
 from __future__ import annotations
@@ -31,11 +33,14 @@ QUERY_EVERY = 100
 SCALE = 1024.0
 # Pivots are chosen on this many vectors, those with the smallest hashes of their ids.
 SAMPLE_ROWS = 4_096
-PIVOTS = 16
-RINGS = 16
+# Least and most pivots, and rings of a pivot; both grow with the rows. The directory of the
+# annuli holds two doubles for each annulus and pivot, 32 MB at most.
+PIVOTS = 16, 128
+RINGS = 16, 128
+_RING_ROWS = 256
 ROW_BLOCK = 2_048
 QUERY_BLOCK = 256
-# Row blocks, and query blocks, that meet in one key of the join, at most on average.
+# Row blocks, and query blocks, that meet in one key of the join, about.
 _MEET = 64
 # Vectors the first annuli of a query hold, at least.
 _FIRST_ROWS = 1_024
@@ -60,10 +65,13 @@ class Pivots(NamedTuple):
     points: np.ndarray
     square: float
 
+    # Squares may pass what doubles hold; bounds take nothing from distances that are not finite.
+    @np.errstate(over="ignore", invalid="ignore")
     def lift(self, vectors: np.ndarray) -> np.ndarray:
         rest = np.sqrt(np.maximum(self.square - (vectors * vectors).sum(1), 0))
         return np.column_stack([vectors, rest])
 
+    @np.errstate(over="ignore", invalid="ignore")
     def distances(self, points: np.ndarray) -> np.ndarray:
         squares = (points * points).sum(1)[:, None] + (self.points * self.points).sum(1)
         return np.sqrt(np.maximum(squares - 2 * points @ self.points.T, 0))
@@ -74,7 +82,14 @@ class Pivots(NamedTuple):
         return 1e-6 * np.sqrt(self.square) + 1e-9
 
 
-def choose_pivots(sample: np.ndarray, square: float, count: int = PIVOTS) -> Pivots:
+def index_shape(rows: int) -> tuple[int, int]:
+    """Pivots, and rings of each, for a number of rows."""
+    pivots = min(max(2 * int(np.ceil(rows ** (1 / 3))), PIVOTS[0]), PIVOTS[1])
+    return pivots, min(max(-(-rows // (pivots * _RING_ROWS)), RINGS[0]), RINGS[1])
+
+
+@np.errstate(over="ignore", invalid="ignore")
+def choose_pivots(sample: np.ndarray, square: float, count: int) -> Pivots:
     """Points of the sample far from each other: each next one is the farthest from all before."""
     own = Pivots(np.empty((0, 0)), square)
     points = own.lift(sample)
@@ -87,26 +102,40 @@ def choose_pivots(sample: np.ndarray, square: float, count: int = PIVOTS) -> Piv
 
 
 class Directory(NamedTuple):
-    """The annuli: pivot, nearest and farthest distance, rows and join parts of each."""
+    """The annuli in order: number, least and greatest distance to every pivot, rows and row blocks."""
 
     pivots: Pivots
-    pivot: np.ndarray
+    number: np.ndarray
     near: np.ndarray
     far: np.ndarray
     rows: np.ndarray
-    parts: np.ndarray
+    blocks: np.ndarray
 
+    @np.errstate(over="ignore", invalid="ignore")
     def reach(self, queries: np.ndarray) -> np.ndarray:
         """A bound on the scores of each query (row) with vectors of each annulus (column)."""
-        points = np.column_stack([queries, np.zeros(len(queries))])
-        d = self.pivots.distances(points)[:, self.pivot]
-        gap = np.maximum(np.maximum(d - self.far, self.near - d) - self.pivots.slack, 0)
+        d = self.pivots.distances(np.column_stack([queries, np.zeros(len(queries))]))
+        gap = np.zeros((len(queries), len(self.number)))
+        for k in range(d.shape[1]):
+            own = np.maximum(d[:, k, None] - self.far[:, k], self.near[:, k] - d[:, k, None]) - self.pivots.slack
+            np.maximum(gap, np.where(np.isfinite(own), own, 0), out=gap)
         squares = (queries * queries).sum(1)[:, None] + self.pivots.square
         # The half sum of squares less the squared distance is the inner product.
         reach = (squares - gap * gap) / 2 + 1e-9 * squares + 0.5
         # Of vectors too long for doubles nothing can be ruled out.
         return np.where(np.isnan(reach), np.inf, reach)
 
+    def bands(self) -> tuple[np.ndarray, np.ndarray]:
+        """The band of each annulus, and the parts of each band: annuli in order until they have enough blocks."""
+        band, parts, held = np.zeros(len(self.number), np.int64), [], 0
+        for i, b in enumerate(self.blocks.tolist()):
+            if not parts or held + b > _MEET:
+                parts.append(max(1, -(-b // _MEET)))
+                held = 0
+            held += b
+            band[i] = len(parts) - 1
+        return band, np.array(parts, np.int64)
+
     def first(self, reach: np.ndarray, rows: int = _FIRST_ROWS) -> np.ndarray:
         """Which annuli each query searches first: the best, until they hold enough rows."""
         order = np.argsort(-reach, axis=1, kind="stable")
@@ -175,7 +204,9 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
     return out
 
 
-_BLOCK_KINDS = "pivot int, ring int, part bigint, near double, far double, n bigint, ids binary, vectors binary"
+_BLOCK_KINDS = (
+    "annulus bigint, part bigint, near array<double>, far array<double>, n bigint, ids binary, vectors binary"
+)
 
 
 def _keyed(vectors: DataFrame, pivots: Pivots, width: int) -> DataFrame:
@@ -198,15 +229,17 @@ def _keyed(vectors: DataFrame, pivots: Pivots, width: int) -> DataFrame:
     return vectors.mapInArrow(run, "vec_id bigint, pivot int, distance double, vector array<double>")
 
 
-def _blocks(keyed: DataFrame, cuts: dict[int, list[float]], width: int, size: int, many: bool) -> DataFrame:
-    """Rows of one annulus in blocks (many: of one pivot, for queries), in order of distance.
+def _blocks(
+    keyed: DataFrame, pivots: Pivots, cuts: dict[int, list[float]], rings: int, width: int, size: int
+) -> DataFrame:
+    """Rows of one annulus (without cuts: of one pivot) in blocks, in order of distance.
 
     Rows are dealt by ranges of pivot, distance and id, so that equal vectors, however many,
     are spread over tasks.
     """
     schema = pa.schema([
-        ("pivot", pa.int32()), ("ring", pa.int32()), ("part", pa.int64()), ("near", pa.float64()),
-        ("far", pa.float64()), ("n", pa.int64()), ("ids", pa.binary()), ("vectors", pa.binary()),
+        ("annulus", pa.int64()), ("part", pa.int64()), ("near", pa.list_(pa.float64())),
+        ("far", pa.list_(pa.float64())), ("n", pa.int64()), ("ids", pa.binary()), ("vectors", pa.binary()),
     ])
     tasks = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = keyed.repartitionByRange(tasks, "pivot", "distance", "vec_id").sortWithinPartitions(
@@ -219,11 +252,11 @@ def _blocks(keyed: DataFrame, cuts: dict[int, list[float]], width: int, size: in
 
         def flush():
             nonlocal number
-            ids = np.concatenate([h[2] for h in held])
+            ids = np.concatenate([h[1] for h in held])
             order = np.argsort(ids, kind="stable")
-            d = np.concatenate([h[3] for h in held])
-            vectors = np.concatenate([h[4] for h in held])[order]
-            row = [held[0][0], held[0][1], number, d.min(), d.max(), len(ids), ids[order].tobytes(), _packed(vectors)]
+            vectors = np.concatenate([h[2] for h in held])[order]
+            d = pivots.distances(pivots.lift(vectors))
+            row = [held[0][0], number, d.min(0), d.max(0), len(ids), ids[order].tobytes(), _packed(vectors)]
             number += 1
             return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, schema.types)], schema=schema)
 
@@ -234,21 +267,20 @@ def _blocks(keyed: DataFrame, cuts: dict[int, list[float]], width: int, size: in
             d = batch.column("distance").to_numpy()
             ids = batch.column("vec_id").to_numpy()
             vectors = _matrix(batch.column("vector"), width)
-            ring = np.zeros(len(d), np.int64)
-            if not many:
-                for p in np.unique(pivot).tolist():
-                    ring[pivot == p] = np.searchsorted(cuts.get(p, []), d[pivot == p], side="left")
-            border = np.flatnonzero((pivot[1:] != pivot[:-1]) | (ring[1:] != ring[:-1])) + 1
+            annulus = pivot.astype(np.int64) * rings
+            for p in np.unique(pivot).tolist():
+                annulus[pivot == p] += np.searchsorted(cuts.get(p, []), d[pivot == p], side="left")
+            border = np.flatnonzero(annulus[1:] != annulus[:-1]) + 1
             for a, b in zip([0, *border.tolist()], [*border.tolist(), len(d)]):
-                if held and (held[0][0], held[0][1]) != (pivot[a], ring[a]):
+                if held and held[0][0] != annulus[a]:
                     yield flush()
                     held = []
                 while a < b:
-                    room = size - sum(len(h[2]) for h in held)
+                    room = size - sum(len(h[1]) for h in held)
                     end = min(b, a + room)
-                    held.append((int(pivot[a]), int(ring[a]), ids[a:end], d[a:end], vectors[a:end]))
+                    held.append((int(annulus[a]), ids[a:end], vectors[a:end]))
                     a = end
-                    if sum(len(h[2]) for h in held) >= size:
+                    if sum(len(h[1]) for h in held) >= size:
                         yield flush()
                         held = []
         if held:
@@ -257,54 +289,68 @@ def _blocks(keyed: DataFrame, cuts: dict[int, list[float]], width: int, size: in
     return dealt.mapInArrow(run, _BLOCK_KINDS)
 
 
-def _search(queries: DataFrame, blocks: DataFrame, directory: Directory, groups: int, width: int, top: int,
-            again: bool) -> DataFrame:
-    """(query_id, score, vec_id): the best of what each task has searched.
+_CELL_KINDS = (
+    "band bigint, slot bigint, group bigint, block bigint, least binary, annuli array<bigint>, masks array<binary>"
+)
+
+
+def _cells(queries: DataFrame, directory: Directory, groups: int, width: int, again: bool) -> DataFrame:
+    """What each query block wants of each part of a band: annuli, and which of its queries want them.
 
-    Each query block goes to the annuli its queries want: the first ones, or (again) those
-    that can still hold a score as high as the last one known of each query.
+    These are the first annuli of a query, or (again) of the others those that can still hold
+    a score as high as the last one known of the query.
     """
-    number = {k: i for i, k in enumerate(zip(directory.pivot.tolist(), _rings(directory)))}
+    band, parts = directory.bands()
+    starts = np.flatnonzero(np.diff(band, prepend=-1)).tolist()
+    schema = pa.schema([
+        ("band", pa.int64()), ("slot", pa.int64()), ("group", pa.int64()), ("block", pa.int64()),
+        ("least", pa.binary()), ("annuli", pa.list_(pa.int64())), ("masks", pa.list_(pa.binary())),
+    ])
 
-    def wants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([
-            ("annulus", pa.int64()), ("slot", pa.int64()), ("group", pa.int64()), ("block", pa.int64()),
-            ("query_ids", pa.binary()), ("queries", pa.binary()), ("least", pa.binary()),
-        ])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in batch.to_pylist():
-                vectors = _unpacked(r["vectors"], width)
                 ids = np.frombuffer(r["ids"], np.int64)
-                reach = directory.reach(vectors)
-                # The whole block has searched what any of its queries searched first.
-                taken = directory.first(reach).any(0)
+                reach = directory.reach(_unpacked(r["vectors"], width))
+                taken = directory.first(reach)
                 least = np.full(len(ids), -np.inf)
                 if again:
                     known = {x["query_id"]: x["least"] for x in r["known"] or []}
                     least = np.array([known.get(i, -np.inf) for i in ids.tolist()])
-                    taken = ~taken & (reach >= least[:, None]).any(0)
-                slots = [(a, s) for a in np.flatnonzero(taken).tolist() for s in range(int(directory.parts[a]))]
-                for at in range(0, len(slots), 64):
-                    some = slots[at : at + 64]
-                    k = len(some)
-                    group = int(r["part"] * 0x9E3779B97F4A7C15 >> 20) % groups
-                    columns = [
-                        [a for a, _ in some], [s for _, s in some], [group] * k, [r["part"]] * k, [r["ids"]] * k,
-                        [r["vectors"]] * k, [least.tobytes()] * k,
-                    ]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, t) for c, t in zip(columns, schema.types)], schema=schema
-                    )
-
-    wanted = queries.mapInArrow(
-        wants, "annulus bigint, slot bigint, group bigint, block bigint, query_ids binary, queries binary, least binary"
+                    taken = ~taken & (reach >= least[:, None])
+                group = int(r["part"] * 0x9E3779B97F4A7C15 >> 20) % groups
+                rows = []
+                for k, (a, b) in enumerate(zip(starts, [*starts[1:], len(band)])):
+                    some = a + np.flatnonzero(taken[:, a:b].any(0))
+                    if len(some):
+                        masks = [np.packbits(taken[:, x]).tobytes() for x in some]
+                        own = (group, r["part"], least.tobytes(), directory.number[some].tolist(), masks)
+                        rows += [(k, slot, *own) for slot in range(int(parts[k]))]
+                columns = zip(*rows) if rows else [[]] * len(schema)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(list(c), t) for c, t in zip(columns, schema.types)], schema=schema
+                )
+
+    return queries.mapInArrow(run, _CELL_KINDS)
+
+
+def _search(queries: DataFrame, blocks: DataFrame, directory: Directory, groups: int, width: int, top: int,
+            again: bool) -> DataFrame:
+    """(query_id, score, vec_id): the best of what each task has searched."""
+    cells = stored(_cells(queries, directory, groups, width, again), "vector-cells")
+    band, parts = directory.bands()
+    # One row for each annulus, so PIVOTS times RINGS at most.
+    places = queries.sparkSession.createDataFrame(
+        list(zip(directory.number.tolist(), band.tolist(), parts[band].tolist())),
+        "annulus bigint, band bigint, parts bigint",
     )
-    # Row blocks know their annulus by its place in the directory, which is small by parameters.
-    names = F.create_map(*[F.lit(x) for k, i in number.items() for x in (k[0] * 1_000 + k[1], i)])
-    parts = F.array(*[F.lit(int(p)) for p in directory.parts])
-    placed = blocks.withColumn("annulus", names[F.col("pivot") * 1_000 + F.col("ring")].cast("bigint")).select(
-        "annulus", F.pmod(F.xxhash64("part"), parts[F.col("annulus").cast("int")].cast("bigint")).alias("slot"),
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(groups - 1).cast("bigint"))).alias("group"), "ids", "vectors",
+    placed = blocks.join(F.broadcast(places), "annulus").select(
+        "annulus", "band", F.pmod(F.xxhash64("part"), F.col("parts")).alias("slot"), "ids", "vectors"
+    )
+    placed = placed.join(cells.select("band", "slot", "group").distinct(), ["band", "slot"])
+    asked = cells.join(
+        queries.select(F.col("part").alias("block"), F.col("ids").alias("query_ids"), F.col("vectors").alias("queries")),
+        "block",
     )
     schema = pa.schema([("query_id", pa.int64()), ("score", pa.int64()), ("vec_id", pa.int64())])
 
@@ -319,11 +365,14 @@ def _search(queries: DataFrame, blocks: DataFrame, directory: Directory, groups:
             for k in range(batch.num_rows):
                 block = batch.column("block")[k].as_py()
                 ids = np.frombuffer(batch.column("query_ids")[k].as_py(), np.int64)
-                vectors = _unpacked(batch.column("queries")[k].as_py(), width)
+                wants = np.frombuffer(batch.column("mask")[k].as_py(), np.uint8)
+                wants = np.flatnonzero(np.unpackbits(wants, count=len(ids)))
+                vectors = _unpacked(batch.column("queries")[k].as_py(), width)[wants]
                 rows = _unpacked(batch.column("vectors")[k].as_py(), width)
                 row_ids = np.frombuffer(batch.column("ids")[k].as_py(), np.int64)
                 least = np.frombuffer(batch.column("least")[k].as_py(), float)
-                place, score, row = best_scores(vectors, ids, rows, row_ids, top)
+                place, score, row = best_scores(vectors, ids[wants], rows, row_ids, top)
+                place = wants[place]
                 able = score >= least[place]
                 place, score, row = place[able], score[able], row[able]
                 if block in best:
@@ -339,21 +388,12 @@ def _search(queries: DataFrame, blocks: DataFrame, directory: Directory, groups:
                 best = {}
         yield from out()
 
-    return wanted.join(placed, ["annulus", "slot", "group"]).select(
-        "block", "query_ids", "queries", "least", "ids", "vectors"
+    at = F.array_position("annuli", F.col("annulus"))
+    return asked.join(placed, ["band", "slot", "group"]).filter(at > 0).select(
+        "block", "query_ids", "queries", "least", F.element_at("masks", at.cast("int")).alias("mask"), "ids", "vectors"
     ).mapInArrow(search, "query_id bigint, score bigint, vec_id bigint")
 
 
-def _rings(directory: Directory) -> list[int]:
-    """The number of each annulus among those of its pivot; directories list them in order."""
-    out, last, ring = [], None, 0
-    for p in directory.pivot.tolist():
-        ring = ring + 1 if p == last else 0
-        last = p
-        out.append(ring)
-    return out
-
-
 def _ranked(found: DataFrame, top: int) -> DataFrame:
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
@@ -383,34 +423,11 @@ def top_products(
     size = own.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vector")).alias("width"), F.max(squares).alias("s")).first()
     if size.n == 0:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")
-    sample = own.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE_ROWS).collect()
-    points = np.zeros((len(sample), size.width))
-    for i, r in enumerate(sample):
-        points[i, : len(r.vector)] = r.vector
-    pivots = choose_pivots(points, size.s)
-    keyed = _keyed(own, pivots, size.width)
-
-    shares = [i / RINGS for i in range(1, RINGS)]
-    rows = keyed.groupBy("pivot").agg(F.percentile_approx("distance", shares, 1_000).alias("cuts")).collect()
-    cuts = {r.pivot: sorted(set(r.cuts)) for r in rows}
-    blocks = stored(_blocks(keyed, cuts, size.width, ROW_BLOCK, many=False), "vector-blocks")
-    annuli = blocks.groupBy("pivot", "ring").agg(
-        F.min("near").alias("near"), F.max("far").alias("far"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("b")
-    ).orderBy("pivot", "ring").collect()
-    # Rings without rows are left out; the rest are numbered anew in the blocks.
-    directory = Directory(
-        pivots, np.array([a.pivot for a in annuli]), np.array([a.near for a in annuli]),
-        np.array([a.far for a in annuli]), np.array([a.n for a in annuli]),
-        np.array([-(-a.b // _MEET) for a in annuli]),
-    )
-    numbers = {(a.pivot, a.ring): k for a, k in zip(annuli, _rings(directory))}
-    renamed = F.create_map(*[F.lit(x) for (p, r), k in numbers.items() for x in (p * 1_000 + r, k)])
-    blocks = blocks.withColumn("ring", renamed[F.col("pivot") * 1_000 + F.col("ring")])
-
+    keyed, blocks, directory = build_index(own, size.n, size.width, size.s)
     asked = keyed.filter(F.col("vec_id") % query_every == 0).groupBy("vec_id").agg(
         F.min(F.struct("vector", "pivot", "distance")).alias("x")
     ).select("vec_id", "x.pivot", "x.distance", "x.vector")
-    queries = stored(_blocks(asked, {}, size.width, QUERY_BLOCK, many=True), "query-blocks").select(
+    queries = stored(_blocks(asked, directory.pivots, {}, 1, size.width, QUERY_BLOCK), "query-blocks").select(
         "part", "ids", "vectors"
     )
     groups = max(1, -(-queries.count() // _MEET))
@@ -424,6 +441,31 @@ def top_products(
     return _ranked(first.unionByName(rest), top).select("query_id", "rank", "vec_id", "score")
 
 
+def build_index(own: DataFrame, n: int, width: int, square: float) -> tuple[DataFrame, DataFrame, Directory]:
+    """Keyed vectors, their row blocks and the directory of the annuli, from n rows of vec_id and vector."""
+    count, rings = index_shape(n)
+    sample = own.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE_ROWS).collect()
+    points = np.zeros((len(sample), width))
+    for i, r in enumerate(sample):
+        points[i, : len(r.vector)] = r.vector
+    pivots = choose_pivots(points, square, count)
+    keyed = _keyed(own, pivots, width)
+    shares = [i / rings for i in range(1, rings)]
+    rows = keyed.groupBy("pivot").agg(F.percentile_approx("distance", shares, 1_000).alias("cuts")).collect()
+    cuts = {r.pivot: sorted(set(r.cuts)) for r in rows}
+    blocks = stored(_blocks(keyed, pivots, cuts, rings, width, ROW_BLOCK), "vector-blocks")
+    every = range(len(pivots.points))
+    annuli = blocks.groupBy("annulus").agg(
+        F.sum("n").alias("n"), F.count(F.lit(1)).alias("b"),
+        F.array(*[F.min(F.col("near")[i]) for i in every]).alias("near"),
+        F.array(*[F.max(F.col("far")[i]) for i in every]).alias("far"),
+    ).orderBy("annulus").collect()
+    return keyed, blocks, Directory(
+        pivots, np.array([a.annulus for a in annuli]), np.array([a.near for a in annuli], float),
+        np.array([a.far for a in annuli], float), np.array([a.n for a in annuli]), np.array([a.b for a in annuli]),
+    )
+
+
 def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The queries of each block."""
     for batch in batches:

@@ -46,6 +46,50 @@ def test_random_vectors_with_hot_ones(spark, monkeypatch):
     assert set(found(spark, rows, query_every=50)) == brute(rows, 10, 50)
 
 
+def test_bounds_rule_out_most_of_clustered_vectors(spark, monkeypatch):
+    monkeypatch.setattr(vector_search, "_FIRST_ROWS", 60)
+    random = np.random.default_rng(8)
+    centers = random.normal(size=(40, 16))
+    rows = [(i, (centers[i * 7 % 40] + random.normal(size=16) * 0.05).tolist()) for i in range(3000)]
+    calls = []
+    best = vector_search._cells
+
+    def cells(queries, directory, groups, width, again):
+        out = best(queries, directory, groups, width, again)
+        size = dict(zip(directory.number.tolist(), directory.rows.tolist()))
+        for r in out.select("annuli", "masks").distinct().collect():
+            calls.extend(size[a] * sum(bin(b).count("1") for b in m) for a, m in zip(r.annuli, r.masks))
+        return out
+
+    monkeypatch.setattr(vector_search, "_cells", cells)
+    assert set(found(spark, rows, query_every=100)) == brute(rows, 10, 100)
+    # Pairs of a query and a row that both passes together look at.
+    assert 0 < sum(calls) < 30 * 3000 / 2
+
+
+def test_bounds_hold_for_every_vector(spark):
+    random = np.random.default_rng(4)
+    rows = [(i, np.floor(random.normal(size=6) * 1024).tolist()) for i in range(500)]
+    own = spark.createDataFrame(rows, "vec_id bigint, vector array<double>")
+    vectors = np.array([v for _, v in rows])
+    _, blocks, directory = vector_search.build_index(own, 500, 6, float((vectors**2).sum(1).max()))
+    reach = directory.reach(vectors[:50])
+    place = {a: k for k, a in enumerate(directory.number.tolist())}
+    seen = 0
+    for b in blocks.collect():
+        ids = np.frombuffer(b.ids, np.int64)
+        seen += len(ids)
+        assert (vectors[:50] @ vectors[ids].T <= reach[:, [place[b.annulus]]]).all()
+    assert seen == 500 and (reach.max() - reach.min()) > 0
+
+
+def test_bands_hold_annuli_of_few_blocks_and_cut_those_of_many():
+    blocks = np.array([1, 2, 60, 1, 1, 200, 3])
+    directory = vector_search.Directory(None, np.arange(7), None, None, blocks, blocks)
+    band, parts = directory.bands()
+    assert band.tolist() == [0, 0, 0, 0, 1, 2, 3] and parts.tolist() == [1, 1, 4, 1]
+
+
 def test_rows_of_all_kinds(spark):
     rows = [
         (0, [1.0, 0.5]), (100, [0.25]), (200, None), (300, []), (400, [float("nan"), 1.0]), (500, [None, 1.0]),
