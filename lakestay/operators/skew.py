@@ -7,10 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakestay.session import fits_partition
-
 # A key with more rows than this is worked on in salted parts.
 HOT_ROWS = 1_000_000
+# No more keys than this count as hot: of a very large frame only those with a larger share.
+MOST_HOT = 100_000
 
 
 def split_hot(
@@ -18,21 +18,24 @@ def split_hot(
 ) -> tuple[DataFrame, DataFrame | None]:
     """Split a frame into rows of ordinary keys and rows of hot keys.
 
-    A frame no larger than one scan partition stays whole, with None as the
-    second part: one task can take all of it.
+    A frame with no more rows than a hot key stays whole, with None as the second
+    part: no key of it can be hot. Rows are counted, so that neither compression
+    nor estimates decide.
 
-    The count is combined map-side and reads only the key columns. There can be
-    no more than rows / hot_rows hot keys, which bounds the broadcast list: a
-    million keys for 10^12 rows. Without hot keys the second frame is dropped
-    at run time, before it is computed.
+    The counts of keys are combined map-side and read only the key columns. A hot
+    key has more than hot_rows rows and more than rows / MOST_HOT, so that the
+    broadcast list never holds more than MOST_HOT keys. Without hot keys the
+    second frame is dropped at run time, before it is computed.
     """
-    if fits_partition(df):
+    rows = df.count()
+    if rows <= hot_rows:
         return df, None
+    least = max(hot_rows, rows // MOST_HOT)
     names = [f"_hot_{i}" for i in range(len(keys))]
     hot = (
         df.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)])
         .agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") > hot_rows)
+        .filter(F.col("_rows") > least)
         .select(*names)
     )
     same = [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)]

@@ -64,7 +64,9 @@ class Entity:
         return bronze.select(*columns, *carried).withColumns(dict(self.derived))
 
     def ties(self, typed: DataFrame) -> list[str]:
-        """Columns that make the order of equal keys total, source file first."""
+        """Columns that make the order of equal keys total: source file, then the row's id or all others."""
+        if "_row_id" in typed.columns:
+            return ["_source_file", "_row_id"]
         rest = [c for c in typed.columns if c not in (self.key, self.recency, "_source_file")]
         return ["_source_file", *rest]
 

@@ -14,11 +14,13 @@ from lakestay.registry.warehouse import (
     ALL_BOOKINGS,
     BOOKING_INPUTS,
     CHANNEL_NAMES,
+    DATE_SQL,
     FACT_PAYMENTS,
     INVENTORY,
     SESSIONS,
     booking_facts,
     customers,
+    dim_dates,
     hotels,
 )
 from lakestay.sources import seeds
@@ -142,7 +144,10 @@ def check_scd2(t):
     return q.check_scd2(broken, "user_id")
 
 
-REPORTED = ("dim_hotels", "dim_customers", "dim_channels", "fact_bookings", "fact_payments", "fact_web_sessions", "fact_hotel_inventory")
+REPORTED = (
+    *(f"staging_{name}" for name in fv.STAGING_COLUMNS), "dim_dates", "dim_hotels", "dim_customers", "dim_channels",
+    "fact_bookings", "fact_payments", "fact_web_sessions", "fact_hotel_inventory",
+)
 
 
 def _report_sql():
@@ -176,17 +181,22 @@ def _report_sql():
                     - valid_to <> 1 AS bad FROM {table}) WHERE bad)""")
     return f"""{ALL_BOOKINGS}, {FACT_PAYMENTS}, {SESSIONS},
     fact_web_sessions AS (FROM sessions), inventory AS (WITH {INVENTORY}), fact_hotel_inventory AS (FROM inventory),
-    dim_channels AS (SELECT unnest(range(1, 5)) AS channel_id, unnest({CHANNEL_NAMES}) AS channel_name),
+    dim_dates AS ({DATE_SQL}), dim_channels AS (SELECT unnest(range(1, 5)) AS channel_id, unnest({CHANNEL_NAMES}) AS channel_name),
     counted AS ({' UNION ALL '.join(lines)})
     SELECT *, CASE WHEN violations = 0 THEN 'pass' ELSE severity END AS status FROM counted"""
 
 
-@query("check_report", _report_sql(), (*BOOKING_INPUTS, "payments", "clicks"))
+@query(
+    "check_report", _report_sql(),
+    (*BOOKING_INPUTS, "payments", "clicks", *(f"staging_{name}" for name in fv.STAGING_COLUMNS)),
+)
 def check_report(t):
-    """Every check on the dimensions and facts, warnings and errors alike."""
+    """Every check on the staging tables, dimensions and facts, warnings and errors alike."""
     bookings = t.once("fact-bookings", lambda t: booking_facts(t, hotels, customers))
     rates = t("rates")
     tables = {
+        **{f"staging_{name}": t(f"staging_{name}") for name in fv.STAGING_COLUMNS},
+        "dim_dates": dim_dates(t),
         "dim_hotels": hotels(t),
         "dim_customers": customers(t),
         "dim_channels": seeds.dim_channels(t.spark),

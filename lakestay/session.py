@@ -86,9 +86,3 @@ def fits_broadcast(df: DataFrame) -> bool:
     """True when the estimated size is within the session's broadcast threshold; -1 turns it off."""
     settings = df.sparkSession._jsparkSession.sessionState().conf()
     return 0 < plan_bytes(df) <= settings.autoBroadcastJoinThreshold()
-
-
-def fits_partition(df: DataFrame) -> bool:
-    """True when the estimated size is within one partition of a file scan."""
-    settings = df.sparkSession._jsparkSession.sessionState().conf()
-    return plan_bytes(df) <= settings.filesMaxPartitionBytes()

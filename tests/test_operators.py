@@ -144,8 +144,20 @@ def test_hot_split(spark):
     assert {r.k for r in hot.select("k").distinct().collect()} >= {"hot", "copy"}
     counts = Counter(r.k for r in events(spark).collect())
     assert {r.k for r in cold.select("k").distinct().collect()} == {k for k, n in counts.items() if n <= 10}
-    # A frame of one partition is not even looked at.
-    assert skew.split_hot(spark.range(10), ["id"], 1)[1] is None
+    # A frame with no more rows than a hot key has none.
+    assert skew.split_hot(spark.range(10), ["id"], 10)[1] is None
+    assert skew.split_hot(spark.range(11), ["id"], 10)[1] is not None
+
+
+def test_list_of_hot_keys_is_bounded(spark, monkeypatch):
+    monkeypatch.setattr(skew, "MOST_HOT", 4)
+    rows = spark.range(1000).select(F.when(F.col("id") < 500, 0).otherwise(F.col("id") % 50).alias("k"))
+    cold, hot = skew.split_hot(rows, ["k"], 5)
+    # Fifty keys have more than five rows; four at most can have more than a quarter.
+    assert {r.k for r in hot.distinct().collect()} == {0} and cold.count() + hot.count() == 1000
+
+
+def test_without_hot_keys(spark):
     # Without hot keys nothing is ranked in parts.
     marked = versions.mark_duplicates(events(spark), ["k"], [F.col("v"), F.col("id")], ["id"])
     marked.collect()
