@@ -36,7 +36,7 @@ SAMPLE_ROWS = 4_096
 # Least and most pivots, and rings of a pivot; both grow with the rows. The directory of the
 # annuli holds two doubles for each annulus and pivot, 32 MB at most.
 PIVOTS = 16, 128
-RINGS = 16, 128
+RINGS = 4, 128
 _RING_ROWS = 256
 ROW_BLOCK = 2_048
 QUERY_BLOCK = 256
