@@ -210,7 +210,7 @@ def spans_text(spans: Column) -> Column:
 
 
 def digest(found: DataFrame) -> DataFrame:
-    """Counts and digests of personal_data(): one row for each row found."""
+    """Counts (n_spans: of all kinds) and digests of personal_data(): one row for each row found."""
     spans = F.col("spans")
 
     def count(rank: int) -> Column:
@@ -219,5 +219,6 @@ def digest(found: DataFrame) -> DataFrame:
     base = F.filter(spans, lambda s: s["rank"] < len(BASE_KINDS))
     return found.select(
         "doc_id", *[count(rank).alias(f"n_{k.name}") for rank, k in enumerate(BASE_KINDS)],
+        F.size(spans).cast("bigint").alias("n_spans"),
         F.sha2(spans_text(base).cast("binary"), 256).alias("base_sha256"), spans_text(spans).alias("spans"),
     )

@@ -71,6 +71,7 @@ PII_TEXTS = [
 def test_personal_data(spark):
     docs = documents(spark, list(enumerate(PII_TEXTS)) + [(None, "me@x.yz"), (50, None), (50, "")])
     rows = pii.digest(pii.personal_data(docs)).collect()
+    assert all(r.n_spans == len([x for x in r.spans.split(",") if x]) for r in rows)
     texts = {r.doc_id: r.text for r in docs.collect() if r.text}
     assert len(rows) == len(PII_TEXTS) + 3
     for r in rows:
