@@ -273,8 +273,8 @@ def with_provenance(df: DataFrame, date: str, run_id: str) -> DataFrame:
 def read_day(spark: SparkSession, table: str, date: str, row_id: bool = False) -> DataFrame:
     """One batch of a Parquet table; an error when that day was never written.
 
-    row_id adds _row_id, the file and position of a row: stable over retries
-    and different even between exact copies.
+    row_id adds _row_id, a hash of the file and the position of a row in it: stable
+    over retries and different even between exact copies.
     """
     if not path_exists(spark, day_path(table, date)):
         raise FileNotFoundError(f"no batch {date} in {table}")
@@ -282,7 +282,7 @@ def read_day(spark: SparkSession, table: str, date: str, row_id: bool = False) -
     day = F.lit(date).cast("date").alias(fv.BATCH_DATE)
     if not row_id:
         return df.select("*", day)
-    place = F.concat_ws("#", "_metadata.file_path", "_metadata.row_index")
+    place = F.concat_ws("#", F.hex(F.xxhash64("_metadata.file_path")), "_metadata.row_index")
     return df.select("*", day, place.alias("_row_id"))
 
 
