@@ -3,7 +3,6 @@
 from pyspark.sql import functions as F
 
 from lakestay import fixed_values as fv
-from lakestay.functions.parsing import clean_str
 from lakestay.operators.frames import union_frames
 from lakestay.plans import staging
 from lakestay.plans.bronze import bronze_ingest
@@ -11,7 +10,7 @@ from lakestay.plans.silver import entity, silver_frames
 from lakestay.registry.core import flat, query
 from lakestay.session import work_folder
 from lakestay.sinks.batches import write_quarantine
-from lakestay.sources.readers import SOURCES, day_path, layer_path, read_day, read_layer
+from lakestay.sources.readers import SOURCES, day_path, layer_path, read_day, read_layer, read_rejected
 
 # ---- the same typing in the other engine's SQL ---------------------------------
 
@@ -222,11 +221,23 @@ def stg_batch(t):
 # ---- bronze --------------------------------------------------------------------
 
 
-@query("bronze_ingest", "SELECT " + ", ".join(f"{_text(c)} AS {c}" for c in fv.RAW_COLUMNS["bookings"]) + """,
+def _landed(c):
+    """A field as its file gives it: CSV as it stands, but for the empty text, XML without the white space around."""
+    return f"CASE WHEN _source_file = 'part0' THEN NULLIF({c}, '') ELSE trim({c}) END AS {c}"
+
+
+BROKEN = ("<booking><booking_id>", "</booking_id><hotel_id></booking>")
+
+
+@query("bronze_ingest", f"""
+    SELECT {', '.join(_landed(c) for c in fv.RAW_COLUMNS["bookings"])}, CAST(NULL AS VARCHAR) AS record,
         CASE WHEN _source_file = 'part0' THEN 'csv' ELSE 'xml' END AS _source_format, DATE '2026-10-01' AS _batch_date, 'run' AS _run_id
-    FROM bronze_bookings""", ("bronze_bookings",))
+    FROM bronze_bookings
+    UNION ALL SELECT {', '.join('NULL' for _ in fv.RAW_COLUMNS["bookings"])}, '{BROKEN[0]}' || trim(booking_id) || '{BROKEN[1]}',
+        'xml', DATE '2026-10-01', NULL FROM bronze_bookings WHERE _source_file <> 'part0' AND hotel_id LIKE 'htl-7%'""", ("bronze_bookings",))
 def bronze_ingest_query(t):
-    """Bookings landed as CSV and XML files, ingested into bronze and read back."""
+    """Bookings landed as CSV and XML files, some records malformed, ingested into bronze and
+    rejected rows, and both read back as they are."""
     root = work_folder(t.spark, "bronze")
     raw = t("bronze_bookings").select(*fv.RAW_COLUMNS["bookings"], "_source_file")
     folder = day_path(layer_path(root, "raw", "bookings"), "2026-10-01")
@@ -240,9 +251,16 @@ def bronze_ingest_query(t):
         rest.drop("_source_file").write.format("xml")
         .options(rowTag="booking", rootTag="bookings").save(f"{folder}/landed.xml")
     )
+    broken = rest.filter("hotel_id LIKE 'htl-7%'")
+    broken.select(F.concat(F.lit(BROKEN[0]), F.trim("booking_id"), F.lit(BROKEN[1]))).write.text(f"{folder}/broken.xml")
     bronze_ingest(t.spark, SOURCES["bookings"], root, "2026-10-01", "run")
     bronze = read_layer(t.spark, root, "bronze", "bookings", "2026-10-01")
+    kinds = f"{fv.CORRUPT} string, _source_format string"
+    rejected = read_rejected(t.spark, day_path(layer_path(root, "rejected", "bookings"), "2026-10-01"), kinds)
+    nothing = F.lit(None).cast("string")
     return bronze.select(
-        *[clean_str(c).alias(c) for c in fv.RAW_COLUMNS["bookings"]],
-        "_source_format", fv.BATCH_DATE, "_run_id",
-    )
+        *fv.RAW_COLUMNS["bookings"], nothing.alias("record"), "_source_format", fv.BATCH_DATE, "_run_id"
+    ).unionByName(rejected.select(
+        *[nothing.alias(c) for c in fv.RAW_COLUMNS["bookings"]], F.col(fv.CORRUPT).alias("record"), "_source_format",
+        F.lit("2026-10-01").cast("date").alias(fv.BATCH_DATE), nothing.alias("_run_id"),
+    ))
