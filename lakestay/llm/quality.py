@@ -19,11 +19,14 @@ from pyspark.sql import functions as F
 
 from lakestay.llm.batches import keep_rows, prepare, slices
 from lakestay.llm.words import Words, shingles, words
+from lakestay.operators.order import with_position
+from lakestay.session import work_folders
 
 THRESHOLD = 0.3
-# Labelled documents a model is fitted on, those with the smallest hashes of their ids.
-SAMPLE_ROWS = 20_000
+# At least; more where more documents are labelled.
 PAIRS = 50_000
+PAIRS_A_ROW = 1 << 11
+_POINT = float(1 << 30)
 
 # Kinds of bytes that are counted, each divided by the number of words.
 _KINDS = {
@@ -114,41 +117,124 @@ class Model(NamedTuple):
 UNLEARNED = Model(np.empty(0), np.empty(0), np.empty(0), 0.0)
 
 
+def _standard(x: np.ndarray, mean: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    return np.clip((x - mean) / scale, -8, 8)
+
+
 def strengths(x: np.ndarray, model: Model) -> np.ndarray:
-    return np.clip((x - model.mean) / model.scale, -8, 8) @ model.weights
+    """A row's strength does not depend on the rows beside it, to the last bit."""
+    z = np.ascontiguousarray(_standard(x, model.mean, model.scale))
+    return (z * model.weights).sum(1)
+
+
+def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return flat.flatten().to_numpy(zero_copy_only=False).reshape(-1, len(FEATURES))
+
+
+def _moments(rows: DataFrame) -> tuple[int, int, np.ndarray, np.ndarray]:
+    """Rows labelled bad and good, and mean and deviation of each feature.
+
+    Sums are of decimals, so they don't depend on how the rows are dealt to tasks.
+    """
+    own = [F.col("x")[i] for i in range(len(FEATURES))]
+
+    def sums(columns, *more):
+        return rows.agg(*more, *[F.sum(c.cast("decimal(28,16)")) for c in columns]).first()
+
+    bad, good, *total = sums(own, F.count_if(F.col("label") == 0), F.count_if(F.col("label") == 1))
+    if not bad or not good:
+        return bad, good, np.empty(0), np.empty(0)
+    mean = np.array([float(t) for t in total]) / (bad + good)
+    far = [c - F.lit(m) for c, m in zip(own, mean.tolist())]
+    spread = np.array([float(t) for t in sums([d * d for d in far])]) / (bad + good)
+    return bad, good, mean, np.maximum(np.sqrt(spread), 1e-9)
+
+
+def _pairs(rows: DataFrame, bad: int, good: int, pairs: int, mean: np.ndarray, scale: np.ndarray) -> DataFrame:
+    """Differences of standardised features, good less bad, of numbered pairs: a row for
+    each PAIRS_A_ROW pairs.
+
+    Either kind stands in the order of the hashes of its ids and is gone through as often as
+    the pairs need. Every document is in a pair, and none in two more than another of its
+    kind; each turn of the bad ones begins one further, so that pairs don't come again.
+    """
+    placed = with_position(rows, [F.col("label"), F.xxhash64("doc_id"), F.col("doc_id"), F.xxhash64("x")])
+    place = F.col("position") - 1
+    worse = placed.filter("label = 0").select(place.alias("b"), F.col("x").alias("worse"))
+    better = placed.filter("label = 1").select((place - bad).alias("g"), F.col("x").alias("better"))
+    numbers = rows.sparkSession.range(pairs).select(
+        F.col("id").alias("pair"), F.expr(f"id div {PAIRS_A_ROW}").alias("part"),
+        (F.col("id") % good).alias("g"), F.expr(f"(id + id div {bad}) % {bad}").alias("b"),
+    )
+    schema = pa.schema([("part", pa.int64()), ("d", pa.list_(pa.float64()))])
+
+    def run(found: pa.Table) -> pa.Table:
+        found = found.sort_by("pair")
+        d = _standard(_matrix(found.column("better")), mean, scale) - _standard(_matrix(found.column("worse")), mean, scale)
+        return pa.table([found.column("part")[:1], pa.array([d.ravel()], schema.field("d").type)], schema=schema)
+
+    found = numbers.join(better, "g").join(worse, "b").select("part", "pair", "better", "worse")
+    return found.groupBy("part").applyInArrow(run, "part bigint, d array<double>")
 
 
-def fit(x: np.ndarray, good: np.ndarray, pairs: int = PAIRS, penalty: float = 1e-4) -> Model:
-    """A model from features and labels, by Newton's method on the pairwise logistic loss.
+def _slopes(pairs: DataFrame, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums over all pairs of the loss's first and second derivatives.
 
-    Pairs are drawn with a fixed seed, every document before any twice. Without documents
-    of both kinds there is nothing to prefer: UNLEARNED, which scores all alike.
+    The sums of a row of pairs are rounded to a fixed point, so their sum is exact in any order.
+    """
+    schema = pa.schema([("sums", pa.list_(pa.int64()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(w) + len(w) ** 2, np.int64)
+        for batch in batches:
+            for row in batch.column("d"):
+                d = row.values.to_numpy(zero_copy_only=False).reshape(-1, len(w))
+                p = 1.0 / (1.0 + np.exp(np.clip((d * w).sum(1), -500, 500)))
+                curve = (d * (p * (1 - p))[:, None]).T @ d
+                total += np.rint(np.concatenate([-d.T @ p, curve.ravel()]) * _POINT).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array([total], schema.field("sums").type)], schema=schema)
+
+    found = pairs.select("d").mapInArrow(run, "sums array<bigint>").collect()
+    total = np.array([float(sum(column)) for column in zip(*[r.sums for r in found])]) / _POINT
+    return total[: len(w)], total[len(w) :].reshape(len(w), len(w))
+
+
+def fit(rows: DataFrame, pairs: int = PAIRS, penalty: float = 1e-4) -> Model:
+    """A model from stored rows of doc_id, label and features x, by Newton's method on the
+    pairwise logistic loss.
+
+    There are at least as many pairs as documents of the commoner kind, so that all have a
+    part in the model; its threshold is a quantile of the strengths of all. Tasks hold and
+    the driver gets sums alone. Without documents of both kinds there is nothing to prefer:
+    UNLEARNED, which scores all alike.
     """
-    better, worse = np.flatnonzero(good), np.flatnonzero(~good)
-    if not len(better) or not len(worse):
+    bad, good, mean, scale = _moments(rows)
+    if not bad or not good:
         return UNLEARNED
-    model = Model(x.mean(0), np.maximum(x.std(0), 1e-9), np.zeros(x.shape[1]), 0.0)
-    random = np.random.default_rng(7)
-    z = np.clip((x - model.mean) / model.scale, -8, 8)
-
-    def drawn(rows):
-        turns = -(-pairs // len(rows))
-        return np.concatenate([random.permutation(rows) for _ in range(turns)])[:pairs]
-
-    d = z[drawn(better)] - z[drawn(worse)]
-    w = model.weights
-    for _ in range(25):
-        p = 1.0 / (1.0 + np.exp(np.clip(d @ w, -500, 500)))
-        gradient = penalty * w - d.T @ p / pairs
-        curve = (d * (p * (1 - p))[:, None]).T @ d / pairs + penalty * np.eye(len(w))
-        step = np.linalg.solve(curve, gradient)
-        w = w - step
-        if np.abs(step).max() < 1e-6:
-            break
-    order = np.sort(z @ w)
-    bad = len(worse)
-    threshold = (order[bad - 1] + order[bad]) / 2
-    return model._replace(weights=w, threshold=float(threshold))
+    pairs = max(pairs, bad, good)
+    w = np.zeros(len(FEATURES))
+    with work_folders(rows.sparkSession, "pairs") as (folder,):
+        _pairs(rows, bad, good, pairs, mean, scale).write.parquet(folder)
+        differences = rows.sparkSession.read.parquet(folder)
+        for _ in range(25):
+            gradient, curve = _slopes(differences, w)
+            step = np.linalg.solve(curve / pairs + penalty * np.eye(len(w)), gradient / pairs + penalty * w)
+            w = w - step
+            if np.abs(step).max() < 1e-6:
+                break
+    model = Model(mean, scale, w, 0.0)
+    schema = pa.schema([("doc_id", pa.int64()), ("strength", pa.float64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = strengths(_matrix(batch.column("x")), model)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(own)], schema=schema)
+
+    own = rows.select("doc_id", "x").mapInArrow(run, "doc_id bigint, strength double")
+    placed = with_position(own, [F.col("strength"), F.xxhash64("doc_id")])
+    around = placed.filter(F.col("position").isin(bad, bad + 1)).select("strength").collect()
+    return model._replace(threshold=sum(r.strength for r in around) / 2)
 
 
 def held_out(id_column: Column) -> Column:
@@ -159,39 +245,32 @@ def held_out(id_column: Column) -> Column:
 def train(
     docs: DataFrame,
     labels: DataFrame,
-    sample_rows: int = SAMPLE_ROWS,
     id_column: str = "doc_id",
     text_column: str = "text",
     label_column: str = "quality",
 ) -> Model:
-    """Fit on documents with a label 1 (good) or 0, ids held out left aside.
+    """Fit on all documents with a label 1 (good) or 0, ids held out left aside.
 
-    The sample has at most sample_rows rows, so its join is broadcast and its features fit
-    the driver. Null ids and labels are not learned from.
+    Features are taken where the texts lie and only they are moved to their labels. Null ids
+    and labels are not learned from.
     """
-    prepare(docs.sparkSession)
+    spark = prepare(docs.sparkSession)
     usable = labels.select(
         labels[id_column].cast("bigint").alias("doc_id"), labels[label_column].cast("int").alias("label")
     ).filter(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    sample = usable.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(sample_rows)
     own = docs.select(docs[id_column].cast("bigint").alias("doc_id"), docs[text_column].alias("text"))
-    schema = pa.schema([("doc_id", pa.int64()), ("label", pa.int32()), ("x", pa.list_(pa.float64()))])
+    own = own.filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    schema = pa.schema([("doc_id", pa.int64()), ("x", pa.list_(pa.float64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
             x = pa.array(list(features(part.column("text"))), schema.field("x").type)
-            columns = [part.column("doc_id"), part.column("label"), x]
-            yield pa.RecordBatch.from_arrays(columns, schema=schema)
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), x], schema=schema)
 
-    rows = (
-        own.join(F.broadcast(sample), "doc_id")
-        .mapInArrow(run, "doc_id bigint, label int, x array<double>")
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "label", "x")
-        .limit(sample_rows)
-        .collect()
-    )
-    x = np.array([r.x for r in rows], float).reshape(len(rows), len(FEATURES))
-    return fit(x, np.array([r.label == 1 for r in rows], bool))
+    found = own.mapInArrow(run, "doc_id bigint, x array<double>")
+    with work_folders(spark, "learned") as (folder,):
+        found.join(usable.hint("merge"), "doc_id").write.parquet(folder)
+        return fit(spark.read.parquet(folder))
 
 
 def score(

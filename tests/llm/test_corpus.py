@@ -274,6 +274,39 @@ def test_quality_of_odd_rows(spark):
     assert quality.score(docs.limit(0), model).count() == 0
 
 
+def test_every_label_is_learned(spark):
+    """The good documents come after 20,000 bad ones in the order of the hashes of their ids."""
+    ids = spark.range(27_000).select(F.col("id").alias("doc_id")).filter(~quality.held_out(F.col("doc_id")))
+    order = [r.doc_id for r in ids.orderBy(F.xxhash64("doc_id")).collect()]
+    assert len(order) > 20_500
+    rows = [(d, "WIN $$$ NOW !!!" if i < 20_000 else "a calm line of words", int(i >= 20_000)) for i, d in enumerate(order)]
+    both = spark.createDataFrame(rows, "doc_id bigint, text string, quality int")
+    model = quality.train(both.select("doc_id", "text"), both.select("doc_id", "quality"))
+    bad, good = model.score(quality.features(pa.array([rows[0][1], rows[-1][1]])))
+    assert bad < quality.THRESHOLD < good
+    at = quality.FEATURES.index("log_words")
+    assert np.isclose(model.mean[at], (20_000 * np.log(5) + (len(rows) - 20_000) * np.log(6)) / len(rows), rtol=1e-12)
+
+
+def test_quality_fit_against_a_plain_one(spark):
+    """Pairs, loss and threshold as plain arrays give them."""
+    random = np.random.default_rng(3)
+    x = random.normal(size=(150, len(quality.FEATURES)))
+    labels = [int(v > 0.3) for v in x[:, 0] + random.normal(size=150)]
+    schema = "doc_id bigint, label int, x array<double>"
+    rows = spark.createDataFrame([(i, l, r.tolist()) for i, (l, r) in enumerate(zip(labels, x))], schema)
+    model = quality.fit(rows, pairs=400)
+    order = [(r.doc_id, r.label) for r in rows.orderBy(F.xxhash64("doc_id")).collect()]
+    good, bad = ([d for d, l in order if l == k] for k in (1, 0))
+    z = np.clip((x - x.mean(0)) / x.std(0), -8, 8)
+    k = np.arange(400)
+    d = z[np.take(good, k % len(good))] - z[np.take(bad, (k + k // len(bad)) % len(bad))]
+    p = 1 / (1 + np.exp(d @ model.weights))
+    assert np.abs(1e-4 * model.weights - d.T @ p / 400).max() < 1e-6
+    s = np.sort(z @ model.weights)
+    assert np.isclose(model.threshold, (s[len(bad) - 1] + s[len(bad)]) / 2)
+
+
 def test_features_of_texts():
     x = quality.features(pa.array([None, "", "Aa bb, CC! CC", "one " * 50]))
     at = {name: i for i, name in enumerate(quality.FEATURES)}
