@@ -125,3 +125,14 @@ def test_all_files_without_a_required_column_fail(spark, tmp_path):
     land.put(str(tmp_path), "payments", land.DAY1, "p.csv", "payment_id,amount\nP1,1\n")
     with pytest.raises(ContractError, match="missing columns"):
         bronze_ingest(spark, readers.SOURCES["payments"], str(tmp_path), land.DAY1, "r")
+
+
+def test_structures_are_judged_once_each(spark, tmp_path):
+    """Not record by record before they are told apart."""
+    path = put(tmp_path, "b.xml", XML)
+    options = {"inferSchema": "false", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": fv.CORRUPT}
+    shapes = readers._xml_shapes(readers._xml_records(spark, path, "booking"), options)
+    plan = shapes._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.split("Aggregate", 1)
+    assert "from_xml" in above and "from_xml" not in below
+    assert [r[0] for r in shapes.collect()].count("<booking><id>x</id></booking>") == 1
