@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakestay.operators.skew import HOT_ROWS, split_hot, spread_nulls
-from lakestay.session import fits_broadcast
+from lakestay.session import fits_broadcast, work_folder
 
 # Width of the time slices into which a hot key is cut.
 SLICE_SECONDS = 60
@@ -186,7 +186,11 @@ def _neighbours(
         F.lit(None).cast(row_type).alias("_row"),
         value.alias("_value"),
     )
-    cold, hot = split_hot(rows.unionByName(values), on, hot_rows)
+    # Rows are counted, keys are counted and then both parts are worked on: made once.
+    both, folder = rows.unionByName(values), work_folder(left.sparkSession, "neighbours")
+    both.write.parquet(folder)
+    both = left.sparkSession.read.schema(both.schema).parquet(folder)
+    cold, hot = split_hot(both, on, hot_rows)
     found = _next_to(cold, on, forward)
     if hot is None:
         return found

@@ -259,6 +259,15 @@ def test_nearest_match(spark, rows, cands):
         assert {r.g: r.best for r in found.collect()} == {g: i for g, (_, i) in want.items()}
 
 
+def test_neighbours_are_made_once(spark):
+    """Counting rows, counting keys and ordering them read a table, not the frames again."""
+    left = spark.range(20).selectExpr("id % 3 AS k", "timestamp_seconds(id * 7) AS ts", "id AS g")
+    right = spark.range(20).selectExpr("id % 3 AS k", "timestamp_seconds(id * 5) AS at", "id AS c")
+    found = joins.nearest_match(left, right, ["k"], "ts", "at", "c", ["g"], "c", hot_rows=4)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Range" not in plan and found.count() == 20
+
+
 def test_asof_choice(spark):
     left = spark.createDataFrame([("a", dt.date(2024, 1, 2))], "k string, d date")
     right = seeds.literal_table(spark, ("k", "since", "v"), [("a", dt.date(2024, 1, 1), 1)])
