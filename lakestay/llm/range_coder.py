@@ -44,8 +44,9 @@ class _Model:
         self.size = vocabulary
         self.bits = max(20, int(vocabulary).bit_length() + 3)
         # An id named and, in the low bits, the confidence in it.
-        self.next1 = np.zeros(vocabulary, np.int64)
-        self.next2 = np.zeros(_PAIRS, np.int64)
+        narrow = np.int32 if vocabulary < 1 << 28 else np.int64
+        self.next1 = np.zeros(vocabulary, narrow)
+        self.next2 = np.zeros(_PAIRS, narrow)
         self.outcomes = np.tile(np.array([2, 1, 2], np.int64), (2 * _CONFIDENCE**2, 1))
         self.counts = np.zeros(vocabulary, np.int64)
         self.waiting: list[np.ndarray] = []
@@ -67,11 +68,12 @@ class _Model:
     def find(self, slot: np.ndarray) -> np.ndarray:
         """The id whose order-0 interval holds a slot."""
         if self.inverse is None:
-            self.inverse = np.repeat(np.arange(self.size), self.freq.astype(np.int64))
-        return self.inverse[np.minimum(slot, len(self.inverse) - 1)]
+            self.inverse = np.repeat(np.arange(self.size, dtype=self.next1.dtype), self.freq.astype(np.int64))
+        return self.inverse.take(np.minimum(slot, _U(len(self.inverse) - 1)).view(np.int64))
 
     def predict(self, one: np.ndarray, two: np.ndarray):
-        """For ids before: the pair's place, ids named by orders 2 and 1, the context."""
+        """For ids before: the pair's place, what is known there and of the id before (an id
+        named and the confidence), the ids named by orders 2 and 1, the context."""
         if self.steps % _REFRESH == 0:
             n = self.outcomes
             part = 1 + n * ((1 << _SPLIT_BITS) - 3) // n.sum(1, keepdims=True)
@@ -80,23 +82,30 @@ class _Model:
             self.ends = ends.astype(_U).ravel()
             self.sizes = np.diff(ends, axis=1, prepend=0).astype(_U).ravel()
         self.steps += 1
-        pair = ((two * 0x9E3779B1 + one * 0x85EBCA77) >> 7) & (_PAIRS - 1)
-        named2, named1 = self.next2[pair], self.next1[one]
-        context = ((named2 & 7) << 3) + (named1 & 7)
-        named2 >>= 3
-        named1 >>= 3
-        context = (context << 1) + (named1 == named2)
-        return pair, named2, named1, context
-
-    def learn(self, one, pair, context, event, ids, named1, named2, rest) -> None:
+        pair = two * 0x9E3779B1
+        pair += one * 0x85EBCA77
+        pair >>= 7
+        pair &= _PAIRS - 1
+        known2, known1 = self.next2.take(pair), self.next1.take(one)
+        named2, named1 = known2 >> 3, known1 >> 3
+        context = known2 & 7
+        context <<= 3
+        context += known1 & 7
+        context <<= 1
+        context += named1 == named2
+        return pair, known2, known1, named2, named1, context
+
+    def learn(self, one, pair, event, ids, known2, known1, right2, right1, rest) -> None:
+        """What came after the ids before; right2 and right1: whether the orders named it."""
         self.outcomes += np.bincount(event, minlength=self.outcomes.size).reshape(-1, 3)
-        sure = context >> 1
-        for known, at, named, old in (
-            (self.next2, pair, named2, sure >> 3), (self.next1, one, named1, sure & 7)
-        ):
-            right = ids == named
-            new = np.where(right, _MORE[old], old >> 1)
-            known[at] = (np.where(right | (old > 1), named, ids) << 3) + new
+        anew = ids.astype(known1.dtype)
+        anew <<= 3
+        for known, at, old, right in ((self.next2, pair, known2, right2), (self.next1, one, known1, right1)):
+            case = old & 7
+            case += right.view(np.int8) * np.int8(_CONFIDENCE)
+            new = old + _CHANGE.take(case)
+            np.copyto(new, anew, where=case <= 1)
+            known[at] = new
         self.waiting.append(rest)
         self.pending += len(rest)
         if self.pending >= min(1 << 16, max(2048, self.seen // 2)):
@@ -106,7 +115,11 @@ class _Model:
             self._spread()
 
 
-_MORE = np.minimum(np.arange(_CONFIDENCE) + 1, _CONFIDENCE - 1)
+# Of the confidence in an id that did not come, which is halved (up to 1 another id is named,
+# with 0), then of one that came.
+_CHANGE = np.concatenate([
+    -((np.arange(_CONFIDENCE) + 1) // 2), np.minimum(1, _CONFIDENCE - 1 - np.arange(_CONFIDENCE))
+]).astype(np.int32)
 
 
 class _Lanes:
@@ -117,24 +130,33 @@ class _Lanes:
 
     def narrow(self, at, start: np.ndarray, size: np.ndarray, bits: int) -> None:
         """Go on to a part of the interval; at is a slice or an array of lanes."""
-        span = self.range[at] >> _U(bits)
-        low = self.low[at] + start * span
+        if isinstance(at, slice):
+            span = self.range[at] >> _U(bits)
+            low = start * span
+            low += self.low[at]
+        else:
+            span = self.range.take(at)
+            span >>= _U(bits)
+            low = start * span
+            low += self.low.take(at)
         span *= size
         self.low[at], self.range[at] = low, span
-        lanes = on = np.flatnonzero(_short(low, span))
+        lanes = on = _short(low, span).nonzero()[0]
         if not isinstance(at, slice):
-            lanes = at[on]
-        low, span = low[on], span[on]
+            lanes = at.take(on)
+        low, span = low.take(on), span.take(on)
         while len(lanes):
-            cut = np.flatnonzero((low ^ (low + span)) >= _TOP)
-            if len(cut):
+            ends = low + span
+            ends ^= low
+            if ends.max() >= _TOP:
+                cut = (ends >= _TOP).nonzero()[0]
                 span[cut] = (~low[cut] + _U(1)) & (_BOTTOM - _U(1))
             self.shift(lanes, low >> _U(48))
             low <<= _WORD
             span <<= _WORD
             self.low[lanes], self.range[lanes] = low, span
-            on = np.flatnonzero(_short(low, span))
-            lanes, low, span = lanes[on], low[on], span[on]
+            on = _short(low, span).nonzero()[0]
+            lanes, low, span = lanes.take(on), low.take(on), span.take(on)
 
     def shift(self, lanes: np.ndarray, words: np.ndarray) -> None:
         raise NotImplementedError
@@ -142,7 +164,11 @@ class _Lanes:
 
 def _short(low: np.ndarray, span: np.ndarray) -> np.ndarray:
     """Lanes whose first word is settled, or whose range is too short to go on."""
-    return ((low ^ (low + span)) < _TOP) | (span < _BOTTOM)
+    ends = low + span
+    ends ^= low
+    short = ends < _TOP
+    short |= span < _BOTTOM
+    return short
 
 
 class _Writer(_Lanes):
@@ -181,11 +207,16 @@ class _Reader(_Lanes):
             self.code = (self.code << _WORD) | first
 
     def shift(self, lanes, words) -> None:
-        self.code[lanes] = (self.code[lanes] << _WORD) | self.words[self.at : self.at + len(lanes)]
+        code = self.code.take(lanes)
+        code <<= _WORD
+        code |= self.words[self.at : self.at + len(lanes)]
+        self.code[lanes] = code
         self.at += len(lanes)
 
     def slot(self, at, bits: int) -> np.ndarray:
-        return (self.code[at] - self.low[at]) // (self.range[at] >> _U(bits))
+        if isinstance(at, slice):
+            return (self.code[at] - self.low[at]) // (self.range[at] >> _U(bits))
+        return (self.code.take(at) - self.low.take(at)) // (self.range.take(at) >> _U(bits))
 
 
 def _shape(n: int) -> tuple[int, int]:
@@ -207,22 +238,26 @@ def encode_block(ids: np.ndarray, vocabulary: int) -> bytes:
         return _HEAD.pack(MAGIC, 0, 0, vocabulary, crc, 0)
     lanes, steps = _shape(n)
     model, out = _Model(vocabulary), _Writer(lanes)
-    by_step = np.zeros(lanes * steps, np.int64)
+    by_step = np.zeros(lanes * steps, np.uint32)
     by_step[:n] = ids
     by_step = np.ascontiguousarray(by_step.reshape(lanes, steps).T)
     one, two = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
     for t in range(steps):
         on = _active(n, steps, t)
-        x, a, b = by_step[t, :on], one[:on], two[:on]
-        pair, named2, named1, context = model.predict(a, b)
-        event = 3 * context + np.where(x == named2, 0, np.where(x == named1, 1, 2))
-        size = model.sizes[event]
-        out.narrow(slice(0, on), model.ends[event] - size, size, _SPLIT_BITS)
-        at = np.flatnonzero((x != named2) & (x != named1))
-        rest = x[at]
+        x, a, b = by_step[t, :on].astype(np.int64), one[:on], two[:on]
+        pair, known2, known1, named2, named1, context = model.predict(a, b)
+        right2, right1 = x == named2, x == named1
+        lost = ~(right2 | right1)
+        event = 3 * context.astype(np.int64)
+        event += lost
+        event += ~right2
+        size = model.sizes.take(event)
+        out.narrow(slice(0, on), model.ends.take(event) - size, size, _SPLIT_BITS)
+        at = lost.nonzero()[0]
+        rest = x.take(at)
         if len(at):
-            out.narrow(at, model.cum[rest], model.freq[rest], model.bits)
-        model.learn(a, pair, context, event, x, named1, named2, rest)
+            out.narrow(at, model.cum.take(rest), model.freq.take(rest), model.bits)
+        model.learn(a, pair, event, x, known2, known1, right2, right1, rest)
         one, two = x, a
     words = out.close()
     return _HEAD.pack(MAGIC, n, lanes, vocabulary, crc, len(words)) + words.astype("<u2").tobytes()
@@ -236,29 +271,31 @@ def decode_block(data: bytes, at: int = 0) -> tuple[np.ndarray, int]:
     at += _HEAD.size
     words = np.frombuffer(data, "<u2", count, at)
     at += 2 * count
-    ids = np.empty(0, np.int64)
+    ids = np.empty(0, np.uint32)
     if n:
         steps = _shape(n)[1]
-        by_step = np.zeros((steps, lanes), np.int64)
+        by_step = np.zeros((steps, lanes), np.uint32)
         reader, model = _Reader(lanes, words), _Model(vocabulary)
         one, two = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
         for t in range(steps):
             on = _active(n, steps, t)
             a, b = one[:on], two[:on]
-            pair, named2, named1, context = model.predict(a, b)
-            slot, first = reader.slot(slice(0, on), _SPLIT_BITS), 3 * context
-            event = first + (slot >= model.ends[first]) + (slot >= model.ends[first + 1])
-            size = model.sizes[event]
-            reader.narrow(slice(0, on), model.ends[event] - size, size, _SPLIT_BITS)
-            outcome = event - first
-            x = np.where(outcome == 0, named2, named1)
-            lost = np.flatnonzero(outcome == 2)
+            pair, known2, known1, named2, named1, context = model.predict(a, b)
+            slot, event = reader.slot(slice(0, on), _SPLIT_BITS), 3 * context.astype(np.int64)
+            later = slot >= model.ends.take(event)
+            last = slot >= model.ends.take(event + 1)
+            event += later
+            event += last
+            size = model.sizes.take(event)
+            reader.narrow(slice(0, on), model.ends.take(event) - size, size, _SPLIT_BITS)
+            x = np.where(later, named1, named2).astype(np.int64)
+            lost = last.nonzero()[0]
             rest = np.empty(0, np.int64)
             if len(lost):
-                rest = model.find(reader.slot(lost, model.bits))
-                reader.narrow(lost, model.cum[rest], model.freq[rest], model.bits)
+                rest = model.find(reader.slot(lost, model.bits)).astype(np.int64)
+                reader.narrow(lost, model.cum.take(rest), model.freq.take(rest), model.bits)
                 x[lost] = rest
-            model.learn(a, pair, context, event, x, named1, named2, rest)
+            model.learn(a, pair, event, x, known2, known1, x == named2, x == named1, rest)
             by_step[t, :on] = x
             one, two = x, a
         ids = by_step.T.reshape(-1)[:n]

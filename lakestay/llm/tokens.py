@@ -218,9 +218,13 @@ class Encoder:
             return pieces
         text = found.data.tobytes() if text is None else text
         if self.store.count + len(missing) > KEPT_PIECES or len(self.gaps) > KEPT_PIECES // 64:
+            # Pieces of this slice stay: the frequent ones are hardly ever encoded again.
+            known = np.flatnonzero(pieces >= 0)
+            same, at = np.unique(keys[known], return_index=True)
+            ids, begin = self.store.gather(pieces[known[at]])
             self.store.clear()
             self.gaps.clear()
-            missing = np.arange(len(keys))
+            self.store.put(same, self.store.add(ids, np.diff(begin)))
         new, one = np.unique(keys[missing], return_index=True)
         one = missing[one]
         if spaced is None:

@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from lakestay.llm import packing, token_counts, token_files
+from lakestay.llm import packing, token_counts, token_files, tokens
 from lakestay.llm.entries import QUERIES
 from lakestay.llm.range_coder import decode_block, encode_block
 from lakestay.llm.tokens import BYTE_VOCABULARY, WORD_VOCABULARY, encoder, vocabulary_path
@@ -42,6 +42,26 @@ def test_ids_of_any_texts(texts):
             assert ids[first[i] : first[i + 1]].tolist() == direct(name, text).tolist()
 
 
+def _given(monkeypatch, own):
+    """The texts an encoder gives to the library from now on."""
+    given, real = [], own.ids
+    monkeypatch.setattr(own, "ids", lambda texts: given.extend(texts) or real(texts))
+    return given
+
+
+@pytest.mark.parametrize("name", VOCABULARIES)
+def test_a_full_store_keeps_the_pieces_of_its_slice(name, monkeypatch):
+    monkeypatch.setattr(tokens, "KEPT_PIECES", 64)
+    own = tokens.Encoder(vocabulary_path(name))
+    old, new = [" ".join(f"{w}{i}" for i in range(40)) for w in ("known", "fresh")]
+    own.encode(pa.array([old]))
+    given = _given(monkeypatch, own)
+    ids, first = own.encode(pa.array([f"{old} {new}", old]))
+    assert given and not any("known" in text for text in given)
+    assert ids[: first[1]].tolist() == direct(name, f"{old} {new}").tolist()
+    assert ids[first[1] :].tolist() == direct(name, old).tolist()
+
+
 @pytest.mark.parametrize("name", VOCABULARIES)
 def test_ids_of_texts_with_added_tokens(name):
     fresh = Tokenizer.from_file(vocabulary_path(name))
