@@ -13,6 +13,7 @@ from __future__ import annotations
 import json
 import os
 import re
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,8 @@ WORD_VOCABULARY = "word_bpe_49k.json"
 KEPT_PIECES = 1 << 20
 _MARK = b"\x01"
 _SEGMENT = 1 << 16
+# Bytes of new pieces given to the library at once.
+_LEARNED = 1 << 18
 _SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
 # First bytes of white space beyond ASCII, and how it goes on in UTF-8.
 _WIDE_FIRST = np.zeros(256, bool)
@@ -114,16 +117,15 @@ class Encoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
         self.size = self.tokenizer.get_vocab_size()
-        with open(path, encoding="utf-8") as file:
-            spec = json.load(file)
-        self.kind = _kind(spec)
-        self.added = [t["content"].encode() for t in spec.get("added_tokens") or []]
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.kind = _kind(_spec(self.tokenizer.pre_tokenizer), _spec(self.tokenizer.normalizer), added)
+        self.added = [t.content.encode() for t in added]
         self.store = _Store() if self.kind != "whole" else None
         self.gaps: dict[bytes, int] = {}
         if self.kind == "byte":
             self.begins = np.zeros(self.size, bool)
-            pieces = self.tokenizer.get_vocab()
-            self.begins[[i for p, i in pieces.items() if p.startswith("Ġ")]] = True
+            pieces = map(self.tokenizer.id_to_token, range(self.size))
+            self.begins[[i for i, p in enumerate(pieces) if p is not None and p.startswith("Ġ")]] = True
             self.line_id = self.ids(["\n"])[0][0]
         elif self.kind == "word":
             self.mark_id = self.ids([_MARK.decode()])[0][0]
@@ -251,8 +253,13 @@ class Encoder:
 
     def _learn(self, keys, pieces: list[bytes], after: bytes, lead: bytes, cut) -> None:
         """Encode pieces, joined where the ids show the joints, and keep them."""
-        if not pieces:
-            return
+        size = np.cumsum([len(p) for p in pieces], dtype=np.int64)
+        cuts = np.searchsorted(size, np.arange(_LEARNED, size[-1], _LEARNED)).tolist() if pieces else []
+        for a, b in zip([0, *cuts], [*cuts, len(pieces)]):
+            if a < b:  # the library takes many times a text's bytes while it encodes it
+                self._learn_some(keys[a:b], pieces[a:b], after, lead, cut)
+
+    def _learn_some(self, keys, pieces: list[bytes], after: bytes, lead: bytes, cut) -> None:
         joined = b"".join([lead + p + after for p in pieces])
         ids = None
         if self.kind == "byte" or joined.count(_MARK) == len(pieces):
@@ -295,12 +302,17 @@ def _wide_rows(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.unique(np.searchsorted(offsets, at, side="right") - 1)
 
 
-def _kind(spec: dict) -> str:
+def _spec(part) -> dict | None:
+    """What a tokenizer's file says of one of its parts."""
+    return None if part is None else json.loads(part.__getstate__())
+
+
+def _kind(before: dict | None, normal: dict | None, added: Iterable) -> str:
     """byte: spaces begin pieces and nothing is normalised; word: white space only separates."""
-    before, normal = spec.get("pre_tokenizer") or {}, spec.get("normalizer")
-    for token in spec.get("added_tokens") or []:  # others than those found by their bytes alone
-        wider = token.get("lstrip") or token.get("rstrip") or token.get("single_word")
-        if wider or (normal and token.get("normalized")) or re.search(r"\s", token["content"]):
+    before = before or {}
+    for token in added:  # others than those found by their bytes alone
+        wider = token.lstrip or token.rstrip or token.single_word
+        if wider or (normal and token.normalized) or re.search(r"\s", token.content):
             return "whole"
     if before.get("type") == "ByteLevel" and normal is None:
         if before.get("use_regex", True) and not before.get("add_prefix_space"):

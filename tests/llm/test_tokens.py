@@ -62,6 +62,16 @@ def test_a_full_store_keeps_the_pieces_of_its_slice(name, monkeypatch):
     assert ids[first[1] :].tolist() == direct(name, old).tolist()
 
 
+@pytest.mark.parametrize("name", VOCABULARIES)
+def test_new_pieces_go_to_the_library_in_bounded_texts(name, monkeypatch):
+    own = tokens.Encoder(vocabulary_path(name))
+    given = _given(monkeypatch, own)
+    text = " ".join(f"word{i}" for i in range(100_000))
+    ids, _ = own.encode(pa.array([text]))
+    assert max(map(len, given)) < 1 << 19
+    assert ids.tolist() == direct(name, text).tolist()
+
+
 @pytest.mark.parametrize("name", VOCABULARIES)
 def test_ids_of_texts_with_added_tokens(name):
     fresh = Tokenizer.from_file(vocabulary_path(name))
