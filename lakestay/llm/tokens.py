@@ -20,7 +20,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 from lakestay.llm.batches import as_bytes
-from lakestay.llm.words import LOWER, SAME, mix, words
+from lakestay.llm.words import LOWER, SAME, looked_up, mix, words
 
 BYTE_VOCABULARY = "byte_bpe_50k.json"
 WORD_VOCABULARY = "word_bpe_49k.json"
@@ -29,8 +29,10 @@ WORD_VOCABULARY = "word_bpe_49k.json"
 KEPT_PIECES = 1 << 20
 _MARK = b"\x01"
 _SEGMENT = 1 << 16
-# Bytes of new pieces given to the library at once.
+# Bytes of new pieces given to the library at once, and of one text of them: the library
+# keeps many times a text's bytes while it encodes it, which should stay in the cache.
 _LEARNED = 1 << 18
+_LEARNED_TEXT = 1 << 12
 _SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
 # First bytes of white space beyond ASCII, and how it goes on in UTF-8.
 _WIDE_FIRST = np.zeros(256, bool)
@@ -67,10 +69,15 @@ class _Store:
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """The number of each piece, or -1."""
-        found = np.full(len(keys), -1, np.int32)
-        left, slot = np.arange(len(keys)), (keys & np.uint64(self.slots - 1)).astype(np.int64)
+        slot = (keys & np.uint64(self.slots - 1)).view(np.int64)
+        there = self.keys.take(slot)
+        found = self.values.take(slot)
+        left = np.flatnonzero(there != keys)  # mostly few: the table is half full at most
+        found[left] = -1
+        left = left[there[left] != 0]
+        slot = (slot[left] + 1) & (self.slots - 1)
         while len(left):
-            there = self.keys[slot]
+            there = self.keys.take(slot)
             hit = there == keys[left]
             found[left[hit]] = self.values[slot[hit]]
             on = ~hit & (there != 0)
@@ -102,10 +109,14 @@ class _Store:
 
     def gather(self, pieces: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of pieces in order, and where each piece's begin."""
-        lengths = self.first[pieces + 1] - self.first[pieces]
-        begin = np.concatenate([[0], np.cumsum(lengths)])
-        shift = np.repeat(self.first[pieces] - begin[:-1], lengths)
-        return self.pool[np.arange(begin[-1]) + shift], begin
+        first = self.first.take(pieces)
+        lengths = self.first.take(pieces + 1) - first
+        begin = np.zeros(len(pieces) + 1, np.int64)
+        np.cumsum(lengths, out=begin[1:])
+        first -= begin[:-1]
+        place = np.repeat(first, lengths)
+        place += np.arange(len(place))
+        return self.pool.take(place), begin
 
 
 class Encoder:
@@ -156,7 +167,7 @@ class Encoder:
             without = np.zeros(len(texts), bool)
             without[added] = True
             plain = pc.if_else(pa.array(without), pa.scalar("", texts.type), texts)
-        found = words(plain, SAME if self.kind == "byte" else LOWER)
+        found = words(plain, SAME, parts=True) if self.kind == "byte" else words(plain, LOWER)
         rows = len(found.offsets) - 1
         if self.kind == "word":
             pieces, at = self._pieces(found, found.hashes, None), found.first
@@ -171,10 +182,12 @@ class Encoder:
         return _joined([own.get(r, ids[first[r] : first[r + 1]]) for r in range(rows)])
 
     def _with_gaps(self, found) -> tuple[np.ndarray, np.ndarray]:
-        """Pieces of words and of the white space around them, and where each row's begin.
+        """Pieces of parts of words and of the white space around them, and where each row's begin.
 
         A space directly before a word belongs to the word; what stands before it is a
-        piece, and so is a last character other than a space.
+        piece, and so is a last character other than a space. The tokenizer never merges a
+        letter or digit with a sign behind it, so words are cut there into parts: a word
+        is given to the library once, whatever signs follow it.
         """
         data, starts, first, offsets = found.data, found.starts, found.first, found.offsets
         before = np.empty(len(starts), np.int64)
@@ -185,21 +198,21 @@ class Encoder:
         spaced = (size > 0) & (data[starts - 1] == 32)
         text = data.tobytes()
         pieces = self._pieces(found, mix(found.hashes + spaced.astype(np.uint64)), spaced, text)
-        lead = np.zeros(len(starts), np.int32)
-        for j in np.flatnonzero((size > 1) | ((size == 1) & ~spaced)).tolist():
-            lead[j] = self._gap(text[before[j] : starts[j]], last=False)
-        tail = np.zeros(len(first) - 1, np.int32)
+        led = np.flatnonzero((size > 1) | ((size == 1) & ~spaced))
+        lead = [self._gap(text[a:b], last=False) for a, b in zip(before[led].tolist(), starts[led].tolist())]
         last_end = offsets[:-1].copy()
         last_end[filled] = found.ends[first[filled + 1] - 1]
-        for r in np.flatnonzero(last_end < offsets[1:]).tolist():
-            tail[r] = self._gap(text[last_end[r] : offsets[r + 1]], last=True)
-        row = np.repeat(np.arange(len(tail)), np.diff(first))
-        out = np.empty(2 * len(starts) + len(tail), np.int32)
-        place = 2 * np.arange(len(starts)) + row
-        out[place], out[place + 1] = lead, pieces
-        at = 2 * first + np.arange(len(first))
-        out[at[1:] - 1] = tail
-        return out, at
+        tailed = np.flatnonzero(last_end < offsets[1:])
+        tail = [
+            self._gap(text[a:b], last=True)
+            for a, b in zip(last_end[tailed].tolist(), offsets[tailed + 1].tolist())
+        ]
+        # A tail goes before the first word of the next row, and before what leads that.
+        where = np.concatenate([first[tailed + 1], led])
+        order = np.argsort(where, kind="stable")
+        out = np.insert(pieces, where[order], np.array([*tail, *lead], np.int32)[order])
+        more = np.searchsorted(led, first) + np.searchsorted(tailed, np.arange(len(first)))
+        return out, first + more
 
     def _gap(self, gap: bytes, last: bool) -> int:
         """The piece of white space before a word or at the end of a text."""
@@ -227,6 +240,7 @@ class Encoder:
             self.store.clear()
             self.gaps.clear()
             self.store.put(same, self.store.add(ids, np.diff(begin)))
+            pieces = self.store.find(keys)
         new, one = np.unique(keys[missing], return_index=True)
         one = missing[one]
         if spaced is None:
@@ -237,7 +251,8 @@ class Encoder:
                 of = one[spaced[one] == flag]
                 own = [text[a:b] for a, b in zip(found.starts[of].tolist(), found.ends[of].tolist())]
                 self._learn(keys[of], own, b"", lead, cut)
-        return self.store.find(keys)
+        pieces[missing] = self.store.find(keys[missing])
+        return pieces
 
     def _at_begin(self, ids):
         at = np.flatnonzero(self.begins[ids])
@@ -253,17 +268,15 @@ class Encoder:
 
     def _learn(self, keys, pieces: list[bytes], after: bytes, lead: bytes, cut) -> None:
         """Encode pieces, joined where the ids show the joints, and keep them."""
-        size = np.cumsum([len(p) for p in pieces], dtype=np.int64)
-        cuts = np.searchsorted(size, np.arange(_LEARNED, size[-1], _LEARNED)).tolist() if pieces else []
-        for a, b in zip([0, *cuts], [*cuts, len(pieces)]):
-            if a < b:  # the library takes many times a text's bytes while it encodes it
-                self._learn_some(keys[a:b], pieces[a:b], after, lead, cut)
+        for a, b in _runs(pieces, _LEARNED):
+            self._learn_some(keys[a:b], pieces[a:b], after, lead, cut)
 
     def _learn_some(self, keys, pieces: list[bytes], after: bytes, lead: bytes, cut) -> None:
-        joined = b"".join([lead + p + after for p in pieces])
+        joined = [lead + p + after for p in pieces]
         ids = None
-        if self.kind == "byte" or joined.count(_MARK) == len(pieces):
-            ids = self.ids([joined.decode()])[0]
+        if self.kind == "byte" or sum(p.count(_MARK) for p in joined) == len(pieces):
+            texts = [b"".join(joined[a:b]).decode() for a, b in _runs(joined, _LEARNED_TEXT)]
+            ids = np.concatenate(self.ids(texts))
             starts, ends = cut(ids)
         if ids is None or len(starts) != len(pieces):
             alone = lead if lead == b" " else b""
@@ -278,6 +291,15 @@ class Encoder:
         self.store.put(keys, self.store.add(ids, lengths))
 
 
+def _runs(pieces: list[bytes], size: int) -> list[tuple[int, int]]:
+    """Runs of pieces of about so many bytes: where each begins and ends."""
+    if not pieces:
+        return []
+    total = np.cumsum([len(p) for p in pieces], dtype=np.int64)
+    cuts = np.searchsorted(total, np.arange(size, total[-1], size)).tolist()
+    return [(a, b) for a, b in zip([0, *cuts], [*cuts, len(pieces)]) if a < b]
+
+
 def _joined(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     first = np.concatenate([[0], np.cumsum([len(x) for x in rows], dtype=np.int64)])
     return (np.concatenate(rows) if rows else np.empty(0, np.uint32)), first
@@ -296,9 +318,10 @@ def _holding(data: np.ndarray, offsets: np.ndarray, contents: list[bytes]) -> np
 
 def _wide_rows(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Rows holding white space beyond ASCII."""
-    if not len(data) or not _WIDE_FIRST[data].any():
+    text = data.tobytes()
+    if not looked_up(text, _WIDE_FIRST).any():
         return np.empty(0, np.int64)
-    at = [m.start() for m in _WIDE_SPACE.finditer(data.tobytes())]
+    at = [m.start() for m in _WIDE_SPACE.finditer(text)]
     return np.unique(np.searchsorted(offsets, at, side="right") - 1)
 
 

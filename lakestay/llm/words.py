@@ -22,6 +22,14 @@ LOWER = SAME.copy()
 LOWER[ord("A") : ord("Z") + 1] += 32
 SPACE = np.zeros(256, bool)
 SPACE[[32, *range(9, 14)]] = True
+_SIGN = np.zeros(256, bool)
+_SIGN[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
+_ALNUM = np.zeros(256, bool)
+_ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
+# Second bytes of the letters from U+00C0 to U+00FF; U+00D7 and U+00F7 are signs.
+_LATIN_FIRST, _LATIN = 0xC3, np.zeros(256, bool)
+_LATIN[0x80:0xC0] = True
+_LATIN[[0x97, 0xB7]] = False
 
 
 class Words(NamedTuple):
@@ -66,27 +74,56 @@ class _Powers:
 _powers = _Powers()
 
 
-def _piece(data: np.ndarray, cuts: np.ndarray, fold: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes, starts and ends of the words of some bytes; rows begin at cuts."""
-    low = fold[data]
-    inside = ~SPACE[low]
+def _signs_after_letters(data: np.ndarray, raw: bytes, before: np.ndarray) -> np.ndarray:
+    """Places of ASCII signs behind a letter or digit of their word, as far as those are Latin."""
+    at = np.flatnonzero(looked_up(raw, _SIGN))
+    at = at[before.take(at)]
+    last = data.take(at - 1)
+    return at[_ALNUM.take(last) | (_LATIN.take(last) & (data.take(at - 2) == _LATIN_FIRST))]
+
+
+def looked_up(raw: bytes, flags: np.ndarray) -> np.ndarray:
+    """The flag of each byte."""
+    return np.frombuffer(raw.translate(flags.tobytes()), bool)
+
+
+def _piece(
+    data: np.ndarray, cuts: np.ndarray, fold: np.ndarray, parts: bool
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes, starts and ends of the words of some bytes, or of their parts; rows begin at cuts."""
+    raw = data.tobytes()
+    inside = looked_up(raw, ~SPACE[fold])
     before = np.empty_like(inside)
     before[0], before[1:] = False, inside[:-1]
     before[cuts] = False
     after = np.empty_like(inside)
     after[-1], after[:-1] = False, inside[1:]
     after[cuts[cuts > 0] - 1] = False
-    starts = np.flatnonzero(inside & ~before)
-    ends = np.flatnonzero(inside & ~after) + 1
+    begins, closes = inside & ~before, inside & ~after
+    if parts:
+        signs = _signs_after_letters(data, raw, before)
+        begins[signs] = True
+        closes[signs - 1] = True
+    starts = np.flatnonzero(begins)
+    ends = np.flatnonzero(closes) + 1
     up, down = _powers(len(data))
     summed = np.empty(len(data) + 1, _WORD)
     summed[0] = 0
-    np.cumsum(_LETTER[low] * up, out=summed[1:])
-    return mix((summed[ends] - summed[starts]) * down[starts]), starts, ends
+    letters = _LETTER[fold].take(data)
+    letters *= up
+    np.cumsum(letters, out=summed[1:])
+    hashes = summed.take(ends)
+    hashes -= summed.take(starts)
+    hashes *= down.take(starts)
+    return mix(hashes), starts, ends
+
 
+def words(texts: pa.Array, fold: np.ndarray = LOWER, parts: bool = False) -> Words:
+    """The words of a batch; fold maps bytes before they are hashed.
 
-def words(texts: pa.Array, fold: np.ndarray = LOWER) -> Words:
-    """The words of a batch; fold maps bytes before they are hashed."""
+    With parts, words are also cut before every ASCII sign that follows a letter or digit of
+    ASCII or Latin-1: "don't," gives don, 't and a comma.
+    """
     data, offsets = as_bytes(texts)
     found: list[tuple[np.ndarray, ...]] = []
     at = 0
@@ -97,7 +134,7 @@ def words(texts: pa.Array, fold: np.ndarray = LOWER) -> Words:
             while end < row and not SPACE[data[end]]:
                 end += 1
         cuts = offsets[np.searchsorted(offsets, at) : np.searchsorted(offsets, end)] - at
-        hashes, starts, ends = _piece(data[at:end], cuts, fold)
+        hashes, starts, ends = _piece(data[at:end], cuts, fold, parts)
         found.append((hashes, starts + at, ends + at))
         at = end
     if not found:

@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from lakestay.llm import packing, token_counts, token_files, tokens
+from lakestay.llm import packing, range_coder, token_counts, token_files, tokens
 from lakestay.llm.entries import QUERIES
 from lakestay.llm.range_coder import decode_block, encode_block
 from lakestay.llm.tokens import BYTE_VOCABULARY, WORD_VOCABULARY, encoder, vocabulary_path
@@ -72,6 +72,36 @@ def test_new_pieces_go_to_the_library_in_bounded_texts(name, monkeypatch):
     assert ids.tolist() == direct(name, text).tolist()
 
 
+@pytest.mark.parametrize("name", VOCABULARIES)
+def test_new_pieces_go_to_the_library_in_short_texts(name, monkeypatch):
+    own = tokens.Encoder(vocabulary_path(name))
+    given = _given(monkeypatch, own)
+    text = " ".join(f"word{i}" for i in range(5000)) + " " + "x" * 9000
+    ids, _ = own.encode(pa.array([text]))
+    assert max(len(t) for t in given if "xx" not in t) < 5000 and len(given) > 10
+    assert ids.tolist() == direct(name, text).tolist()
+
+
+def test_a_word_is_encoded_once_whatever_signs_follow(monkeypatch):
+    own = tokens.Encoder(vocabulary_path(BYTE_VOCABULARY))
+    given = _given(monkeypatch, own)
+    text = "a Qvxwé Qvxwé, Qvxwé. (Qvxwé) Qvxwé's Qvxwé,' Qvxwé!? Qvxwé… Qvxwé×. Qvxwé/Qvxwé@Qvxwé.de3"
+    ids, _ = own.encode(pa.array([text]))
+    assert sum(t.count(" Qvxwé") for t in given) == 3  # by itself, before … and before ×
+    fresh = Tokenizer.from_file(vocabulary_path(BYTE_VOCABULARY))
+    assert ids.tolist() == fresh.encode(text, add_special_tokens=False).ids
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(st.sampled_from("aÉé×÷ªʼ日٣9'’sltre,.!_~@\x7f\x1c\x00 \n"), max_size=14), max_size=4))
+def test_ids_of_any_texts_with_signs(texts):
+    fresh = Tokenizer.from_file(vocabulary_path(BYTE_VOCABULARY))
+    ids, first = encoder(BYTE_VOCABULARY).encode(pa.array(texts, pa.string()))
+    for i, text in enumerate(texts):
+        want = fresh.encode(text, add_special_tokens=False).ids
+        assert ids[first[i] : first[i + 1]].tolist() == want, repr(text)
+
+
 @pytest.mark.parametrize("name", VOCABULARIES)
 def test_ids_of_texts_with_added_tokens(name):
     fresh = Tokenizer.from_file(vocabulary_path(name))
@@ -107,6 +137,28 @@ def test_repeats_are_cheap_and_damage_is_found():
         decode_block(bytes(bad))
 
 
+def test_any_damaged_byte_of_a_block_is_found():
+    block = encode_block(np.arange(600) % 7, 50_257)
+    for i in range(len(block)):
+        bad = bytearray(block)
+        bad[i] ^= 4
+        with pytest.raises(ValueError):
+            decode_block(bytes(bad))
+
+
+@pytest.mark.parametrize("vocabulary", [5000, 4_000_000])
+@pytest.mark.parametrize("bottom", [32, 46])
+def test_blocks_of_many_lanes_round_trip(vocabulary, bottom, monkeypatch):
+    monkeypatch.setattr(range_coder, "_LANE_IDS", 3)
+    # The higher it is, the more often a lane must settle between its two parts of a step.
+    monkeypatch.setattr(range_coder, "_BOTTOM", np.uint64(1 << bottom))
+    random = np.random.default_rng(1)
+    ids = np.minimum(random.zipf(1.3, 40_000), 4999)
+    ids[random.random(len(ids)) < 0.01] = 4999
+    back, _ = decode_block(encode_block(ids, vocabulary))
+    assert back.tolist() == ids.tolist()
+
+
 def test_blocks_are_smaller_than_order_0_entropy():
     rows = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"]).column(0).combine_chunks()
     ids = np.concatenate([encoder(BYTE_VOCABULARY).encode(rows.slice(a, 50))[0] for a in range(0, len(rows), 50)])
