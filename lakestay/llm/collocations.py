@@ -23,9 +23,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakestay.llm.batches import prepare, slices
+from lakestay.llm.batches import as_bytes, prepare, slices
 from lakestay.llm.components import stored
-from lakestay.llm.double_array import DoubleArray
+from lakestay.llm.double_array import DoubleArray, Places
 from lakestay.llm.words import LOWER, mix, words
 from lakestay.session import work_folders
 
@@ -36,14 +36,18 @@ BEST = 2000
 COVERED_PERCENT = 100
 UNKNOWN = "und"
 
-# Candidates of one trie; more take further tries, each with a pass over the texts.
-TRIE_ROWS = 1 << 20
+# Pairs of one trie, of longer candidates as many as have no more words; more take further
+# tries, each with a pass over the texts.
+TRIE_ROWS = 1 << 21
 # Frequent words that are broadcast to look candidates over in the tasks that see them first;
 # where there are more, joins alone do that.
 MOST_WORDS = 1 << 22
 # Distinct rows a task keeps before it passes them on.
 KEPT_ROWS = 1 << 21
 _BATCH = 1 << 16
+# Bits of the filter of all candidates of a length, and those it has for each at least.
+FILTER_BITS = 1 << 30
+_FILTER_SHARE = 8
 
 # What ends a piece of text.
 BREAKS = b".,;:!?\n\x0b\x0c\r"
@@ -84,7 +88,7 @@ def _word_counts(docs: DataFrame, seed: int) -> DataFrame:
         held, size = [], 0
         for part in slices(batches, "text"):
             found, langs, keys, _ = _tokens(part, seed)
-            names = langs.dictionary.to_pylist()
+            names = langs.dictionary
             row = np.repeat(np.arange(part.num_rows), np.diff(found.first))
             lang = langs.indices.to_numpy(zero_copy_only=False)
             distinct, first, place, count = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
@@ -92,13 +96,11 @@ def _word_counts(docs: DataFrame, seed: int) -> DataFrame:
             if len(other):  # a second word of a key, to be found out below
                 distinct, first = np.append(distinct, keys[other]), np.append(first, other)
                 count = np.append(count, np.zeros(len(other), np.int64))
-            text = _FOLD[found.data].tobytes()
-            own = [text[a:b].decode() for a, b in zip(found.starts[first].tolist(), found.ends[first].tolist())]
             total = np.bincount(lang[row], minlength=len(names)) if len(row) else np.zeros(len(names), np.int64)
             held.append(pa.table({
                 "key": pa.chunked_array([_binary(distinct[:, None]), pa.nulls(len(names), pa.binary())]),
-                "lang": pa.chunked_array([pa.array([names[i] for i in lang[row[first]].tolist()], pa.string()), pa.array(names, pa.string())]),
-                "word": pa.chunked_array([pa.array(own, pa.string()), pa.nulls(len(names), pa.string())]),
+                "lang": pa.chunked_array([langs.dictionary.take(pa.array(lang[row[first]])), langs.dictionary]),
+                "word": pa.chunked_array([_texts(found, first), pa.nulls(len(names), pa.string())]),
                 "n": pa.array(np.concatenate([count, total]).astype(np.int64)),
             }))
             size += held[-1].num_rows
@@ -114,6 +116,14 @@ def _word_counts(docs: DataFrame, seed: int) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
+def _texts(found, places: np.ndarray) -> pa.Array:
+    """The words at some places, folded."""
+    size = found.ends[places] - found.starts[places]
+    offsets = np.append(0, np.cumsum(size))
+    data = _FOLD[found.data[np.repeat(found.starts[places] - offsets[:-1], size) + np.arange(offsets[-1])]]
+    return pa.Array.from_buffers(pa.string(), len(places), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data)])
+
+
 def _others(found, lang: np.ndarray, same: np.ndarray) -> np.ndarray:
     """Places of words that differ from the one said to be the same, in language or in bytes."""
     data, size = _FOLD[found.data], found.ends - found.starts
@@ -142,8 +152,8 @@ def _binary(keys: np.ndarray) -> pa.Array:
 
 def _keys(column: pa.ChunkedArray, length: int) -> np.ndarray:
     """Rows of word keys from their bytes."""
-    rows = [x for chunk in column.chunks for x in chunk.to_pylist()]
-    return np.frombuffer(b"".join(rows), ">u8").astype(np.uint64).reshape(-1, length)
+    rows = [as_bytes(chunk)[0].view(">u8").astype(np.uint64) for chunk in column.chunks]
+    return np.concatenate([np.empty(0, np.uint64), *rows]).reshape(-1, length)
 
 
 class _Seen:
@@ -183,17 +193,37 @@ class _Seen:
             yield pa.RecordBatch.from_arrays([_binary(phrases(codes[at])), pa.array(counts[at])], ["phrase", "n"])
 
 
-def _numbered(keys: np.ndarray, frequent: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+class _Filter:
+    """All candidates of a length in little room; it takes a few other phrases for candidates too."""
+
+    def __init__(self, count: int):
+        self.last = np.uint64(min(FILTER_BITS, max(64, 1 << (_FILTER_SHARE * count - 1).bit_length())) - 1)
+        self.bits = np.zeros((int(self.last) + 1) >> 3, np.uint8)
+
+    def _places(self, rows: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        mixed = np.zeros(len(rows), np.uint64)
+        for k in range(rows.shape[1]):
+            mixed = mix(mixed + rows[:, k])
+        for place in (mixed & self.last, (mixed >> np.uint64(32)) & self.last):
+            yield (place >> np.uint64(3)).astype(np.int64), np.uint8(1) << (place & np.uint64(7)).astype(np.uint8)
+
+    def add(self, rows: np.ndarray) -> None:
+        for at, bit in self._places(rows):
+            np.bitwise_or.at(self.bits, at, bit)
+
+    def has(self, rows: np.ndarray) -> np.ndarray:
+        (a, x), (b, y) = self._places(rows)
+        return (self.bits[a] & x != 0) & (self.bits[b] & y != 0)
+
+
+def _numbered(keys: np.ndarray, frequent: Places | None) -> tuple[np.ndarray, np.ndarray]:
     """Numbers of words, -1 for infrequent ones, and the keys they number.
 
     Without a list of the frequent words all words of the slice count as frequent."""
     if frequent is None:
         table, number = np.unique(keys, return_inverse=True)
         return number.astype(np.int64), table
-    if not len(frequent):
-        return np.full(len(keys), -1), frequent
-    at = np.minimum(np.searchsorted(frequent, keys), len(frequent) - 1)
-    return np.where(frequent[at] == keys, at, -1), frequent
+    return frequent(keys), frequent.keys
 
 
 def _pairs(docs: DataFrame, seed: int, frequent) -> DataFrame:
@@ -201,7 +231,7 @@ def _pairs(docs: DataFrame, seed: int, frequent) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = None if frequent is None else frequent.value
         seen = _Seen()
-        table = known
+        table = None if known is None else known.keys
 
         def phrases(codes):
             return np.column_stack([table[codes >> 32], table[codes & 0xFFFFFFFF]])
@@ -218,14 +248,17 @@ def _pairs(docs: DataFrame, seed: int, frequent) -> DataFrame:
     return docs.mapInArrow(run, "phrase binary, n long")
 
 
-def _counted(docs: DataFrame, seed: int, trie, frequent, longest: int, whole: bool) -> DataFrame:
+def _counted(docs: DataFrame, seed: int, trie, frequent, longest: int, others) -> DataFrame:
     """(phrase, n) summed per task for the phrases of a trie, and the phrases a word longer as
-    _Seen passes them on. whole: the trie has all candidates of its length."""
+    _Seen passes them on. others: a filter of all candidates of its length, if the trie has
+    not all of them."""
+    whole = others is None
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        array = trie.value
+        array, among = trie.value, None if whole else others.value
         known = None if frequent is None else frequent.value
         depth, total = array.depth, np.zeros(len(array.rows), np.int64)
-        seen, table = _Seen(), array.words if whole else known
+        seen, table = _Seen(), array.words if whole or known is None else known.keys
 
         def phrases(codes):
             return np.column_stack([array.rows[codes >> 32], table[codes & 0xFFFFFFFF]])
@@ -234,7 +267,7 @@ def _counted(docs: DataFrame, seed: int, trie, frequent, longest: int, whole: bo
             _, _, keys, room = _tokens(part, seed)
             number = array.number(keys)
             at, row = array.walk(number, room)
-            total += np.bincount(row, minlength=len(total))
+            np.add.at(total, row, 1)
             if depth == longest:
                 continue
             more = room[at] > depth
@@ -246,6 +279,7 @@ def _counted(docs: DataFrame, seed: int, trie, frequent, longest: int, whole: bo
             else:
                 last, table = _numbered(keys, known)
                 more[more] &= last[at[more] + depth] >= 0
+                more[more] &= among.has(keys[at[more][:, None] + np.arange(1, depth + 1)])
             seen.add(row[more] << 32 | last[at[more] + depth])
             if (known is None and not whole) or seen.full():
                 yield from seen.take(phrases)
@@ -302,7 +336,7 @@ def frequent_phrases(
     frequent = None
     if frequent_words.count() <= most_words:
         keys = _keys(frequent_words.select("key").toArrow().column("key"), 1)[:, 0]
-        frequent = spark.sparkContext.broadcast(np.sort(keys))
+        frequent = spark.sparkContext.broadcast(Places(np.sort(keys)))
     known = [frequent_words.select(F.col("key").alias("phrase"), F.col("n").alias("a"))]
     seen = _pairs(docs, seed, frequent)
     for length in range(2, longest + 1):
@@ -312,19 +346,28 @@ def frequent_phrases(
         for first in (0, 1):
             new = new.join(shorter, _part(first, length - 1) == F.col("part"), "left_semi")
         new = _kept(new, f"{folder}/candidates-{length}")
-        tries = -(-new.count() // trie_rows)
+        total = new.count()
+        tries = -(-total * length // (2 * trie_rows))
         if not tries:
             break
+        parts = [new if tries == 1 else new.filter(F.pmod(F.xxhash64("phrase"), F.lit(tries)) == i) for i in range(tries)]
+        others = None
+        if tries > 1 and length < longest:
+            among = _Filter(total)
+            for own in parts:
+                among.add(_keys(own.toArrow().column("phrase"), length))
+            others = spark.sparkContext.broadcast(among)
         counts = []
-        for i in range(tries):
-            own = new if tries == 1 else new.filter(F.pmod(F.xxhash64("phrase"), F.lit(tries)) == i)
+        for i, own in enumerate(parts):
             rows = _keys(own.toArrow().column("phrase"), length)
             if not len(rows):
                 continue
             trie = spark.sparkContext.broadcast(DoubleArray(rows))
-            passed = _counted(docs, seed, trie, frequent, longest, tries == 1)
+            passed = _counted(docs, seed, trie, frequent, longest, others)
             counts.append(_kept(passed, f"{folder}/counts-{length}-{i}"))
             trie.unpersist()
+        if others is not None:
+            others.unpersist()
         seen = counts[0]
         for other in counts[1:]:
             seen = seen.unionByName(other)

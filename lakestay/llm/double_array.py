@@ -1,16 +1,50 @@
 """Tries of word sequences as double arrays that numpy walks from all positions at once.
 
-A state is a slot. The child of state s by word w is slot base[s] + w, if check of that slot
-is s. Words are numbered from 1 within the trie; the root is state 0 with base 0.
+A state is a slot. Its children are dealt to 2^k parts by the last k bits of their word, so
+that a part has few; each part has a base of its own. The child of a state by word w is slot
+base + w, with the base of w's part, if check of that slot is the part. Words are numbered
+from 1 within the trie; the root is state 0 with one part, 0, of base 0.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-# States with more children are placed one by one, the others together.
-_FEW = 8
-_WINDOW = 4096
+# Children of a part on average at most. Parts are placed at random, all of a level together:
+# one by one, states of thousands of children would be tried against ever more taken slots.
+_FEW = 2
+# Slots for each child.
+_ROOM = 2
+# Draws after which there is more room in any case.
+_DRAWS = 200
+# Bits of link that hold the number of bits its parts go by.
+_BITS = 6
+
+
+class Places:
+    """The place of each key in a sorted list of distinct ones, looked up by its first bits.
+
+    Keys are hashes, so few of the list share their first bits."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = keys
+        self.shift = np.uint64(64 - max(1, (2 * len(keys)).bit_length()))
+        self.first = np.searchsorted(keys >> self.shift, np.arange((1 << (64 - int(self.shift))) + 1, dtype=np.uint64)).astype(np.int32)
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        """-1 for keys that are not in the list."""
+        place = np.full(len(keys), -1)
+        head = (keys >> self.shift).astype(np.int64)
+        at, end = self.first[head], self.first[head + 1]
+        left = np.flatnonzero(at < end)
+        at, end, keys = at[left], end[left], keys[left]
+        while len(left):
+            same = self.keys[at] == keys
+            place[left[same]] = at[same]
+            at += 1
+            on = ~same & (at < end)
+            left, at, end, keys = left[on], at[on], end[on], keys[on]
+        return place
 
 
 class DoubleArray:
@@ -19,84 +53,75 @@ class DoubleArray:
     def __init__(self, rows: np.ndarray):
         self.depth = rows.shape[1]
         self.words, numbers = np.unique(rows, return_inverse=True)
+        self.places = Places(self.words)
         numbers = numbers.reshape(rows.shape).astype(np.int64) + 1
         order = np.lexsort(numbers.T[::-1])
         self.rows, numbers = rows[order], numbers[order]
         width = len(self.words) + 1
-        room = width + 4 * rows.size
-        self.base = np.zeros(room, np.int64)
-        self.check = np.full(room, -1, np.int64)
-        self.check[0] = 0
-        self.random = np.random.default_rng(0)
-        state = np.zeros(len(numbers), np.int64)
-        group = np.zeros(len(numbers), np.int64)  # rows of one state follow each other
-        for level in range(self.depth):
+        edges, state, group = [], np.zeros(len(numbers), np.int64), np.zeros(len(numbers), np.int64)
+        for level in range(self.depth):  # rows of one state follow each other
             word = numbers[:, level]
             new = np.append(True, (group[1:] != group[:-1]) | (word[1:] != word[:-1]))
-            edge = np.flatnonzero(new)
-            parent = state[edge]
-            self._place(parent, word[edge], width)
+            edges.append(np.flatnonzero(new))
             group = np.cumsum(new) - 1
-            state = (self.base[parent] + word[edge])[group]
-        self.base = self.base[: self.check.nonzero()[0].max() + 1 + width]
-        self.check = np.append(self.check, np.full(width, -1))[: len(self.base)]
-        self.base = np.append(self.base, np.zeros(len(self.check) - len(self.base), np.int64))
-        # The row each state of the last level stands for.
-        self.row = np.full(len(self.check), -1, np.int64)
-        self.row[state] = np.arange(len(numbers))
-
-    def _place(self, parent: np.ndarray, word: np.ndarray, width: int) -> None:
-        """Give each parent a base under which the slots of its children are free."""
+        self.check = np.full(width + _ROOM * sum(map(len, edges)), -1, np.int32)
+        self.check[0] = 0
+        # Of a state that has children, its first part and the bits they go by; of the last
+        # states, the row each stands for.
+        self.link = np.full(len(self.check), -1, np.int64)
+        self.base = np.zeros(1, np.int32)
+        self.random = np.random.default_rng(0)
+        for level, edge in enumerate(edges):
+            word = numbers[edge, level]
+            slot = word if level == 0 else self._place(state[edge], word, width)
+            if level == 0:
+                self.check[slot], self.taken = 0, len(slot)
+            state = slot[np.repeat(np.arange(len(edge)), np.diff(np.append(edge, len(numbers))))]
+        self.link[state] = np.arange(len(numbers))
+        # Any base may be asked for any word.
+        used = int(self.base.max()) + width
+        self.check, self.link = self.check[:used], self.link[:used]
+
+    def _place(self, parent: np.ndarray, word: np.ndarray, width: int) -> np.ndarray:
+        """The slots of the children of states, in order of the states; their parts get bases under which these were free."""
         first = np.flatnonzero(np.append(True, parent[1:] != parent[:-1]))
         count = np.diff(np.append(first, len(parent)))
-        if len(first) == 1 and parent[0] == 0:  # the root
-            self.check[word] = 0
-            return
-        for i in np.flatnonzero(count > _FEW)[np.argsort(-count[count > _FEW], kind="stable")].tolist():
-            self._place_one(int(parent[first[i]]), word[first[i] : first[i] + count[i]], width)
-        left = np.flatnonzero(np.repeat(count <= _FEW, count))
+        bits = np.ceil(np.log2(np.maximum(count / _FEW, 1))).astype(np.int64)
+        begin = len(self.base) + np.cumsum(1 << bits) - (1 << bits)
+        self.link[parent[first]] = begin << _BITS | bits
+        part = np.repeat(begin, count) + (word & np.repeat((1 << bits) - 1, count))
+        self.base = np.append(self.base, np.zeros(int((1 << bits).sum()), np.int32))
+        slots = np.empty(len(parent), np.int64)
+        left, rounds = np.argsort(part, kind="stable"), 0
         while len(left):
-            heads = np.append(True, parent[left[1:]] != parent[left[:-1]])
-            which = np.cumsum(heads) - 1
+            own, number = part[left], word[left]
+            which = np.cumsum(np.append(True, own[1:] != own[:-1])) - 1
             base = self.random.integers(1, len(self.check) - width, which[-1] + 1)[which]
-            slot = base + word[left]
+            slot = base + number
             free = self.check[slot] == -1
-            own = parent[left]
             self.check[slot[free]] = own[free]
             won = free & (self.check[slot] == own)
-            # Two children of one parent never share a slot, but two draws may cross.
+            # Two children of one part never share a slot, but two draws may cross.
             lost = np.bincount(which, weights=~won) > 0
-            self.check[slot[won & lost[which]]] = -1
             placed = ~lost[which]
+            self.check[slot[won & ~placed]] = -1
             self.base[own[placed]] = base[placed]
-            if lost.mean() > 0.75:
-                self._grow()
-            left = left[~placed]
-
-    def _place_one(self, parent: int, word: np.ndarray, width: int) -> None:
-        at = 1
-        while True:
-            if at + _WINDOW + width >= len(self.check):
+            slots[left[placed]] = slot[placed]
+            self.taken += int(placed.sum())
+            left, rounds = left[~placed], rounds + 1
+            # The last large parts need many draws, not more room.
+            if lost.mean() > 0.9 and (_ROOM * self.taken > len(self.check) or rounds % _DRAWS == 0):
                 self._grow()
-            taken = np.zeros(_WINDOW, bool)
-            for w in word.tolist():
-                taken |= self.check[at + w : at + w + _WINDOW] != -1
-            free = np.flatnonzero(~taken)
-            if len(free):
-                self.base[parent] = at + free[0]
-                self.check[at + free[0] + word] = parent
-                return
-            at += _WINDOW
+        return slots
 
     def _grow(self) -> None:
-        more = max(len(self.check) // 2, 2 * _WINDOW)
-        self.check = np.append(self.check, np.full(more, -1))
-        self.base = np.append(self.base, np.zeros(more, np.int64))
+        more = max(len(self.check) // 2, 4096)
+        self.check = np.append(self.check, np.full(more, -1, np.int32))
+        self.link = np.append(self.link, np.full(more, -1, np.int64))
 
     def number(self, keys: np.ndarray) -> np.ndarray:
         """The number of each word key, 0 for words of no sequence."""
-        at = np.minimum(np.searchsorted(self.words, keys), len(self.words) - 1)
-        return np.where(self.words[at] == keys, at + 1, 0)
+        return self.places(keys) + 1
 
     def walk(self, numbers: np.ndarray, room: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The positions at which a sequence begins, and its row.
@@ -110,7 +135,11 @@ class DoubleArray:
         at, state = at[on], state[on]
         for level in range(1, self.depth):
             word = numbers[at + level]
-            child = self.base[state] + word
-            on = (word > 0) & (self.check[child] == state)
+            on = word > 0
+            at, state, word = at[on], state[on], word[on]
+            link = self.link[state]
+            part = (link >> _BITS) + (word & ((1 << (link & ((1 << _BITS) - 1))) - 1))
+            child = self.base[part] + word
+            on = self.check[child] == part
             at, state = at[on], child[on]
-        return at, self.row[state]
+        return at, self.link[state]

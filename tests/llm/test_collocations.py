@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -141,3 +142,56 @@ def test_tasks_that_pass_on_often(spark, supplied, monkeypatch):
         got.update(dict(zip(b.column("phrase").to_pylist(), b.column("n").to_pylist())))
     assert {int.from_bytes(k, "big"): n for k, n in got.items()} == real
     assert found(docs, least=8) == want
+
+
+def test_double_array_of_states_with_many_children():
+    """Built in proportion to its rows: 300,000 pairs, the commonest words with thousands of others."""
+    r = np.random.default_rng(5)
+    keys = np.unique(r.integers(0, 1 << 64, 60_000, np.uint64))
+    place = (len(keys) * r.random((400_000, 2)) ** 3).astype(np.int64)
+    want = np.unique(keys[place], axis=0)[:300_000]
+    began = time.process_time()
+    trie = DoubleArray(want)
+    assert time.process_time() - began < 20 and np.bincount(trie.number(want[:, 0])).max() > 3000
+    assert len(trie.check) < 12 * len(want)
+    text = want[r.permutation(len(want))[:50_000]].ravel()
+    at, row = trie.walk(trie.number(text), np.arange(len(text), 0, -1))
+    assert (trie.rows[row] == np.column_stack([text[at], text[at + 1]])).all()
+    known = set(map(tuple, want.tolist()))
+    assert at.tolist() == [i for i, x in enumerate(zip(text[:-1].tolist(), text[1:].tolist())) if x in known]
+
+
+def test_runs_seen_by_several_tries(supplied, monkeypatch):
+    """A trie that has a part of the candidates passes on hardly more runs a word longer than one that has all."""
+    real, runs = co._kept, {}
+
+    def kept(df, path):
+        out = real(df, path)
+        if "/counts-2-" in path:
+            longer = out.filter("length(phrase) = 24").select("phrase")
+            runs[rows] = longer if rows not in runs else runs[rows].union(longer)
+            sizes[rows] = runs[rows].distinct().count()
+        return out
+
+    monkeypatch.setattr(co, "_kept", kept)
+    sizes, got = {}, {}
+    for rows in (1 << 21, 100):
+        got[rows] = found(supplied[0], least=8, trie_rows=rows)
+    assert got[100] == got[1 << 21] == plain(supplied[1], 8)
+    assert 0 < sizes[1 << 21] <= sizes[100] < 1.2 * sizes[1 << 21]
+
+
+def test_filter_and_places():
+    r = np.random.default_rng(6)
+    rows = r.integers(0, 1 << 64, (5000, 3), np.uint64)
+    among = co._Filter(4000)
+    for part in (rows[:1000], rows[1000:4000]):
+        among.add(part)
+    assert among.has(rows[:4000]).all() and among.has(rows[4000:]).mean() < 0.2
+    for n in (0, 1, 2, 4000):
+        keys = np.unique(rows[:n, 0])
+        sought = np.append(rows[:, 0], np.array([0, 5, (1 << 64) - 1], np.uint64))
+        want = [{k: i for i, k in enumerate(keys.tolist())}.get(k, -1) for k in sought.tolist()] if n < 5 else None
+        place = co.Places(keys)(sought)
+        assert want is None or place.tolist() == want
+        assert (place[: len(rows)] >= 0).sum() == n and (keys[place[place >= 0]] == sought[place >= 0]).all()
